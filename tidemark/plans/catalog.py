@@ -13,11 +13,18 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemark.functions.dates import business_day, dow_sunday0, month_bucket
 from tidemark.operators.enrich import gap_fill, gap_fill_sized
 from tidemark.operators.series import (calendar_spine, carry_forward_increment)
+from tidemark.operators.incremental import full_rebuild, merge_incremental, window_replace
+from tidemark.operators.upsert import upsert, upsert_columns
 from tidemark.plans import models
 from tidemark.plans.roles import load, rate_bench, weather_bench
+from tidemark.specs import MART
 
 # Fixed parameters of the checkable queries.
 LOCF_CUTOFF = dt.date(2001, 1, 1)
+UPSERT_TARGET_END = dt.date(2001, 1, 1)      # target: rows before
+UPSERT_BATCH_START = dt.date(2000, 12, 22)   # batch: rows from (overlaps 10 days)
+MART_TARGET_END = dt.date(2001, 6, 1)        # existing mart: rows before
+WL_KEYS = ["location", "date"]
 
 
 def business_day_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,6 +74,52 @@ def locf_by_entity_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
                     bucket=month_bucket("date"))
 
 
+def _upsert_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    wl = weather_bench(spark, sf_dir)
+    target = wl.filter(F.col("date") < F.lit(UPSERT_TARGET_END))
+    batch = (wl.filter(F.col("date") >= F.lit(UPSERT_BATCH_START))
+             .withColumn("temp_max_c", F.col("temp_max_c") + 1)
+             .withColumn("precipitation_mm", F.col("precipitation_mm") + 100))
+    return target, batch
+
+
+def upsert_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target, batch = _upsert_inputs(spark, sf_dir)
+    return upsert(target, batch, WL_KEYS)
+
+
+def upsert_partial(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target, batch = _upsert_inputs(spark, sf_dir)
+    return upsert_columns(target, batch, WL_KEYS, ["temp_max_c", "temp_min_c"])
+
+
+def _mart_target(source: DataFrame) -> DataFrame:
+    """An existing mart that lags the source and holds stale values."""
+    return (source.filter(F.col("date") < F.lit(MART_TARGET_END))
+            .withColumn("temp_max_c", F.col("temp_max_c") + 0.5))
+
+
+def incremental_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    source = models.mart_projection(enrich_daily(spark, sf_dir))
+    return merge_incremental(_mart_target(source), source, MART.keys, "date", 10)
+
+
+def full_rebuild_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return full_rebuild(enrich_daily(spark, sf_dir), MART.columns)
+
+
+def window_replace_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``incremental_mart`` with one key gone from the source inside the
+    window: the first location's last date in the existing mart."""
+    source = models.mart_projection(enrich_daily(spark, sf_dir))
+    target = _mart_target(source)
+    first_loc = target.agg(F.min("location").alias("location"))
+    gone = (target.join(first_loc, "location")
+            .groupBy("location").agg(F.max("date").alias("date")))
+    trimmed = source.join(gone, list(MART.keys), "left_anti")
+    return window_replace(target, trimmed, "date", 10)
+
+
 QUERIES = {
     "business_day_flag": business_day_flag,
     "calendar_spine": calendar_spine_q,
@@ -76,6 +129,11 @@ QUERIES = {
     "enrich_daily": enrich_daily,
     "locf_by_entity": locf_by_entity,
     "locf_by_entity_bucketed": locf_by_entity_bucketed,
+    "upsert_replace": upsert_replace,
+    "upsert_partial": upsert_partial,
+    "incremental_mart": incremental_mart,
+    "full_rebuild": full_rebuild_q,
+    "window_replace": window_replace_q,
 }
 
 __all__ = ["QUERIES", "gap_fill_sized"]

@@ -51,6 +51,19 @@ SELECT location, date, last_value(temp_max_c IGNORE NULLS) OVER (PARTITION BY lo
        ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS temp_max_c,
        is_observed FROM j"""
 
+UPSERT_INPUTS = f"""
+wl AS ({WL_BENCH}),
+t AS (SELECT * FROM wl WHERE date < DATE '2001-01-01'),
+b AS (SELECT location, date, temp_max_c + 1 AS temp_max_c, temp_min_c,
+             precipitation_mm + 100 AS precipitation_mm FROM wl WHERE date >= DATE '2000-12-22')"""
+
+MART_INPUTS = f"""
+src AS ({D8}),
+t AS (SELECT location, date, temp_max_c + 0.5 AS temp_max_c, temp_min_c, temp_range_c,
+             precipitation_mm, fx_usd_mxn, fx_is_published_rate, is_business_day
+      FROM src WHERE date < DATE '2001-06-01'),
+cut AS (SELECT CAST(coalesce(max(date), DATE '1970-01-01') - INTERVAL 10 DAY AS DATE) AS c FROM t)"""
+
 SQL = {
     "business_day_flag": """
 SELECT DISTINCT CAST(o_orderdate AS DATE) AS date,
@@ -68,4 +81,27 @@ SELECT date, fx_rate, is_published_rate FROM fx WHERE date >= DATE '2001-01-01'"
     "enrich_daily": D8,
     "locf_by_entity": LOCF_BY_ENTITY,
     "locf_by_entity_bucketed": LOCF_BY_ENTITY,
+    "upsert_replace": f"""WITH {UPSERT_INPUTS}
+SELECT * FROM t WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.location = t.location AND b.date = t.date)
+UNION ALL SELECT * FROM b""",
+    "upsert_partial": f"""WITH {UPSERT_INPUTS}
+SELECT coalesce(t.location, b.location) AS location, coalesce(t.date, b.date) AS date,
+       CASE WHEN b.location IS NOT NULL THEN b.temp_max_c ELSE t.temp_max_c END AS temp_max_c,
+       CASE WHEN b.location IS NOT NULL THEN b.temp_min_c ELSE t.temp_min_c END AS temp_min_c,
+       CASE WHEN t.location IS NOT NULL THEN t.precipitation_mm ELSE b.precipitation_mm END
+         AS precipitation_mm
+FROM t FULL OUTER JOIN b ON t.location = b.location AND t.date = b.date""",
+    "incremental_mart": f"""WITH {MART_INPUTS},
+sel AS (SELECT * FROM src WHERE date >= (SELECT c FROM cut))
+SELECT * FROM t WHERE NOT EXISTS (
+  SELECT 1 FROM sel WHERE sel.location = t.location AND sel.date = t.date)
+UNION ALL SELECT * FROM sel""",
+    "full_rebuild": D8,
+    "window_replace": f"""WITH {MART_INPUTS},
+gone AS (SELECT location, max(date) AS date FROM t
+         WHERE location = (SELECT min(location) FROM t) GROUP BY 1),
+trimmed AS (SELECT * FROM src WHERE NOT EXISTS (
+  SELECT 1 FROM gone WHERE gone.location = src.location AND gone.date = src.date))
+SELECT * FROM t WHERE date < (SELECT c FROM cut)
+UNION ALL SELECT * FROM trimmed WHERE date >= (SELECT c FROM cut)""",
 }
