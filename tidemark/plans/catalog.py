@@ -15,6 +15,10 @@ from tidemark.operators.enrich import gap_fill, gap_fill_sized
 from tidemark.operators.series import (calendar_spine, carry_forward_increment)
 from tidemark.operators.incremental import full_rebuild, merge_incremental, window_replace
 from tidemark.operators.upsert import upsert, upsert_columns
+from tidemark.operators.profile import profile
+from tidemark.operators.quality import (accepted_range, check_report, duplicate_groups,
+                                        failing_rows, freshness, inject_impossible_rows,
+                                        not_null, row_rule, trace, unique_combination)
 from tidemark.plans import models
 from tidemark.plans.roles import load, rate_bench, weather_bench
 from tidemark.specs import MART
@@ -24,6 +28,7 @@ LOCF_CUTOFF = dt.date(2001, 1, 1)
 UPSERT_TARGET_END = dt.date(2001, 1, 1)      # target: rows before
 UPSERT_BATCH_START = dt.date(2000, 12, 22)   # batch: rows from (overlaps 10 days)
 MART_TARGET_END = dt.date(2001, 6, 1)        # existing mart: rows before
+RANGE_CHECK = (450000.0, 495000.0)           # a band the rate-like values straddle
 WL_KEYS = ["location", "date"]
 
 
@@ -120,6 +125,79 @@ def window_replace_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return window_replace(target, trimmed, "date", 10)
 
 
+# --- quality -----------------------------------------------------------------------
+
+MAX_LT_MIN = "temp_max_c < temp_min_c"
+
+
+def mart_checks(lo: float = 5.0, hi: float = 50.0) -> list:
+    """The mart's declared checks (fixed values: FX range 5 to 50)."""
+    return [not_null("location"), not_null("date"), accepted_range("fx_usd_mxn", lo, hi),
+            unique_combination(["location", "date"]),
+            row_rule("assert_temp_max_gte_temp_min", MAX_LT_MIN, "temp_max_c,temp_min_c")]
+
+
+def dq_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wl = weather_bench(spark, sf_dir).withColumn(
+        "temp_min_c", F.when(F.col("precipitation_mm") == 1, F.lit(None))
+        .otherwise(F.col("temp_min_c")))
+    return check_report(wl, [not_null(c) for c in ("location", "date", "temp_max_c",
+                                                   "temp_min_c")])
+
+
+def dq_accepted_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Range check on the enriched rate: NULL tail rows pass, a NaN on every
+    15th of the month fails."""
+    d8 = enrich_daily(spark, sf_dir).withColumn(
+        "fx_usd_mxn", F.when(F.dayofmonth("date") == 15, F.lit(float("nan")))
+        .otherwise(F.col("fx_usd_mxn")))
+    return check_report(d8, [accepted_range("fx_usd_mxn", *RANGE_CHECK)])
+
+
+def dq_unique_combination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return duplicate_groups(load(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+def _injected_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mart rebuilt after an impossible reading (max 5 < min 25) was
+    upserted into each location's last date of the raw weather-like table."""
+    wl = weather_bench(spark, sf_dir)
+    last = wl.groupBy("location").agg(F.max("date").alias("date"))
+    raw = inject_impossible_rows(wl, last, WL_KEYS)
+    return models.build_conditions(raw, rate_bench(spark, sf_dir))
+
+
+def dq_row_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return failing_rows(_injected_mart(spark, sf_dir), row_rule("rule", MAX_LT_MIN))
+
+
+def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return check_report(enrich_daily(spark, sf_dir), mart_checks())
+
+
+def failing_row_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row-rule violations traced to the line items they were built from."""
+    bad = dq_row_rule(spark, sf_dir).select(*WL_KEYS, "temp_max_c", "temp_min_c")
+    li = load(spark, sf_dir, "lineitem")
+    su = load(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    na = load(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    raw = (li.join(su, li.l_suppkey == su.s_suppkey)
+           .join(na, F.col("s_nationkey") == na.n_nationkey)
+           .select(F.col("n_name").alias("location"),
+                   F.col("l_shipdate").cast("date").alias("date"),
+                   "l_orderkey", "l_linenumber", "l_extendedprice"))
+    return trace(bad, raw, WL_KEYS)
+
+
+def freshness_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return freshness(load(spark, sf_dir, "events"), "event_type", "ts", "ts")
+
+
+def profile_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (profile(load(spark, sf_dir, "orders"), "orders")
+            .unionByName(profile(load(spark, sf_dir, "events"), "events")))
+
+
 QUERIES = {
     "business_day_flag": business_day_flag,
     "calendar_spine": calendar_spine_q,
@@ -134,6 +212,14 @@ QUERIES = {
     "incremental_mart": incremental_mart,
     "full_rebuild": full_rebuild_q,
     "window_replace": window_replace_q,
+    "dq_not_null": dq_not_null,
+    "dq_accepted_range": dq_accepted_range,
+    "dq_unique_combination": dq_unique_combination,
+    "dq_row_rule": dq_row_rule,
+    "dq_report": dq_report,
+    "failing_row_trace": failing_row_trace,
+    "freshness_report": freshness_report,
+    "profile_table": profile_table,
 }
 
 __all__ = ["QUERIES", "gap_fill_sized"]

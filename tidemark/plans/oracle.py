@@ -64,6 +64,60 @@ t AS (SELECT location, date, temp_max_c + 0.5 AS temp_max_c, temp_min_c, temp_ra
       FROM src WHERE date < DATE '2001-06-01'),
 cut AS (SELECT CAST(coalesce(max(date), DATE '1970-01-01') - INTERVAL 10 DAY AS DATE) AS c FROM t)"""
 
+def _report(table: str, checks: list[tuple[str, str, str]]) -> str:
+    """checks: (check_name, column_name, failing-row condition)."""
+    parts = [f"SELECT '{n}' AS check_name, '{c}' AS column_name, "
+             f"CAST(count(*) FILTER (WHERE {cond}) AS BIGINT) AS failures FROM {table}"
+             for n, c, cond in checks]
+    return " UNION ALL ".join(parts)
+
+
+def _status(inner: str) -> str:
+    return (f"SELECT check_name, column_name, failures, "
+            f"CASE WHEN failures = 0 THEN 'pass' ELSE 'fail' END AS status FROM ({inner})")
+
+
+# Profiled columns of the two tables: (name, type, gets min/max/distinct).
+PROFILE_COLUMNS = {
+    "orders": [("o_orderkey", "BIGINT", True), ("o_custkey", "BIGINT", True),
+               ("o_orderstatus", "VARCHAR", False), ("o_totalprice", "DOUBLE", True),
+               ("o_orderdate", "TIMESTAMP", True), ("o_orderpriority", "VARCHAR", False)],
+    "events": [("event_id", "BIGINT", True), ("ts", "TIMESTAMP", True),
+               ("user_id", "BIGINT", True), ("event_type", "VARCHAR", False),
+               ("value", "DOUBLE", True), ("props", "VARCHAR", False)],
+}
+
+
+def _profile(table: str) -> str:
+    parts = []
+    for name, typ, prof in PROFILE_COLUMNS[table]:
+        lo = f"CAST(min({name}) AS VARCHAR)" if prof else "CAST(NULL AS VARCHAR)"
+        hi = f"CAST(max({name}) AS VARCHAR)" if prof else "CAST(NULL AS VARCHAR)"
+        dc = f"CAST(count(DISTINCT {name}) AS BIGINT)" if prof else "CAST(NULL AS BIGINT)"
+        parts.append(
+            f"SELECT '{table}' AS table_name, '{name}' AS column_name, '{typ}' AS data_type, "
+            f"CAST(count(*) AS BIGINT) AS row_count, "
+            f"CAST(round(100.0 * count(*) FILTER (WHERE {name} IS NULL) / count(*), 2) AS DOUBLE)"
+            f" AS null_pct, {lo} AS min_value, {hi} AS max_value, {dc} AS distinct_count "
+            f"FROM {table}")
+    return " UNION ALL ".join(parts)
+
+
+INJECTED_D8 = f"""
+wl0 AS ({WL_BENCH}),
+last AS (SELECT location, max(date) AS date FROM wl0 GROUP BY 1),
+wl AS (SELECT wl0.location, wl0.date,
+              CASE WHEN last.location IS NOT NULL THEN 5.0 ELSE wl0.temp_max_c END AS temp_max_c,
+              CASE WHEN last.location IS NOT NULL THEN 25.0 ELSE wl0.temp_min_c END AS temp_min_c,
+              wl0.precipitation_mm
+       FROM wl0 LEFT JOIN last ON wl0.location = last.location AND wl0.date = last.date),
+{FX_FILLED},
+d8 AS (SELECT wl.location, wl.date, wl.temp_max_c, wl.temp_min_c,
+       wl.temp_max_c - wl.temp_min_c AS temp_range_c, wl.precipitation_mm,
+       fx.fx_rate AS fx_usd_mxn, fx.is_published_rate AS fx_is_published_rate,
+       extract(dow FROM wl.date) NOT IN (0, 6) AS is_business_day
+       FROM wl LEFT JOIN fx ON wl.date = fx.date)"""
+
 SQL = {
     "business_day_flag": """
 SELECT DISTINCT CAST(o_orderdate AS DATE) AS date,
@@ -104,4 +158,41 @@ trimmed AS (SELECT * FROM src WHERE NOT EXISTS (
   SELECT 1 FROM gone WHERE gone.location = src.location AND gone.date = src.date))
 SELECT * FROM t WHERE date < (SELECT c FROM cut)
 UNION ALL SELECT * FROM trimmed WHERE date >= (SELECT c FROM cut)""",
+    "dq_not_null": f"""WITH wl0 AS ({WL_BENCH}),
+wl AS (SELECT location, date, temp_max_c,
+              CASE WHEN precipitation_mm = 1 THEN NULL ELSE temp_min_c END AS temp_min_c FROM wl0)
+""" + _status(_report("wl", [("not_null", c, f"{c} IS NULL")
+                             for c in ("location", "date", "temp_max_c", "temp_min_c")])),
+    "dq_accepted_range": f"""WITH d80 AS ({D8}),
+d8 AS (SELECT CASE WHEN day(date) = 15 THEN CAST('NaN' AS DOUBLE) ELSE fx_usd_mxn END
+              AS fx_usd_mxn FROM d80)
+""" + _status(_report("d8", [("accepted_range", "fx_usd_mxn",
+                              "NOT (fx_usd_mxn >= 450000.0) OR NOT (fx_usd_mxn <= 495000.0)")])),
+    "dq_unique_combination": """
+SELECT l_orderkey, l_linenumber, CAST(count(*) AS BIGINT) AS n_rows FROM lineitem
+GROUP BY 1, 2 HAVING count(*) > 1""",
+    "dq_row_rule": f"WITH {INJECTED_D8} SELECT * FROM d8 WHERE temp_max_c < temp_min_c",
+    "dq_report": f"""WITH d8 AS ({D8}),
+dups AS (SELECT 'unique_combination' AS check_name, 'location,date' AS column_name,
+                CAST(count(*) AS BIGINT) AS failures
+         FROM (SELECT location, date FROM d8 GROUP BY 1, 2 HAVING count(*) > 1))
+""" + _status(_report("d8", [
+        ("not_null", "location", "location IS NULL"),
+        ("not_null", "date", "date IS NULL"),
+        ("accepted_range", "fx_usd_mxn", "NOT (fx_usd_mxn >= 5) OR NOT (fx_usd_mxn <= 50)"),
+        ("assert_temp_max_gte_temp_min", "temp_max_c,temp_min_c", "temp_max_c < temp_min_c"),
+    ]) + " UNION ALL SELECT * FROM dups"),
+    "failing_row_trace": f"""WITH {INJECTED_D8},
+bad AS (SELECT location, date, temp_max_c, temp_min_c FROM d8 WHERE temp_max_c < temp_min_c),
+raw AS (SELECT n.n_name AS location, CAST(l.l_shipdate AS DATE) AS date, l.l_orderkey,
+               l.l_linenumber, l.l_extendedprice
+        FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey
+        JOIN nation n ON s.s_nationkey = n.n_nationkey)
+SELECT bad.*, raw.l_orderkey AS raw_l_orderkey, raw.l_linenumber AS raw_l_linenumber,
+       raw.l_extendedprice AS raw_l_extendedprice
+FROM bad JOIN raw ON bad.location = raw.location AND bad.date = raw.date""",
+    "freshness_report": """
+SELECT event_type AS source, max(ts) AS last_loaded_at, max(CAST(ts AS DATE)) AS last_date,
+       CAST(count(*) AS BIGINT) AS row_count FROM events GROUP BY 1""",
+    "profile_table": _profile("orders") + " UNION ALL " + _profile("events"),
 }
