@@ -15,15 +15,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.functions.dates import month_bucket
 from tidemark.operators.joins import anti_join_keys
-from tidemark.session import checkpoint_dir, delete_path, path_exists, scratch_path
+from tidemark.session import checkpoint_dir, delete_path, scratch_path
+from tidemark.sources.tables import read_table, touched_months, write_months
 from tidemark.specs import TableSpec
 
-PART_COL = "month"
-
 
 class KeyViolation(ValueError):
     """The batch has NULL or duplicate natural keys."""
@@ -95,37 +93,6 @@ def upsert_columns(target: DataFrame, batch: DataFrame, keys: Sequence[str],
 
 # --- stored tables -----------------------------------------------------------
 
-def empty_table(spark: SparkSession, spec: TableSpec) -> DataFrame:
-    return spark.createDataFrame([], spec.schema)
-
-
-def read_table(spark: SparkSession, path: str, spec: TableSpec,
-               months: Sequence | None = None) -> DataFrame:
-    """Read a stored table with its declared schema (no inference); an absent
-    path reads as an empty table.  ``months`` prunes partitions."""
-    if not path_exists(spark, path):
-        return empty_table(spark, spec)
-    stored = T.StructType(list(spec.schema.fields) + [T.StructField(PART_COL, T.DateType())])
-    df = spark.read.schema(stored).parquet(path)
-    if months is not None:
-        df = df.filter(F.col(PART_COL).isin(list(months)))
-    return df.select(*spec.columns)
-
-
-def touched_months(batch: DataFrame, date_col: str) -> list:
-    """Distinct months of a batch (a handful of scalars)."""
-    return [r[0] for r in batch.select(month_bucket(date_col).alias("m")).distinct().collect()]
-
-
-def write_months(df: DataFrame, path: str, spec: TableSpec) -> None:
-    """Write with dynamic partition overwrite: only the months present in
-    ``df`` are replaced, every other month is untouched."""
-    (df.withColumn(PART_COL, month_bucket(spec.date_col))
-       .repartition(PART_COL)
-       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy(PART_COL).parquet(path))
-
-
 def upsert_path(spark: SparkSession, path: str, batch: DataFrame, spec: TableSpec) -> int:
     """Keyed upsert into a month-partitioned Parquet table.  Returns the
     number of batch rows.  Empty batch ⇒ no-op.

@@ -20,7 +20,11 @@ from tidemark.operators.quality import (accepted_range, check_report, duplicate_
                                         failing_rows, freshness, inject_impossible_rows,
                                         not_null, row_rule, trace, unique_combination)
 from tidemark.plans import models
-from tidemark.plans.roles import load, rate_bench, weather_bench
+from tidemark.plans.roles import load, rate_bench, weather_bench, weather_small
+from tidemark.plans.windows import advance_watermarks, plan_windows, windowed_batch
+from tidemark.sources.landed import (explode_parallel, explode_points, parse_documents,
+                                     stamp)
+from tidemark.specs import FX_PAYLOAD, WEATHER_ARRAYS, WEATHER_PAYLOAD
 from tidemark.specs import MART
 
 # Fixed parameters of the checkable queries.
@@ -29,6 +33,9 @@ UPSERT_TARGET_END = dt.date(2001, 1, 1)      # target: rows before
 UPSERT_BATCH_START = dt.date(2000, 12, 22)   # batch: rows from (overlaps 10 days)
 MART_TARGET_END = dt.date(2001, 6, 1)        # existing mart: rows before
 RANGE_CHECK = (450000.0, 495000.0)           # a band the rate-like values straddle
+RUN_TS = dt.datetime(2024, 2, 1, 0, 0, 0)    # load instant stamped on landed rows
+PLAN_TODAY = dt.date(2024, 1, 31)
+PLAN_STATE_BEFORE = dt.datetime(2024, 1, 20)
 WL_KEYS = ["location", "date"]
 
 
@@ -125,6 +132,102 @@ def window_replace_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return window_replace(target, trimmed, "date", 10)
 
 
+# --- sources -----------------------------------------------------------------------
+
+def _weather_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weather-like rows packed as landed JSON: one document per (entity,
+    month) holding parallel daily arrays, the min-temperature array three
+    entries short.  Groups are bounded by the 31 days of a month."""
+    wl = weather_small(spark, sf_dir)
+    pts = (wl.groupBy("location", month_bucket("date").alias("month"))
+           .agg(F.sort_array(F.collect_list(F.struct("date", "temp_max_c", "temp_min_c",
+                                                     "precipitation_mm"))).alias("p")))
+    p = F.col("p")
+    daily = F.struct(
+        F.transform(p, lambda x: F.date_format(x["date"], "yyyy-MM-dd")).alias("time"),
+        F.transform(p, lambda x: x["temp_max_c"]).alias("temperature_2m_max"),
+        F.slice(F.transform(p, lambda x: x["temp_min_c"]), F.lit(1),
+                F.greatest(F.size(p) - 3, F.lit(0))).alias("temperature_2m_min"),
+        F.transform(p, lambda x: x["precipitation_mm"]).alias("precipitation_sum"))
+    return pts.select(F.to_json(F.struct("location", daily.alias("daily"))).alias("body"))
+
+
+def src_parallel_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = parse_documents(_weather_documents(spark, sf_dir), "body", WEATHER_PAYLOAD)
+    rows = explode_parallel(docs, WEATHER_ARRAYS, carry=["location"])
+    return stamp(models.stage_weather_landed(rows), RUN_TS)
+
+
+def _fx_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rate-like values packed as landed JSON: one document per month,
+    ``bmx.series[0].datos[]`` of ``{fecha 'dd/MM/yyyy', dato '1,234.50'}``,
+    weekends published as 'N/E'."""
+    d = F.col("o_orderdate").cast("date")
+    daily = (load(spark, sf_dir, "orders").groupBy(d.alias("date"))
+             .agg(F.max("o_totalprice").alias("v")))
+    pt = F.struct(F.date_format("date", "dd/MM/yyyy").alias("fecha"),
+                  F.when(business_day("date"), F.format_number("v", 2))
+                  .otherwise(F.lit("N/E")).alias("dato"))
+    docs = daily.groupBy(month_bucket("date").alias("month")).agg(F.collect_list(pt).alias("datos"))
+    body = F.struct(F.struct(F.array(F.struct(F.lit("SF43718").alias("idSerie"),
+                                              F.col("datos").alias("datos"))).alias("series"))
+                    .alias("bmx"))
+    return docs.select(F.lit("fx_usd_mxn").alias("series_name"), F.to_json(body).alias("body"))
+
+
+def src_nested_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = parse_documents(_fx_documents(spark, sf_dir), "body", FX_PAYLOAD,
+                           carry=["series_name"])
+    rows = explode_points(docs, carry=["series_name"]).withColumnRenamed("series_name", "series")
+    return stamp(rows, RUN_TS)
+
+
+def staging_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events landed as text in the raw FX layout, staged: casts, rename,
+    constant series filter."""
+    ev = load(spark, sf_dir, "events")
+    raw = ev.select(F.col("event_type").alias("series"),
+                    F.col("ts").cast("date").cast("string").alias("date"),
+                    F.col("value").cast("string").alias("value"),
+                    F.col("ts").alias("extracted_at"))
+    return models.stage_fx(raw, "click")
+
+
+# --- window planning ------------------------------------------------------------
+
+def _plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One source per user: lag 1..5 days, stored watermark = last event day
+    before 2024-01-20 (unknown for every 7th user)."""
+    ev = load(spark, sf_dir, "events")
+    specs_df = ev.select(F.col("user_id").alias("source")).distinct().select(
+        "source", (F.lit(1) + F.col("source") % 5).alias("lag_days"),
+        F.lit(30).alias("default_days"))
+    state = (ev.filter(F.col("ts") < F.lit(PLAN_STATE_BEFORE))
+             .groupBy(F.col("user_id").alias("source"))
+             .agg(F.max(F.col("ts").cast("date")).alias("wm"))
+             .select("source", F.when(F.col("source") % 7 == 0, F.lit(None))
+                     .otherwise(F.col("wm")).alias("last_watermark")))
+    return plan_windows(specs_df, state, PLAN_TODAY, "incremental")
+
+
+def plan_windows_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _plan(spark, sf_dir)
+
+
+def windowed_batch_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = load(spark, sf_dir, "events").select(
+        "event_id", F.col("user_id").alias("source"), "event_type",
+        F.col("ts").cast("date").alias("date"), "value")
+    return windowed_batch(ev, _plan(spark, sf_dir), "date")
+
+
+def watermark_after(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plan = _plan(spark, sf_dir)
+    loaded = (windowed_batch_q(spark, sf_dir).groupBy("source")
+              .agg(F.count(F.lit(1)).alias("rows_loaded")))
+    return advance_watermarks(plan, loaded, "incremental")
+
+
 # --- quality -----------------------------------------------------------------------
 
 MAX_LT_MIN = "temp_max_c < temp_min_c"
@@ -199,6 +302,9 @@ def profile_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "src_parallel_arrays": src_parallel_arrays,
+    "src_nested_points": src_nested_points,
+    "staging_cast": staging_cast,
     "business_day_flag": business_day_flag,
     "calendar_spine": calendar_spine_q,
     "locf_global": locf_global,
@@ -220,6 +326,9 @@ QUERIES = {
     "failing_row_trace": failing_row_trace,
     "freshness_report": freshness_report,
     "profile_table": profile_table,
+    "plan_windows": plan_windows_q,
+    "windowed_batch": windowed_batch_q,
+    "watermark_after": watermark_after,
 }
 
 __all__ = ["QUERIES", "gap_fill_sized"]

@@ -25,6 +25,17 @@ def stage_weather(raw: DataFrame) -> DataFrame:
     })
 
 
+def stage_weather_landed(rows: DataFrame) -> DataFrame:
+    """Flattened weather documents (ISO date text) → typed raw weather rows."""
+    return stage(rows, {
+        "location": ("location", None),
+        "date": ("date", "date"),
+        "temp_max_c": ("temp_max_c", "double"),
+        "temp_min_c": ("temp_min_c", "double"),
+        "precipitation_mm": ("precipitation_mm", "double"),
+    })
+
+
 def stage_fx(raw: DataFrame, series: str = specs.FX_SERIES) -> DataFrame:
     return stage(keep_equal(raw, "series", series), {
         "series": ("series", None),

@@ -118,7 +118,45 @@ d8 AS (SELECT wl.location, wl.date, wl.temp_max_c, wl.temp_min_c,
        extract(dow FROM wl.date) NOT IN (0, 6) AS is_business_day
        FROM wl LEFT JOIN fx ON wl.date = fx.date)"""
 
+PLAN = """
+s AS (SELECT DISTINCT user_id AS source, 1 + user_id % 5 AS lag_days FROM events),
+st AS (SELECT user_id AS source,
+              CASE WHEN user_id % 7 = 0 THEN NULL ELSE max(CAST(ts AS DATE)) END AS last_watermark
+       FROM events WHERE ts < TIMESTAMP '2024-01-20 00:00:00' GROUP BY user_id),
+j AS (SELECT s.source, st.last_watermark,
+             CAST(DATE '2024-01-31' - CAST(s.lag_days AS INTEGER) AS DATE) AS window_end
+      FROM s LEFT JOIN st ON s.source = st.source),
+plan AS (SELECT source, last_watermark,
+                CASE WHEN last_watermark IS NOT NULL THEN CAST(last_watermark + 1 AS DATE)
+                     ELSE CAST(window_end - 30 AS DATE) END AS window_start, window_end FROM j),
+planned AS (SELECT *, window_start <= window_end AS has_work FROM plan)"""
+
+BATCH = f"""{PLAN},
+batch AS (SELECT e.event_id, e.user_id AS source, e.event_type, CAST(e.ts AS DATE) AS date, e.value
+          FROM events e JOIN planned p ON e.user_id = p.source
+          WHERE p.has_work AND CAST(e.ts AS DATE) BETWEEN p.window_start AND p.window_end)"""
+
 SQL = {
+    "src_parallel_arrays": f"""WITH wl AS ({WL_SMALL}),
+r AS (SELECT *, row_number() OVER (PARTITION BY location, date_trunc('month', date) ORDER BY date) AS rn,
+             count(*) OVER (PARTITION BY location, date_trunc('month', date)) AS n FROM wl)
+SELECT location, date, temp_max_c, temp_min_c, precipitation_mm,
+       TIMESTAMP '2024-02-01 00:00:00' AS extracted_at FROM r WHERE rn <= n - 3""",
+    "src_nested_points": f"""WITH rl AS ({RL})
+SELECT 'fx_usd_mxn' AS series, date, fx_rate AS value,
+       TIMESTAMP '2024-02-01 00:00:00' AS extracted_at FROM rl""",
+    "staging_cast": """
+SELECT event_type AS series, CAST(CAST(CAST(ts AS DATE) AS VARCHAR) AS DATE) AS date,
+       CAST(CAST(value AS VARCHAR) AS DOUBLE) AS fx_rate, ts AS extracted_at
+FROM events WHERE event_type = 'click'""",
+    "plan_windows": f"WITH {PLAN} SELECT * FROM planned",
+    "windowed_batch": f"WITH {BATCH} SELECT * FROM batch",
+    "watermark_after": f"""WITH {BATCH},
+loaded AS (SELECT source, count(*) AS n FROM batch GROUP BY 1)
+SELECT p.source, CASE WHEN p.has_work AND coalesce(l.n, 0) > 0 THEN p.window_end
+                      ELSE p.last_watermark END AS last_watermark,
+       CAST(coalesce(l.n, 0) AS BIGINT) AS rows_loaded
+FROM planned p LEFT JOIN loaded l ON p.source = l.source""",
     "business_day_flag": """
 SELECT DISTINCT CAST(o_orderdate AS DATE) AS date,
        CAST(extract(dow FROM CAST(o_orderdate AS DATE)) AS BIGINT) AS day_of_week,

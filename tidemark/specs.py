@@ -52,7 +52,7 @@ WEATHER_RAW = TableSpec(
             ("temp_max_c", T.DoubleType(), True),
             ("temp_min_c", T.DoubleType(), True),
             ("precipitation_mm", T.DoubleType(), True),
-            ("extracted_at", T.TimestampType(), True)),
+            ("extracted_at", T.TimestampNTZType(), True)),
     keys=("location", "date"),
 )
 
@@ -61,7 +61,7 @@ FX_RAW = TableSpec(
     _schema(("series", T.StringType(), False),
             ("date", T.DateType(), False),
             ("value", T.DoubleType(), True),
-            ("extracted_at", T.TimestampType(), True)),
+            ("extracted_at", T.TimestampNTZType(), True)),
     keys=("series", "date"),
 )
 
