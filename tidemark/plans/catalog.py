@@ -35,6 +35,9 @@ MART_TARGET_END = dt.date(2001, 6, 1)        # existing mart: rows before
 RANGE_CHECK = (450000.0, 495000.0)           # a band the rate-like values straddle
 RUN_TS = dt.datetime(2024, 2, 1, 0, 0, 0)    # load instant stamped on landed rows
 PLAN_TODAY = dt.date(2024, 1, 31)
+RUN2_TS = dt.datetime(2024, 2, 2, 6, 30, 0)
+RUN1_END = dt.date(1999, 12, 31)             # first load: history up to here
+RUN2_START = dt.date(1999, 12, 15)           # second load: overlaps the first
 PLAN_STATE_BEFORE = dt.datetime(2024, 1, 20)
 WL_KEYS = ["location", "date"]
 
@@ -301,6 +304,57 @@ def profile_table(spark: SparkSession, sf_dir: str) -> DataFrame:
             .unionByName(profile(load(spark, sf_dir, "events"), "events")))
 
 
+# --- end-to-end runs -------------------------------------------------------------
+
+def two_run_build(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two extraction + build runs into stored tables under the shared
+    checkpoint folder: a history load, then an overlapping newer load and an
+    incremental mart merge.  The stored mart must equal a one-shot build."""
+    from tidemark import specs
+    from tidemark.plans.build import Layout, build_mart, load_source
+    from tidemark.plans.roles import rate_raw
+    from tidemark.session import scratch_path
+    from tidemark.sources.tables import read_table
+
+    layout = Layout(scratch_path(spark, "build"))
+    for run_ts, start, end in ((RUN_TS, dt.date(1900, 1, 1), RUN1_END),
+                               (RUN2_TS, RUN2_START, dt.date(2100, 1, 1))):
+        weather = stamp(weather_bench(spark, sf_dir), run_ts)
+        fx = stamp(rate_raw(spark, sf_dir), run_ts)
+        load_source(spark, layout, specs.WEATHER, weather, PLAN_TODAY, "backfill", start, end)
+        load_source(spark, layout, specs.FX, fx, PLAN_TODAY, "backfill", start, end)
+        build_mart(spark, layout)
+    return read_table(spark, layout.mart, specs.MART)
+
+
+def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events streamed from the landed table into a keyed, month-partitioned
+    raw table; the immediate second run is a no-op."""
+    from pyspark.sql import types as T
+
+    from tidemark.session import scratch_path
+    from tidemark.sources.tables import read_table
+    from tidemark.specs import TableSpec
+    from tidemark.streaming.ingest import ingest_landing
+
+    landing = f"{sf_dir.rstrip('/')}/events[.]parquet"
+    schema = load(spark, sf_dir, "events").schema
+    spec = TableSpec("events_raw", T.StructType([
+        T.StructField("event_id", T.LongType()), T.StructField("date", T.DateType()),
+        T.StructField("ts", T.TimestampNTZType()), T.StructField("user_id", T.LongType()),
+        T.StructField("event_type", T.StringType()), T.StructField("value", T.DoubleType())]),
+        keys=("event_id",))
+
+    def typed(df: DataFrame) -> DataFrame:
+        return df.select("event_id", F.col("ts").cast("date").alias("date"), "ts", "user_id",
+                         "event_type", "value")
+
+    root = scratch_path(spark, "stream")
+    for _ in range(2):
+        ingest_landing(spark, landing, schema, typed, f"{root}/raw", spec, f"{root}/checkpoint")
+    return read_table(spark, f"{root}/raw", spec)
+
+
 QUERIES = {
     "src_parallel_arrays": src_parallel_arrays,
     "src_nested_points": src_nested_points,
@@ -329,6 +383,8 @@ QUERIES = {
     "plan_windows": plan_windows_q,
     "windowed_batch": windowed_batch_q,
     "watermark_after": watermark_after,
+    "two_run_build": two_run_build,
+    "stream_ingest": stream_ingest,
 }
 
 __all__ = ["QUERIES", "gap_fill_sized"]

@@ -150,6 +150,9 @@ SELECT event_type AS series, CAST(CAST(CAST(ts AS DATE) AS VARCHAR) AS DATE) AS
        CAST(CAST(value AS VARCHAR) AS DOUBLE) AS fx_rate, ts AS extracted_at
 FROM events WHERE event_type = 'click'""",
     "plan_windows": f"WITH {PLAN} SELECT * FROM planned",
+    "two_run_build": D8,
+    "stream_ingest": """
+SELECT event_id, CAST(ts AS DATE) AS date, ts, user_id, event_type, value FROM events""",
     "windowed_batch": f"WITH {BATCH} SELECT * FROM batch",
     "watermark_after": f"""WITH {BATCH},
 loaded AS (SELECT source, count(*) AS n FROM batch GROUP BY 1)
