@@ -1,0 +1,84 @@
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import D, rows
+from tidemark.operators.profile import profile
+from tidemark.operators.quality import (accepted_range, check_report, contract_diff,
+                                        failing_rows, freshness, inject_impossible_rows,
+                                        inject_rename, not_null, row_rule, trace,
+                                        unique_combination)
+from tidemark.plans import models
+from tidemark.specs import FX_RAW, WEATHER_RAW
+
+
+def test_range_edges(spark):
+    df = spark.createDataFrame([(4.99,), (5.0,), (50.0,), (50.01,), (None,), (math.nan,)], "x double")
+    bad = rows(failing_rows(df, accepted_range("x", 5, 50)))
+    assert len(bad) == 3 and (4.99,) in bad and (50.01,) in bad
+    assert any(math.isnan(r[0]) for r in bad)
+
+
+def test_row_rule_edges(spark):
+    df = spark.createDataFrame([(1.0, 2.0), (2.0, 2.0), (None, 1.0)], "mx double, mn double")
+    assert rows(failing_rows(df, row_rule("r", "mx < mn"))) == [(1.0, 2.0)]
+
+
+def test_report_one_pass_plus_unique(spark):
+    df = spark.createDataFrame([("a", D("2024-01-01"), 60.0), ("a", D("2024-01-01"), 6.0),
+                                (None, D("2024-01-02"), None)], "location string, date date, fx double")
+    rep = {(r.check_name, r.column_name): (r.failures, r.status) for r in check_report(df, [
+        not_null("location"), not_null("date"), accepted_range("fx", 5, 50),
+        unique_combination(["location", "date"])]).collect()}
+    assert rep[("not_null", "location")] == (1, "fail")
+    assert rep[("not_null", "date")] == (0, "pass")
+    assert rep[("accepted_range", "fx")] == (1, "fail")
+    assert rep[("unique_combination", "location,date")] == (1, "fail")
+
+
+def test_fault_injection_business_rule(spark):
+    raw = spark.createDataFrame(
+        [("cdmx", D("2024-01-05"), 20.0, 10.0, 1.0, None),
+         ("cdmx", D("2024-01-06"), 21.0, 11.0, 2.0, None),
+         ("mty", D("2024-01-06"), 30.0, 15.0, 0.5, None)], WEATHER_RAW.schema)
+    at = spark.createDataFrame([("cdmx", D("2024-01-06"))], "location string, date date")
+    injected = inject_impossible_rows(raw, at, ["location", "date"])
+    fx = spark.createDataFrame([("fx_usd_mxn", D("2024-01-05"), 17.0, None)], FX_RAW.schema)
+    mart = models.build_conditions(models.stage_weather(injected), models.stage_fx(fx))
+    bad = failing_rows(mart, row_rule("r", "temp_max_c < temp_min_c"))
+    got = bad.collect()
+    assert len(got) == 1 and got[0].temp_max_c == 5.0 and got[0].temp_min_c == 25.0
+    assert got[0].precipitation_mm == 2.0          # only max and min were updated
+    traced = trace(bad.select("location", "date"), injected, ["location", "date"])
+    assert traced.count() == 1
+
+
+def test_fault_injection_schema_drift(spark):
+    fx = spark.createDataFrame([], FX_RAW.schema)
+    drifted = inject_rename(fx)
+    diff = contract_diff(drifted.schema, FX_RAW.schema)
+    assert ("value", "missing", "double", None) in diff
+    assert ("valor", "extra", None, "double") in diff
+    with pytest.raises(Exception):
+        models.stage_fx(drifted).columns   # staging cannot resolve `value`
+
+
+def test_profile_edges(spark):
+    df = spark.createDataFrame([(1.0, "x", True), (None, "y", None), (3.0, None, False)],
+                               "a double, s string, b boolean")
+    p = {r.column_name: r for r in profile(df).collect()}
+    assert p["a"].null_pct == 33.33 and p["a"].min_value == "1.0" and p["a"].distinct_count == 2
+    assert p["s"].min_value is None and p["s"].distinct_count is None
+    assert p["b"].null_pct == 33.33
+    empty = profile(spark.createDataFrame([], "a double")).collect()
+    assert len(empty) == 1 and empty[0].row_count == 0 and empty[0].column_name is None
+    approx = {r.column_name: r for r in profile(df, distinct="approx").collect()}
+    assert approx["a"].distinct_count == 2
+
+
+def test_freshness(spark):
+    df = spark.createDataFrame([("s", "2024-01-01 10:00:00"), ("s", "2024-01-03 00:00:00")],
+                               "src string, t string").withColumn("t", F.col("t").cast("timestamp_ntz"))
+    r = freshness(df, "src", "t", "t").collect()[0]
+    assert r.last_date == D("2024-01-03") and r.row_count == 2
