@@ -15,11 +15,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.operators.joins import anti_join_keys
 from tidemark.session import checkpoint_dir, delete_path, scratch_path
-from tidemark.sources.tables import read_table, touched_months, write_months
+from tidemark.functions.dates import month_bucket
+from tidemark.sources.tables import read_table, write_months
 from tidemark.specs import TableSpec
 
 
@@ -32,30 +34,39 @@ def batch_keys(batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     return batch.select(*keys).distinct()
 
 
-def key_violations(df: DataFrame, keys: Sequence[str]) -> tuple[int, int, int]:
-    """(#rows, #rows with a NULL key part, #key groups occurring more than once).
+def key_violations(df: DataFrame, keys: Sequence[str],
+                   date_col: str | None = None) -> tuple[int, int, int, list]:
+    """(#rows, #rows with a NULL key part, #key groups occurring more than
+    once, distinct months of ``date_col``) in one aggregate job.
 
-    One aggregate pass with map-side partial counts; a hot key is combined
-    before the shuffle, so it never lands whole in one task."""
+    Map-side partial counts combine a hot key before the shuffle, so it
+    never lands whole in one task; the month set is bounded by the calendar."""
     any_null = F.greatest(*[F.col(k).isNull() for k in keys]) if len(keys) > 1 \
         else F.col(keys[0]).isNull()
-    grouped = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"),
-                                    F.max(any_null.cast("int")).alias("has_null"))
-    row = grouped.agg(
-        F.sum("n").alias("rows"),
-        F.sum(F.when(F.col("has_null") == 1, F.col("n")).otherwise(0)).alias("null_rows"),
-        F.count_if((F.col("n") > 1) & (F.col("has_null") == 0)).alias("dup_groups"),
-    ).first()
-    return int(row["rows"] or 0), int(row["null_rows"] or 0), int(row["dup_groups"] or 0)
-
-
-def validate_keys(df: DataFrame, keys: Sequence[str], what: str = "batch") -> int:
-    """Raise ``KeyViolation`` on NULL or duplicate keys; return the row count."""
-    rows, nulls, dups = key_violations(df, keys)
+    per_key = [F.count(F.lit(1)).alias("n"), F.max(any_null.cast("int")).alias("has_null")]
+    if date_col:
+        per_key.append(F.collect_set(month_bucket(date_col)).alias("ms"))
+    grouped = df.groupBy(*keys).agg(*per_key)
+    totals = [F.sum("n").alias("rows"),
+              F.sum(F.when(F.col("has_null") == 1, F.col("n")).otherwise(0)).alias("null_rows"),
+              F.count_if((F.col("n") > 1) & (F.col("has_null") == 0)).alias("dup_groups")]
+    if date_col:
+        totals.append(F.array_distinct(F.flatten(F.collect_set("ms"))).alias("months"))
+    row = grouped.agg(*totals).first()
+    months = sorted(row["months"] or []) if date_col else []
+    return (int(row["rows"] or 0), int(row["null_rows"] or 0), int(row["dup_groups"] or 0),
+            months)
+
+
+def validate_keys(df: DataFrame, keys: Sequence[str], what: str = "batch",
+                  date_col: str | None = None) -> tuple[int, list]:
+    """Raise ``KeyViolation`` on NULL or duplicate keys; return the row count
+    and the months touched."""
+    rows, nulls, dups, months = key_violations(df, keys, date_col)
     if nulls or dups:
         raise KeyViolation(f"{what}: {nulls} row(s) with NULL key, {dups} duplicate key group(s) "
                            f"on {list(keys)}")
-    return rows
+    return rows, months
 
 
 def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -101,16 +112,18 @@ def upsert_path(spark: SparkSession, path: str, batch: DataFrame, spec: TableSpe
     union → stage the merged months under the shared checkpoint folder (so
     the final write never reads the files it replaces) → dynamic overwrite.
     A crash leaves old or new months; rerunning the same batch repairs it."""
-    batch = batch.select(*spec.columns)
-    rows = validate_keys(batch, spec.keys)
-    if rows == 0:
-        return 0
-    months = touched_months(batch, spec.date_col)
-    current = read_table(spark, path, spec, months)
-    merged = upsert(current, batch, spec.keys)
-    checkpoint_dir(spark)
-    stage = scratch_path(spark, f"upsert-{spec.name}")
-    merged.write.mode("errorifexists").parquet(stage)
+    batch = batch.select(*spec.columns).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        rows, months = validate_keys(batch, spec.keys, date_col=spec.date_col)
+        if rows == 0:
+            return 0
+        current = read_table(spark, path, spec, months)
+        merged = upsert(current, batch, spec.keys)
+        checkpoint_dir(spark)
+        stage = scratch_path(spark, f"upsert-{spec.name}")
+        merged.write.mode("errorifexists").parquet(stage)
+    finally:
+        batch.unpersist()
     staged = spark.read.schema(spec.schema).parquet(stage)
     write_months(staged, path, spec)
     delete_path(spark, stage)

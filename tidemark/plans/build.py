@@ -74,8 +74,9 @@ def load_source(spark: SparkSession, layout: Layout, source: specs.SourceSpec,
                 start=None, end=None) -> LoadResult:
     """One extraction run of one source over already flattened landed rows
     (typed to the raw table's columns, ``extracted_at`` stamped)."""
-    spec_df = spark.createDataFrame([(source.name, source.lag_days, source.default_days)],
-                                    "source string, lag_days int, default_days int")
+    spec_df = spark.range(1).select(F.lit(source.name).alias("source"),
+                                    F.lit(source.lag_days).alias("lag_days"),
+                                    F.lit(source.default_days).alias("default_days"))
     state = load_state(spark, layout.state)
     plan = plan_windows(spec_df, state, today, mode, start, end)
     p = plan.first()
@@ -85,12 +86,15 @@ def load_source(spark: SparkSession, layout: Layout, source: specs.SourceSpec,
     d = F.col(source.table.date_col)
     batch = landed_rows.filter((d >= F.lit(p["window_start"])) & (d <= F.lit(p["window_end"])))
     n = upsert_path(spark, layout.raw_path(source), batch, source.table)
-    loaded = spark.createDataFrame([(source.name, n)], "source string, rows_loaded bigint")
-    new_state = advance_watermarks(plan, loaded, mode).select("source", "last_watermark")
+    after = p["last_watermark"]
     if mode == "incremental" and n > 0:
-        save_state(spark, layout.state, new_state)
+        loaded = spark.range(1).select(F.lit(source.name).alias("source"),
+                                       F.lit(n).cast("bigint").alias("rows_loaded"))
+        save_state(spark, layout.state,
+                   advance_watermarks(plan, loaded, mode).select("source", "last_watermark"))
+        after = p["window_end"]
     return LoadResult(source.name, p["window_start"], p["window_end"], n,
-                      p["last_watermark"], new_state.first()["last_watermark"])
+                      p["last_watermark"], after)
 
 
 def stored_schema_diff(spark: SparkSession, path: str, spec: specs.TableSpec) -> list[tuple]:

@@ -33,17 +33,14 @@ def read_table(spark: SparkSession, path: str, spec: TableSpec,
     return df.select(*spec.columns)
 
 
-def touched_months(batch: DataFrame, date_col: str) -> list:
-    """Distinct months of a batch (a handful of scalars)."""
-    return [r[0] for r in batch.select(month_bucket(date_col).alias("m")).distinct().collect()]
-
-
 def write_months(df: DataFrame, path: str, spec: TableSpec) -> None:
     """Dynamic partition overwrite: only months present in ``df`` are
-    replaced.  Rows are clustered by month so each month is written by few
-    tasks (AQE splits a month that is too large)."""
+    replaced.  ``REBALANCE`` on the month clusters rows so each month is
+    written by few tasks, and lets AQE split a month larger than the advisory
+    partition size (a hot month never funnels into one task) and merge small
+    ones."""
     (df.withColumn(PART_COL, month_bucket(spec.date_col))
-       .repartition(PART_COL)
+       .hint("rebalance", PART_COL)
        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy(PART_COL).parquet(path))
 
@@ -51,5 +48,5 @@ def write_months(df: DataFrame, path: str, spec: TableSpec) -> None:
 def write_table(df: DataFrame, path: str, spec: TableSpec) -> None:
     """Full (static) overwrite of a table at a fresh path."""
     (df.select(*spec.columns).withColumn(PART_COL, month_bucket(spec.date_col))
-       .repartition(PART_COL)
+       .hint("rebalance", PART_COL)
        .write.mode("overwrite").partitionBy(PART_COL).parquet(path))
