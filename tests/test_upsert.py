@@ -78,3 +78,14 @@ def test_bad_batch_rejected_target_intact(spark, tmp_root, bad):
     with pytest.raises(KeyViolation):
         upsert_path(spark, path, batch, SPEC)
     assert rows(read_table(spark, path, SPEC)) == [("a", D("2024-01-02"), 2.0)]
+
+
+def test_touched_month_read_is_partition_pruned(spark, tmp_root):
+    path = f"{tmp_root}/t"
+    b = spark.createDataFrame([("a", D("2024-01-01"), 1.0), ("a", D("2024-03-01"), 2.0)], S)
+    upsert_path(spark, path, b, SPEC)
+    df = read_table(spark, path, SPEC, [D("2024-03-01")])
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    pruned = plan.split("PartitionFilters: [", 1)[1].split("]", 1)[0]
+    assert "2024-03-01" in pruned
+    assert rows(df) == [("a", D("2024-03-01"), 2.0)]

@@ -43,3 +43,10 @@ def test_zero_rows_keeps_watermark(spark):
 def test_backfill_needs_start(spark):
     with pytest.raises(ValueError):
         _plan(spark, None, "backfill")
+
+
+def test_reread_days_restarts_before_watermark(spark):
+    specs = spark.createDataFrame([("w", 5, 30)], "source string, lag_days int, default_days int")
+    state = spark.createDataFrame([("w", D("2024-02-01"))], "source string, last_watermark date")
+    p = plan_windows(specs, state, TODAY, reread_days=3).first()
+    assert (p.window_start, p.window_end) == (D("2024-01-30"), D("2024-02-05"))

@@ -156,6 +156,16 @@ def build_mart(spark: SparkSession, layout: Layout, full_refresh: bool = False,
     return check_report(read_table(spark, layout.mart, specs.MART), mart_checks())
 
 
+def source_freshness(spark: SparkSession, layout: Layout) -> DataFrame:
+    """Per raw table: last load time (``extracted_at``), last data date, rows."""
+    from tidemark.operators.quality import freshness
+
+    parts = [freshness(read_table(spark, layout.raw_path(src), src.table), None,
+                       "extracted_at", src.table.date_col, src.name)
+             for src in (specs.WEATHER, specs.FX)]
+    return parts[0].unionByName(parts[1])
+
+
 def mart_checks() -> list:
     from tidemark.plans.catalog import mart_checks as _checks
 

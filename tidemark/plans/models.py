@@ -76,3 +76,19 @@ def build_conditions(stg_weather: DataFrame, stg_fx: DataFrame) -> DataFrame:
 def mart_projection(df: DataFrame) -> DataFrame:
     """Ordered projection onto the mart contract."""
     return project(df, specs.MART.columns)
+
+
+def register_views(raw_weather: DataFrame, raw_fx: DataFrame, prefix: str = "") -> dict:
+    """Expose every model layer as a temporary view for SQL users.  Views are
+    lazy: querying one hands Catalyst the composed plan."""
+    stg_w, stg_fx = stage_weather(raw_weather), stage_fx(raw_fx)
+    filled = fx_gap_filled(stg_fx)
+    views = {
+        "stg_weather_daily": stg_w,
+        "stg_fx": stg_fx,
+        "int_fx_gap_filled": filled,
+        "int_daily_conditions": daily_conditions(stg_w, filled),
+    }
+    for name, df in views.items():
+        df.createOrReplaceTempView(prefix + name)
+    return views

@@ -25,10 +25,15 @@ MODES = ("incremental", "backfill")
 
 
 def plan_windows(specs_df: DataFrame, state_df: DataFrame, today, mode: str = "incremental",
-                 start=None, end=None, source_col: str = "source") -> DataFrame:
+                 start=None, end=None, source_col: str = "source",
+                 reread_days: int = 0) -> DataFrame:
     """``specs_df``: (source, lag_days, default_days); ``state_df``:
     (source, last_watermark).  Returns (source, last_watermark, window_start,
-    window_end, has_work)."""
+    window_end, has_work).
+
+    ``reread_days`` (default 0, the plain cursor) restarts an incremental
+    window that many days before the watermark so sources that revise recent
+    days are re-read; the keyed upsert makes the overlap harmless."""
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
     if mode == "backfill" and start is None:
@@ -40,7 +45,7 @@ def plan_windows(specs_df: DataFrame, state_df: DataFrame, today, mode: str = "i
     if mode == "backfill":
         w_start = F.lit(as_date(start))
     else:
-        w_start = F.when(wm.isNotNull(), F.date_add(wm, 1)).otherwise(
+        w_start = F.when(wm.isNotNull(), F.date_add(wm, 1 - int(reread_days))).otherwise(
             F.date_sub(safe_end, F.col("default_days").cast("int")))
     return (j.select(source_col, wm.alias("last_watermark"), w_start.alias("window_start"),
                      safe_end.alias("window_end"))
