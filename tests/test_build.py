@@ -37,7 +37,7 @@ def _fx_rows(spark, run_ts):
         d = START + dt.timedelta(days=i)
         pts.append({"fecha": d.strftime("%d/%m/%Y"),
                     "dato": "N/E" if d.weekday() >= 5 else f"{17 + i / 100:.4f}"})
-    body = json.dumps({"bmx": {"series": [{"idSerie": "SF43718", "datos": pts}]}})
+    body = json.dumps({"bmx": {"series": [{"idSerie": "S1", "datos": pts}]}})
     df = parse_documents(spark.createDataFrame([("fx_usd_mxn", body)], "series_name string, body string"),
                          "body", specs.FX_PAYLOAD, carry=["series_name"])
     rows = explode_points(df, carry=["series_name"]).withColumnRenamed("series_name", "series")
@@ -52,11 +52,11 @@ def test_backfill_and_incremental_runs(spark, tmp_root):
     r = load_source(spark, lay, specs.WEATHER, w, D("2025-03-01"), "backfill",
                     D("2025-01-01"), D("2025-01-31"))
     assert r.rows_loaded == 62
-    assert watermark_of(load_state(spark, lay.state), "open_meteo") is None
+    assert watermark_of(load_state(spark, lay.state), "weather") is None
     # first incremental run: 30 days back from today - lag
     r1 = load_source(spark, lay, specs.WEATHER, w, D("2025-03-01"))
     assert (r1.window_start, r1.window_end) == (D("2025-01-25"), D("2025-02-24"))
-    assert watermark_of(load_state(spark, lay.state), "open_meteo") == D("2025-02-24")
+    assert watermark_of(load_state(spark, lay.state), "weather") == D("2025-02-24")
     # second immediate run: nothing new, nothing loaded
     r2 = load_source(spark, lay, specs.WEATHER, w, D("2025-03-01"))
     assert r2.nothing_new and r2.rows_loaded == 0

@@ -39,7 +39,7 @@ def _fx(spark, payload):
 
 
 def _series(*datos):
-    return {"bmx": {"series": [{"idSerie": "SF43718",
+    return {"bmx": {"series": [{"idSerie": "S1",
                                 "datos": [{"fecha": f, "dato": d} for f, d in datos]}]}}
 
 

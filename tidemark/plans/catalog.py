@@ -172,7 +172,7 @@ def _fx_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
                   F.when(business_day("date"), F.format_number("v", 2))
                   .otherwise(F.lit("N/E")).alias("dato"))
     docs = daily.groupBy(month_bucket("date").alias("month")).agg(F.collect_list(pt).alias("datos"))
-    body = F.struct(F.struct(F.array(F.struct(F.lit("SF43718").alias("idSerie"),
+    body = F.struct(F.struct(F.array(F.struct(F.lit("S1").alias("idSerie"),
                                               F.col("datos").alias("datos"))).alias("series"))
                     .alias("bmx"))
     return docs.select(F.lit("fx_usd_mxn").alias("series_name"), F.to_json(body).alias("body"))

@@ -46,7 +46,7 @@ def _schema(*cols: tuple[str, T.DataType, bool]) -> T.StructType:
 # freshness lags (weather 5 days, FX 1 day), first-run span (30 days back),
 # mart lookback (10 days), FX series name and accepted FX range (5 to 50).
 WEATHER_RAW = TableSpec(
-    "open_meteo_daily",
+    "weather_daily",
     _schema(("location", T.StringType(), False),
             ("date", T.DateType(), False),
             ("temp_max_c", T.DoubleType(), True),
@@ -57,7 +57,7 @@ WEATHER_RAW = TableSpec(
 )
 
 FX_RAW = TableSpec(
-    "banxico_fx",
+    "fx_rates",
     _schema(("series", T.StringType(), False),
             ("date", T.DateType(), False),
             ("value", T.DoubleType(), True),
@@ -66,7 +66,7 @@ FX_RAW = TableSpec(
 )
 
 MART = TableSpec(
-    "fct_daily_conditions",
+    "daily_conditions",
     _schema(("location", T.StringType(), True),
             ("date", T.DateType(), True),
             ("temp_max_c", T.DoubleType(), True),
@@ -87,9 +87,9 @@ STATE = TableSpec(
     date_col="last_watermark",
 )
 
-WEATHER = SourceSpec("open_meteo", WEATHER_RAW, lag_days=5, default_days=30,
+WEATHER = SourceSpec("weather", WEATHER_RAW, lag_days=5, default_days=30,
                      entity_col="location")
-FX = SourceSpec("banxico", FX_RAW, lag_days=1, default_days=30, entity_col="series")
+FX = SourceSpec("fx", FX_RAW, lag_days=1, default_days=30, entity_col="series")
 
 FX_SERIES = "fx_usd_mxn"
 MART_LOOKBACK_DAYS = 10
