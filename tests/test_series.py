@@ -102,3 +102,15 @@ def test_keyed_locf_is_not_single_partition(spark):
     # (one row per month) are windowed in a single partition
     b = carry_forward(df.filter("k='k0'").drop("k"), "date", ["v"], bucket=month_bucket("date"))
     assert "hashpartitioning(__tm_bucket" in plan_text(b)
+
+
+@pytest.mark.parametrize("since", ["2023-01-02", "2023-06-15", "2024-03-01", "2030-01-01"])
+def test_gap_fill_since_equals_filtered(spark, since):
+    df = _series(spark).filter("v is not null or date = '2023-01-02'")
+    s = D(since)
+    full = gap_fill(df, "date", "v", keys=["k"], flag_col="f").filter(F.col("date") >= s)
+    assert rows(gap_fill(df, "date", "v", keys=["k"], flag_col="f", since=s)) == rows(full)
+    one = df.filter("k = 'k0'").drop("k")
+    full1 = gap_fill(one, "date", "v", flag_col="f").filter(F.col("date") >= s)
+    sized, n = gap_fill_sized(one, "date", "v", flag_col="f", since=s)
+    assert rows(sized) == rows(full1) and n >= len(rows(full1))

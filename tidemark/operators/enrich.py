@@ -7,13 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.operators.joins import join_dimension
-from tidemark.operators.series import (calendar_spine, calendar_spine_between,
-                                       carry_forward, date_bounds, span_days)
+from tidemark.functions.dates import as_date
+from tidemark.operators.series import (calendar_spine_between, carry_forward, date_bounds,
+                                       last_non_null_before, span_days)
 
 
 def gap_fill(obs: DataFrame, date_col: str = "date", value_col: str = "fx_rate",
              keys: Sequence[str] = (), flag_col: str = "is_published_rate",
-             bounds: tuple | None = None, bucket: Column | None = None) -> DataFrame:
+             bounds: tuple | None = None, bucket: Column | None = None,
+             since=None) -> DataFrame:
     """Calendar spine ⟕ observations, presence flag, then LOCF.
 
     Output ``(*keys, date, value, flag)``: one row per calendar day from the
@@ -21,16 +23,41 @@ def gap_fill(obs: DataFrame, date_col: str = "date", value_col: str = "fx_rate",
     a non-null observation, false on filled days — computed before filling.
     A NULL observation still extends the calendar but is flagged false.
     ``bounds=(lo, hi)`` (unkeyed only) builds the spine from literals.
+
+    ``since`` returns only days on or after it — equal to filtering the full
+    result — while windowing only those days: the carry is seeded with the
+    last non-null value before ``since`` (one aggregate over the history,
+    no sort and no window over it).
     """
     keys = list(keys)
+    since = as_date(since)
+    d = F.col(date_col).cast("date")
     if bounds is not None and not keys:
-        spine = calendar_spine_between(obs.sparkSession, bounds[0], bounds[1], date_col)
+        lo, hi = as_date(bounds[0]), as_date(bounds[1])
+        if since is not None and lo is not None:
+            lo = max(lo, since)
+        spine = calendar_spine_between(obs.sparkSession, lo, hi, date_col)
     else:
-        spine = calendar_spine(obs, date_col, keys)
-    points = obs.select(*keys, F.col(date_col).cast("date").alias(date_col), F.col(value_col))
+        b = date_bounds(obs, date_col, keys)
+        lo = F.col("lo") if since is None else F.greatest(F.col("lo"), F.lit(since))
+        seq = F.when(lo <= F.col("hi"), F.sequence(lo, F.col("hi"), F.expr("INTERVAL 1 DAY")))
+        spine = b.select(*keys, F.explode(seq).alias(date_col))
+    points = obs.select(*keys, d.alias(date_col), F.col(value_col))
+    if since is not None:
+        points = points.filter(F.col(date_col) >= F.lit(since))
     joined = (spine.join(points, on=keys + [date_col], how="left")
               .withColumn(flag_col, F.col(value_col).isNotNull()))
     filled = carry_forward(joined, date_col, [value_col], keys, bucket)
+    if since is not None:
+        seeds = last_non_null_before(obs.select(*keys, d.alias(date_col), F.col(value_col)),
+                                     date_col, [value_col], since, keys)
+        seed = F.col(f"{value_col}__seed")
+        if keys:
+            filled = filled.join(seeds, keys, "left")
+        else:
+            row = seeds.first()
+            seed = F.lit(row[f"{value_col}__seed"]).cast(obs.schema[value_col].dataType)
+        filled = filled.withColumn(value_col, F.coalesce(F.col(value_col), seed))
     return filled.select(*keys, date_col, value_col, flag_col)
 
 
@@ -45,15 +72,19 @@ def calendar_rows(obs: DataFrame, date_col: str = "date", keys: Sequence[str] =
 
 def gap_fill_sized(obs: DataFrame, date_col: str = "date", value_col: str = "fx_rate",
                    keys: Sequence[str] = (), flag_col: str = "is_published_rate",
-                   bucket: Column | None = None) -> tuple[DataFrame, int]:
-    """``gap_fill`` plus its exact row count (one bounds query on ``obs``)."""
+                   bucket: Column | None = None, since=None) -> tuple[DataFrame, int]:
+    """``gap_fill`` plus a proven bound on its row count (one bounds query on
+    ``obs``; exact for the unkeyed form)."""
     if keys:
-        return (gap_fill(obs, date_col, value_col, keys, flag_col, bucket=bucket),
+        return (gap_fill(obs, date_col, value_col, keys, flag_col, bucket=bucket, since=since),
                 calendar_rows(obs, date_col, keys))
     row = date_bounds(obs, date_col).first()
     lo, hi = row["lo"], row["hi"]
-    return (gap_fill(obs, date_col, value_col, (), flag_col, bounds=(lo, hi), bucket=bucket),
-            span_days(lo, hi))
+    since = as_date(since)
+    first = max(lo, since) if lo is not None and since is not None else lo
+    return (gap_fill(obs, date_col, value_col, (), flag_col, bounds=(lo, hi), bucket=bucket,
+                     since=since),
+            span_days(first, hi))
 
 
 def enrich(facts: DataFrame, dim: DataFrame, on: Sequence[str] | str = "date",

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from tidemark.operators.joins import BROADCAST_MAX_ROWS
 from tidemark.operators.upsert import upsert_columns
 
 
@@ -128,15 +129,33 @@ def enforce_contract(df: DataFrame, expected: T.StructType, what: str = "output"
 # --- trace and freshness ------------------------------------------------------------
 
 def trace(violations: DataFrame, raw: DataFrame, keys: Sequence[str],
-          raw_cols: Sequence[str] | None = None, prefix: str = "raw_") -> DataFrame:
-    """Offending rows joined to the raw rows they were built from.  The join
-    is left to the planner: the number of violations is not bounded a priori."""
+          raw_cols: Sequence[str] | None = None, prefix: str = "raw_",
+          violation_rows: int | None = None) -> DataFrame:
+    """Offending rows joined to the raw rows they were built from.
+
+    With a known violation count under the broadcast bound (e.g. from the
+    check report, or ``materialize_count``), the violations are broadcast and
+    the raw table is only scanned, never shuffled; otherwise the join is left
+    to the planner and AQE."""
     keys = list(keys)
     cols = [c for c in (raw_cols or raw.columns) if c not in keys]
     r = raw.select(*keys, *[F.col(c).alias(prefix + c) for c in cols])
+    if violation_rows is not None and violation_rows <= BROADCAST_MAX_ROWS:
+        return r.join(F.broadcast(violations), keys, "inner").select(
+            *violations.columns, *[prefix + c for c in cols])
     return violations.join(r, keys, "inner")
 
 
+def materialize_count(df: DataFrame) -> tuple[DataFrame, int]:
+    """Checkpoint ``df`` into the shared checkpoint folder (lineage cut,
+    survives executor loss) and return it with its exact row count."""
+    from tidemark.session import checkpoint_dir
+
+    checkpoint_dir(df.sparkSession)
+    saved = df.checkpoint(eager=True)
+    return saved, saved.count()
+
+
 def freshness(df: DataFrame, source_col: str | None, loaded_at_col: str,
               date_col: str | None = None, source_name: str | None = None) -> DataFrame:
     """Per source: last load time, last data date and row count."""

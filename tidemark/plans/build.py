@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark import specs
-from tidemark.operators.incremental import lookback_cutoff, select_since
+from tidemark.operators.incremental import lookback_cutoff
 from tidemark.operators.quality import (ContractViolation, check_report, contract_diff,
                                         enforce_contract)
 from tidemark.operators.upsert import upsert_path
@@ -113,10 +113,13 @@ def check_inputs(spark: SparkSession, layout: Layout) -> None:
             raise ContractViolation(f"input {spec.name} drifted: {diff}")
 
 
-def conditions(spark: SparkSession, layout: Layout) -> DataFrame:
-    raw_w = read_table(spark, layout.raw_weather, specs.WEATHER_RAW)
+def conditions(spark: SparkSession, layout: Layout, since=None) -> DataFrame:
+    """The mart's source rows (all, or only dates on or after ``since``:
+    weather months before it are pruned, FX history is only aggregated)."""
+    raw_w = read_table(spark, layout.raw_weather, specs.WEATHER_RAW, since=since)
     raw_fx = read_table(spark, layout.raw_fx, specs.FX_RAW)
-    built = models.build_conditions(models.stage_weather(raw_w), models.stage_fx(raw_fx))
+    built = models.build_conditions(models.stage_weather(raw_w), models.stage_fx(raw_fx),
+                                    since=since)
     return enforce_contract(models.mart_projection(built), specs.MART.schema, "mart")
 
 
@@ -146,13 +149,12 @@ def build_mart(spark: SparkSession, layout: Layout, full_refresh: bool = False,
     with ``date >= max(mart.date) - lookback`` (or ``>= since``) replace
     their keys, month partitions outside the window are untouched."""
     check_inputs(spark, layout)
-    source = conditions(spark, layout)
     if full_refresh or not path_exists(spark, layout.mart):
-        _swap_in(spark, source, layout.mart, specs.MART)
+        _swap_in(spark, conditions(spark, layout), layout.mart, specs.MART)
     else:
         current = read_table(spark, layout.mart, specs.MART)
         cutoff = since or lookback_cutoff(current, "date", lookback_days)
-        upsert_path(spark, layout.mart, select_since(source, "date", cutoff), specs.MART)
+        upsert_path(spark, layout.mart, conditions(spark, layout, since=cutoff), specs.MART)
     return check_report(read_table(spark, layout.mart, specs.MART), mart_checks())
 
 

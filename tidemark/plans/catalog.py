@@ -13,11 +13,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemark.functions.dates import business_day, dow_sunday0, month_bucket
 from tidemark.operators.enrich import gap_fill, gap_fill_sized
 from tidemark.operators.series import (calendar_spine, carry_forward_increment)
-from tidemark.operators.incremental import full_rebuild, merge_incremental, window_replace
+from tidemark.operators.incremental import (full_rebuild, lookback_cutoff, merge_incremental,
+                                            window_replace)
 from tidemark.operators.upsert import upsert, upsert_columns
 from tidemark.operators.profile import profile
 from tidemark.operators.quality import (accepted_range, check_report, duplicate_groups,
                                         failing_rows, freshness, inject_impossible_rows,
+                                        materialize_count,
                                         not_null, row_rule, trace, unique_combination)
 from tidemark.plans import models
 from tidemark.plans.roles import load, rate_bench, weather_bench, weather_small
@@ -115,8 +117,14 @@ def _mart_target(source: DataFrame) -> DataFrame:
 
 
 def incremental_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    source = models.mart_projection(enrich_daily(spark, sf_dir))
-    return merge_incremental(_mart_target(source), source, MART.keys, "date", 10)
+    """Existing mart + source rows on or after max(mart.date) - 10 days; the
+    source is built only from the cutoff on (seeded carry, pruned facts)."""
+    full = models.mart_projection(enrich_daily(spark, sf_dir))
+    target = _mart_target(full)
+    cutoff = lookback_cutoff(target, "date", 10)
+    recent = models.mart_projection(models.build_conditions(
+        weather_bench(spark, sf_dir), rate_bench(spark, sf_dir), since=cutoff))
+    return merge_incremental(target, recent, MART.keys, "date", since=cutoff)
 
 
 def full_rebuild_q(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -283,7 +291,8 @@ def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def failing_row_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Row-rule violations traced to the line items they were built from."""
-    bad = dq_row_rule(spark, sf_dir).select(*WL_KEYS, "temp_max_c", "temp_min_c")
+    bad, n_bad = materialize_count(
+        dq_row_rule(spark, sf_dir).select(*WL_KEYS, "temp_max_c", "temp_min_c"))
     li = load(spark, sf_dir, "lineitem")
     su = load(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     na = load(spark, sf_dir, "nation").select("n_nationkey", "n_name")
@@ -292,7 +301,7 @@ def failing_row_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
            .select(F.col("n_name").alias("location"),
                    F.col("l_shipdate").cast("date").alias("date"),
                    "l_orderkey", "l_linenumber", "l_extendedprice"))
-    return trace(bad, raw, WL_KEYS)
+    return trace(bad, raw, WL_KEYS, violation_rows=n_bad)
 
 
 def freshness_report(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark import specs
-from tidemark.functions.dates import business_day
+from tidemark.functions.dates import as_date, business_day
 from tidemark.operators.enrich import enrich, gap_fill, gap_fill_sized
 from tidemark.operators.staging import keep_equal, project, stage
 
@@ -67,9 +67,16 @@ def daily_conditions(stg_weather: DataFrame, fx_filled: DataFrame,
         business_day("date").alias("is_business_day"))
 
 
-def build_conditions(stg_weather: DataFrame, stg_fx: DataFrame) -> DataFrame:
-    """Intermediate model end to end: gap-fill FX (sized), then enrich."""
-    filled, rows = gap_fill_sized(stg_fx, "date", "fx_rate", flag_col="is_published_rate")
+def build_conditions(stg_weather: DataFrame, stg_fx: DataFrame, since=None) -> DataFrame:
+    """Intermediate model end to end: gap-fill FX (sized), then enrich.
+
+    ``since`` builds only dates on or after it (an incremental build): the
+    weather facts are filtered and the FX carry is seeded instead of windowing
+    the whole rate history.  Equal to filtering the full build."""
+    filled, rows = gap_fill_sized(stg_fx, "date", "fx_rate", flag_col="is_published_rate",
+                                  since=since)
+    if since is not None:
+        stg_weather = stg_weather.filter(F.col("date") >= F.lit(as_date(since)))
     return daily_conditions(stg_weather, filled, rows)
 
 

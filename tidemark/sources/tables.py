@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from tidemark.functions.dates import month_bucket
+from tidemark.functions.dates import as_date, month_bucket
 from tidemark.session import path_exists
 from tidemark.specs import TableSpec
 
@@ -22,14 +22,19 @@ def stored_schema(spec: TableSpec) -> T.StructType:
 
 
 def read_table(spark: SparkSession, path: str, spec: TableSpec,
-               months: Sequence | None = None) -> DataFrame:
+               months: Sequence | None = None, since=None) -> DataFrame:
     """Read with the declared schema (no inference).  An absent path reads
-    as an empty table (create-if-absent).  ``months`` prunes partitions."""
+    as an empty table (create-if-absent).  ``months`` and ``since`` (rows
+    with date on or after it) prune month partitions at planning time."""
     if not path_exists(spark, path):
         return empty_table(spark, spec)
     df = spark.read.schema(stored_schema(spec)).parquet(path)
     if months is not None:
         df = df.filter(F.col(PART_COL).isin(list(months)))
+    if since is not None:
+        since = as_date(since)
+        df = df.filter((F.col(PART_COL) >= F.lit(since.replace(day=1)))
+                       & (F.col(spec.date_col) >= F.lit(since)))
     return df.select(*spec.columns)
 
 
