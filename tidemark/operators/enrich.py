@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidemark.operators.joins import join_dimension
 from tidemark.functions.dates import as_date
 from tidemark.operators.series import (calendar_spine_between, carry_forward, date_bounds,
-                                       last_non_null_before, span_days)
+                                       last_non_null_before, span_days, time_spine)
 
 
 def gap_fill(obs: DataFrame, date_col: str = "date", value_col: str = "fx_rate",
@@ -61,6 +61,22 @@ def gap_fill(obs: DataFrame, date_col: str = "date", value_col: str = "fx_rate",
     return filled.select(*keys, date_col, value_col, flag_col)
 
 
+def gap_fill_time(obs: DataFrame, ts_col: str, value_col: str, step_seconds: int,
+                  flag_col: str = "is_observed", bucket: Column | None = None) -> DataFrame:
+    """``gap_fill`` for a sub-daily grid (``ts_col`` already truncated to the
+    step).  The spine is generated in parallel and the carry is two-stage,
+    bucketed by day unless ``bucket`` says otherwise, so no step of the plan
+    funnels the series into one partition."""
+    row = obs.agg(F.min(ts_col).alias("lo"), F.max(ts_col).alias("hi")).first()
+    spine = time_spine(obs.sparkSession, row["lo"], row["hi"], step_seconds, ts_col)
+    points = obs.select(F.col(ts_col), F.col(value_col))
+    joined = (spine.join(points, ts_col, "left")
+              .withColumn(flag_col, F.col(value_col).isNotNull()))
+    bucket = bucket if bucket is not None else F.to_date(F.col(ts_col))
+    filled = carry_forward(joined, ts_col, [value_col], (), bucket)
+    return filled.select(ts_col, value_col, flag_col)
+
+
 def calendar_rows(obs: DataFrame, date_col: str = "date", keys: Sequence[str] = ()) -> int:
     """Exact row count of ``gap_fill``'s output, from one small aggregate —
     the proven bound used to decide whether the filled series is broadcast."""

@@ -67,6 +67,20 @@ def calendar_spine_between(spark: SparkSession, lo, hi, out_col: str = "date") -
                                            F.expr("INTERVAL 1 DAY"))).alias(out_col))
 
 
+def time_spine(spark: SparkSession, lo, hi, step_seconds: int, out_col: str = "ts",
+               partitions: int | None = None) -> DataFrame:
+    """Zone-less timestamps ``lo, lo + step, …`` up to ``hi``, generated in
+    parallel from ``spark.range`` — no task ever holds the whole spine, unlike
+    exploding one ``sequence`` array."""
+    if lo is None or hi is None or lo > hi:
+        return spark.range(0).select(F.lit(None).cast("timestamp_ntz").alias(out_col))
+    n = int((hi - lo).total_seconds() // step_seconds) + 1
+    start = F.lit(lo.isoformat(sep=" ")).cast("timestamp_ntz")
+    secs = (F.col("id") * F.lit(int(step_seconds))).cast("decimal(18,0)")
+    step = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), secs)
+    return spark.range(0, n, numPartitions=partitions).select((start + step).alias(out_col))
+
+
 def _last_non_null_window(keys: Sequence[str], order_col: str):
     w = Window.partitionBy(*keys) if keys else Window
     return w.orderBy(F.col(order_col)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -130,5 +144,5 @@ def carry_forward_increment(df: DataFrame, order_col: str, cols: Sequence[str],
 
 
 __all__ = ["date_bounds", "date_bounds_scalar", "span_days", "calendar_spine",
-           "calendar_spine_between", "carry_forward", "last_non_null_before",
+           "calendar_spine_between", "time_spine", "carry_forward", "last_non_null_before",
            "carry_forward_increment"]

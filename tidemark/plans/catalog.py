@@ -11,7 +11,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions.dates import business_day, dow_sunday0, month_bucket
-from tidemark.operators.enrich import gap_fill, gap_fill_sized
+from tidemark.operators.enrich import gap_fill, gap_fill_sized, gap_fill_time
 from tidemark.operators.series import (calendar_spine, carry_forward_increment)
 from tidemark.operators.incremental import (full_rebuild, lookback_cutoff, merge_incremental,
                                             window_replace)
@@ -78,6 +78,16 @@ def enrich_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.build_conditions(weather_bench(spark, sf_dir), rate_bench(spark, sf_dir))
 
 
+def locf_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fine-grained carry: per-minute max event value on a minute grid over
+    the whole event range, carried forward with the day-bucketed two-stage
+    form (parallel spine, parallel local windows)."""
+    ev = load(spark, sf_dir, "events")
+    obs = ev.groupBy(F.date_trunc("minute", F.col("ts")).alias("ts")).agg(
+        F.max("value").alias("value"))
+    return gap_fill_time(obs, "ts", "value", 60)
+
+
 def locf_by_entity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-entity spine and carry: weekday-only weather-like rows, each
     location gap-filled over its own first..last date."""
@@ -374,6 +384,7 @@ QUERIES = {
     "locf_global_bucketed": locf_global_bucketed,
     "locf_increment": locf_increment,
     "enrich_daily": enrich_daily,
+    "locf_minute": locf_minute,
     "locf_by_entity": locf_by_entity,
     "locf_by_entity_bucketed": locf_by_entity_bucketed,
     "upsert_replace": upsert_replace,

@@ -174,6 +174,15 @@ SELECT CAST(d AS DATE) AS date FROM (SELECT unnest(generate_series(
     "locf_increment": f"""WITH {FX_FILLED}
 SELECT date, fx_rate, is_published_rate FROM fx WHERE date >= DATE '2001-01-01'""",
     "enrich_daily": D8,
+    "locf_minute": """
+WITH obs AS (SELECT date_trunc('minute', ts) AS ts, max(value) AS value FROM events GROUP BY 1),
+sp AS (SELECT unnest(generate_series((SELECT min(ts) FROM obs), (SELECT max(ts) FROM obs),
+                                     INTERVAL 1 MINUTE)) AS ts),
+j AS (SELECT sp.ts, obs.value, obs.value IS NOT NULL AS is_observed
+      FROM sp LEFT JOIN obs ON sp.ts = obs.ts)
+SELECT ts, last_value(value IGNORE NULLS) OVER (
+         ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS value, is_observed
+FROM j""",
     "locf_by_entity": LOCF_BY_ENTITY,
     "locf_by_entity_bucketed": LOCF_BY_ENTITY,
     "upsert_replace": f"""WITH {UPSERT_INPUTS}
