@@ -89,3 +89,18 @@ def test_touched_month_read_is_partition_pruned(spark, tmp_root):
     pruned = plan.split("PartitionFilters: [", 1)[1].split("]", 1)[0]
     assert "2024-03-01" in pruned
     assert rows(df) == [("a", D("2024-03-01"), 2.0)]
+
+
+def test_small_batch_is_broadcast_and_history_bypasses_shuffle(spark, target):
+    from conftest import plan_text
+    from tidemark.operators.incremental import merge_incremental
+
+    batch = spark.createDataFrame([("a", D("2024-01-02"), 9.0)], S)
+    p = plan_text(upsert(target, batch, ["k", "date"], batch_rows=1))
+    assert "BroadcastHashJoin" in p and "LeftAnti" in p
+    assert "SortMergeJoin" not in p
+    merged = merge_incremental(target.withColumnRenamed("k", "location"),
+                               batch.withColumnRenamed("k", "location"), ["location", "date"],
+                               since="2024-01-02")
+    assert rows(merged) == [("a", D("2024-01-01"), 1.0), ("a", D("2024-01-02"), 9.0)]
+    assert "Union" in plan_text(merged)

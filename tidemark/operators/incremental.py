@@ -56,7 +56,14 @@ def merge_incremental(target: DataFrame | None, source: DataFrame, keys: Sequenc
         return source
     cutoff = as_date(since) if since is not None else lookback_cutoff(target, date_col,
                                                                       lookback_days)
-    return upsert(target, select_since(source, date_col, cutoff).select(*target.columns), keys)
+    selection = select_since(source, date_col, cutoff).select(*target.columns)
+    if date_col not in keys:
+        return upsert(target, selection, keys)
+    # The date is part of the key, so target rows before the cutoff cannot
+    # match the selection: they pass through untouched, never shuffled.
+    d = F.col(date_col)
+    older = target.filter(d < F.lit(cutoff))
+    return older.unionByName(upsert(target.filter(d >= F.lit(cutoff)), selection, keys))
 
 
 def window_replace(target: DataFrame | None, source: DataFrame, date_col: str = "date",

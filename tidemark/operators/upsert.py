@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.operators.joins import anti_join_keys
+from tidemark.operators.joins import BROADCAST_MAX_ROWS, anti_join_keys
 from tidemark.session import checkpoint_dir, delete_path, scratch_path
 from tidemark.functions.dates import month_bucket
 from tidemark.sources.tables import read_table, write_months
@@ -69,12 +69,18 @@ def validate_keys(df: DataFrame, keys: Sequence[str], what: str = "batch",
     return rows, months
 
 
-def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str],
+           batch_rows: int | None = None) -> DataFrame:
     """Target rows whose key is absent from the batch, plus the whole batch.
 
-    One shuffle on the key (the anti join); the batch's distinct key set is
+    With a known batch size under the broadcast bound the batch keys are
+    broadcast and the target is filtered in place (no shuffle of the target);
+    otherwise one shuffle on the key, with the batch's distinct key set
     computed on the same partitioning."""
-    survivors = anti_join_keys(target, batch_keys(batch, keys), keys)
+    bk = batch_keys(batch, keys)
+    if batch_rows is not None and batch_rows <= BROADCAST_MAX_ROWS:
+        bk = F.broadcast(bk)
+    survivors = anti_join_keys(target, bk, keys)
     return survivors.unionByName(batch.select(*target.columns))
 
 
@@ -118,7 +124,7 @@ def upsert_path(spark: SparkSession, path: str, batch: DataFrame, spec: TableSpe
         if rows == 0:
             return 0
         current = read_table(spark, path, spec, months)
-        merged = upsert(current, batch, spec.keys)
+        merged = upsert(current, batch, spec.keys, batch_rows=rows)
         checkpoint_dir(spark)
         stage = scratch_path(spark, f"upsert-{spec.name}")
         merged.write.mode("errorifexists").parquet(stage)
