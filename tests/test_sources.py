@@ -61,3 +61,20 @@ def test_nested_points_cases(spark):
 def test_nested_points_failures(spark, payload):
     with pytest.raises(Exception):
         _fx(spark, payload).collect()
+
+
+def test_failures_do_not_depend_on_ansi(spark):
+    from tidemark.operators.staging import stage
+    prev = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises(Exception):
+            _fx(spark, _series(("2025-01-02", "1.0"))).collect()       # not day-first
+        bad = spark.createDataFrame([("x",)], "v string")
+        with pytest.raises(Exception):
+            stage(bad, {"v": ("v", "double")}).collect()
+        ok = spark.createDataFrame([("1.5",), (None,)], "v string")
+        assert sorted(stage(ok, {"v": ("v", "double")}).collect(), key=str) == \
+            sorted([(1.5,), (None,)], key=str)
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", prev)

@@ -34,8 +34,9 @@ def dow_sunday0(col) -> Column:
 
 
 def parse_day_first(col) -> Column:
-    """Strict ``dd/MM/yyyy`` → DATE; other shapes raise under ANSI."""
-    return F.to_date(_c(col), "dd/MM/yyyy")
+    """``dd/MM/yyyy`` → DATE; other shapes give NULL (pair with
+    ``require_not_null`` to fail the load)."""
+    return F.try_to_timestamp(_c(col), F.lit("dd/MM/yyyy")).cast("date")
 
 
 def as_date(value) -> _dt.date | None:

@@ -86,6 +86,11 @@ def calendar_rows(obs: DataFrame, date_col: str = "date", keys: Sequence[str] =
     return int(n or 0)
 
 
+# A keyless carry runs as one ordered window in one task; above this many
+# calendar rows the two-stage month-bucketed form is used instead.
+SINGLE_TASK_ROWS = 500_000
+
+
 def gap_fill_sized(obs: DataFrame, date_col: str = "date", value_col: str = "fx_rate",
                    keys: Sequence[str] = (), flag_col: str = "is_published_rate",
                    bucket: Column | None = None, since=None) -> tuple[DataFrame, int]:
@@ -98,9 +103,11 @@ def gap_fill_sized(obs: DataFrame, date_col: str = "date", value_col: str = "fx_
     lo, hi = row["lo"], row["hi"]
     since = as_date(since)
     first = max(lo, since) if lo is not None and since is not None else lo
+    n = span_days(first, hi)
+    if bucket is None and n > SINGLE_TASK_ROWS:
+        bucket = F.trunc(F.col(date_col), "month")
     return (gap_fill(obs, date_col, value_col, (), flag_col, bounds=(lo, hi), bucket=bucket,
-                     since=since),
-            span_days(first, hi))
+                     since=since), n)
 
 
 def enrich(facts: DataFrame, dim: DataFrame, on: Sequence[str] | str = "date",

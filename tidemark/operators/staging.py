@@ -6,14 +6,24 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, functions as F
 
+from tidemark.functions.values import require_not_null
 
-def stage(df: DataFrame, columns: Mapping[str, tuple[str, str | None]]) -> DataFrame:
+
+def stage(df: DataFrame, columns: Mapping[str, tuple[str, str | None]],
+          strict: bool = True) -> DataFrame:
     """``{out_name: (source_col, type_or_None)}`` → ordered, cast projection.
 
-    Casts run under the session's ANSI mode, so malformed text fails the
-    query instead of silently turning into NULL."""
-    return df.select(*[(F.col(src).cast(t) if t else F.col(src)).alias(out)
-                       for out, (src, t) in columns.items()])
+    ``strict``: a value that does not convert fails the query instead of
+    silently turning into NULL, whatever the session's ANSI setting."""
+    out = []
+    for name, (src, t) in columns.items():
+        c = F.col(src)
+        if t and strict and df.schema[src].dataType.simpleString() != t:
+            c = require_not_null(c.try_cast(t), src, f"cannot cast {src} to {t}")
+        elif t:
+            c = c.cast(t)
+        out.append(c.alias(name))
+    return df.select(*out)
 
 
 def keep_equal(df: DataFrame, col: str, value) -> DataFrame:

@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.functions.dates import parse_day_first
-from tidemark.functions.values import not_sentinel, parse_grouped_number
+from tidemark.functions.values import not_sentinel, parse_grouped_number, require_not_null
 
 
 def read_documents(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -77,7 +77,8 @@ def explode_points(df: DataFrame, series_path: str = "bmx.series", points_field:
     parsed = parse_grouped_number(raw)
     value = F.when(parsed.isNull(), F.raise_error(F.concat(
         F.lit(f"unparsable {value_field}: "), F.coalesce(raw, F.lit("NULL"))))).otherwise(parsed)
-    return kept.select(*carry, parse_day_first(F.col("__p").getField(date_field)).alias(date_col),
-                       value.alias(value_col))
+    fecha = F.col("__p").getField(date_field)
+    day = require_not_null(parse_day_first(fecha), fecha, f"unparsable {date_field}")
+    return kept.select(*carry, day.alias(date_col), value.alias(value_col))
 
 
