@@ -78,3 +78,30 @@ def test_failures_do_not_depend_on_ansi(spark):
             sorted([(1.5,), (None,)], key=str)
     finally:
         spark.conf.set("spark.sql.ansi.enabled", prev)
+
+
+def test_landing_files_to_raw_rows(spark, tmp_root):
+    import datetime as dt
+    from tidemark.sources.landed import read_fx_landing, read_weather_landing
+    from tidemark.specs import FX_RAW, WEATHER_RAW
+
+    with open(f"{tmp_root}/w.json", "w") as f:
+        f.write(json.dumps({"location": "cdmx", "daily": FULL}) + "\n")
+        f.write(json.dumps({"location": "monterrey", "daily": dict(FULL, time=FULL["time"][:1])}) + "\n")
+    with open(f"{tmp_root}/fx.json", "w") as f:
+        f.write(json.dumps(dict(_series(("02/01/2025", "20.5"), ("04/01/2025", "N/E")),
+                                series_name="fx_usd_mxn")) + "\n")
+    ts = dt.datetime(2025, 1, 5, 6)
+    w = read_weather_landing(spark, f"{tmp_root}/w.json", ts)
+    assert w.columns == WEATHER_RAW.columns and w.count() == 4
+    fx = read_fx_landing(spark, f"{tmp_root}/fx.json", ts)
+    assert fx.columns == FX_RAW.columns
+    assert rows(fx, "series", "date", "value") == [("fx_usd_mxn", D("2025-01-02"), 20.5)]
+
+
+def test_profile_extra_types(spark):
+    from pyspark.sql import types as T
+    from tidemark.operators.profile import profile
+    df = spark.createDataFrame([("b",), ("a",), (None,)], "s string")
+    r = profile(df, extra_types=(T.StringType,)).collect()[0]
+    assert (r.min_value, r.max_value, r.distinct_count) == ("a", "b", 2)

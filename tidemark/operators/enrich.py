@@ -32,7 +32,10 @@ def gap_fill(obs: DataFrame, date_col: str = "date", value_col: str = "fx_rate",
     keys = list(keys)
     since = as_date(since)
     d = F.col(date_col).cast("date")
-    if bounds is not None and not keys:
+    if bounds is None and not keys:
+        row = date_bounds(obs, date_col).first()
+        bounds = (row["lo"], row["hi"])
+    if not keys:
         lo, hi = as_date(bounds[0]), as_date(bounds[1])
         if since is not None and lo is not None:
             lo = max(lo, since)

@@ -29,14 +29,17 @@ def sql_type_name(t: T.DataType) -> str:
     return SQL_TYPE_NAMES.get(s, s.upper())
 
 
-def _profiled(f: T.StructField) -> bool:
-    return isinstance(f.dataType, PROFILED_TYPES)
-
-
-def profile(df: DataFrame, table_name: str | None = None, distinct: str = "exact") -> DataFrame:
+def profile(df: DataFrame, table_name: str | None = None, distinct: str = "exact",
+            extra_types: tuple = ()) -> DataFrame:
     """``(table_name, column_name, data_type, row_count, null_pct, min_value,
     max_value, distinct_count)``; an empty table yields one row with only the
-    count."""
+    count.  ``extra_types`` (e.g. ``(T.StringType,)``) opts more column types
+    into min / max / distinct."""
+    kinds = PROFILED_TYPES + tuple(extra_types)
+
+    def _profiled(f: T.StructField) -> bool:
+        return isinstance(f.dataType, kinds)
+
     fields = df.schema.fields
     aggs = [F.count(F.lit(1)).alias("__n")]
     for i, f in enumerate(fields):

@@ -50,21 +50,29 @@ def span_days(lo, hi) -> int:
 def calendar_spine(df: DataFrame, date_col: str = "date", keys: Sequence[str] = (),
                    out_col: str | None = None) -> DataFrame:
     """One row per day from the min to the max of ``date_col`` (per key,
-    inclusive).  Empty input (NULL bounds) yields no rows."""
+    inclusive).  Empty input (NULL bounds) yields no rows.
+
+    Keyless: the bounds are read as two scalars and the days generated in
+    parallel.  Keyed: each key's days are generated next to its bounds row, so
+    keys spread over the cluster (a key's span is bounded by its day count)."""
     out_col = out_col or date_col
+    if not keys:
+        lo, hi = date_bounds_scalar(df, date_col)
+        return calendar_spine_between(df.sparkSession, lo, hi, out_col)
     bounds = date_bounds(df, date_col, keys)
     return bounds.select(*keys, F.explode(
         F.sequence(F.col("lo"), F.col("hi"), F.expr("INTERVAL 1 DAY"))).alias(out_col))
 
 
-def calendar_spine_between(spark: SparkSession, lo, hi, out_col: str = "date") -> DataFrame:
-    """Spine from literal bounds: no scan, and its size is known exactly."""
+def calendar_spine_between(spark: SparkSession, lo, hi, out_col: str = "date",
+                           partitions: int | None = None) -> DataFrame:
+    """Days ``lo..hi`` from literal bounds, generated in parallel from
+    ``spark.range``: no scan, no single task holding the calendar, and the
+    row count is known exactly (``span_days``)."""
     lo, hi = as_date(lo), as_date(hi)
-    one = spark.range(1)
-    if lo is None or hi is None or lo > hi:
-        return one.select(F.lit(None).cast("date").alias(out_col)).limit(0)
-    return one.select(F.explode(F.sequence(F.lit(lo), F.lit(hi),
-                                           F.expr("INTERVAL 1 DAY"))).alias(out_col))
+    n = span_days(lo, hi)
+    return spark.range(0, n, numPartitions=partitions).select(
+        F.date_add(F.lit(lo), F.col("id").cast("int")).alias(out_col))
 
 
 def time_spine(spark: SparkSession, lo, hi, step_seconds: int, out_col: str = "ts",

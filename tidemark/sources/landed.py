@@ -82,3 +82,35 @@ def explode_points(df: DataFrame, series_path: str = "bmx.series", points_field:
     return kept.select(*carry, day.alias(date_col), value.alias(value_col))
 
 
+
+
+def weather_rows(docs: DataFrame, run_ts) -> DataFrame:
+    """Weather documents (``location`` + parallel ``daily`` arrays) → typed
+    raw weather rows stamped with the load instant."""
+    from tidemark import specs
+    from tidemark.plans.models import stage_weather_landed
+
+    rows = explode_parallel(docs, specs.WEATHER_ARRAYS, carry=["location"])
+    return stamp(stage_weather_landed(rows), run_ts).select(*specs.WEATHER_RAW.columns)
+
+
+def fx_rows(docs: DataFrame, run_ts, series_col: str = "series_name") -> DataFrame:
+    """FX documents (``series_name`` + ``bmx.series[0].datos``) → typed raw FX
+    rows stamped with the load instant."""
+    from tidemark import specs
+
+    rows = explode_points(docs, carry=[series_col]).withColumnRenamed(series_col, "series")
+    return stamp(rows, run_ts).select(*specs.FX_RAW.columns)
+
+
+def read_weather_landing(spark: SparkSession, path: str, run_ts) -> DataFrame:
+    """All weather JSON documents under ``path`` (one JSON object per line)."""
+    from tidemark import specs
+
+    return weather_rows(read_documents(spark, path, specs.WEATHER_PAYLOAD), run_ts)
+
+
+def read_fx_landing(spark: SparkSession, path: str, run_ts) -> DataFrame:
+    from tidemark import specs
+
+    return fx_rows(read_documents(spark, path, specs.FX_PAYLOAD), run_ts)
