@@ -114,3 +114,14 @@ def test_gap_fill_since_equals_filtered(spark, since):
     full1 = gap_fill(one, "date", "v", flag_col="f").filter(F.col("date") >= s)
     sized, n = gap_fill_sized(one, "date", "v", flag_col="f", since=s)
     assert rows(sized) == rows(full1) and n >= len(rows(full1))
+
+
+def test_sized_bounds_and_auto_bucket(spark, monkeypatch):
+    import tidemark.operators.enrich as E
+    df = _series(spark)
+    filled, n = gap_fill_sized(df, "date", "v", keys=["k"], flag_col="f")
+    assert n == filled.count() == 3 * 400
+    monkeypatch.setattr(E, "SINGLE_TASK_ROWS", 100)
+    bucketed, n2 = E.gap_fill_sized(df, "date", "v", keys=["k"], flag_col="f")
+    assert n2 == n and "__tm_bucket" in plan_text(bucketed)
+    assert rows(bucketed) == rows(filled)

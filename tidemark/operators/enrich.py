@@ -80,13 +80,16 @@ def gap_fill_time(obs: DataFrame, ts_col: str, value_col: str, step_seconds: int
     return filled.select(ts_col, value_col, flag_col)
 
 
-def calendar_rows(obs: DataFrame, date_col: str = "date", keys: Sequence[str] = ()) -> int:
-    """Exact row count of ``gap_fill``'s output, from one small aggregate —
-    the proven bound used to decide whether the filled series is broadcast."""
+def calendar_rows(obs: DataFrame, date_col: str = "date", keys: Sequence[str] = (),
+                  since=None) -> tuple[int, int]:
+    """(total rows, rows of the longest key) of ``gap_fill``'s output, from
+    one small aggregate — the proven bounds behind the broadcast and the
+    single-task-window decisions."""
     b = date_bounds(obs, date_col, keys)
-    n = b.agg(F.sum(F.when(F.col("hi") >= F.col("lo"),
-                           F.datediff(F.col("hi"), F.col("lo")) + 1)).alias("n")).first()["n"]
-    return int(n or 0)
+    lo = F.col("lo") if since is None else F.greatest(F.col("lo"), F.lit(as_date(since)))
+    span = F.when(F.col("hi") >= lo, F.datediff(F.col("hi"), lo) + 1).otherwise(0)
+    row = b.agg(F.sum(span).alias("n"), F.max(span).alias("m")).first()
+    return int(row["n"] or 0), int(row["m"] or 0)
 
 
 # A keyless carry runs as one ordered window in one task; above this many
@@ -100,8 +103,11 @@ def gap_fill_sized(obs: DataFrame, date_col: str = "date", value_col: str = "fx_
     """``gap_fill`` plus a proven bound on its row count (one bounds query on
     ``obs``; exact for the unkeyed form)."""
     if keys:
+        total, longest = calendar_rows(obs, date_col, keys, since)
+        if bucket is None and longest > SINGLE_TASK_ROWS:
+            bucket = F.trunc(F.col(date_col), "month")
         return (gap_fill(obs, date_col, value_col, keys, flag_col, bucket=bucket, since=since),
-                calendar_rows(obs, date_col, keys))
+                total)
     row = date_bounds(obs, date_col).first()
     lo, hi = row["lo"], row["hi"]
     since = as_date(since)
