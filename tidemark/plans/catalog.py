@@ -144,13 +144,15 @@ def full_rebuild_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 def window_replace_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As ``incremental_mart`` with one key gone from the source inside the
     window: the first location's last date in the existing mart."""
-    source = models.mart_projection(enrich_daily(spark, sf_dir))
-    target = _mart_target(source)
+    target = _mart_target(models.mart_projection(enrich_daily(spark, sf_dir)))
+    cutoff = lookback_cutoff(target, "date", 10)
+    source = models.mart_projection(models.build_conditions(
+        weather_bench(spark, sf_dir), rate_bench(spark, sf_dir), since=cutoff))
     first_loc = target.agg(F.min("location").alias("location"))
     gone = (target.join(first_loc, "location")
             .groupBy("location").agg(F.max("date").alias("date")))
     trimmed = source.join(gone, list(MART.keys), "left_anti")
-    return window_replace(target, trimmed, "date", 10)
+    return window_replace(target, trimmed, "date", since=cutoff)
 
 
 # --- sources -----------------------------------------------------------------------
