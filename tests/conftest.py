@@ -29,7 +29,8 @@ def D(s: str) -> dt.date:
 
 def rows(df, *cols):
     cols = cols or tuple(df.columns)
-    return sorted(tuple(r[c] for c in cols) for r in df.collect())
+    return sorted((tuple(r[c] for c in cols) for r in df.collect()),
+                  key=lambda t: tuple((v is None, v if v is not None else 0) for v in t))
 
 
 def plan_text(df) -> str:

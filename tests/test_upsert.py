@@ -104,3 +104,15 @@ def test_small_batch_is_broadcast_and_history_bypasses_shuffle(spark, target):
                                since="2024-01-02")
     assert rows(merged) == [("a", D("2024-01-01"), 1.0), ("a", D("2024-01-02"), 9.0)]
     assert "Union" in plan_text(merged)
+
+
+def test_partial_update_split_path_equals_full_outer(spark, target):
+    from conftest import plan_text
+    t = target.withColumn("w", F.lit(5.0)).unionByName(
+        spark.createDataFrame([(None, D("2024-01-01"), 3.0, 1.0)], "k string, date date, v double, w double"))
+    b = spark.createDataFrame([("a", D("2024-01-02"), None, 7.0), ("c", D("2024-01-01"), 4.0, 8.0)],
+                              "k string, date date, v double, w double")
+    plain = upsert_columns(t, b, ["k", "date"], ["v"])
+    split = upsert_columns(t, b, ["k", "date"], ["v"], batch_rows=2)
+    assert rows(split) == rows(plain)
+    assert "LeftAnti" in plan_text(split) and "LeftSemi" in plan_text(split)

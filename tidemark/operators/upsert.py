@@ -85,13 +85,27 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str],
 
 
 def upsert_columns(target: DataFrame, batch: DataFrame, keys: Sequence[str],
-                   update_cols: Sequence[str]) -> DataFrame:
+                   update_cols: Sequence[str], batch_rows: int | None = None) -> DataFrame:
     """On key conflict update only ``update_cols`` (a NULL in the batch wins),
     keep the target's other columns; batch-only keys are inserted whole.
 
     Full outer join with side markers rather than ``coalesce``, so NULL
-    updates are applied."""
-    keys, update_cols = list(keys), set(update_cols)
+    updates are applied.  With a known batch size under the broadcast bound,
+    the target is first split by broadcast semi / anti joins on the batch
+    keys: untouched rows pass through unshuffled and only the matching rows
+    meet the batch in the outer join."""
+    keys = list(keys)
+    if batch_rows is not None and batch_rows <= BROADCAST_MAX_ROWS:
+        bk = F.broadcast(batch_keys(batch, keys))
+        untouched = target.join(bk, keys, "left_anti")
+        touched = target.join(bk, keys, "left_semi")
+        return untouched.unionByName(_merge_columns(touched, batch, keys, update_cols))
+    return _merge_columns(target, batch, keys, update_cols)
+
+
+def _merge_columns(target: DataFrame, batch: DataFrame, keys: list,
+                   update_cols: Sequence[str]) -> DataFrame:
+    update_cols = set(update_cols)
     t = target.withColumn("__in_t", F.lit(True))
     b = batch.select(*[F.col(c).alias(f"__b_{c}") if c not in keys else F.col(c)
                        for c in target.columns]).withColumn("__in_b", F.lit(True))

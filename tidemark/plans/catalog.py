@@ -101,23 +101,26 @@ def locf_by_entity_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
                     bucket=month_bucket("date"))
 
 
-def _upsert_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def _upsert_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, int]:
+    """Target, and a batch staged like a landed load: checkpointed to the
+    shared folder and counted, so its keys may be broadcast."""
     wl = weather_bench(spark, sf_dir)
     target = wl.filter(F.col("date") < F.lit(UPSERT_TARGET_END))
     batch = (wl.filter(F.col("date") >= F.lit(UPSERT_BATCH_START))
              .withColumn("temp_max_c", F.col("temp_max_c") + 1)
              .withColumn("precipitation_mm", F.col("precipitation_mm") + 100))
-    return target, batch
+    batch, n = materialize_count(batch)
+    return target, batch, n
 
 
 def upsert_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
-    target, batch = _upsert_inputs(spark, sf_dir)
-    return upsert(target, batch, WL_KEYS)
+    target, batch, n = _upsert_inputs(spark, sf_dir)
+    return upsert(target, batch, WL_KEYS, batch_rows=n)
 
 
 def upsert_partial(spark: SparkSession, sf_dir: str) -> DataFrame:
-    target, batch = _upsert_inputs(spark, sf_dir)
-    return upsert_columns(target, batch, WL_KEYS, ["temp_max_c", "temp_min_c"])
+    target, batch, n = _upsert_inputs(spark, sf_dir)
+    return upsert_columns(target, batch, WL_KEYS, ["temp_max_c", "temp_min_c"], batch_rows=n)
 
 
 def _mart_target(source: DataFrame) -> DataFrame:
