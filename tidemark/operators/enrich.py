@@ -22,7 +22,8 @@ def gap_fill(obs: DataFrame, date_col: str = "date", value_col: str = "fx_rate",
     first to the last observed date (per key).  ``flag`` is true on days with
     a non-null observation, false on filled days — computed before filling.
     A NULL observation still extends the calendar but is flagged false.
-    ``bounds=(lo, hi)`` (unkeyed only) builds the spine from literals.
+    Keyless: the calendar bounds are read as two scalars (or passed as
+    ``bounds=(lo, hi)``) and the days generated in parallel.
 
     ``since`` returns only days on or after it — equal to filtering the full
     result — while windowing only those days: the carry is seeded with the
