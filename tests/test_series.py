@@ -125,3 +125,18 @@ def test_sized_bounds_and_auto_bucket(spark, monkeypatch):
     bucketed, n2 = E.gap_fill_sized(df, "date", "v", keys=["k"], flag_col="f")
     assert n2 == n and "__tm_bucket" in plan_text(bucketed)
     assert rows(bucketed) == rows(filled)
+
+
+def test_model_views_for_sql_users(spark, rates):
+    from tidemark.plans.models import register_views
+    from tidemark.specs import FX_RAW, WEATHER_RAW
+    weather = spark.createDataFrame([("cdmx", D("2024-01-06"), 20.0, 10.0, 0.0, None)],
+                                    WEATHER_RAW.schema)
+    fx = rates.select(F.lit("fx_usd_mxn").alias("series"), "date",
+                      F.col("fx_rate").alias("value"),
+                      F.lit(None).cast("timestamp_ntz").alias("extracted_at"))
+    register_views(weather, fx, prefix="t_")
+    got = spark.sql("SELECT location, fx_usd_mxn, fx_is_published_rate, is_business_day "
+                    "FROM t_int_daily_conditions").collect()
+    assert [tuple(r) for r in got] == [("cdmx", 17.0, False, False)]
+    assert spark.sql("SELECT count(*) FROM t_int_fx_gap_filled").first()[0] == 5

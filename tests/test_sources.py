@@ -105,3 +105,17 @@ def test_profile_extra_types(spark):
     df = spark.createDataFrame([("b",), ("a",), (None,)], "s string")
     r = profile(df, extra_types=(T.StringType,)).collect()[0]
     assert (r.min_value, r.max_value, r.distinct_count) == ("a", "b", 2)
+
+
+def test_load_stamp_ignores_session_time_zone(spark):
+    import datetime as dt
+    from tidemark.sources.landed import stamp
+    prev = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        got = []
+        for tz in ("UTC", "America/Mexico_City", "Asia/Tokyo"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            got.append(stamp(spark.range(1), dt.datetime(2025, 1, 5, 12, 0)).first().extracted_at)
+        assert got == [dt.datetime(2025, 1, 5, 12, 0)] * 3
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", prev)
