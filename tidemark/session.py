@@ -21,6 +21,33 @@ SESSION_CONF = {
 }
 
 
+MiB = 1 << 20
+
+
+def scale_settings(input_bytes: int, total_cores: int, target_partition_mib: int = 128,
+                   max_split_mib: int = 256) -> dict:
+    """Partition sizing for a run that reads ``input_bytes`` on ``total_cores``.
+
+    * initial shuffle partitions ≈ input / target size (at least 2 per core),
+      so each reducer stays around ``target_partition_mib`` and sorts/aggregates
+      without spilling; AQE then coalesces the small ones;
+    * file splits of at most ``max_split_mib`` so scan tasks fit memory and
+      there are enough of them for every core;
+    * AQE advisory size = target, also the size above which a skewed join
+      partition is split.
+    """
+    parts = max(2 * total_cores, -(-input_bytes // (target_partition_mib * MiB)))
+    split = max(16 * MiB, min(max_split_mib * MiB, input_bytes // max(1, 3 * total_cores)))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(split),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_mib * MiB),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes":
+            str(4 * target_partition_mib * MiB),
+    }
+
+
 def get_session(master: str | None = None, shuffle_partitions: int = 8,
                 app: str = "tidemark", extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app)
