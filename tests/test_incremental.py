@@ -73,7 +73,7 @@ def test_contract_checked_before_write(spark):
 def test_scale_settings():
     from tidemark.session import scale_settings
     big = scale_settings(100 * 2**40, 8000)           # 100 TB on 1000 x 8 cores
-    assert int(big["spark.sql.shuffle.partitions"]) == 100 * 2**40 // (128 * 2**20)
+    assert int(big["spark.sql.shuffle.partitions"]) == 100_000       # 25 TB / 256 MiB, capped
     assert int(big["spark.sql.files.maxPartitionBytes"]) == 256 * 2**20
     small = scale_settings(10 * 2**20, 8)
     assert int(small["spark.sql.shuffle.partitions"]) == 16

@@ -24,19 +24,25 @@ SESSION_CONF = {
 MiB = 1 << 20
 
 
-def scale_settings(input_bytes: int, total_cores: int, target_partition_mib: int = 128,
-                   max_split_mib: int = 256) -> dict:
+def scale_settings(input_bytes: int, total_cores: int, shuffle_bytes: int | None = None,
+                   target_partition_mib: int = 256, max_split_mib: int = 256,
+                   max_partitions: int = 100_000) -> dict:
     """Partition sizing for a run that reads ``input_bytes`` on ``total_cores``.
 
-    * initial shuffle partitions ≈ input / target size (at least 2 per core),
-      so each reducer stays around ``target_partition_mib`` and sorts/aggregates
-      without spilling; AQE then coalesces the small ones;
+    * initial shuffle partitions ≈ expected shuffle volume / target size
+      (default volume: a quarter of the input — pruning and partial
+      aggregation shrink it), at least 2 per core and at most
+      ``max_partitions`` (shuffle blocks grow as mappers × reducers); each
+      reducer then sorts / aggregates about ``target_partition_mib`` without
+      spilling, and AQE coalesces the small ones;
     * file splits of at most ``max_split_mib`` so scan tasks fit memory and
-      there are enough of them for every core;
-    * AQE advisory size = target, also the size above which a skewed join
-      partition is split.
+      every core gets work;
+    * AQE advisory size = target; a join partition four times larger is
+      treated as skewed and split.
     """
-    parts = max(2 * total_cores, -(-input_bytes // (target_partition_mib * MiB)))
+    volume = input_bytes // 4 if shuffle_bytes is None else shuffle_bytes
+    parts = -(-volume // (target_partition_mib * MiB))
+    parts = int(min(max_partitions, max(2 * total_cores, parts)))
     split = max(16 * MiB, min(max_split_mib * MiB, input_bytes // max(1, 3 * total_cores)))
     return {
         "spark.sql.shuffle.partitions": str(parts),
