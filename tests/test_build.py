@@ -96,3 +96,21 @@ def test_schema_drift_fails_before_models(spark, tmp_root):
     drifted.withColumn("month", F.trunc("date", "month")).write.partitionBy("month").parquet(lay.raw_fx)
     with pytest.raises(ContractViolation, match="valor"):
         build_mart(spark, lay)
+
+
+def test_injected_fault_fails_one_check_and_is_traced(spark, tmp_root):
+    from tidemark.plans.build import diagnose, inject_business_rule_fault
+
+    lay = Layout(tmp_root)
+    run_ts = dt.datetime(2025, 3, 1, 12)
+    load_source(spark, lay, specs.WEATHER, _weather_rows(spark, run_ts), D("2025-03-01"),
+                "backfill", START)
+    load_source(spark, lay, specs.FX, _fx_rows(spark, run_ts), D("2025-03-01"), "backfill", START)
+    build_mart(spark, lay)
+    assert inject_business_rule_fault(spark, lay, "cdmx", D("2025-02-20")) == 1
+    report = {r.check_name: r.failures for r in build_mart(spark, lay).collect()}
+    assert report["assert_temp_max_gte_temp_min"] == 1           # exactly one failure
+    assert sum(report.values()) == 1
+    got = diagnose(spark, lay).collect()
+    assert len(got) == 1 and got[0].raw_temp_max_c == 5.0 and got[0].raw_temp_min_c == 25.0
+    assert got[0].raw_extracted_at == run_ts

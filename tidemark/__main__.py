@@ -4,6 +4,7 @@
     python -m tidemark build --root R [--full-refresh] [--since D]
     python -m tidemark profile --root R --table raw/weather_daily
     python -m tidemark freshness --root R
+    python -m tidemark diagnose --root R
 """
 
 from __future__ import annotations
@@ -46,9 +47,11 @@ def main(argv: list[str] | None = None) -> int:
     pr.add_argument("--table", choices=sorted(TABLES), required=True)
     fr = sub.add_parser("freshness", help="last load time and data date per raw table")
     fr.add_argument("--root", required=True)
+    dg = sub.add_parser("diagnose", help="row-rule violations traced to their raw rows")
+    dg.add_argument("--root", required=True)
     args = ap.parse_args(argv)
 
-    from tidemark.plans.build import Layout, build_mart, load_source, source_freshness
+    from tidemark.plans.build import Layout, build_mart, diagnose, load_source, source_freshness
     from tidemark.session import get_session
 
     spark = get_session(os.environ.get("TIDEMARK_MASTER"))
@@ -82,6 +85,9 @@ def main(argv: list[str] | None = None) -> int:
         df = read_table(spark, f"{layout.root}/{args.table}", spec)
         profile(df, args.table).show(len(spec.columns) + 1, truncate=False)
         return 0
+    if args.cmd == "diagnose":
+        diagnose(spark, layout).show(truncate=False)
+        return 0
     source_freshness(spark, layout).show(truncate=False)
     return 0
 

@@ -168,6 +168,36 @@ def source_freshness(spark: SparkSession, layout: Layout) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
+def diagnose(spark: SparkSession, layout: Layout) -> DataFrame:
+    """Rows of the stored mart that break the row rule (max < min), traced to
+    the raw weather rows they came from, with their load time.  Violations
+    are checkpointed and counted so they can be broadcast to the raw scan."""
+    from tidemark.operators.quality import failing_rows, materialize_count, row_rule, trace
+
+    mart = read_table(spark, layout.mart, specs.MART)
+    bad, n = materialize_count(failing_rows(mart, row_rule("r", "temp_max_c < temp_min_c")))
+    raw = read_table(spark, layout.raw_weather, specs.WEATHER_RAW)
+    return trace(bad, raw, list(specs.WEATHER_RAW.keys),
+                 ["temp_max_c", "temp_min_c", "extracted_at"], violation_rows=n)
+
+
+def inject_business_rule_fault(spark: SparkSession, layout: Layout, location: str,
+                               day) -> int:
+    """Fault injection into the stored raw weather table (for drills): the
+    (location, day) reading becomes max 5.0 < min 25.0 — inserted if absent,
+    otherwise only the two temperatures change.  Returns rows written."""
+    from tidemark.functions.dates import as_date
+    from tidemark.operators.quality import inject_impossible_rows
+
+    day = as_date(day)
+    current = read_table(spark, layout.raw_weather, specs.WEATHER_RAW,
+                         months=[day.replace(day=1)])
+    at = spark.range(1).select(F.lit(location).alias("location"), F.lit(day).alias("date"))
+    keys = list(specs.WEATHER_RAW.keys)
+    touched = inject_impossible_rows(current, at, keys).join(at, keys, "left_semi")
+    return upsert_path(spark, layout.raw_weather, touched, specs.WEATHER_RAW)
+
+
 def mart_checks() -> list:
     from tidemark.plans.catalog import mart_checks as _checks
 
