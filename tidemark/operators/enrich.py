@@ -15,7 +15,7 @@ from tidemark.operators.series import (calendar_spine_between, carry_forward, da
 def gap_fill(obs: DataFrame, date_col: str = "date", value_col: str = "fx_rate",
              keys: Sequence[str] = (), flag_col: str = "is_published_rate",
              bounds: tuple | None = None, bucket: Column | None = None,
-             since=None) -> DataFrame:
+             since=None, seed: tuple | None = None) -> DataFrame:
     """Calendar spine ⟕ observations, presence flag, then LOCF.
 
     Output ``(*keys, date, value, flag)``: one row per calendar day from the
@@ -28,7 +28,8 @@ def gap_fill(obs: DataFrame, date_col: str = "date", value_col: str = "fx_rate",
     ``since`` returns only days on or after it — equal to filtering the full
     result — while windowing only those days: the carry is seeded with the
     last non-null value before ``since`` (one aggregate over the history,
-    no sort and no window over it).
+    no sort and no window over it).  Keyless callers that already read it
+    pass ``seed=(value,)``.
     """
     keys = list(keys)
     since = as_date(since)
@@ -55,13 +56,13 @@ def gap_fill(obs: DataFrame, date_col: str = "date", value_col: str = "fx_rate",
     if since is not None:
         seeds = last_non_null_before(obs.select(*keys, d.alias(date_col), F.col(value_col)),
                                      date_col, [value_col], since, keys)
-        seed = F.col(f"{value_col}__seed")
+        carry_in = F.col(f"{value_col}__seed")
         if keys:
             filled = filled.join(seeds, keys, "left")
         else:
-            row = seeds.first()
-            seed = F.lit(row[f"{value_col}__seed"]).cast(obs.schema[value_col].dataType)
-        filled = filled.withColumn(value_col, F.coalesce(F.col(value_col), seed))
+            value = seed[0] if seed is not None else seeds.first()[f"{value_col}__seed"]
+            carry_in = F.lit(value).cast(obs.schema[value_col].dataType)
+        filled = filled.withColumn(value_col, F.coalesce(F.col(value_col), carry_in))
     return filled.select(*keys, date_col, value_col, flag_col)
 
 
@@ -109,15 +110,19 @@ def gap_fill_sized(obs: DataFrame, date_col: str = "date", value_col: str = "fx_
             bucket = F.trunc(F.col(date_col), "month")
         return (gap_fill(obs, date_col, value_col, keys, flag_col, bucket=bucket, since=since),
                 total)
-    row = date_bounds(obs, date_col).first()
-    lo, hi = row["lo"], row["hi"]
     since = as_date(since)
+    d, v = F.col(date_col).cast("date"), F.col(value_col)
+    aggs = [F.min(d).alias("lo"), F.max(d).alias("hi")]
+    if since is not None:      # the carry seed rides along in the same aggregate
+        aggs.append(F.max_by(v, F.when(v.isNotNull() & (d < F.lit(since)), d)).alias("seed"))
+    row = obs.agg(*aggs).first()
+    lo, hi = row["lo"], row["hi"]
     first = max(lo, since) if lo is not None and since is not None else lo
     n = span_days(first, hi)
     if bucket is None and n > SINGLE_TASK_ROWS:
         bucket = F.trunc(F.col(date_col), "month")
     return (gap_fill(obs, date_col, value_col, (), flag_col, bounds=(lo, hi), bucket=bucket,
-                     since=since), n)
+                     since=since, seed=(row["seed"],) if since is not None else None), n)
 
 
 def enrich(facts: DataFrame, dim: DataFrame, on: Sequence[str] | str = "date",
