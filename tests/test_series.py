@@ -140,3 +140,30 @@ def test_model_views_for_sql_users(spark, rates):
                     "FROM t_int_daily_conditions").collect()
     assert [tuple(r) for r in got] == [("cdmx", 17.0, False, False)]
     assert spark.sql("SELECT count(*) FROM t_int_fx_gap_filled").first()[0] == 5
+
+
+def test_bucketed_carry_splits_a_hot_key(spark):
+    """One key holds most rows: the keyed window puts them all in one task,
+    the month-bucketed form spreads them over the cluster."""
+    import datetime as dt
+    hot = [("hot", dt.date(1970, 1, 1) + dt.timedelta(days=i), float(i) if i % 3 == 0 else None)
+           for i in range(6000)]
+    cold = [(f"c{j}", dt.date(2000, 1, 1) + dt.timedelta(days=i), 1.0)
+            for j in range(3) for i in range(50)]
+    df = spark.createDataFrame(hot + cold, "k string, date date, v double")
+    prev = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        def max_share(out):
+            # consume the carried column so the window is not pruned away
+            per_task = (out.filter("k = 'hot'").groupBy(F.spark_partition_id().alias("p"))
+                        .agg(F.count(F.lit(1)).alias("n"), F.max("v").alias("mx")).collect())
+            return max(r["n"] for r in per_task) / 6000
+
+        plain = carry_forward(df, "date", ["v"], keys=["k"])
+        bucketed = carry_forward(df, "date", ["v"], keys=["k"], bucket=month_bucket("date"))
+        assert max_share(plain) == 1.0
+        assert max_share(bucketed) < 0.35
+        assert rows(plain) == rows(bucketed)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", prev)
