@@ -116,3 +116,23 @@ def test_partial_update_split_path_equals_full_outer(spark, target):
     split = upsert_columns(t, b, ["k", "date"], ["v"], batch_rows=2)
     assert rows(split) == rows(plain)
     assert "LeftAnti" in plan_text(split) and "LeftSemi" in plan_text(split)
+
+
+def test_hot_month_is_written_by_several_tasks(spark, tmp_root):
+    import datetime as dt
+    import os
+    from tidemark.sources.tables import write_months
+
+    hot = spark.range(200_000).select(
+        F.concat(F.lit("k"), F.col("id").cast("string")).alias("k"),
+        F.lit(D("2024-01-15")).alias("date"), F.rand(1).alias("v"))
+    cold = spark.createDataFrame([("a", D("2024-02-01"), 1.0)], S)
+    prev = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(256 * 1024))
+    try:
+        write_months(hot.unionByName(cold), f"{tmp_root}/t", SPEC)
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", prev)
+    files = [f for f in os.listdir(f"{tmp_root}/t/month=2024-01-01") if f.endswith(".parquet")]
+    assert len(files) > 1
+    assert read_table(spark, f"{tmp_root}/t", SPEC).count() == 200_001
