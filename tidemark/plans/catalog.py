@@ -11,23 +11,22 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions.dates import business_day, dow_sunday0, month_bucket
-from tidemark.operators.enrich import gap_fill, gap_fill_sized, gap_fill_time
-from tidemark.operators.series import (calendar_spine, carry_forward_increment)
+from tidemark.operators.enrich import gap_fill, gap_fill_time
+from tidemark.operators.series import calendar_spine, carry_forward_increment
 from tidemark.operators.incremental import (full_rebuild, lookback_cutoff, merge_incremental,
                                             window_replace)
 from tidemark.operators.upsert import upsert, upsert_columns
 from tidemark.operators.profile import profile
 from tidemark.operators.quality import (accepted_range, check_report, duplicate_groups,
                                         failing_rows, freshness, inject_impossible_rows,
-                                        materialize_count,
-                                        not_null, row_rule, trace, unique_combination)
+                                        materialize_count, not_null, row_rule, trace,
+                                        unique_combination)
 from tidemark.plans import models
 from tidemark.plans.roles import load, rate_bench, weather_bench, weather_small
 from tidemark.plans.windows import advance_watermarks, plan_windows, windowed_batch
 from tidemark.sources.landed import (explode_parallel, explode_points, parse_documents,
                                      stamp)
-from tidemark.specs import FX_PAYLOAD, WEATHER_ARRAYS, WEATHER_PAYLOAD
-from tidemark.specs import MART
+from tidemark.specs import FX_PAYLOAD, MART, WEATHER_ARRAYS, WEATHER_PAYLOAD
 
 # Fixed parameters of the checkable queries.
 LOCF_CUTOFF = dt.date(2001, 1, 1)
@@ -412,4 +411,4 @@ QUERIES = {
     "stream_ingest": stream_ingest,
 }
 
-__all__ = ["QUERIES", "gap_fill_sized"]
+__all__ = ["QUERIES", "mart_checks"]
