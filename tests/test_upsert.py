@@ -136,3 +136,18 @@ def test_hot_month_is_written_by_several_tasks(spark, tmp_root):
     files = [f for f in os.listdir(f"{tmp_root}/t/month=2024-01-01") if f.endswith(".parquet")]
     assert len(files) > 1
     assert read_table(spark, f"{tmp_root}/t", SPEC).count() == 200_001
+
+
+def test_day_grain_rewrites_only_touched_days(spark, tmp_root):
+    import os
+    spec = SPEC.with_grain("day")
+    path = f"{tmp_root}/t"
+    b1 = spark.createDataFrame([("a", D("2024-01-01"), 1.0), ("a", D("2024-01-02"), 2.0)], S)
+    upsert_path(spark, path, b1, spec)
+    assert sorted(os.listdir(path))[:2] == ["day=2024-01-01", "day=2024-01-02"]
+    untouched = set(os.listdir(f"{path}/day=2024-01-01"))
+    upsert_path(spark, path, spark.createDataFrame([("a", D("2024-01-02"), 9.0)], S), spec)
+    assert set(os.listdir(f"{path}/day=2024-01-01")) == untouched
+    assert rows(read_table(spark, path, spec)) == [("a", D("2024-01-01"), 1.0),
+                                                   ("a", D("2024-01-02"), 9.0)]
+    assert rows(read_table(spark, path, spec, since=D("2024-01-02"))) == [("a", D("2024-01-02"), 9.0)]

@@ -5,10 +5,11 @@ matching by name.  Applying the same batch twice equals applying it once.
 The batch is validated first (no NULL keys, no duplicate keys) so a bad batch
 fails before anything is written, rather than losing the deleted rows.
 
-Path form (``upsert_path``): tables are partitioned by month of their date
-column; only the months the batch touches are read, merged, staged under the
-shared checkpoint folder and written back with dynamic partition overwrite.
-Work follows the batch, not the table.
+Path form (``upsert_path``): tables are partitioned by month (or day, see
+``TableSpec.grain``) of their date column; only the partitions the batch
+touches are read, merged, staged under the shared checkpoint folder and
+written back with dynamic partition overwrite.  Work follows the batch, not
+the table.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemark.operators.joins import BROADCAST_MAX_ROWS, anti_join_keys
 from tidemark.session import checkpoint_dir, delete_path, scratch_path
 from tidemark.functions.dates import month_bucket
-from tidemark.sources.tables import read_table, write_months
+from tidemark.sources.tables import part_value, read_table, write_months
 from tidemark.specs import TableSpec
 
 
@@ -35,9 +36,11 @@ def batch_keys(batch: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def key_violations(df: DataFrame, keys: Sequence[str],
-                   date_col: str | None = None) -> tuple[int, int, int, list]:
+                   date_col: str | None = None, spec: TableSpec | None = None
+                   ) -> tuple[int, int, int, list]:
     """(#rows, #rows with a NULL key part, #key groups occurring more than
-    once, distinct months of ``date_col``) in one aggregate job.
+    once, distinct partition values — months, or days for a day-grain
+    ``spec`` — of ``date_col``) in one aggregate job.
 
     Map-side partial counts combine a hot key before the shuffle, so it
     never lands whole in one task; the month set is bounded by the calendar."""
@@ -45,7 +48,8 @@ def key_violations(df: DataFrame, keys: Sequence[str],
         else F.col(keys[0]).isNull()
     per_key = [F.count(F.lit(1)).alias("n"), F.max(any_null.cast("int")).alias("has_null")]
     if date_col:
-        per_key.append(F.collect_set(month_bucket(date_col)).alias("ms"))
+        part = part_value(date_col, spec) if spec is not None else month_bucket(date_col)
+        per_key.append(F.collect_set(part).alias("ms"))
     grouped = df.groupBy(*keys).agg(*per_key)
     totals = [F.sum("n").alias("rows"),
               F.sum(F.when(F.col("has_null") == 1, F.col("n")).otherwise(0)).alias("null_rows"),
@@ -59,10 +63,11 @@ def key_violations(df: DataFrame, keys: Sequence[str],
 
 
 def validate_keys(df: DataFrame, keys: Sequence[str], what: str = "batch",
-                  date_col: str | None = None) -> tuple[int, list]:
+                  date_col: str | None = None, spec: TableSpec | None = None
+                  ) -> tuple[int, list]:
     """Raise ``KeyViolation`` on NULL or duplicate keys; return the row count
-    and the months touched."""
-    rows, nulls, dups, months = key_violations(df, keys, date_col)
+    and the partitions touched."""
+    rows, nulls, dups, months = key_violations(df, keys, date_col, spec)
     if nulls or dups:
         raise KeyViolation(f"{what}: {nulls} row(s) with NULL key, {dups} duplicate key group(s) "
                            f"on {list(keys)}")
@@ -134,10 +139,10 @@ def upsert_path(spark: SparkSession, path: str, batch: DataFrame, spec: TableSpe
     A crash leaves old or new months; rerunning the same batch repairs it."""
     batch = batch.select(*spec.columns).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        rows, months = validate_keys(batch, spec.keys, date_col=spec.date_col)
+        rows, parts = validate_keys(batch, spec.keys, date_col=spec.date_col, spec=spec)
         if rows == 0:
             return 0
-        current = read_table(spark, path, spec, months)
+        current = read_table(spark, path, spec, parts)
         merged = upsert(current, batch, spec.keys, batch_rows=rows)
         checkpoint_dir(spark)
         stage = scratch_path(spark, f"upsert-{spec.name}")

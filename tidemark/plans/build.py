@@ -26,7 +26,7 @@ from tidemark.plans import models
 from tidemark.plans.windows import advance_watermarks, plan_windows
 from tidemark.session import delete_path, path_exists
 from tidemark.sources.state import load_state, save_state
-from tidemark.sources.tables import read_table, write_table
+from tidemark.sources.tables import part_of, read_table, write_table
 
 
 @dataclass(frozen=True)
@@ -102,7 +102,7 @@ def stored_schema_diff(spark: SparkSession, path: str, spec: specs.TableSpec) ->
     (partition column excluded) — how upstream drift is named early."""
     if not path_exists(spark, path):
         return []
-    stored = spark.read.parquet(path).drop("month").schema
+    stored = spark.read.parquet(path).drop(spec.part_col).schema
     return contract_diff(stored, spec.schema)
 
 
@@ -191,7 +191,7 @@ def inject_business_rule_fault(spark: SparkSession, layout: Layout, location: st
 
     day = as_date(day)
     current = read_table(spark, layout.raw_weather, specs.WEATHER_RAW,
-                         months=[day.replace(day=1)])
+                         [part_of(day, specs.WEATHER_RAW)])
     at = spark.range(1).select(F.lit(location).alias("location"), F.lit(day).alias("date"))
     keys = list(specs.WEATHER_RAW.keys)
     touched = inject_impossible_rows(current, at, keys).join(at, keys, "left_semi")

@@ -1,4 +1,5 @@
-"""Stored tables: month-partitioned Parquet with a declared schema."""
+"""Stored tables: Parquet partitioned by month (or day) of their date column,
+read with a declared schema."""
 
 from __future__ import annotations
 
@@ -10,7 +11,19 @@ from tidemark.functions.dates import as_date, month_bucket
 from tidemark.session import path_exists
 from tidemark.specs import TableSpec
 
-PART_COL = "month"
+PART_COL = "month"   # partition column of the default (monthly) grain
+
+
+def part_value(col, spec: TableSpec):
+    """The partition value of a date column: first day of its month, or the day."""
+    c = F.col(col) if isinstance(col, str) else col
+    return month_bucket(c) if spec.grain == "month" else c.cast("date")
+
+
+def part_of(day, spec: TableSpec):
+    """Python-side partition value of a date."""
+    day = as_date(day)
+    return day.replace(day=1) if spec.grain == "month" else day
 
 
 def empty_table(spark: SparkSession, spec: TableSpec) -> DataFrame:
@@ -18,40 +31,44 @@ def empty_table(spark: SparkSession, spec: TableSpec) -> DataFrame:
 
 
 def stored_schema(spec: TableSpec) -> T.StructType:
-    return T.StructType(list(spec.schema.fields) + [T.StructField(PART_COL, T.DateType())])
+    return T.StructType(list(spec.schema.fields) + [T.StructField(spec.part_col, T.DateType())])
 
 
 def read_table(spark: SparkSession, path: str, spec: TableSpec,
-               months: Sequence | None = None, since=None) -> DataFrame:
+               parts: Sequence | None = None, since=None) -> DataFrame:
     """Read with the declared schema (no inference).  An absent path reads
-    as an empty table (create-if-absent).  ``months`` and ``since`` (rows
-    with date on or after it) prune month partitions at planning time."""
+    as an empty table (create-if-absent).  ``parts`` (partition values) and
+    ``since`` (rows with date on or after it) prune partitions at planning
+    time."""
     if not path_exists(spark, path):
         return empty_table(spark, spec)
     df = spark.read.schema(stored_schema(spec)).parquet(path)
-    if months is not None:
-        df = df.filter(F.col(PART_COL).isin(list(months)))
+    pc = F.col(spec.part_col)
+    if parts is not None:
+        df = df.filter(pc.isin(list(parts)))
     if since is not None:
         since = as_date(since)
-        df = df.filter((F.col(PART_COL) >= F.lit(since.replace(day=1)))
+        df = df.filter((pc >= F.lit(part_of(since, spec)))
                        & (F.col(spec.date_col) >= F.lit(since)))
     return df.select(*spec.columns)
 
 
 def write_months(df: DataFrame, path: str, spec: TableSpec) -> None:
-    """Dynamic partition overwrite: only months present in ``df`` are
-    replaced.  ``REBALANCE`` on the month clusters rows so each month is
-    written by few tasks, and lets AQE split a month larger than the advisory
-    partition size (a hot month never funnels into one task) and merge small
-    ones."""
-    (df.withColumn(PART_COL, month_bucket(spec.date_col))
-       .hint("rebalance", PART_COL)
+    """Dynamic partition overwrite: only partitions (months or days) present
+    in ``df`` are replaced.  ``REBALANCE`` on the partition column clusters
+    rows so each partition is written by few tasks, and lets AQE split one
+    larger than the advisory partition size (a hot month never funnels into
+    one task) and merge small ones."""
+    pc = spec.part_col
+    (df.withColumn(pc, part_value(spec.date_col, spec))
+       .hint("rebalance", pc)
        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy(PART_COL).parquet(path))
+       .partitionBy(pc).parquet(path))
 
 
 def write_table(df: DataFrame, path: str, spec: TableSpec) -> None:
     """Full (static) overwrite of a table at a fresh path."""
-    (df.select(*spec.columns).withColumn(PART_COL, month_bucket(spec.date_col))
-       .hint("rebalance", PART_COL)
-       .write.mode("overwrite").partitionBy(PART_COL).parquet(path))
+    pc = spec.part_col
+    (df.select(*spec.columns).withColumn(pc, part_value(spec.date_col, spec))
+       .hint("rebalance", pc)
+       .write.mode("overwrite").partitionBy(pc).parquet(path))

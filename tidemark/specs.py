@@ -14,17 +14,36 @@ from pyspark.sql import types as T
 @dataclass(frozen=True)
 class TableSpec:
     """A stored table: schema, natural key and the date column it is
-    partitioned on (by month)."""
+    partitioned on.
+
+    ``grain`` is the partition unit: ``"month"`` (default; a small daily
+    series would make tiny files per day) or ``"day"`` for large tables, so a
+    daily increment rewrites only the days it touches instead of whole
+    months."""
 
     name: str
     schema: T.StructType
     keys: tuple[str, ...]
     date_col: str = "date"
+    grain: str = "month"
+
+    def __post_init__(self):
+        if self.grain not in ("month", "day"):
+            raise ValueError("grain must be 'month' or 'day'")
 
     @property
     def columns(self) -> list[str]:
         return [f.name for f in self.schema.fields]
 
+    @property
+    def part_col(self) -> str:
+        return self.grain
+
+    def with_grain(self, grain: str) -> "TableSpec":
+        from dataclasses import replace
+
+        return replace(self, grain=grain)
+
 
 @dataclass(frozen=True)
 class SourceSpec:
