@@ -32,3 +32,15 @@ def test_every_query_has_an_oracle():
 def test_query_matches_oracle(spark, name):
     res = compare(spark, SF, {name}, verbose=False)[name]
     assert res[0] == "ok", res
+
+
+@pytest.mark.skipif(not Path(SF).exists(), reason="driver test data not present")
+def test_queries_do_not_depend_on_session_time_zone(spark):
+    prev = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Mexico_City")
+    try:
+        for name in ("plan_windows", "src_parallel_arrays", "locf_minute", "freshness_report"):
+            res = compare(spark, SF, {name}, verbose=False)[name]
+            assert res[0] == "ok", (name, res)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", prev)

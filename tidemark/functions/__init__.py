@@ -2,7 +2,7 @@
 
 from tidemark.functions.dates import (
     business_day, dow_sunday0, parse_day_first, days_before, days_after, to_day,
-    month_bucket, as_date,
+    month_bucket, as_date, trunc_ntz,
 )
 from tidemark.functions.values import (
     parse_grouped_number, not_sentinel, require_not_null,
@@ -10,6 +10,6 @@ from tidemark.functions.values import (
 
 __all__ = [
     "business_day", "dow_sunday0", "parse_day_first", "days_before", "days_after",
-    "to_day", "month_bucket", "as_date", "parse_grouped_number", "not_sentinel",
+    "to_day", "month_bucket", "as_date", "trunc_ntz", "parse_grouped_number", "not_sentinel",
     "require_not_null",
 ]

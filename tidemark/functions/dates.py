@@ -60,3 +60,16 @@ def days_after(col, n: int) -> Column:
 def month_bucket(col) -> Column:
     """First day of the month — the partition / bucket unit of stored series."""
     return F.trunc(_c(col).cast("date"), "month")
+
+
+def trunc_ntz(col, unit: str) -> Column:
+    """Truncate a zone-less timestamp to ``second``/``minute``/``hour``/``day``
+    and keep it zone-less.  (``date_trunc`` returns a zone-aware timestamp,
+    i.e. the result would depend on the session time zone.)"""
+    c = _c(col)
+    if unit == "day":
+        return c.cast("date").cast("timestamp_ntz")
+    parts = {"hour": (F.hour(c), F.lit(0), F.lit(0)),
+             "minute": (F.hour(c), F.minute(c), F.lit(0)),
+             "second": (F.hour(c), F.minute(c), F.second(c))}[unit]
+    return F.make_timestamp_ntz(F.year(c), F.month(c), F.dayofmonth(c), *parts)

@@ -10,7 +10,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.functions.dates import business_day, dow_sunday0, month_bucket
+from tidemark.functions.dates import business_day, dow_sunday0, month_bucket, trunc_ntz
 from tidemark.operators.enrich import gap_fill, gap_fill_time
 from tidemark.operators.series import calendar_spine, carry_forward_increment
 from tidemark.operators.incremental import (full_rebuild, lookback_cutoff, merge_incremental,
@@ -82,8 +82,7 @@ def locf_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
     the whole event range, carried forward with the day-bucketed two-stage
     form (parallel spine, parallel local windows)."""
     ev = load(spark, sf_dir, "events")
-    obs = ev.groupBy(F.date_trunc("minute", F.col("ts")).alias("ts")).agg(
-        F.max("value").alias("value"))
+    obs = ev.groupBy(trunc_ntz("ts", "minute").alias("ts")).agg(F.max("value").alias("value"))
     return gap_fill_time(obs, "ts", "value", 60)
 
 
@@ -227,7 +226,8 @@ def _plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     specs_df = ev.select(F.col("user_id").alias("source")).distinct().select(
         "source", (F.lit(1) + F.col("source") % 5).alias("lag_days"),
         F.lit(30).alias("default_days"))
-    state = (ev.filter(F.col("ts") < F.lit(PLAN_STATE_BEFORE))
+    before = F.lit(PLAN_STATE_BEFORE.isoformat(sep=" ")).cast("timestamp_ntz")
+    state = (ev.filter(F.col("ts") < before)
              .groupBy(F.col("user_id").alias("source"))
              .agg(F.max(F.col("ts").cast("date")).alias("wm"))
              .select("source", F.when(F.col("source") % 7 == 0, F.lit(None))
