@@ -10,8 +10,9 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Settings every tidemark job relies on.  ANSI makes bad casts fail loudly,
-# UTC keeps load-time stamps identical on every executor.
+# Settings tidemark sessions start with.  ANSI makes bad casts fail loudly
+# (the operators also check explicitly, so results do not depend on it), UTC
+# for any zone-aware timestamp a caller adds.
 SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
@@ -37,8 +38,8 @@ def scale_settings(input_bytes: int, total_cores: int, shuffle_bytes: int | None
       spilling, and AQE coalesces the small ones;
     * file splits of at most ``max_split_mib`` so scan tasks fit memory and
       every core gets work;
-    * AQE advisory size = target; a join partition four times larger is
-      treated as skewed and split.
+    * AQE advisory size = target; a join partition above four times the
+      target (and the skew factor times the median) is split as skewed.
     """
     volume = input_bytes // 4 if shuffle_bytes is None else shuffle_bytes
     parts = -(-volume // (target_partition_mib * MiB))
