@@ -3,6 +3,7 @@
 import datetime as dt
 
 from hypothesis import HealthCheck, given, settings, strategies as st
+from pyspark.sql import functions as F
 
 from conftest import rows
 from tidemark.functions.dates import month_bucket
@@ -71,3 +72,48 @@ def test_merge_properties(spark, t, s):
     src_keys = {(k, d) for k, d, _ in rows(source)}
     assert all((k, d) in src_keys for k, d, _ in wr if d >= cutoff)
     assert [r for r in wr if r[1] < cutoff] == [r for r in rows(target) if r[1] < cutoff]
+
+
+arrays = st.lists(st.one_of(st.none(), st.floats(-9, 9, allow_nan=False)), max_size=6)
+
+
+@SETTINGS
+@given(a=st.one_of(st.none(), arrays), b=st.one_of(st.none(), arrays),
+       c=st.one_of(st.none(), arrays))
+def test_parallel_arrays_match_python_zip(spark, a, b, c):
+    from pyspark.sql import types as T
+    from tidemark.sources.landed import explode_parallel
+    arr = T.ArrayType(T.DoubleType())
+    schema = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("d", T.StructType(
+        [T.StructField("a", arr), T.StructField("b", arr), T.StructField("c", arr)]))])
+    df = spark.createDataFrame([(1, {"a": a, "b": b, "c": c})], schema)
+    got = [tuple(r) for r in explode_parallel(df, {"x": "d.a", "y": "d.b", "z": "d.c"},
+                                              carry=["id"]).collect()]
+    assert got == [(1, x, y, z) for x, y, z in zip(a or [], b or [], c or [])]
+
+
+@SETTINGS
+@given(data=st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.integers(0, 5)),
+                     max_size=40))
+def test_key_violations_match_counter(spark, data):
+    from collections import Counter
+    from tidemark.operators.upsert import key_violations
+    df = spark.createDataFrame([(k, BASE + dt.timedelta(days=d)) for k, d in data],
+                               "k string, date date")
+    rows_, nulls, dups, months = key_violations(df, ["k", "date"], "date")
+    cnt = Counter((k, d) for k, d in data)
+    assert rows_ == len(data)
+    assert nulls == sum(1 for k, _ in data if k is None)
+    assert dups == sum(1 for (k, _), n in cnt.items() if k is not None and n > 1)
+    assert months == sorted({(BASE + dt.timedelta(days=d)).replace(day=1) for _, d in data})
+
+
+@SETTINGS
+@given(t=cells, b=cells)
+def test_partial_upsert_split_equals_plain(spark, t, b):
+    from tidemark.operators.upsert import upsert_columns
+    target = _df(spark, t).withColumn("w", F.lit(1.0))
+    batch = _df(spark, b).withColumn("w", F.lit(2.0))
+    plain = upsert_columns(target, batch, ["k", "date"], ["v"])
+    split = upsert_columns(target, batch, ["k", "date"], ["v"], batch_rows=len(rows(batch)))
+    assert rows(split) == rows(plain)
