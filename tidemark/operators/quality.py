@@ -1,8 +1,8 @@
 """Data checks, contract enforcement, failing-row trace, freshness, faults.
 
-All row-level checks of a table run in **one** aggregate pass
-(``count_if`` per check); only the uniqueness check needs a shuffle (group by
-key with map-side partial counts, so a hot key is combined before it moves).
+All checks of a table run in **one** scan: row-level checks are ``count_if``
+aggregates, computed inside the uniqueness check's group-by when there is
+one (map-side partial counts, so a hot key is combined before it moves).
 """
 
 from __future__ import annotations
@@ -70,17 +70,33 @@ def _status(failures: Column) -> Column:
 
 
 def check_report(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """``(check_name, column_name, failures, status)`` for every check."""
+    """``(check_name, column_name, failures, status)`` for every check.
+
+    One scan of ``df``.  With a uniqueness check, the row-level ``count_if``
+    checks ride along in its group-by (per-key partial counts, then summed),
+    so the whole report costs one scan and the one shuffle uniqueness needs
+    anyway; without one, a single global aggregate.  Further uniqueness
+    checks on other keys add one group-by each."""
     row_checks = [c for c in checks if c.fails is not None]
     key_checks = [c for c in checks if c.keys]
+    counts = [F.count_if(c.fails).alias(f"f{i}") for i, c in enumerate(row_checks)]
+    entries = []
+    if key_checks:
+        first = key_checks[0]
+        per_key = df.groupBy(*first.keys).agg(F.count(F.lit(1)).alias("__n"), *counts)
+        totals = per_key.agg(F.count_if(F.col("__n") > 1).alias("u0"),
+                             *[F.sum(f"f{i}").alias(f"f{i}") for i in range(len(row_checks))])
+        entries.append((first, "u0"))
+    else:
+        totals = df.agg(*counts) if counts else None
+    entries += [(c, f"f{i}") for i, c in enumerate(row_checks)]
     parts = []
-    if row_checks:
-        counts = df.agg(*[F.count_if(c.fails).alias(f"f{i}") for i, c in enumerate(row_checks)])
-        parts.append(counts.select(F.inline(F.array(*[
+    if totals is not None and entries:
+        parts.append(totals.select(F.inline(F.array(*[
             F.struct(F.lit(c.name).alias("check_name"), F.lit(c.column).alias("column_name"),
-                     F.col(f"f{i}").cast("bigint").alias("failures"))
-            for i, c in enumerate(row_checks)]))))
-    for c in key_checks:
+                     F.coalesce(F.col(col), F.lit(0)).cast("bigint").alias("failures"))
+            for c, col in entries]))))
+    for c in key_checks[1:]:
         n = duplicate_groups(df, c.keys).agg(F.count(F.lit(1)).alias("failures"))
         parts.append(n.select(F.lit(c.name).alias("check_name"),
                               F.lit(c.column).alias("column_name"),
