@@ -1,12 +1,13 @@
 """Single-pass table profile.
 
 Per column: type, row count, NULL percentage and, for numeric / date /
-timestamp columns, min, max and exact distinct count.  One aggregate pass for
-counts and bounds; distinct values are counted on a stacked
-``(column, value)`` relation in two shuffle stages, so each task only ever
-holds per-column distinct values (``distinct="approx"`` uses HyperLogLog in
-the first pass instead).  Min and max are returned as strings so one schema
-fits every type.
+timestamp columns, min, max and exact distinct count — all in **one**
+aggregate over one scan.  For the exact distincts Catalyst expands each row
+once per profiled column and aggregates in two shuffle stages keyed by
+(column, value), so a task only ever holds per-column distinct values; this
+measured faster than a separate stacked distinct pass, which needs a second
+scan.  ``distinct="approx"`` uses HyperLogLog sketches instead (no expand).
+Min and max are returned as strings so one schema fits every type.
 """
 
 from __future__ import annotations
@@ -47,9 +48,9 @@ def profile(df: DataFrame, table_name: str | None = None, distinct: str = "exact
         aggs.append(F.count_if(c.isNull()).alias(f"__z{i}"))
         if _profiled(f):
             aggs += [F.min(c).cast("string").alias(f"__lo{i}"),
-                     F.max(c).cast("string").alias(f"__hi{i}")]
-            if distinct == "approx":
-                aggs.append(F.approx_count_distinct(c).alias(f"__d{i}"))
+                     F.max(c).cast("string").alias(f"__hi{i}"),
+                     (F.approx_count_distinct(c) if distinct == "approx"
+                      else F.count_distinct(c)).alias(f"__d{i}")]
     one = df.agg(*aggs)
 
     n = F.col("__n")
@@ -65,29 +66,12 @@ def profile(df: DataFrame, table_name: str | None = None, distinct: str = "exact
                                  n.cast("double")), 2).alias("null_pct"),
             (F.col(f"__lo{i}") if prof else null_str).alias("min_value"),
             (F.col(f"__hi{i}") if prof else null_str).alias("max_value"),
-            (F.col(f"__d{i}").cast("bigint") if prof and distinct == "approx" else null_long)
-             .alias("distinct_count"),
-            F.lit(prof).alias("__exact")))
+            (F.col(f"__d{i}").cast("bigint") if prof else null_long).alias("distinct_count")))
     empty = F.struct(null_str.alias("column_name"), null_str.alias("data_type"),
                      n.alias("row_count"), F.lit(None).cast("double").alias("null_pct"),
                      null_str.alias("min_value"), null_str.alias("max_value"),
-                     null_long.alias("distinct_count"), F.lit(False).alias("__exact"))
-    rows = one.select(F.inline(F.when(n > 0, F.array(*per_col)).otherwise(F.array(empty))))
-
-    exact_cols = [f.name for f in fields if _profiled(f)] if distinct == "exact" else []
-    if exact_cols:
-        stacked = df.select(F.explode(F.array(*[
-            F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("v"))
-            for c in exact_cols])).alias("s")).select("s.*").filter(F.col("v").isNotNull())
-        counts = stacked.groupBy("column_name").agg(
-            F.count_distinct("v").cast("bigint").alias("__dc"))
-        # ``counts`` has at most one row per column of the schema: a proven bound.
-        rows = (rows.join(F.broadcast(counts), "column_name", "left")
-                .withColumn("distinct_count",
-                            F.when(F.col("__exact"), F.coalesce(F.col("__dc"), F.lit(0)))
-                            .otherwise(F.col("distinct_count")))
-                .drop("__dc"))
-    out = rows.drop("__exact")
+                     null_long.alias("distinct_count"))
+    out = one.select(F.inline(F.when(n > 0, F.array(*per_col)).otherwise(F.array(empty))))
     if table_name is not None:
         out = out.select(F.lit(table_name).alias("table_name"), "*")
     return out
