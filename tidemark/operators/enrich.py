@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.operators.joins import join_dimension
+from tidemark.operators.joins import BROADCAST_MAX_ROWS, join_dimension
 from tidemark.functions.dates import as_date
 from tidemark.operators.series import (calendar_spine_between, carry_forward, date_bounds,
                                        last_non_null_before, span_days, time_spine)
@@ -15,7 +15,8 @@ from tidemark.operators.series import (calendar_spine_between, carry_forward, da
 def gap_fill(obs: DataFrame, date_col: str = "date", value_col: str = "fx_rate",
              keys: Sequence[str] = (), flag_col: str = "is_published_rate",
              bounds: tuple | None = None, bucket: Column | None = None,
-             since=None, seed: tuple | None = None) -> DataFrame:
+             since=None, seed: tuple | None = None,
+             rows_bound: int | None = None) -> DataFrame:
     """Calendar spine ⟕ observations, presence flag, then LOCF.
 
     Output ``(*keys, date, value, flag)``: one row per calendar day from the
@@ -29,7 +30,9 @@ def gap_fill(obs: DataFrame, date_col: str = "date", value_col: str = "fx_rate",
     result — while windowing only those days: the carry is seeded with the
     last non-null value before ``since`` (one aggregate over the history,
     no sort and no window over it).  Keyless callers that already read it
-    pass ``seed=(value,)``.
+    pass ``seed=(value,)``.  ``rows_bound`` (a proven bound on the output
+    rows, e.g. from ``gap_fill_sized``) lets seeds and bucket carries, both
+    at most that many rows, be broadcast.
     """
     keys = list(keys)
     since = as_date(since)
@@ -52,12 +55,14 @@ def gap_fill(obs: DataFrame, date_col: str = "date", value_col: str = "fx_rate",
         points = points.filter(F.col(date_col) >= F.lit(since))
     joined = (spine.join(points, on=keys + [date_col], how="left")
               .withColumn(flag_col, F.col(value_col).isNotNull()))
-    filled = carry_forward(joined, date_col, [value_col], keys, bucket)
+    filled = carry_forward(joined, date_col, [value_col], keys, bucket, rows_bound)
     if since is not None:
         seeds = last_non_null_before(obs.select(*keys, d.alias(date_col), F.col(value_col)),
                                      date_col, [value_col], since, keys)
         carry_in = F.col(f"{value_col}__seed")
         if keys:
+            if rows_bound is not None and rows_bound <= BROADCAST_MAX_ROWS:
+                seeds = F.broadcast(seeds)      # one row per key <= calendar rows
             filled = filled.join(seeds, keys, "left")
         else:
             value = seed[0] if seed is not None else seeds.first()[f"{value_col}__seed"]
@@ -77,8 +82,12 @@ def gap_fill_time(obs: DataFrame, ts_col: str, value_col: str, step_seconds: int
     points = obs.select(F.col(ts_col), F.col(value_col))
     joined = (spine.join(points, ts_col, "left")
               .withColumn(flag_col, F.col(value_col).isNotNull()))
-    bucket = bucket if bucket is not None else F.to_date(F.col(ts_col))
-    filled = carry_forward(joined, ts_col, [value_col], (), bucket)
+    days = (row["hi"] - row["lo"]).days + 1 if row["lo"] is not None else 0
+    if bucket is None:     # day buckets: the carries have one row per day of the span
+        bucket, carries_bound = F.to_date(F.col(ts_col)), days
+    else:
+        carries_bound = None
+    filled = carry_forward(joined, ts_col, [value_col], (), bucket, carries_bound)
     return filled.select(ts_col, value_col, flag_col)
 
 
@@ -108,8 +117,8 @@ def gap_fill_sized(obs: DataFrame, date_col: str = "date", value_col: str = "fx_
         total, longest = calendar_rows(obs, date_col, keys, since)
         if bucket is None and longest > SINGLE_TASK_ROWS:
             bucket = F.trunc(F.col(date_col), "month")
-        return (gap_fill(obs, date_col, value_col, keys, flag_col, bucket=bucket, since=since),
-                total)
+        return (gap_fill(obs, date_col, value_col, keys, flag_col, bucket=bucket, since=since,
+                         rows_bound=total), total)
     since = as_date(since)
     d, v = F.col(date_col).cast("date"), F.col(value_col)
     aggs = [F.min(d).alias("lo"), F.max(d).alias("hi")]
@@ -122,7 +131,8 @@ def gap_fill_sized(obs: DataFrame, date_col: str = "date", value_col: str = "fx_
     if bucket is None and n > SINGLE_TASK_ROWS:
         bucket = F.trunc(F.col(date_col), "month")
     return (gap_fill(obs, date_col, value_col, (), flag_col, bounds=(lo, hi), bucket=bucket,
-                     since=since, seed=(row["seed"],) if since is not None else None), n)
+                     since=since, seed=(row["seed"],) if since is not None else None,
+                     rows_bound=n), n)
 
 
 def enrich(facts: DataFrame, dim: DataFrame, on: Sequence[str] | str = "date",
