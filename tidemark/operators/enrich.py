@@ -55,7 +55,8 @@ def gap_fill(obs: DataFrame, date_col: str = "date", value_col: str = "fx_rate",
         points = points.filter(F.col(date_col) >= F.lit(since))
     joined = (spine.join(points, on=keys + [date_col], how="left")
               .withColumn(flag_col, F.col(value_col).isNotNull()))
-    filled = carry_forward(joined, date_col, [value_col], keys, bucket, rows_bound)
+    filled = carry_forward(joined, date_col, [value_col], keys, bucket,
+                           carries_bound=rows_bound)
     if since is not None:
         seeds = last_non_null_before(obs.select(*keys, d.alias(date_col), F.col(value_col)),
                                      date_col, [value_col], since, keys)
@@ -87,7 +88,7 @@ def gap_fill_time(obs: DataFrame, ts_col: str, value_col: str, step_seconds: int
         bucket, carries_bound = F.to_date(F.col(ts_col)), days
     else:
         carries_bound = None
-    filled = carry_forward(joined, ts_col, [value_col], (), bucket, carries_bound)
+    filled = carry_forward(joined, ts_col, [value_col], (), bucket, carries_bound=carries_bound)
     return filled.select(ts_col, value_col, flag_col)
 
 

@@ -97,13 +97,14 @@ def _last_non_null_window(keys: Sequence[str], order_col: str):
 
 def carry_forward(df: DataFrame, order_col: str, cols: Sequence[str],
                   keys: Sequence[str] = (), bucket: Column | None = None,
-                  rows_bound: int | None = None) -> DataFrame:
+                  carries_bound: int | None = None) -> DataFrame:
     """Replace NULLs in ``cols`` with the last non-null value at or before the
     row, ordered by ``order_col`` within ``keys``.  Leading NULLs stay NULL;
     there is no maximum carry distance.  Column order is preserved.
 
-    ``rows_bound`` — a proven bound on ``df``'s rows — also bounds the
-    (key, bucket) carries, which are then broadcast back."""
+    ``carries_bound`` — a proven bound on the number of (key, bucket) pairs,
+    e.g. ``df``'s row count or the number of buckets — lets the carries be
+    broadcast back when small."""
     keys, cols = list(keys), list(cols)
     if bucket is None:
         w = _last_non_null_window(keys, order_col)
@@ -120,7 +121,7 @@ def carry_forward(df: DataFrame, order_col: str, cols: Sequence[str],
     carries = tails.select(*keys, _BUCKET, *[
         F.last(F.col(f"{c}__tail"), ignorenulls=True).over(cw).alias(f"{c}__carry")
         for c in cols])
-    if rows_bound is not None and rows_bound <= BROADCAST_MAX_ROWS:
+    if carries_bound is not None and carries_bound <= BROADCAST_MAX_ROWS:
         carries = F.broadcast(carries)
     joined = local.join(carries, on=keys + [_BUCKET], how="left")
     return joined.select(*[F.coalesce(F.col(c), F.col(f"{c}__carry")).alias(c) if c in cols
