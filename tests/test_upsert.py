@@ -151,3 +151,19 @@ def test_day_grain_rewrites_only_touched_days(spark, tmp_root):
     assert rows(read_table(spark, path, spec)) == [("a", D("2024-01-01"), 1.0),
                                                    ("a", D("2024-01-02"), 9.0)]
     assert rows(read_table(spark, path, spec, since=D("2024-01-02"))) == [("a", D("2024-01-02"), 9.0)]
+
+
+def test_stored_window_replace_drops_vanished_keys_and_empty_partitions(spark, tmp_root):
+    import os
+    from tidemark.operators.upsert import window_replace_path
+    path = f"{tmp_root}/t"
+    days = ["2024-01-10", "2024-02-05", "2024-02-20", "2024-02-25", "2024-03-03"]
+    upsert_path(spark, path, spark.createDataFrame([("a", D(d), 1.0) for d in days], S), SPEC)
+    jan = set(os.listdir(f"{path}/month=2024-01-01"))
+    # source inside the window: 02-20 updated, 02-25 and all of March gone
+    source = spark.createDataFrame([("a", D("2024-02-20"), 2.0), ("a", D("2024-01-10"), 9.0)], S)
+    assert window_replace_path(spark, path, source, SPEC, D("2024-02-15")) == 1
+    assert rows(read_table(spark, path, SPEC)) == [
+        ("a", D("2024-01-10"), 1.0), ("a", D("2024-02-05"), 1.0), ("a", D("2024-02-20"), 2.0)]
+    assert not os.path.exists(f"{path}/month=2024-03-01")
+    assert set(os.listdir(f"{path}/month=2024-01-01")) == jan

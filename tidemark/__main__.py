@@ -42,6 +42,8 @@ def main(argv: list[str] | None = None) -> int:
     bd.add_argument("--root", required=True)
     bd.add_argument("--full-refresh", action="store_true")
     bd.add_argument("--since", type=_date)
+    bd.add_argument("--window-replace", action="store_true",
+                    help="replace the whole lookback window (drops keys gone from the source)")
     pr = sub.add_parser("profile", help="one-pass profile of a stored table")
     pr.add_argument("--root", required=True)
     pr.add_argument("--table", choices=sorted(TABLES), required=True)
@@ -72,7 +74,8 @@ def main(argv: list[str] | None = None) -> int:
                   f"{r.watermark_after}")
         return 0
     if args.cmd == "build":
-        report = build_mart(spark, layout, full_refresh=args.full_refresh, since=args.since)
+        report = build_mart(spark, layout, full_refresh=args.full_refresh, since=args.since,
+                            strategy="window_replace" if args.window_replace else "delete_insert")
         rows = report.collect()
         for r in rows:
             print(f"{r.status.upper():4s} {r.failures:>8d}  {r.check_name} ({r.column_name})")

@@ -153,3 +153,36 @@ def upsert_path(spark: SparkSession, path: str, batch: DataFrame, spec: TableSpe
     write_months(staged, path, spec)
     delete_path(spark, stage)
     return rows
+
+
+def window_replace_path(spark: SparkSession, path: str, source: DataFrame, spec: TableSpec,
+                        cutoff) -> int:
+    """Stored window replace: every row with date on or after ``cutoff`` is
+    replaced by the source's rows in that range, so keys that vanished from
+    the source disappear.  Only the cutoff's own partition keeps older rows;
+    partitions at or after it that end up with no rows are removed (dynamic
+    overwrite alone would leave them).  Returns the rows written."""
+    from tidemark.functions.dates import as_date
+    from tidemark.sources.tables import drop_parts, part_of, stored_parts
+
+    cutoff = as_date(cutoff)
+    d = F.col(spec.date_col)
+    fresh = source.filter(d >= F.lit(cutoff)).select(*spec.columns).persist(
+        StorageLevel.MEMORY_AND_DISK)
+    try:
+        rows, parts = validate_keys(fresh, spec.keys, date_col=spec.date_col, spec=spec)
+        first = part_of(cutoff, spec)
+        older = read_table(spark, path, spec, [first]).filter(d < F.lit(cutoff))
+        stage = scratch_path(spark, f"replace-{spec.name}")
+        older.unionByName(fresh).write.mode("errorifexists").parquet(stage)
+    finally:
+        fresh.unpersist()
+    staged = spark.read.schema(spec.schema).parquet(stage)
+    written = {part_of(r[0], spec) for r in
+               staged.select(part_value(spec.date_col, spec)).distinct().collect()}
+    if written:
+        write_months(staged, path, spec)
+    drop_parts(spark, path, spec, [p for p in stored_parts(spark, path, spec)
+                                   if p >= first and p not in written])
+    delete_path(spark, stage)
+    return rows

@@ -21,7 +21,7 @@ from tidemark import specs
 from tidemark.operators.incremental import lookback_cutoff
 from tidemark.operators.quality import (ContractViolation, check_report, contract_diff,
                                         enforce_contract)
-from tidemark.operators.upsert import upsert_path
+from tidemark.operators.upsert import upsert_path, window_replace_path
 from tidemark.plans import models
 from tidemark.plans.windows import advance_watermarks, plan_windows
 from tidemark.session import delete_path, path_exists
@@ -142,19 +142,28 @@ def _swap_in(spark: SparkSession, df: DataFrame, path: str, spec: specs.TableSpe
 
 
 def build_mart(spark: SparkSession, layout: Layout, full_refresh: bool = False,
-               lookback_days: int = specs.MART_LOOKBACK_DAYS, since=None) -> DataFrame:
+               lookback_days: int = specs.MART_LOOKBACK_DAYS, since=None,
+               strategy: str = "delete_insert") -> DataFrame:
     """Build or incrementally merge the mart; returns its check report.
 
     Absent mart or ``full_refresh`` ⇒ full rebuild; otherwise the source rows
     with ``date >= max(mart.date) - lookback`` (or ``>= since``) replace
-    their keys, month partitions outside the window are untouched."""
+    their keys (``strategy="delete_insert"``), or replace the whole window so
+    keys gone from the source disappear (``strategy="window_replace"``).
+    Partitions before the window are untouched."""
+    if strategy not in ("delete_insert", "window_replace"):
+        raise ValueError("strategy must be 'delete_insert' or 'window_replace'")
     check_inputs(spark, layout)
     if full_refresh or not path_exists(spark, layout.mart):
         _swap_in(spark, conditions(spark, layout), layout.mart, specs.MART)
     else:
         current = read_table(spark, layout.mart, specs.MART)
         cutoff = since or lookback_cutoff(current, "date", lookback_days)
-        upsert_path(spark, layout.mart, conditions(spark, layout, since=cutoff), specs.MART)
+        recent = conditions(spark, layout, since=cutoff)
+        if strategy == "window_replace":
+            window_replace_path(spark, layout.mart, recent, specs.MART, cutoff)
+        else:
+            upsert_path(spark, layout.mart, recent, specs.MART)
     return check_report(read_table(spark, layout.mart, specs.MART), mart_checks())
 
 

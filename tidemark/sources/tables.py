@@ -72,3 +72,28 @@ def write_table(df: DataFrame, path: str, spec: TableSpec) -> None:
     (df.select(*spec.columns).withColumn(pc, part_value(spec.date_col, spec))
        .hint("rebalance", pc)
        .write.mode("overwrite").partitionBy(pc).parquet(path))
+
+
+def stored_parts(spark: SparkSession, path: str, spec: TableSpec) -> list:
+    """Partition values present under ``path`` (one directory listing)."""
+    import datetime as dt
+
+    if not path_exists(spark, path):
+        return []
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    prefix = spec.part_col + "="
+    out = []
+    for status in fs.listStatus(p):
+        name = status.getPath().getName()
+        if status.isDirectory() and name.startswith(prefix):
+            out.append(dt.date.fromisoformat(name[len(prefix):][:10]))
+    return sorted(out)
+
+
+def drop_parts(spark: SparkSession, path: str, spec: TableSpec, parts) -> None:
+    from tidemark.session import delete_path
+
+    for part in parts:
+        delete_path(spark, f"{path}/{spec.part_col}={part.isoformat()}")
