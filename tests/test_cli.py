@@ -32,3 +32,9 @@ def test_cli_extract_build_profile(spark, tmp_root, capsys):
     assert "PASS" in out and "FAIL" not in out
     assert main(["profile", "--root", root, "--table", "marts/daily_conditions"]) == 0
     assert "fx_usd_mxn" in capsys.readouterr().out
+    assert main(["freshness", "--root", root]) == 0
+    out = capsys.readouterr().out
+    assert "weather" in out and "fx" in out and "2025-01-28" in out
+    assert main(["diagnose", "--root", root]) == 0
+    assert "raw_extracted_at" in capsys.readouterr().out
+    assert main(["build", "--root", root, "--window-replace"]) == 0
