@@ -34,3 +34,32 @@ def test_stream_ingest_upserts_and_second_run_is_noop(spark, tmp_root):
     got = rows(read_table(spark, target, SPEC), "location", "date", "v")
     assert got == [("a", D("2024-01-01"), 1.0), ("a", D("2024-01-02"), 5.0),
                    ("b", D("2024-01-02"), 3.0)]
+
+
+def test_stream_landed_documents_newest_file_wins(spark, tmp_root):
+    import json
+    import os
+    import time
+    from tidemark import specs
+    from tidemark.streaming.ingest import ingest_documents
+
+    land = f"{tmp_root}/landing"
+    os.makedirs(land)
+
+    def doc(name, tmax):
+        with open(f"{land}/{name}.json", "w") as f:
+            f.write(json.dumps({"location": "cdmx", "daily": {
+                "time": ["2024-01-01", "2024-01-02"], "temperature_2m_max": [tmax, tmax],
+                "temperature_2m_min": [1.0, 1.0], "precipitation_sum": [0.0, 0.0]}}) + "\n")
+
+    doc("a", 20.0)
+    time.sleep(1.1)
+    doc("b", 21.0)                     # same keys, landed later: wins
+    target, ckpt = f"{tmp_root}/raw", f"{tmp_root}/ckpt"
+    clock = lambda: dt.datetime(2024, 1, 3, 6)
+    assert ingest_documents(spark, land, specs.WEATHER, target, ckpt, clock) == [2]
+    assert ingest_documents(spark, land, specs.WEATHER, target, ckpt, clock) == []
+    got = rows(read_table(spark, target, specs.WEATHER_RAW), "location", "date", "temp_max_c",
+               "extracted_at")
+    assert got == [("cdmx", D("2024-01-01"), 21.0, dt.datetime(2024, 1, 3, 6)),
+                   ("cdmx", D("2024-01-02"), 21.0, dt.datetime(2024, 1, 3, 6))]

@@ -25,14 +25,16 @@ def stage_weather(raw: DataFrame) -> DataFrame:
     })
 
 
-def stage_weather_landed(rows: DataFrame) -> DataFrame:
-    """Flattened weather documents (ISO date text) → typed raw weather rows."""
+def stage_weather_landed(rows: DataFrame, keep=()) -> DataFrame:
+    """Flattened weather documents (ISO date text) → typed raw weather rows
+    (plus the ``keep`` columns, unchanged)."""
     return stage(rows, {
         "location": ("location", None),
         "date": ("date", "date"),
         "temp_max_c": ("temp_max_c", "double"),
         "temp_min_c": ("temp_min_c", "double"),
         "precipitation_mm": ("precipitation_mm", "double"),
+        **{k: (k, None) for k in keep},
     })
 
 

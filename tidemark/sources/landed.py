@@ -84,23 +84,26 @@ def explode_points(df: DataFrame, series_path: str = "bmx.series", points_field:
 
 
 
-def weather_rows(docs: DataFrame, run_ts) -> DataFrame:
+def weather_rows(docs: DataFrame, run_ts, keep: Sequence[str] = ()) -> DataFrame:
     """Weather documents (``location`` + parallel ``daily`` arrays) → typed
-    raw weather rows stamped with the load instant."""
+    raw weather rows stamped with the load instant (``keep``: document
+    columns carried to every row)."""
     from tidemark import specs
     from tidemark.plans.models import stage_weather_landed
 
-    rows = explode_parallel(docs, specs.WEATHER_ARRAYS, carry=["location"])
-    return stamp(stage_weather_landed(rows), run_ts).select(*specs.WEATHER_RAW.columns)
+    rows = explode_parallel(docs, specs.WEATHER_ARRAYS, carry=["location", *keep])
+    return stamp(stage_weather_landed(rows, keep), run_ts).select(*specs.WEATHER_RAW.columns,
+                                                                   *keep)
 
 
-def fx_rows(docs: DataFrame, run_ts, series_col: str = "series_name") -> DataFrame:
+def fx_rows(docs: DataFrame, run_ts, series_col: str = "series_name",
+            keep: Sequence[str] = ()) -> DataFrame:
     """FX documents (``series_name`` + ``bmx.series[0].datos``) → typed raw FX
     rows stamped with the load instant."""
     from tidemark import specs
 
-    rows = explode_points(docs, carry=[series_col]).withColumnRenamed(series_col, "series")
-    return stamp(rows, run_ts).select(*specs.FX_RAW.columns)
+    rows = explode_points(docs, carry=[series_col, *keep]).withColumnRenamed(series_col, "series")
+    return stamp(rows, run_ts).select(*specs.FX_RAW.columns, *keep)
 
 
 def read_weather_landing(spark: SparkSession, path: str, run_ts) -> DataFrame:

@@ -27,26 +27,60 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_col: str) -> DataFr
     return picked.select(*keys, *[F.col(f"__r.{c}").alias(c) for c in cols]).select(*df.columns)
 
 
+LANDED = "__landed"   # (file modification time, file path) of each landed row
+
+
 def ingest_landing(spark: SparkSession, landing: str, schema: T.StructType,
                    transform: Callable[[DataFrame], DataFrame], target: str, spec: TableSpec,
                    checkpoint: str, fmt: str = "parquet", order_col: str | None = None,
                    max_files_per_trigger: int | None = None) -> list[int]:
     """Run the stream until the landing backlog is consumed; return the rows
-    upserted per micro-batch."""
+    upserted per micro-batch.
+
+    ``order_col`` resolves a key landed more than once in one micro-batch;
+    ``order_col=LANDED`` orders by the landing file (newest modification
+    time, then path), which ``transform`` must carry through."""
     reader = spark.readStream.schema(schema).format(fmt)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     stream = reader.load(landing)
+    if order_col == LANDED:
+        stream = stream.select("*", F.struct(F.col("_metadata.file_modification_time"),
+                                             F.col("_metadata.file_path")).alias(LANDED))
     loaded: list[int] = []
 
     def upsert_batch(batch: DataFrame, epoch_id: int) -> None:
         rows = transform(batch)
         if order_col:
             rows = latest_per_key(rows, spec.keys, order_col)
-        loaded.append(upsert_path(batch.sparkSession, target, rows, spec))
+        loaded.append(upsert_path(batch.sparkSession, target, rows.select(*spec.columns), spec))
 
     query = (stream.writeStream.foreachBatch(upsert_batch)
              .option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())
     query.awaitTermination()
     return loaded
+
+
+def ingest_documents(spark: SparkSession, landing: str, source, target: str, checkpoint: str,
+                     clock: Callable[[], object] | None = None,
+                     max_files_per_trigger: int | None = None) -> list[int]:
+    """Stream landed JSON documents of one source (weather or FX) into its
+    raw table: flatten, stamp each micro-batch with its load time, keep the
+    newest landing of a key, upsert.  Second immediate run: nothing."""
+    import datetime as dt
+
+    from tidemark import specs
+    from tidemark.sources.landed import fx_rows, weather_rows
+
+    weather = source.table.name == specs.WEATHER_RAW.name
+    payload = specs.WEATHER_PAYLOAD if weather else specs.FX_PAYLOAD
+    rows_fn = weather_rows if weather else fx_rows
+    clock = clock or (lambda: dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
+
+    def transform(batch: DataFrame) -> DataFrame:
+        return rows_fn(batch, clock(), keep=[LANDED])
+
+    return ingest_landing(spark, landing, payload, transform, target, source.table, checkpoint,
+                          fmt="json", order_col=LANDED,
+                          max_files_per_trigger=max_files_per_trigger)
