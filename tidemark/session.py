@@ -56,14 +56,18 @@ def scale_settings(input_bytes: int, total_cores: int, shuffle_bytes: int | None
 
 
 def get_session(master: str | None = None, shuffle_partitions: int = 8,
-                app: str = "tidemark", extra: dict | None = None) -> SparkSession:
+                app: str = "tidemark", extra: dict | None = None,
+                scale: tuple[int, int] | None = None) -> SparkSession:
+    """Session with tidemark's settings.  ``scale=(input_bytes, total_cores)``
+    applies ``scale_settings`` instead of the fixed ``shuffle_partitions``."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     builder = (builder.config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false")
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions)))
-    for key, value in {**SESSION_CONF, **(extra or {})}.items():
+    sized = scale_settings(*scale) if scale else {}
+    for key, value in {**SESSION_CONF, **sized, **(extra or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
