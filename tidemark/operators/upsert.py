@@ -20,7 +20,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.operators.joins import BROADCAST_MAX_ROWS, anti_join_keys
-from tidemark.session import checkpoint_dir, delete_path, scratch_path
+from tidemark.session import checkpoint_dir, delete_path, path_exists, scratch_path
 from tidemark.functions.dates import month_bucket
 from tidemark.sources.tables import part_value, read_table, write_months
 from tidemark.specs import TableSpec
@@ -142,6 +142,10 @@ def upsert_path(spark: SparkSession, path: str, batch: DataFrame, spec: TableSpe
         rows, parts = validate_keys(batch, spec.keys, date_col=spec.date_col, spec=spec)
         if rows == 0:
             return 0
+        if not path_exists(spark, path):
+            # first load: nothing stored to protect, write the validated batch
+            write_months(batch, path, spec)
+            return rows
         current = read_table(spark, path, spec, parts)
         merged = upsert(current, batch, spec.keys, batch_rows=rows)
         checkpoint_dir(spark)

@@ -26,7 +26,7 @@ from tidemark.plans import models
 from tidemark.plans.windows import advance_watermarks, plan_windows
 from tidemark.session import delete_path, path_exists
 from tidemark.sources.state import load_state, save_state
-from tidemark.sources.tables import part_of, read_table, write_table
+from tidemark.sources.tables import part_of, read_table, stored_parts, write_table
 
 
 @dataclass(frozen=True)
@@ -99,11 +99,14 @@ def load_source(spark: SparkSession, layout: Layout, source: specs.SourceSpec,
 
 def stored_schema_diff(spark: SparkSession, path: str, spec: specs.TableSpec) -> list[tuple]:
     """Compare the schema actually stored at ``path`` with the declared one
-    (partition column excluded) — how upstream drift is named early."""
-    if not path_exists(spark, path):
+    (partition column excluded) — how upstream drift is named early.  Reads
+    the footer schema of the newest partition only: that is where an upstream
+    change shows up first, and it avoids listing the whole table."""
+    parts = stored_parts(spark, path, spec)
+    if not parts:
         return []
-    stored = spark.read.parquet(path).drop(spec.part_col).schema
-    return contract_diff(stored, spec.schema)
+    newest = f"{path}/{spec.part_col}={parts[-1].isoformat()}"
+    return contract_diff(spark.read.parquet(newest).schema, spec.schema)
 
 
 def check_inputs(spark: SparkSession, layout: Layout) -> None:
