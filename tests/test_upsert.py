@@ -167,3 +167,13 @@ def test_stored_window_replace_drops_vanished_keys_and_empty_partitions(spark, t
         ("a", D("2024-01-10"), 1.0), ("a", D("2024-02-05"), 1.0), ("a", D("2024-02-20"), 2.0)]
     assert not os.path.exists(f"{path}/month=2024-03-01")
     assert set(os.listdir(f"{path}/month=2024-01-01")) == jan
+
+
+def test_stored_high_water_mark_reads_newest_partition(spark, tmp_root):
+    from tidemark.sources.tables import stored_high_water_mark
+    path = f"{tmp_root}/t"
+    assert stored_high_water_mark(spark, path, SPEC) is None
+    upsert_path(spark, path, spark.createDataFrame(
+        [("a", D("2024-01-31"), 1.0), ("a", D("2024-03-02"), 1.0), ("b", D("2024-03-09"), 1.0)],
+        S), SPEC)
+    assert stored_high_water_mark(spark, path, SPEC) == D("2024-03-09")

@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark import specs
-from tidemark.operators.incremental import lookback_cutoff
+from tidemark.operators.incremental import EPOCH
 from tidemark.operators.quality import (ContractViolation, check_report, contract_diff,
                                         enforce_contract)
 from tidemark.operators.upsert import upsert_path, window_replace_path
@@ -26,7 +26,8 @@ from tidemark.plans import models
 from tidemark.plans.windows import advance_watermarks, plan_windows
 from tidemark.session import delete_path, path_exists
 from tidemark.sources.state import load_state, save_state
-from tidemark.sources.tables import part_of, read_table, stored_parts, write_table
+from tidemark.sources.tables import (part_of, read_table, stored_high_water_mark, stored_parts,
+                                     write_table)
 
 
 @dataclass(frozen=True)
@@ -160,8 +161,8 @@ def build_mart(spark: SparkSession, layout: Layout, full_refresh: bool = False,
     if full_refresh or not path_exists(spark, layout.mart):
         _swap_in(spark, conditions(spark, layout), layout.mart, specs.MART)
     else:
-        current = read_table(spark, layout.mart, specs.MART)
-        cutoff = since or lookback_cutoff(current, "date", lookback_days)
+        hwm = stored_high_water_mark(spark, layout.mart, specs.MART) or EPOCH
+        cutoff = since or (hwm - dt.timedelta(days=lookback_days))
         recent = conditions(spark, layout, since=cutoff)
         if strategy == "window_replace":
             window_replace_path(spark, layout.mart, recent, specs.MART, cutoff)

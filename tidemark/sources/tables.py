@@ -97,3 +97,14 @@ def drop_parts(spark: SparkSession, path: str, spec: TableSpec, parts) -> None:
 
     for part in parts:
         delete_path(spark, f"{path}/{spec.part_col}={part.isoformat()}")
+
+
+def stored_high_water_mark(spark: SparkSession, path: str, spec: TableSpec):
+    """``max(date)`` of a stored table, reading only its newest partition (the
+    maximum always lies there, since partitions are months or days of that
+    date).  ``None`` for an absent or empty table."""
+    for part in reversed(stored_parts(spark, path, spec)):
+        v = read_table(spark, path, spec, [part]).agg(F.max(spec.date_col)).first()[0]
+        if v is not None:
+            return v
+    return None
