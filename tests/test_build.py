@@ -4,7 +4,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import D
+from conftest import D, rows
 from tidemark import specs
 from tidemark.operators.quality import ContractViolation
 from tidemark.plans import models
@@ -135,3 +135,16 @@ def test_build_window_replace_strategy(spark, tmp_root):
     assert read_table(spark, lay.mart, specs.MART).count() == n
     build_mart(spark, lay, strategy="window_replace")              # window replace: gone
     assert read_table(spark, lay.mart, specs.MART).count() == n - 1
+
+
+def test_reread_days_reloads_revised_days(spark, tmp_root):
+    lay = Layout(tmp_root)
+    run_ts = dt.datetime(2025, 3, 1, 12)
+    w = _weather_rows(spark, run_ts)
+    load_source(spark, lay, specs.WEATHER, w, D("2025-02-20"))          # watermark 2025-02-15
+    revised = w.withColumn("temp_max_c", F.col("temp_max_c") + 100)
+    r = load_source(spark, lay, specs.WEATHER, revised, D("2025-02-23"), reread_days=3)
+    assert (r.window_start, r.window_end) == (D("2025-02-13"), D("2025-02-18"))
+    got = {d: v for d, v in rows(read_table(spark, lay.raw_weather, specs.WEATHER_RAW).filter(
+        F.col("location") == "cdmx"), "date", "temp_max_c")}
+    assert got[D("2025-02-13")] > 100 and got[D("2025-02-12")] < 100

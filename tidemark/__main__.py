@@ -38,10 +38,13 @@ def main(argv: list[str] | None = None) -> int:
     ex.add_argument("--start", type=_date)
     ex.add_argument("--end", type=_date)
     ex.add_argument("--today", type=_date, default=dt.date.today())
+    ex.add_argument("--reread-days", type=int, default=0,
+                    help="restart incremental windows this many days before the watermark")
     bd = sub.add_parser("build", help="build or incrementally merge the mart, then check it")
     bd.add_argument("--root", required=True)
     bd.add_argument("--full-refresh", action="store_true")
     bd.add_argument("--since", type=_date)
+    bd.add_argument("--lookback-days", type=int, default=specs.MART_LOOKBACK_DAYS)
     bd.add_argument("--window-replace", action="store_true",
                     help="replace the whole lookback window (drops keys gone from the source)")
     pr = sub.add_parser("profile", help="one-pass profile of a stored table")
@@ -65,7 +68,7 @@ def main(argv: list[str] | None = None) -> int:
         read = read_weather_landing if args.source == "weather" else read_fx_landing
         rows = read(spark, args.landing, run_ts)
         r = load_source(spark, layout, SOURCES[args.source], rows, args.today, args.mode,
-                        args.start, args.end)
+                        args.start, args.end, reread_days=args.reread_days)
         if r.nothing_new:
             print(f"[{r.source}] nothing new to extract (watermark {r.watermark_before})")
         else:
@@ -75,6 +78,7 @@ def main(argv: list[str] | None = None) -> int:
         return 0
     if args.cmd == "build":
         report = build_mart(spark, layout, full_refresh=args.full_refresh, since=args.since,
+                            lookback_days=args.lookback_days,
                             strategy="window_replace" if args.window_replace else "delete_insert")
         rows = report.collect()
         for r in rows:

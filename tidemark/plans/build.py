@@ -72,14 +72,16 @@ class LoadResult:
 
 def load_source(spark: SparkSession, layout: Layout, source: specs.SourceSpec,
                 landed_rows: DataFrame, today, mode: str = "incremental",
-                start=None, end=None) -> LoadResult:
+                start=None, end=None, reread_days: int = 0) -> LoadResult:
     """One extraction run of one source over already flattened landed rows
-    (typed to the raw table's columns, ``extracted_at`` stamped)."""
+    (typed to the raw table's columns, ``extracted_at`` stamped).
+    ``reread_days`` re-reads that many days before the watermark (sources
+    that revise recent days); the keyed upsert absorbs the overlap."""
     spec_df = spark.range(1).select(F.lit(source.name).alias("source"),
                                     F.lit(source.lag_days).alias("lag_days"),
                                     F.lit(source.default_days).alias("default_days"))
     state = load_state(spark, layout.state)
-    plan = plan_windows(spec_df, state, today, mode, start, end)
+    plan = plan_windows(spec_df, state, today, mode, start, end, reread_days=reread_days)
     p = plan.first()
     if not p["has_work"]:
         return LoadResult(source.name, p["window_start"], p["window_end"], 0,
