@@ -53,3 +53,16 @@ def test_profile_is_one_aggregate_over_one_scan(spark):
 def test_check_report_is_one_scan_of_the_mart_inputs(spark):
     plan = final_plan(spark, "dq_report")
     assert plan.count("FileScan parquet [l_") == 1
+
+
+def test_keyed_carry_never_funnels_into_one_task(spark):
+    for name in ("locf_by_entity", "locf_by_entity_bucketed"):
+        assert "SinglePartition" not in final_plan(spark, name), name
+
+
+def test_flagship_single_task_step_is_only_the_calendar_window(spark):
+    plan = final_plan(spark, "enrich_daily")
+    assert plan.count("Exchange SinglePartition") == 1
+    # the single-partition exchange feeds the ordered calendar window (days, proven size)
+    block = plan.split("Exchange SinglePartition")[0].rsplit("Window [", 1)
+    assert len(block) == 2
