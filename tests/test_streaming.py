@@ -63,3 +63,42 @@ def test_stream_landed_documents_newest_file_wins(spark, tmp_root):
                "extracted_at")
     assert got == [("cdmx", D("2024-01-01"), 21.0, dt.datetime(2024, 1, 3, 6)),
                    ("cdmx", D("2024-01-02"), 21.0, dt.datetime(2024, 1, 3, 6))]
+
+
+def test_stream_build_merges_the_mart_per_batch(spark, tmp_root):
+    import json
+    import os
+    from pyspark.sql import functions as F
+    from tidemark import specs
+    from tidemark.plans.build import Layout, load_source
+    from tidemark.streaming.ingest import stream_build
+
+    lay, land = Layout(f"{tmp_root}/wh"), f"{tmp_root}/landing"
+    os.makedirs(land)
+    fx = spark.createDataFrame([("fx_usd_mxn", D("2024-01-01") + dt.timedelta(days=i), 17.0 + i,
+                                 dt.datetime(2024, 2, 1)) for i in range(20)], specs.FX_RAW.schema)
+    load_source(spark, lay, specs.FX, fx, D("2024-02-01"), "backfill", D("2024-01-01"))
+
+    def doc(name, tmax):
+        days = [(D("2024-01-01") + dt.timedelta(days=i)).isoformat() for i in range(20)]
+        with open(f"{land}/{name}.json", "w") as f:
+            f.write(json.dumps({"location": "cdmx", "daily": {
+                "time": days, "temperature_2m_max": [tmax] * 20,
+                "temperature_2m_min": [1.0] * 20, "precipitation_sum": [0.0] * 20}}) + "\n")
+
+    clock = lambda: dt.datetime(2024, 2, 1, 6)
+    doc("a", 20.0)
+    reports = stream_build(spark, lay, land, specs.WEATHER, f"{tmp_root}/ckpt", clock)
+    assert len(reports) == 1 and all(r.status == "pass" for r in reports[0])
+    mart = read_table(spark, lay.mart, specs.MART)
+    assert mart.count() == 20
+    import time
+    time.sleep(1.1)
+    doc("b", 30.0)                                   # a revision of every day lands later
+    stream_build(spark, lay, land, specs.WEATHER, f"{tmp_root}/ckpt", clock)
+    m = read_table(spark, lay.mart, specs.MART)
+    assert m.count() == 20
+    recent = m.filter(F.col("date") >= D("2024-01-10")).select("temp_max_c").distinct().collect()
+    older = m.filter(F.col("date") < D("2024-01-10")).select("temp_max_c").distinct().collect()
+    assert [r[0] for r in recent] == [30.0]          # inside the 10-day lookback: updated
+    assert [r[0] for r in older] == [20.0]           # before it: kept (delete+insert semantics)

@@ -33,13 +33,15 @@ LANDED = "__landed"   # (file modification time, file path) of each landed row
 def ingest_landing(spark: SparkSession, landing: str, schema: T.StructType,
                    transform: Callable[[DataFrame], DataFrame], target: str, spec: TableSpec,
                    checkpoint: str, fmt: str = "parquet", order_col: str | None = None,
-                   max_files_per_trigger: int | None = None) -> list[int]:
+                   max_files_per_trigger: int | None = None,
+                   after_batch: Callable[[SparkSession], None] | None = None) -> list[int]:
     """Run the stream until the landing backlog is consumed; return the rows
     upserted per micro-batch.
 
     ``order_col`` resolves a key landed more than once in one micro-batch;
     ``order_col=LANDED`` orders by the landing file (newest modification
-    time, then path), which ``transform`` must carry through."""
+    time, then path), which ``transform`` must carry through.  ``after_batch``
+    runs after each micro-batch is committed (e.g. a mart merge)."""
     reader = spark.readStream.schema(schema).format(fmt)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
@@ -54,6 +56,8 @@ def ingest_landing(spark: SparkSession, landing: str, schema: T.StructType,
         if order_col:
             rows = latest_per_key(rows, spec.keys, order_col)
         loaded.append(upsert_path(batch.sparkSession, target, rows.select(*spec.columns), spec))
+        if after_batch is not None:
+            after_batch(batch.sparkSession)
 
     query = (stream.writeStream.foreachBatch(upsert_batch)
              .option("checkpointLocation", checkpoint)
@@ -64,7 +68,8 @@ def ingest_landing(spark: SparkSession, landing: str, schema: T.StructType,
 
 def ingest_documents(spark: SparkSession, landing: str, source, target: str, checkpoint: str,
                      clock: Callable[[], object] | None = None,
-                     max_files_per_trigger: int | None = None) -> list[int]:
+                     max_files_per_trigger: int | None = None,
+                     after_batch: Callable[[SparkSession], None] | None = None) -> list[int]:
     """Stream landed JSON documents of one source (weather or FX) into its
     raw table: flatten, stamp each micro-batch with its load time, keep the
     newest landing of a key, upsert.  Second immediate run: nothing."""
@@ -83,4 +88,24 @@ def ingest_documents(spark: SparkSession, landing: str, source, target: str, che
 
     return ingest_landing(spark, landing, payload, transform, target, source.table, checkpoint,
                           fmt="json", order_col=LANDED,
-                          max_files_per_trigger=max_files_per_trigger)
+                          max_files_per_trigger=max_files_per_trigger, after_batch=after_batch)
+
+
+def stream_build(spark: SparkSession, layout, landing: str, source, checkpoint: str,
+                 clock: Callable[[], object] | None = None, strategy: str = "delete_insert",
+                 max_files_per_trigger: int | None = None) -> list:
+    """The daily run as a stream: every micro-batch of landed documents of
+    ``source`` is upserted into its raw table, then the mart is merged
+    incrementally (lookback window) and checked.  Returns one check report
+    (list of rows) per micro-batch.  Both steps are idempotent, so a replayed
+    micro-batch leaves the same tables."""
+    from tidemark.plans.build import build_mart
+
+    reports: list = []
+
+    def merge_mart(s: SparkSession) -> None:
+        reports.append(build_mart(s, layout, strategy=strategy).collect())
+
+    ingest_documents(spark, landing, source, layout.raw_path(source), checkpoint, clock,
+                     max_files_per_trigger, after_batch=merge_mart)
+    return reports
