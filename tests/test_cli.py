@@ -38,3 +38,9 @@ def test_cli_extract_build_profile(spark, tmp_root, capsys):
     assert main(["diagnose", "--root", root]) == 0
     assert "raw_extracted_at" in capsys.readouterr().out
     assert main(["build", "--root", root, "--window-replace"]) == 0
+    assert main(["profile", "--root", root, "--table", "raw/weather_daily", "--approx"]) == 0
+    capsys.readouterr()
+    assert main(["stream", "--root", root, "--source", "weather", "--landing", f"{land}/w"]) == 0
+    assert "1 micro-batch(es)" in capsys.readouterr().out
+    assert main(["stream", "--root", root, "--source", "weather", "--landing", f"{land}/w"]) == 0
+    assert "0 micro-batch(es)" in capsys.readouterr().out

@@ -5,6 +5,7 @@
     python -m tidemark profile --root R --table raw/weather_daily
     python -m tidemark freshness --root R
     python -m tidemark diagnose --root R
+    python -m tidemark stream --root R --source weather --landing PATH
 """
 
 from __future__ import annotations
@@ -50,6 +51,13 @@ def main(argv: list[str] | None = None) -> int:
     pr = sub.add_parser("profile", help="one-pass profile of a stored table")
     pr.add_argument("--root", required=True)
     pr.add_argument("--table", choices=sorted(TABLES), required=True)
+    pr.add_argument("--approx", action="store_true", help="HyperLogLog distinct counts")
+    sm = sub.add_parser("stream", help="stream landed documents: raw upsert + mart merge per batch")
+    sm.add_argument("--root", required=True)
+    sm.add_argument("--source", choices=sorted(SOURCES), required=True)
+    sm.add_argument("--landing", required=True)
+    sm.add_argument("--checkpoint", help="stream checkpoint folder (default: under --root)")
+    sm.add_argument("--window-replace", action="store_true")
     fr = sub.add_parser("freshness", help="last load time and data date per raw table")
     fr.add_argument("--root", required=True)
     dg = sub.add_parser("diagnose", help="row-rule violations traced to their raw rows")
@@ -90,8 +98,21 @@ def main(argv: list[str] | None = None) -> int:
 
         spec = TABLES[args.table]
         df = read_table(spark, f"{layout.root}/{args.table}", spec)
-        profile(df, args.table).show(len(spec.columns) + 1, truncate=False)
+        profile(df, args.table, distinct="approx" if args.approx else "exact").show(
+            len(spec.columns) + 1, truncate=False)
         return 0
+    if args.cmd == "stream":
+        from tidemark.streaming.ingest import stream_build
+
+        ckpt = args.checkpoint or f"{layout.root}/checkpoints/{args.source}"
+        reports = stream_build(spark, layout, args.landing, SOURCES[args.source], ckpt,
+                               strategy="window_replace" if args.window_replace
+                               else "delete_insert")
+        print(f"[{args.source}] {len(reports)} micro-batch(es)")
+        failed = [r for rep in reports[-1:] for r in rep if r.status != "pass"]
+        for r in failed:
+            print(f"FAIL {r.failures:>8d}  {r.check_name} ({r.column_name})")
+        return 1 if failed else 0
     if args.cmd == "diagnose":
         diagnose(spark, layout).show(truncate=False)
         return 0
