@@ -148,3 +148,17 @@ def test_reread_days_reloads_revised_days(spark, tmp_root):
     got = {d: v for d, v in rows(read_table(spark, lay.raw_weather, specs.WEATHER_RAW).filter(
         F.col("location") == "cdmx"), "date", "temp_max_c")}
     assert got[D("2025-02-13")] > 100 and got[D("2025-02-12")] < 100
+
+
+def test_lost_state_rerun_does_not_duplicate(spark, tmp_root):
+    from tidemark.session import delete_path
+
+    lay = Layout(tmp_root)
+    w = _weather_rows(spark, dt.datetime(2025, 3, 1, 12))
+    first = load_source(spark, lay, specs.WEATHER, w, D("2025-03-01"))
+    n = read_table(spark, lay.raw_weather, specs.WEATHER_RAW).count()
+    delete_path(spark, lay.state)                      # state lost after the data commit
+    again = load_source(spark, lay, specs.WEATHER, w, D("2025-03-01"))
+    assert (again.window_start, again.window_end) == (first.window_start, first.window_end)
+    assert read_table(spark, lay.raw_weather, specs.WEATHER_RAW).count() == n
+    assert watermark_of(load_state(spark, lay.state), "weather") == first.window_end
