@@ -114,6 +114,12 @@ def test_injected_fault_fails_one_check_and_is_traced(spark, tmp_root):
     got = diagnose(spark, lay).collect()
     assert len(got) == 1 and got[0].raw_temp_max_c == 5.0 and got[0].raw_temp_min_c == 25.0
     assert got[0].raw_extracted_at == run_ts
+    assert got[0].check_name == "assert_temp_max_gte_temp_min"
+    # a tighter FX range flags every row whose rate is outside it, in the same scan
+    from tidemark.operators.quality import accepted_range
+    tight = diagnose(spark, lay, [accepted_range("fx_usd_mxn", 17.0, 17.5)]).collect()
+    assert tight and all(r.check_name == "accepted_range" for r in tight)
+    assert all(not (17.0 <= r.fx_usd_mxn <= 17.5) for r in tight)
 
 
 def test_build_window_replace_strategy(spark, tmp_root):

@@ -60,7 +60,7 @@ def main(argv: list[str] | None = None) -> int:
     sm.add_argument("--window-replace", action="store_true")
     fr = sub.add_parser("freshness", help="last load time and data date per raw table")
     fr.add_argument("--root", required=True)
-    dg = sub.add_parser("diagnose", help="row-rule violations traced to their raw rows")
+    dg = sub.add_parser("diagnose", help="failing rows of every check, traced to their raw rows")
     dg.add_argument("--root", required=True)
     args = ap.parse_args(argv)
 

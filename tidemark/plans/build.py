@@ -183,17 +183,34 @@ def source_freshness(spark: SparkSession, layout: Layout) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
-def diagnose(spark: SparkSession, layout: Layout) -> DataFrame:
-    """Rows of the stored mart that break the row rule (max < min), traced to
-    the raw weather rows they came from, with their load time.  Violations
-    are checkpointed and counted so they can be broadcast to the raw scan."""
-    from tidemark.operators.quality import failing_rows, materialize_count, row_rule, trace
-
+def diagnose(spark: SparkSession, layout: Layout, checks: list | None = None) -> DataFrame:
+    """Every mart row that fails a check, labelled with the check, traced to
+    the raw weather row it was built from (with its load time).
+
+    Row-level checks run in one scan (each row gets the array of checks it
+    fails, then is exploded); duplicate keys come from one group-by.  The
+    violations are checkpointed and counted, so they are broadcast to the raw
+    scan when few."""
+    from tidemark.operators.quality import duplicate_groups, materialize_count, trace
+
+    checks = checks or mart_checks()
+    keys = list(specs.MART.keys)
     mart = read_table(spark, layout.mart, specs.MART)
-    bad, n = materialize_count(failing_rows(mart, row_rule("r", "temp_max_c < temp_min_c")))
+    row_checks = [c for c in checks if c.fails is not None]
+    failed = F.filter(F.array(*[F.when(F.coalesce(c.fails, F.lit(False)), F.lit(c.name))
+                                for c in row_checks]), lambda x: x.isNotNull())
+    flagged = (mart.select(*keys, "temp_max_c", "temp_min_c", "fx_usd_mxn",
+                           F.explode(failed).alias("check_name"))
+               if row_checks else None)
+    for c in (c for c in checks if c.keys):
+        dups = (mart.join(duplicate_groups(mart, list(c.keys)), list(c.keys), "left_semi")
+                .select(*keys, "temp_max_c", "temp_min_c", "fx_usd_mxn",
+                        F.lit(c.name).alias("check_name")))
+        flagged = dups if flagged is None else flagged.unionByName(dups)
+    bad, n = materialize_count(flagged)
     raw = read_table(spark, layout.raw_weather, specs.WEATHER_RAW)
-    return trace(bad, raw, list(specs.WEATHER_RAW.keys),
-                 ["temp_max_c", "temp_min_c", "extracted_at"], violation_rows=n)
+    return trace(bad, raw, keys, ["temp_max_c", "temp_min_c", "extracted_at"],
+                 violation_rows=n)
 
 
 def inject_business_rule_fault(spark: SparkSession, layout: Layout, location: str,
