@@ -117,3 +117,24 @@ def test_partial_upsert_split_equals_plain(spark, t, b):
     plain = upsert_columns(target, batch, ["k", "date"], ["v"])
     split = upsert_columns(target, batch, ["k", "date"], ["v"], batch_rows=len(rows(batch)))
     assert rows(split) == rows(plain)
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(batches=st.lists(cells, min_size=1, max_size=3))
+def test_stored_upsert_equals_in_memory(spark, batches):
+    import tempfile
+    from pyspark.sql import types as T
+    from tidemark.operators.upsert import upsert_path
+    from tidemark.sources.tables import read_table
+    from tidemark.specs import TableSpec
+
+    spec = TableSpec("p", T.StructType([T.StructField("k", T.StringType()),
+                                        T.StructField("date", T.DateType()),
+                                        T.StructField("v", T.DoubleType())]), keys=("k", "date"))
+    path = tempfile.mkdtemp(prefix="tm-prop-") + "/t"
+    expected = spark.createDataFrame([], S)
+    for b in batches:
+        batch = _df(spark, b)
+        upsert_path(spark, path, batch, spec)
+        expected = upsert(expected, batch, ["k", "date"])
+    assert rows(read_table(spark, path, spec)) == rows(expected)
