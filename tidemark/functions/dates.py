@@ -34,9 +34,9 @@ def dow_sunday0(col) -> Column:
 
 
 def parse_day_first(col) -> Column:
-    """``dd/MM/yyyy`` → DATE; other shapes give NULL (pair with
-    ``require_not_null`` to fail the load)."""
-    return F.try_to_timestamp(_c(col), F.lit("dd/MM/yyyy")).cast("date")
+    """Day-first ``dd/MM/yyyy`` (leading zeros optional) → DATE; other shapes
+    give NULL (pair with ``require_not_null`` to fail the load)."""
+    return F.try_to_timestamp(_c(col), F.lit("d/M/yyyy")).cast("date")
 
 
 def as_date(value) -> _dt.date | None:
