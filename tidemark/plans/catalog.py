@@ -378,37 +378,38 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, f"{root}/raw", spec)
 
 
+# Registry: key → query; comments give the SURVEY Appendix A number and ids.
 QUERIES = {
-    "src_parallel_arrays": src_parallel_arrays,
-    "src_nested_points": src_nested_points,
-    "staging_cast": staging_cast,
-    "business_day_flag": business_day_flag,
-    "calendar_spine": calendar_spine_q,
-    "locf_global": locf_global,
-    "locf_global_bucketed": locf_global_bucketed,
-    "locf_increment": locf_increment,
-    "enrich_daily": enrich_daily,
-    "locf_minute": locf_minute,
-    "locf_by_entity": locf_by_entity,
-    "locf_by_entity_bucketed": locf_by_entity_bucketed,
-    "upsert_replace": upsert_replace,
-    "upsert_partial": upsert_partial,
-    "incremental_mart": incremental_mart,
-    "full_rebuild": full_rebuild_q,
-    "window_replace": window_replace_q,
-    "dq_not_null": dq_not_null,
-    "dq_accepted_range": dq_accepted_range,
-    "dq_unique_combination": dq_unique_combination,
-    "dq_row_rule": dq_row_rule,
-    "dq_report": dq_report,
-    "failing_row_trace": failing_row_trace,
-    "freshness_report": freshness_report,
-    "profile_table": profile_table,
-    "plan_windows": plan_windows_q,
-    "windowed_batch": windowed_batch_q,
-    "watermark_after": watermark_after,
-    "two_run_build": two_run_build,
-    "stream_ingest": stream_ingest,
+    "src_parallel_arrays": src_parallel_arrays,     # D1: S1 S3
+    "src_nested_points": src_nested_points,         # D2: S2 P3 F13-F15
+    "staging_cast": staging_cast,                   # D3: P1 P2 S5 F1 F2
+    "business_day_flag": business_day_flag,         # D4: P5 F3 F4
+    "calendar_spine": calendar_spine_q,             # D5: A1 G1
+    "locf_global": locf_global,                     # D6: J1 P6 W1
+    "locf_global_bucketed": locf_global_bucketed,   # W1s (same result as D6)
+    "locf_increment": locf_increment,               # D7: W1i
+    "enrich_daily": enrich_daily,                   # D8 flagship: J2 P4-P7 F17
+    "locf_minute": locf_minute,                     # W1s on a sub-daily grid
+    "locf_by_entity": locf_by_entity,               # D26: W1k G1k
+    "locf_by_entity_bucketed": locf_by_entity_bucketed,  # W1k + W1s (same result as D26)
+    "upsert_replace": upsert_replace,               # D9: J3 A6 M1
+    "upsert_partial": upsert_partial,               # D10: J4 M2
+    "incremental_mart": incremental_mart,           # D11: A2 P8 M3 W1i F6 F9
+    "full_rebuild": full_rebuild_q,                 # D12: M5
+    "window_replace": window_replace_q,             # D27: M4
+    "dq_not_null": dq_not_null,                     # D16: Q1
+    "dq_accepted_range": dq_accepted_range,         # D17: Q2
+    "dq_unique_combination": dq_unique_combination,  # D18: A7 Q3
+    "dq_row_rule": dq_row_rule,                     # D19: P10 Q4 Q11
+    "dq_report": dq_report,                         # D20: Q8
+    "failing_row_trace": failing_row_trace,         # D23: Q9
+    "freshness_report": freshness_report,           # D24: Q10
+    "profile_table": profile_table,                 # D22: A3-A5 Q7
+    "plan_windows": plan_windows_q,                 # D13: M6 M9 F10 F12 F16
+    "windowed_batch": windowed_batch_q,             # D14: M7
+    "watermark_after": watermark_after,             # D15: M8
+    "two_run_build": two_run_build,                 # D25: M10 S4 S6-S9 F11
+    "stream_ingest": stream_ingest,                 # D28: ST1
 }
 
 __all__ = ["QUERIES", "mart_checks"]
