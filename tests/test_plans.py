@@ -66,3 +66,9 @@ def test_flagship_single_task_step_is_only_the_calendar_window(spark):
     # the single-partition exchange feeds the ordered calendar window (days, proven size)
     block = plan.split("Exchange SinglePartition")[0].rsplit("Window [", 1)
     assert len(block) == 2
+
+
+def test_counted_upsert_batch_is_broadcast(spark):
+    plan = final_plan(spark, "upsert_replace")
+    assert "SortMergeJoin" not in plan
+    assert re.search(r"BroadcastHashJoin [^\n]*LeftAnti", plan)
