@@ -50,3 +50,25 @@ def test_reread_days_restarts_before_watermark(spark):
     state = spark.createDataFrame([("w", D("2024-02-01"))], "source string, last_watermark date")
     p = plan_windows(specs, state, TODAY, reread_days=3).first()
     assert (p.window_start, p.window_end) == (D("2024-01-30"), D("2024-02-05"))
+
+
+def test_many_sources_planned_in_one_query(spark):
+    from tidemark.plans.windows import windowed_batch
+    specs = spark.createDataFrame([("a", 1, 30), ("b", 5, 30), ("c", 2, 3)],
+                                  "source string, lag_days int, default_days int")
+    state = spark.createDataFrame([("a", D("2024-02-07")), ("b", D("2024-02-05"))],
+                                  "source string, last_watermark date")
+    plan = plan_windows(specs, state, TODAY)
+    got = {r.source: (r.window_start, r.window_end, r.has_work) for r in plan.collect()}
+    assert got == {"a": (D("2024-02-08"), D("2024-02-09"), True),
+                   "b": (D("2024-02-06"), D("2024-02-05"), False),
+                   "c": (D("2024-02-05"), D("2024-02-08"), True)}
+    landed = spark.createDataFrame(
+        [(s, D("2024-02-01") + __import__("datetime").timedelta(days=i)) for s in "abc"
+         for i in range(10)], "source string, date date")
+    batch = windowed_batch(landed, plan)
+    counts = {r.source: r["count"] for r in batch.groupBy("source").count().collect()}
+    assert counts == {"a": 2, "c": 4}
+    new = {r.source: (r.last_watermark, r.rows_loaded) for r in advance_watermarks(
+        plan, batch.groupBy("source").count().withColumnRenamed("count", "rows_loaded")).collect()}
+    assert new == {"a": (D("2024-02-09"), 2), "b": (D("2024-02-05"), 0), "c": (D("2024-02-08"), 4)}
