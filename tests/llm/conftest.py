@@ -1,0 +1,54 @@
+import pytest
+
+WORDS = ("the of and quick brown fox jumps over lazy dog river stone window garden letter "
+         "morning paper table water light").split()
+
+
+def prose(seed: int, n: int) -> str:
+    import random
+
+    r = random.Random(seed)
+    return " ".join(r.choice(WORDS) for _ in range(n))
+
+
+@pytest.fixture(scope="session")
+def odd_docs(spark):
+    """Nulls in every column, empty, blank and long texts, ties, repeated rows and ids,
+    and extra columns whose names clash with those the operators make."""
+    rows = [
+        (1, "One two  three\tfour five\n\nsix", "en", "a"),
+        (2, "One two three four five six", None, "a"),
+        (2, "One two three four five six", None, "a"),
+        (3, None, "en", None),
+        (4, "", None, "b"),
+        (5, " \t\n ", "de", "b"),
+        (6, "word", "en", None),
+        (7, prose(1, 9000), "en", "a"),
+        (8, "é漢字 naïve #*$ | <x> &&& 100% \x00 end", "fr", "c"),
+        (9, "same line here\nsame line here\nsame line here\nother", "en", "c"),
+        (10, prose(2, 60), "en", "a"),
+        (11, prose(2, 60), "en", "c"),
+        (12, prose(2, 58) + " two changes", "en", "c"),
+        (13, "a" * 3000, "en", "c"),
+        (None, "no id at all", None, None),
+    ]
+    cols = "doc_id bigint, text string, lang string, source string"
+    clash = ["n", "n_words", "score", "digest", "kept", "size", "h", "key", "block", "label",
+             "token_ids", "keep_id"]
+    return spark.createDataFrame([(*r, *(["x"] * len(clash))) for r in rows],
+                                 cols + "".join(f", `{c}` string" for c in clash))
+
+
+@pytest.fixture(scope="session")
+def no_docs(odd_docs):
+    return odd_docs.limit(0)
+
+
+SMALL = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="session")
+def small_texts(spark):
+    """doc_id -> text of the smallest given table."""
+    return {r.doc_id: r.text for r in
+            spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()}

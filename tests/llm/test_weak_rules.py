@@ -1,0 +1,72 @@
+import re
+from collections import Counter
+
+import numpy as np
+
+from tests.llm.conftest import SMALL
+from tidemark.llm import catalog, weak_rules
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def brute(text):
+    text = text or ""
+    words = WORD.findall(text)
+    windows = [tuple(words[i:i + 5]) for i in range(len(words) - 4)]
+    seen, covered = Counter(windows), set()
+    for i, w in enumerate(windows):
+        if seen[w] > 1:
+            covered |= set(range(i, i + 5))
+    lines, dup = set(), 0
+    for line in text.split("\n"):
+        if WORD.search(line):
+            dup += line in lines
+            lines.add(line)
+    n = len(words)
+    return (n, sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), dup, len(covered),
+            n < 10 or 100 * len(covered) > 20 * n)
+
+
+def row(r):
+    return (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed)
+
+
+def test_query_against_brute_force(spark, small_texts):
+    out = {r.doc_id: r for r in catalog.op8_weak_rules(spark, SMALL).collect()}
+    assert out.keys() == small_texts.keys()
+    assert {k: row(r) for k, r in out.items()} == {k: brute(t) for k, t in small_texts.items()}
+    assert all(r.kept == (not r.base_failed and r.posterior >= 0.5) for r in out.values())
+
+
+def test_agrees_with_labels(spark):
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{SMALL}/labels.parquet").collect()}
+    out = catalog.op8_weak_rules(spark, SMALL).filter("n_words >= 10").collect()
+    pairs = [(labels[r.doc_id], int(r.kept)) for r in out if r.doc_id in labels]
+    good = [k for q, k in pairs if q == 1]
+    assert sum(good) / len(good) > 0.95
+    bad = [k for q, k in pairs if q == 0]
+    assert sum(bad) / len(bad) < 0.3
+
+
+def test_odd_rows(odd_docs, no_docs):
+    rows = sorted(((r.doc_id, *row(r)) for r in weak_rules.judge(odd_docs).collect()), key=str)
+    assert rows == sorted(((r.doc_id, *brute(r.text)) for r in odd_docs.collect()), key=str)
+    assert weak_rules.judge(no_docs).count() == 0
+
+
+def test_em_recovers_rule_accuracies():
+    rng = np.random.default_rng(3)
+    n, accuracy = 40_000, np.array([0.95, 0.9, 0.8, 0.6, 0.85])
+    truth = rng.random(n) < 0.8
+    votes = np.where(rng.random((n, 5)) < accuracy, truth[:, None], ~truth[:, None]).astype(int)
+    votes[rng.random((n, 5)) < 0.3] = -1
+    patterns, counts = np.unique(votes, axis=0, return_counts=True)
+    model = weak_rules.fit(patterns, counts, trust=0.0)
+    assert abs(model.good - 0.8) < 0.03
+    assert np.abs(model.right - accuracy).max() < 0.05
+    p = weak_rules.posterior(model, votes)
+    assert ((p >= 0.5) == truth).mean() > 0.93
+
+
+def test_no_patterns_gives_the_prior():
+    assert weak_rules.fit(np.zeros((0, 7), int), np.zeros(0, int)).good == 0.8

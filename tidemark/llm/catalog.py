@@ -9,8 +9,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe
+from . import bpe, exact_dedup, weak_rules
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -19,13 +20,34 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = exact_dedup.DigestIndex(spark).add(documents(spark, sf_dir))
+    return found.select("doc_id", "keep_id", "group_size", "kept",
+                        F.lower(F.hex("digest")).alias("text_sha256"))
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(documents(spark, sf_dir), RANKS, public_tokenizers.PATTERN)
 
 
+def op8_weak_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weak_rules.judge(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_exact_dedup": op3_exact_dedup,
     "op7_byte_bpe": op7_byte_bpe,
+    "op8_weak_rules": op8_weak_rules,
 }
 
 #: DuckDB SQL for the queries that SQL can express.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op3_exact_dedup": r"""
+        WITH hashed AS (
+            SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g'))
+                   AS text_sha256
+            FROM documents)
+        SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+               doc_id IS NOT DISTINCT FROM min(doc_id) OVER same AS kept, text_sha256
+        FROM hashed WINDOW same AS (PARTITION BY text_sha256)""",
+}
