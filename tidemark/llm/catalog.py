@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, weak_rules
+from . import bpe, exact_dedup, quality_lr, toxicity_fm, weak_rules
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -20,12 +20,24 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
+def op2_quality_lr(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_lr.classify(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_dedup.DigestIndex(spark).add(documents(spark, sf_dir))
     return found.select("doc_id", "keep_id", "group_size", "kept",
                         F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op5_toxicity_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_fm.classify(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(documents(spark, sf_dir), RANKS, public_tokenizers.PATTERN)
 
@@ -35,7 +47,9 @@ def op8_weak_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_quality_lr": op2_quality_lr,
     "op3_exact_dedup": op3_exact_dedup,
+    "op5_toxicity_fm": op5_toxicity_fm,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_weak_rules": op8_weak_rules,
 }
