@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, quality_lr, toxicity_fm, weak_rules
+from . import bpe, exact_dedup, mixing, quality_lr, toxicity_fm, weak_rules
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -46,12 +46,20 @@ def op8_weak_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weak_rules.judge(documents(spark, sf_dir))
 
 
+def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    units = mixing.allocate(documents(spark, sf_dir))
+    return (units.withColumn("_row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"))))
+            .select("doc_id", "size", "source_size", "target",
+                    (F.col("size") * F.col("copies")).alias("taken")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_lr": op2_quality_lr,
     "op3_exact_dedup": op3_exact_dedup,
     "op5_toxicity_fm": op5_toxicity_fm,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_weak_rules": op8_weak_rules,
+    "op9_source_mix": op9_source_mix,
 }
 
 #: DuckDB SQL for the queries that SQL can express.
