@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, mixing, quality_lr, toxicity_fm, weak_rules
+from . import bpe, exact_dedup, mixing, ppm, quality_lr, toxicity_fm, weak_rules
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -24,6 +24,10 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
+def op1_ppm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.score_held_out(documents(spark, sf_dir))
+
+
 def op2_quality_lr(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_lr.classify(documents(spark, sf_dir), labels(spark, sf_dir))
 
@@ -54,6 +58,7 @@ def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ppm_score": op1_ppm_score,
     "op2_quality_lr": op2_quality_lr,
     "op3_exact_dedup": op3_exact_dedup,
     "op5_toxicity_fm": op5_toxicity_fm,
