@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, mixing, ppm, quality_lr, toxicity_fm, weak_rules
+from . import bpe, exact_dedup, mixing, near_dedup, ppm, quality_lr, toxicity_fm, weak_rules
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -42,6 +42,10 @@ def op5_toxicity_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_fm.classify(documents(spark, sf_dir), labels(spark, sf_dir))
 
 
+def op6_odd_sketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.find(documents(spark, sf_dir), width=4, percent=80)
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(documents(spark, sf_dir), RANKS, public_tokenizers.PATTERN)
 
@@ -62,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_lr": op2_quality_lr,
     "op3_exact_dedup": op3_exact_dedup,
     "op5_toxicity_fm": op5_toxicity_fm,
+    "op6_odd_sketch_dedup": op6_odd_sketch_dedup,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_weak_rules": op8_weak_rules,
     "op9_source_mix": op9_source_mix,
