@@ -11,7 +11,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, mixing, near_dedup, ppm, quality_lr, toxicity_fm, weak_rules
+from . import (
+    bpe,
+    exact_dedup,
+    line_templates,
+    mixing,
+    near_dedup,
+    ppm,
+    quality_lr,
+    toxicity_fm,
+    weak_rules,
+)
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -61,6 +71,12 @@ def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
                     (F.col("size") * F.col("copies")).alias("taken")))
 
 
+def op10_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = line_templates.dedup_lines(documents(spark, sf_dir))
+    return cleaned.select("doc_id", "text", "dropped_lines", F.coalesce(
+        F.size("dropped_lines"), F.lit(0)).cast("long").alias("n_dropped"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ppm_score": op1_ppm_score,
     "op2_quality_lr": op2_quality_lr,
@@ -70,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_byte_bpe": op7_byte_bpe,
     "op8_weak_rules": op8_weak_rules,
     "op9_source_mix": op9_source_mix,
+    "op10_line_templates": op10_line_templates,
 }
 
 #: DuckDB SQL for the queries that SQL can express.

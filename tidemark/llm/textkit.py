@@ -139,3 +139,12 @@ def map_blocks(fn: Callable, schema: pa.Schema, text: str = "text",
                     [c if isinstance(c, pa.Array) else pa.array(c, f.type)
                      for c, f in zip(cols, schema, strict=True)], schema=schema)
     return run
+
+
+def hash_sequences(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hash of each slice of ``values``, equal for equal sequences."""
+    up, down = _powers(max(20, int(len(values)).bit_length()))
+    prefix = np.zeros(len(values) + 1, U64)
+    np.cumsum(values * up[:len(values)], out=prefix[1:])
+    raw = (prefix[ends] - prefix[starts]) * down[starts]
+    return mix(raw + (ends - starts).astype(U64) * _STEP)
