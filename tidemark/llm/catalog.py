@@ -19,6 +19,7 @@ from . import (
     near_dedup,
     ppm,
     quality_lr,
+    secret_forest,
     toxicity_fm,
     weak_rules,
 )
@@ -48,6 +49,10 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op4_secret_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_forest.scan(documents(spark, sf_dir))
+
+
 def op5_toxicity_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_fm.classify(documents(spark, sf_dir), labels(spark, sf_dir))
 
@@ -81,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ppm_score": op1_ppm_score,
     "op2_quality_lr": op2_quality_lr,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_secret_forest": op4_secret_forest,
     "op5_toxicity_fm": op5_toxicity_fm,
     "op6_odd_sketch_dedup": op6_odd_sketch_dedup,
     "op7_byte_bpe": op7_byte_bpe,
