@@ -1,0 +1,123 @@
+"""Each stage against brute force on its own input, and odd rows through all of them."""
+import base64
+from collections import Counter
+
+import public_tokenizers as P
+import pytest
+import tiktoken
+
+import corpus_pipeline as cp
+from tests.llm import test_line_templates, test_mixing, test_near_dedup
+from tests.llm.conftest import SMALL
+from tidemark.llm import quality_lr
+
+STAGE = dict(cp.STAGES)
+
+
+@pytest.fixture(scope="module")
+def steps(spark):
+    """Input and output rows of every stage on the smallest tables."""
+    docs, out = spark.read.parquet(f"{SMALL}/documents.parquet"), {}
+    for name, stage in cp.STAGES:
+        before = docs.collect()
+        docs = stage(spark, docs, SMALL)
+        columns = docs.columns
+        after = docs.collect()
+        out[name] = (before, after, columns)
+        docs = spark.createDataFrame(after, docs.schema)
+    return out
+
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def test_order_and_columns(steps):
+    assert [n for n, _ in cp.STAGES] == ["quality_classifier", "line_dedup", "near_dedup",
+                                         "source_mix", "byte_bpe"]
+    assert all(steps[n][2] == COLUMNS for n in list(STAGE)[:-1])
+    assert steps["byte_bpe"][2] == [*COLUMNS, "token_ids", "n_tokens"]
+
+
+def test_quality_stage_drops_what_the_classifier_rejects(spark, steps):
+    before, after, _ = steps["quality_classifier"]
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    labels = spark.read.parquet(f"{SMALL}/labels.parquet")
+    good = {r.doc_id for r in quality_lr.classify(docs, labels).filter("predicted = 1").collect()}
+    assert {r.doc_id for r in after} == good and len(before) > len(after)
+    quality = {r.doc_id: r.quality for r in labels.collect()}
+    kept = [r.doc_id in good for r in before if quality.get(r.doc_id) == 1]
+    assert all(kept)
+
+
+def test_line_stage(steps):
+    before, after, _ = steps["line_dedup"]
+    drop = test_line_templates.brute([(r.doc_id, r.text) for r in before])
+    want = {}
+    for r in before:
+        gone = drop[r.doc_id, r.text]
+        text = r.text if gone is None else "\n".join(
+            line for i, line in enumerate(r.text.split("\n")) if i not in gone)
+        if gone is None or text.strip(" \t\n\x0b\x0c\r"):
+            want[r.doc_id] = (text, len(text))
+    assert {r.doc_id: (r.text, r.n_chars) for r in after} == want
+
+
+def test_near_dedup_stage_keeps_one_of_each_group(steps):
+    before, after, _ = steps["near_dedup"]
+    groups = test_near_dedup.brute([(r.doc_id, r.text) for r in before], 5)
+    assert sorted(r.doc_id for r in after) == sorted(k for k, _, _, kept in groups if kept)
+    texts = {r.doc_id: r.text for r in before}
+    assert all(texts[r.doc_id] == r.text for r in after)
+
+
+def test_mix_stage(steps):
+    before, after, _ = steps["source_mix"]
+    taken = Counter(r.doc_id for r in after)
+    sizes = {r.doc_id: len(test_mixing.WORD.findall(r.text or "")) for r in before}
+    source = {r.doc_id: r.source for r in before}
+    total = Counter()
+    for r in before:
+        total[r.source] += sizes[r.doc_id]
+    want = test_mixing.targets(total)
+    got, largest = Counter(), Counter()
+    for k, n in taken.items():
+        assert n <= 2
+        got[source[k]] += n * sizes[k]
+    for k, s in source.items():
+        largest[s] = max(largest[s], sizes[k])
+    assert all(abs(got[s] - t) <= largest[s] for s, t in want.items())
+
+
+def test_bpe_stage(steps):
+    before, after, _ = steps["byte_bpe"]
+    ranks = {base64.b64decode(a): int(b) for a, b in
+             map(bytes.split, open(cp.RANKS, "rb").read().splitlines())}
+    public = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    assert Counter((r.doc_id, r.text) for r in before) == Counter((r.doc_id, r.text) for r in after)
+    assert all(r.token_ids == public.encode_ordinary(r.text) and r.n_tokens == len(r.token_ids)
+               for r in after)
+
+
+def test_run_matches_the_stages(spark, steps):
+    got = Counter((r.doc_id, r.n_tokens) for r in cp.run(spark, SMALL).collect())
+    assert got == Counter((r.doc_id, r.n_tokens) for r in steps["byte_bpe"][1])
+
+
+@pytest.mark.parametrize("name", list(STAGE))
+def test_odd_rows(spark, odd_docs, no_docs, name):
+    docs = odd_docs.withColumnRenamed("n", "n_chars").selectExpr("*").withColumn(
+        "n_chars", odd_docs.doc_id)
+    out = STAGE[name](spark, docs, SMALL)
+    rows = out.collect()
+    assert set(docs.columns) <= set(out.columns) or name == "byte_bpe"
+    assert rows or name == "source_mix"
+    empty = STAGE[name](spark, docs.limit(0), SMALL)
+    assert empty.count() == 0
+
+
+def test_empty_documents_pass_the_filters(spark):
+    docs = spark.createDataFrame([(1, None, "en", "a", 0), (2, "", "en", None, 0),
+                                  (2, "", "en", None, 0)],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    for name in ("line_dedup", "near_dedup"):
+        assert STAGE[name](spark, docs, SMALL).count() == 3

@@ -171,6 +171,20 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
+def keep(docs: DataFrame, model: Model, text: str = "text", threshold: float = 0.3) -> DataFrame:
+    """The rows that are not rejected, with all their columns; scored where they lie."""
+    tk.small_batches(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        for batch in batches:
+            for lo, hi, buf, off in tk.text_blocks(batch.column(text)):
+                good = shared.value.scores(buf, off) >= threshold
+                yield batch.slice(lo, hi - lo).filter(pa.array(good))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def classify(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text"
              ) -> DataFrame:
     """Train on the labelled rows outside the held-out fold and score every row."""
