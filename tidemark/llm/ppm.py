@@ -37,18 +37,18 @@ from .labelled import id_remainder
 from .scratch import staged
 
 ORDER = 5
-BLOCK_TEXT = 64 << 20
+BLOCK_TEXT = 128 << 20
 PAD, END = 0xFE, 0xFF  # bytes that UTF-8 never uses
 SYMBOLS = 256
 
-_GRAM, _WORD = 0, 1
+_GRAM, _WORD, _TEXT = 0, 1, 2
 _MAX_ROWS = 1 << 15
 
 
 def _pieces(col: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Blocks of lower-cased bytes of at most _MAX_ROWS rows."""
     for at in range(0, len(col), _MAX_ROWS):
-        for lo, _, buf, off in tk.text_blocks(col.slice(at, _MAX_ROWS), 4 << 20):
+        for lo, _, buf, off in tk.text_blocks(col.slice(at, _MAX_ROWS)):
             yield at + lo, tk.lower_ascii(buf), off
 
 
@@ -70,14 +70,14 @@ def grams(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _tally(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sum the counts of equal keys."""
-    order = np.argsort(keys)
+    order = np.argsort(keys, kind="stable")  # quick on the concatenation of sorted parts
     keys, counts = keys[order], counts[order]
     lead = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, int)
     return keys[lead], np.add.reduceat(counts, lead) if len(lead) else counts
 
 
 class _Tally:
-    """Distinct keys with summed counts; what is held stays near twice the distinct keys."""
+    """Distinct keys with summed counts; little more than the distinct keys is held."""
 
     def __init__(self):
         self._parts: list[tuple[np.ndarray, np.ndarray]] = []
@@ -86,7 +86,7 @@ class _Tally:
     def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
         self._parts.append(_tally(keys, counts))
         self._held += len(self._parts[-1][0])
-        if self._held > 2 * self._settled + (1 << 20):
+        if self._held > 1.25 * self._settled + (1 << 20):
             self.result()
 
     def result(self) -> tuple[np.ndarray, np.ndarray]:
@@ -203,31 +203,45 @@ def code_lengths(counted: DataFrame) -> DataFrame:
     return out
 
 
-def _score_block(n_words: int, vocabulary: int, end_count: int, key_type: pa.DataType):
-    """Function of a block's texts and its (kind, key, value) rows: the scores."""
-    floor = math.log10(n_words + vocabulary + 1)
+def _sorted(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    keys = np.concatenate([np.zeros(0, tk.U64), *(k for k, _ in parts)])
+    values = np.concatenate([np.zeros(0), *(v for _, v in parts)])
+    order = np.argsort(keys)
+    return keys[order], values[order]
 
-    def run(texts: pa.Table, model: pa.Table) -> pa.Table:
-        kind = np.asarray(model.column("kind"))
-        key = np.asarray(model.column("key")).view(tk.U64)
-        value = np.asarray(model.column("value"))
-        lookup = []
-        for k in (_GRAM, _WORD):
-            order = np.flatnonzero(kind == k)
-            order = order[np.argsort(key[order])]
-            lookup.append((key[order], value[order]))
-        del kind, key, value
-        found = []
-        for col in texts.column("text").chunks:
-            for _, buf, off in _pieces(col):
-                found.append(score_piece(buf, off, lookup))
-        cols = [np.concatenate([f[i] for f in found]) if found else np.zeros(0)
-                for i in range(4)]
-        return pa.table({
-            "doc_id": texts.column("doc_id").combine_chunks().cast(key_type),
-            "n_tokens": pa.array(cols[0].astype(np.int64)),
-            "n_known": pa.array(cols[1].astype(np.int64)),
-            "base_score": pa.array(cols[2].astype(float)), "score": pa.array(cols[3].astype(float))})
+
+def _scorer(n_words: int, vocabulary: int, end_count: int, key_type: pa.DataType):
+    """``mapInArrow`` function over rows sorted by block and kind: the (key, value) rows of
+    a block, then its texts, which are scored batch by batch."""
+    floor = math.log10(n_words + vocabulary + 1)
+    names = ["doc_id", "n_tokens", "n_known", "base_score", "score"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, block, lookup = ([], []), None, None
+        for batch in batches:
+            place = np.asarray(batch.column("place"))
+            cuts = np.r_[0, np.flatnonzero(place[1:] != place[:-1]) + 1, len(place)]
+            for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+                if lo == hi:
+                    continue
+                now, kind = divmod(int(place[lo]), 4)
+                if now != block:
+                    parts, block, lookup = ([], []), now, None
+                part = batch.slice(lo, hi - lo)
+                if kind != _TEXT:
+                    parts[kind].append((np.array(part.column("key")).view(tk.U64),
+                                        np.array(part.column("value"))))
+                    continue
+                if lookup is None:
+                    lookup = [_sorted(p) for p in parts]
+                    parts = ([], [])
+                for at, buf, off in _pieces(part.column("text")):
+                    found = score_piece(buf, off, lookup)
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column("doc_id").slice(at, len(off) - 1).cast(key_type),
+                         *(pa.array(x, t) for x, t in zip(
+                             found, [pa.int64()] * 2 + [pa.float64()] * 2, strict=True))],
+                        names=names)
 
     def score_piece(buf, off, lookup):
         n = len(off) - 1
@@ -248,7 +262,7 @@ def _score_block(n_words: int, vocabulary: int, end_count: int, key_type: pa.Dat
         known = np.bincount(rows, weights=count > 0, minlength=n) + (end_count > 0)
         base = np.bincount(rows, weights=np.log10(count + 1), minlength=n) \
             + math.log10(end_count + 1) - (words + 1) * floor
-        return words + 1, known, base, score
+        return words + 1, known.astype(np.int64), base, score
 
     return run
 
@@ -273,13 +287,20 @@ def score(docs: DataFrame, learn: Column, key: str = "doc_id", text: str = "text
     lengths = code_lengths(counted.filter(F.col("kind") == _GRAM).select("key", "n"))
     model = (lengths.select(F.lit(_GRAM).cast("byte").alias("kind"), "key", "value")
              .unionByName(words.select("kind", "key", F.col("n").cast("double").alias("value"))))
-    asked = staged(listed.select("block", "kind", "key").join(model, ["kind", "key"]),
-                   "ppm-answers")
-    id_type = rows.schema["doc_id"].dataType.simpleString()
-    scored = rows.groupBy("block").cogroup(asked.groupBy("block")).applyInArrow(
-        _score_block(n_words + n_learn, vocabulary + (n_learn > 0), n_learn,
-                     pa.string() if id_type == "string" else pa.int64()),
-        f"doc_id {id_type}, n_tokens long, n_known long, base_score double, score double")
+    asked = listed.select("block", "kind", "key").join(model, ["kind", "key"])
+    id_type = rows.schema["doc_id"].dataType
+    place = F.col("block").cast("long") * 4
+    lined_up = (asked.select((place + F.col("kind")).alias("place"), "block", "key", "value",
+                             F.lit(None).cast(id_type).alias("doc_id"),
+                             F.lit(None).cast("string").alias("text"))
+                .unionByName(rows.select((place + _TEXT).alias("place"), "block", "doc_id", "text"),
+                             allowMissingColumns=True)
+                .repartition(4 * n_blocks, "block").drop("block").sortWithinPartitions("place"))
+    scored = lined_up.mapInArrow(
+        _scorer(n_words + n_learn, vocabulary + (n_learn > 0), n_learn,
+                pa.string() if id_type.simpleString() == "string" else pa.int64()),
+        f"doc_id {id_type.simpleString()}, n_tokens long, n_known long, base_score double, "
+        "score double")
     return scored.withColumn("train_tokens", F.lit(n_words + n_learn).cast("long"))
 
 
