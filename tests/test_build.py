@@ -109,12 +109,12 @@ def test_injected_fault_fails_one_check_and_is_traced(spark, tmp_root):
     build_mart(spark, lay)
     assert inject_business_rule_fault(spark, lay, "cdmx", D("2025-02-20")) == 1
     report = {r.check_name: r.failures for r in build_mart(spark, lay).collect()}
-    assert report["assert_temp_max_gte_temp_min"] == 1           # exactly one failure
+    assert report["max_not_below_min"] == 1           # exactly one failure
     assert sum(report.values()) == 1
     got = diagnose(spark, lay).collect()
     assert len(got) == 1 and got[0].raw_temp_max_c == 5.0 and got[0].raw_temp_min_c == 25.0
     assert got[0].raw_extracted_at == run_ts
-    assert got[0].check_name == "assert_temp_max_gte_temp_min"
+    assert got[0].check_name == "max_not_below_min"
     # a tighter FX range flags every row whose rate is outside it, in the same scan
     from tidemark.operators.quality import accepted_range
     tight = diagnose(spark, lay, [accepted_range("fx_usd_mxn", 17.0, 17.5)]).collect()

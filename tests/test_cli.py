@@ -24,7 +24,7 @@ def test_cli_extract_build_profile(spark, tmp_root, capsys):
     assert "loaded 56 rows" in capsys.readouterr().out
     assert main(["extract", "--root", root, "--source", "weather", "--landing", f"{land}/w",
                  "--today", "2025-02-02"]) == 0
-    assert "nothing new" in capsys.readouterr().out
+    assert "up to date" in capsys.readouterr().out
     assert main(["extract", "--root", root, "--source", "fx", "--landing", f"{land}/fx",
                  "--mode", "backfill", "--start", "2025-01-01", "--today", "2025-02-02"]) == 0
     assert main(["build", "--root", root]) == 0

@@ -78,7 +78,7 @@ def main(argv: list[str] | None = None) -> int:
         r = load_source(spark, layout, SOURCES[args.source], rows, args.today, args.mode,
                         args.start, args.end, reread_days=args.reread_days)
         if r.nothing_new:
-            print(f"[{r.source}] nothing new to extract (watermark {r.watermark_before})")
+            print(f"[{r.source}] up to date: loaded through {r.watermark_before}")
         else:
             print(f"[{r.source}] {r.window_start} -> {r.window_end} ({args.mode}): "
                   f"loaded {r.rows_loaded} rows; watermark {r.watermark_before} -> "

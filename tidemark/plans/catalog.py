@@ -51,7 +51,9 @@ def business_day_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def calendar_spine_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return calendar_spine(rate_bench(spark, sf_dir), "date")
+    """Every day between the first and the last order, weekends included."""
+    return calendar_spine(load(spark, sf_dir, "orders").select(
+        F.col("o_orderdate").cast("date").alias("date")), "date")
 
 
 def locf_global(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -262,7 +264,7 @@ def mart_checks(lo: float = 5.0, hi: float = 50.0) -> list:
     """The mart's declared checks (fixed values: FX range 5 to 50)."""
     return [not_null("location"), not_null("date"), accepted_range("fx_usd_mxn", lo, hi),
             unique_combination(["location", "date"]),
-            row_rule("assert_temp_max_gte_temp_min", MAX_LT_MIN, "temp_max_c,temp_min_c")]
+            row_rule("max_not_below_min", MAX_LT_MIN, "temp_max_c,temp_min_c")]
 
 
 def dq_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
