@@ -59,12 +59,11 @@ def test_odd_rows(odd_docs, no_docs, width):
     assert near_dedup.find(no_docs, width).count() == 0
 
 
-@pytest.mark.parametrize("chunk", [1024, 7])
+@pytest.mark.parametrize("chunk", [2 << 20, 1000])
 def test_large_groups_around_the_threshold(spark, monkeypatch, chunk):
     """Chains and clouds of near copies whose similarities straddle 80 %, and pairs that
     share long passages only: every link between different texts counts."""
-    monkeypatch.setattr(near_dedup, "CHUNK", chunk)
-    monkeypatch.setattr(near_dedup, "CLOSEST", 2)
+    monkeypatch.setattr(near_dedup, "CHUNK_SHINGLES", chunk)
     r = random.Random(11)
     rows = []
     for g in range(6):

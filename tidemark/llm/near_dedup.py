@@ -6,10 +6,11 @@ pairs of classes.  The samples are also folded into an odd sketch, a bitmap of p
 the population count of two sketches' XOR estimates their similarity, and pairs far below
 the threshold go no further.  The rest are confirmed on the full sets.
 
-Every bucket first links its members to one leader.  Then only members of a bucket that
-are still in different components are paired, by sketch: the closest few first and, for
-what is still apart, all others.  So components are complete, while a bucket of near copies
-costs about its size, not its square.
+Every bucket first links its members to one leader.  Then buckets whose members are still
+in different components are searched by tasks that hold a bounded part of a bucket with its
+sets: closest sketches first, only pairs that are still apart and share no earlier band,
+and only links that join two components come out.  So components are complete, and no step
+puts out more rows than a bucket has members.
 
 Recall: at the threshold of 80 % a pair misses all bands with probability
 (1 - 0.8^4)^32 = 5e-8, and the sketch bound drops it with under 1e-6.
@@ -40,9 +41,8 @@ SAMPLES = 256
 SKETCH_WORDS = 16  # of 64 bits
 #: Largest XOR count of two sketches at similarity 0.8, beyond which under 1e-6 lie.
 SKETCH_DISTANCE = 155
-#: Members of a bucket compared by one task at a time.
-CHUNK = 1024
-CLOSEST = 8
+#: Shingles of a bucket's members that one task compares with as many others.
+CHUNK_SHINGLES = 2 << 20
 
 _RNG = np.random.Generator(np.random.PCG64(97))
 _SPREAD = _RNG.integers(0, 2**64 - 1, 4, dtype=tk.U64) | tk.U64(1)
@@ -129,6 +129,17 @@ def signatures(docs: DataFrame, width: int, key: str = "doc_id", text: str = "te
                            "node binary, bands array<long>, sketch array<long>")
 
 
+def _set(value: pa.BinaryScalar) -> np.ndarray:
+    return np.frombuffer(value.as_buffer(), tk.U64)
+
+
+def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two sets share at least ``percent`` % of their union."""
+    merged = np.sort(np.concatenate([x, y]))
+    common = int((merged[1:] == merged[:-1]).sum())
+    return 100 * common >= percent * (len(merged) - common)
+
+
 def _distance():
     return sum((F.bit_count(F.col("sketch_a")[i].bitwiseXOR(F.col("sketch_b")[i]))
                 for i in range(SKETCH_WORDS)), F.lit(0))
@@ -159,48 +170,47 @@ def _confirm(pairs: DataFrame, docs: DataFrame, classes: DataFrame, width: int,
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            linked = []
-            for x, y in zip(batch.column("set_a"), batch.column("set_b"), strict=True):
-                x = np.frombuffer(x.as_buffer(), tk.U64)
-                y = np.frombuffer(y.as_buffer(), tk.U64)
-                merged = np.sort(np.concatenate([x, y]))
-                common = int((merged[1:] == merged[:-1]).sum())
-                linked.append(100 * common >= percent * (len(merged) - common))
+            linked = [_similar(_set(x), _set(y), percent) for x, y in
+                      zip(batch.column("set_a"), batch.column("set_b"), strict=True)]
             yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
     return both.select("a", "b", "set_a", "set_b").mapInArrow(check, "a binary, b binary").distinct()
 
 
-def _cross_pairs(limit: int | None):
-    """Function of a chunk pair of a bucket: pairs of members in different components
-    whose sketches are close; with ``limit``, that many per member and component."""
+def _joining_links(percent: int):
+    """Function of two parts of a bucket (or one with itself): links between members of
+    different components, no more than it takes to join them."""
     def run(key: tuple, group: pa.Table) -> pa.Table:
         side = np.asarray(group.column("side"))
-        group = group.take(pa.array(np.argsort(side, kind="stable")))
-        side = np.sort(side)
         low, high = key[1].as_py(), key[2].as_py()
-        sketch = np.stack(group.column("sketch").combine_chunks().flatten().to_numpy()
-                          .reshape(len(side), SKETCH_WORDS)).view(tk.U64)
-        names = group.column("node").to_pylist()
-        _, comp = np.unique(np.array([c.hex() for c in group.column("component").to_pylist()]),
-                            return_inverse=True)
-        left = np.flatnonzero(side == low)
-        right = left if low == high else np.flatnonzero(side == high)
+        n = len(side)
+        sketch = np.asarray(group.column("sketch").combine_chunks().flatten()).reshape(
+            n, SKETCH_WORDS).view(tk.U64)
+        bands = np.asarray(group.column("bands").combine_chunks().flatten()).reshape(n, BANDS)
+        at = group.column("band_no")[0].as_py()
+        leads = np.asarray(group.column("leads"))
+        nodes = group.column("node")
+        sets = [_set(x) for x in group.column("shingles")]
+        size = np.fromiter(map(len, sets), np.int64, n)
+        number: dict[bytes, int] = {}
+        comp = np.array([number.setdefault(c, len(number)) for c in
+                         group.column("component").to_pylist()])
+        left = np.flatnonzero((side == low) & ~leads)  # leaders have met all members
+        right = left if low == high else np.flatnonzero((side == high) & ~leads)
         a, b = [], []
         for i in left:
             js = right[right > i] if low == high else right
             js = js[comp[js] != comp[i]]
-            d = np.bitwise_count(sketch[js] ^ sketch[i]).sum(axis=1)
-            js, d = js[d <= SKETCH_DISTANCE], d[d <= SKETCH_DISTANCE]
-            if limit is not None and len(js) > limit:
-                order = np.lexsort((d, comp[js]))
-                js, c = js[order], comp[js[order]]
-                first = np.flatnonzero(np.r_[True, c[1:] != c[:-1]])
-                rank = np.arange(len(js)) - np.repeat(first, np.diff(np.r_[first, len(js)]))
-                js = js[rank < limit]
+            js = js[100 * np.minimum(size[js], size[i]) >= percent * np.maximum(size[js], size[i])]
+            far = np.bitwise_count(sketch[js] ^ sketch[i]).sum(axis=1)
+            js, far = js[far <= SKETCH_DISTANCE], far[far <= SKETCH_DISTANCE]
+            js = js[np.argsort(far, kind="stable")]
+            js = js[~(bands[js, :at] == bands[i, :at]).any(axis=1)]  # that bucket sees to them
             for j in js:
-                x, y = sorted((names[i], names[j]))
-                a.append(x), b.append(y)
+                if comp[i] != comp[j] and _similar(sets[i], sets[j], percent):
+                    x, y = sorted((nodes[int(i)].as_py(), nodes[int(j)].as_py()))
+                    a.append(x), b.append(y)
+                    comp[comp == comp[j]] = comp[i]
         return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
 
     return run
@@ -209,51 +219,45 @@ def _cross_pairs(limit: int | None):
 def link(docs: DataFrame, signed: DataFrame, width: int, percent: int) -> DataFrame:
     """(node, component) of the classes that are linked with another class."""
     classes = staged(signed.filter("node IS NOT NULL").groupBy("node").agg(
-        F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"),
-        F.first("sketch").alias("sketch")), "near-classes")
+        F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"),
+        F.first("bands").alias("bands"), F.first("sketch").alias("sketch")), "near-classes")
     sketches = classes.select("node", "sketch")
-    members = classes.select("node", F.explode("bands").alias("band"))
+    members = classes.select("node", "n_shingles", F.posexplode("bands").alias("band_no", "band"))
     # the leader is the member that comes first in a hash order of all classes, so that
     # the buckets of one group mostly share a leader
     place = F.struct(F.xxhash64("node").alias("order"), F.col("node").alias("node"))
     buckets = members.groupBy("band").agg(
-        F.count("*").alias("members"), F.min(place)["node"].alias("leader")).filter("members > 1")
-    placed = staged(members.join(buckets, "band"), "near-buckets")
+        F.count("*").alias("members"), F.sum("n_shingles").alias("shingles"),
+        F.min(place)["node"].alias("leader")).filter("members > 1")
+    placed = staged(members.drop("n_shingles").join(buckets, "band"), "near-buckets")
     led = placed.filter(F.col("node") != F.col("leader")).select(
         F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
-
-    def close(pairs: DataFrame) -> DataFrame:
-        return (pairs.join(sketches.toDF("a", "sketch_a"), "a")
-                .join(sketches.toDF("b", "sketch_b"), "b")
-                .filter(_distance() <= SKETCH_DISTANCE).select("a", "b"))
-
-    tried = staged(close(led), "near-tried")
-    links = staged(_confirm(tried, docs, classes, width, percent), "near-links")
+    close = (led.join(sketches.toDF("a", "sketch_a"), "a")
+             .join(sketches.toDF("b", "sketch_b"), "b")
+             .filter(_distance() <= SKETCH_DISTANCE).select("a", "b"))
+    links = staged(_confirm(staged(close, "near-pairs"), docs, classes, width, percent),
+                   "near-links")
     found = staged(components(links), "near-components")
-    for limit in (CLOSEST, None):
-        # members of buckets of three or more that are not all in one component
-        comp = F.coalesce("component", "node").alias("component")
-        apart = placed.filter("members > 2").join(found, "node", "left").select(
-            "band", "node", "members", "leader", comp)
-        split = apart.groupBy("band").agg(F.min("component").alias("lo"),
-                                          F.max("component").alias("hi"))
-        apart = staged(apart.join(split.filter("lo != hi").select("band"), "band")
-                       .join(sketches, "node"), "near-apart")
-        n_chunks = F.ceil(F.col("members") / CHUNK).cast("int")
-        side = F.pmod(F.xxhash64("node", F.lit(3)), n_chunks).cast("int")
-        pairs = staged(
-            apart.withColumn("side", side)
-            .withColumn("other", F.explode(F.sequence(F.lit(0), n_chunks - 1)))
-            .select("band", F.least("side", "other").alias("low"),
-                    F.greatest("side", "other").alias("high"), "side", "node", "component",
-                    "sketch")
-            .groupBy("band", "low", "high").applyInArrow(_cross_pairs(limit), "a binary, b binary")
-            .distinct().join(tried, ["a", "b"], "left_anti"), "near-pairs")
-        more = staged(_confirm(pairs, docs, classes, width, percent), "near-links")
-        tried = tried.unionByName(pairs)
-        links = links.unionByName(more)
-        found = staged(components(links), "near-components")
-    return found
+
+    # members of buckets of three or more that are not all in one component
+    named = placed.filter("members > 2").join(found, "node", "left").select(
+        "band", "band_no", "node", "shingles", (F.col("node") == F.col("leader")).alias("leads"),
+        F.coalesce("component", "node").alias("component"))
+    split = named.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+    apart = staged(named.join(split.filter("lo != hi").select("band"), "band"), "near-apart")
+    sets = staged(_sets(docs, classes.select("node", "doc_id").join(
+        apart.select("node").distinct(), "node"), width).dropDuplicates(["node"]), "near-sets")
+    parts = F.ceil(F.col("of") / CHUNK_SHINGLES).cast("int")
+    more = staged(
+        apart.withColumnRenamed("shingles", "of")
+        .withColumn("side", F.pmod(F.xxhash64("node", F.lit(3)), parts).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
+        .join(classes.select("node", "bands", "sketch"), "node").join(sets, "node")
+        .select("band", F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high"),
+                "side", "band_no", "node", "component", "leads", "bands", "sketch", "shingles")
+        .groupBy("band", "low", "high")
+        .applyInArrow(_joining_links(percent), "a binary, b binary").distinct(), "near-links")
+    return staged(components(links.unionByName(more)), "near-components")
 
 
 def find(docs: DataFrame, width: int = 5, percent: int = 80, key: str = "doc_id",
@@ -276,3 +280,23 @@ def find(docs: DataFrame, width: int = 5, percent: int = 80, key: str = "doc_id"
     out = join_groups(grouped, names, "group", "_rows", n_rows).select(
         "doc_id", "n_shingles", "component_id").unionByName(single)
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def keep_one(docs: DataFrame, width: int = 5, percent: int = 80, key: str = "doc_id",
+             text: str = "text") -> DataFrame:
+    """One row of each group, with all its columns: the one with the smallest id, and of
+    rows that repeat that id the one whose columns come first.  Rows with an empty set are
+    in no group and stay."""
+    names = docs.columns
+    rows = docs.select("*", F.xxhash64(F.col(key), F.col(text)).alias("_row"))
+    found = staged(find(rows, width, percent, "_row", text), "near-found")
+    owner = rows.select("_row", F.col(key).alias("_id")).distinct()
+    grouped = found.filter("n_shingles > 0").select(
+        F.col("doc_id").alias("_row"), F.col("component_id").alias("_group")).distinct()
+    best = (grouped.join(owner, "_row").groupBy("_group")
+            .agg(F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", "_row"))["_row"].alias("_row"))
+            .select("_row"))
+    alone = found.filter("n_shingles = 0").select(F.col("doc_id").alias("_row")).distinct()
+    empty = rows.join(alone, "_row", "left_semi").select(*names)
+    first = rows.join(best, "_row", "left_semi").dropDuplicates(["_row"]).select(*names)
+    return first.unionByName(empty)
