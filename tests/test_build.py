@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from conftest import D, rows
 from tidemark import specs
 from tidemark.operators.quality import ContractViolation
+from tidemark.operators.upsert import KeyViolation
 from tidemark.plans import models
 from tidemark.plans.build import Layout, build_mart, load_source
 from tidemark.sources.landed import explode_parallel, explode_points, parse_documents, stamp
@@ -168,3 +169,122 @@ def test_lost_state_rerun_does_not_duplicate(spark, tmp_root):
     assert (again.window_start, again.window_end) == (first.window_start, first.window_end)
     assert read_table(spark, lay.raw_weather, specs.WEATHER_RAW).count() == n
     assert watermark_of(load_state(spark, lay.state), "weather") == first.window_end
+
+
+def _loaded(spark, tmp_root):
+    lay, run_ts = Layout(tmp_root), dt.datetime(2025, 3, 1, 12)
+    load_source(spark, lay, specs.WEATHER, _weather_rows(spark, run_ts), D("2025-03-01"),
+                "backfill", START)
+    load_source(spark, lay, specs.FX, _fx_rows(spark, run_ts), D("2025-03-01"), "backfill", START)
+    return lay
+
+
+@pytest.mark.parametrize("change", ["rename", "retype", "one_file_lacks_it"])
+def test_drift_in_an_older_partition_fails_the_build(spark, tmp_root, change):
+    lay = _loaded(spark, tmp_root)
+    build_mart(spark, lay)
+    part = f"{lay.raw_fx}/month=2025-01-01"
+    old = spark.read.parquet(part)
+    rows_ = old.collect()
+    new = spark.createDataFrame(rows_, old.schema)
+    if change == "rename":
+        new.withColumnRenamed("value", "valor").write.mode("overwrite").parquet(part)
+    elif change == "retype":
+        new.withColumn("value", F.col("value").cast("string")).write.mode("overwrite").parquet(part)
+    else:
+        new.drop("value").limit(1).write.mode("append").parquet(part)
+    with pytest.raises(ContractViolation, match="value"):
+        build_mart(spark, lay)
+
+
+@pytest.mark.parametrize("how", [{"full_refresh": True}, {"strategy": "window_replace"}, {}])
+def test_a_missing_input_never_touches_the_mart(spark, tmp_root, how):
+    from tidemark.session import delete_path
+
+    lay = _loaded(spark, tmp_root)
+    build_mart(spark, lay)
+    before = rows(read_table(spark, lay.mart, specs.MART), "location", "date")
+    delete_path(spark, lay.raw_fx)
+    with pytest.raises(ContractViolation, match="absent or empty"):
+        build_mart(spark, lay, **how)
+    assert rows(read_table(spark, lay.mart, specs.MART), "location", "date") == before
+
+
+def test_landed_rows_without_a_key_fail_the_load(spark, tmp_root):
+    lay, run_ts = Layout(tmp_root), dt.datetime(2025, 3, 1, 12)
+    w = _weather_rows(spark, run_ts)
+    lost = w.withColumn("date", F.when(F.col("date") != D("2025-01-05"), F.col("date")))
+    with pytest.raises(KeyViolation, match="NULL"):
+        load_source(spark, lay, specs.WEATHER, lost, D("2025-03-01"), "backfill", START)
+    body = json.dumps({"bmx": {"series": [{"idSerie": "S1", "datos": [
+        {"fecha": "02/01/2025", "dato": "1.0"}, {"dato": "2.0"}]}]}})
+    docs = parse_documents(spark.createDataFrame(
+        [("fx_usd_mxn", body)], "series_name string, body string"), "body", specs.FX_PAYLOAD,
+        carry=["series_name"])
+    fx = stamp(explode_points(docs, carry=["series_name"]).withColumnRenamed(
+        "series_name", "series"), run_ts)
+    with pytest.raises(KeyViolation):
+        load_source(spark, lay, specs.FX, fx, D("2025-03-01"), "backfill", START)
+
+
+def test_rate_failures_are_traced_to_the_day_their_rate_is_from(spark, tmp_root):
+    from tidemark.operators.quality import accepted_range
+    from tidemark.plans.build import diagnose
+
+    lay = _loaded(spark, tmp_root)
+    build_mart(spark, lay)
+    got = diagnose(spark, lay, [accepted_range("fx_usd_mxn", 17.0, 17.5)]).collect()
+    assert len(got) > 20 and all(r.found and r.fx_found for r in got)
+    assert all(r.raw_fx_value == r.fx_usd_mxn and r.raw_fx_extracted_at is not None for r in got)
+    sunday = [r for r in got if r.date == D("2025-02-23")]
+    assert sunday and all(r.fx_origin == D("2025-02-21") for r in sunday)
+
+
+def test_inserted_fault_has_a_load_time_and_orphans_are_listed(spark, tmp_root):
+    from tidemark.plans.build import inject_business_rule_fault
+    from tidemark.operators.quality import trace
+
+    lay = _loaded(spark, tmp_root)
+    ts = dt.datetime(2025, 3, 2, 8)
+    inject_business_rule_fault(spark, lay, "merida", D("2025-02-20"), ts)
+    new = read_table(spark, lay.raw_weather, specs.WEATHER_RAW).filter("location = 'merida'").first()
+    assert new.extracted_at == ts
+    bad = spark.createDataFrame([("cdmx", D("2025-02-20")), ("nowhere", D("2025-02-20")),
+                                 (None, None)], "location string, date date")
+    out = trace(bad, read_table(spark, lay.raw_weather, specs.WEATHER_RAW), ["location", "date"],
+                ["temp_max_c"]).collect()
+    assert sorted((str(r.location), r.found) for r in out) == [
+        ("None", False), ("cdmx", True), ("nowhere", False)]
+
+
+def test_day_grain_layout_and_separate_watermarks(spark, tmp_root):
+    import os
+    lay = Layout(tmp_root, "day")
+    run_ts = dt.datetime(2025, 3, 1, 12)
+    load_source(spark, lay, specs.WEATHER, _weather_rows(spark, run_ts), D("2025-03-01"))
+    load_source(spark, lay, specs.FX, _fx_rows(spark, run_ts), D("2025-03-01"))
+    assert {r.status for r in build_mart(spark, lay).collect()} == {"pass"}
+    assert os.path.exists(f"{lay.mart}/day=2025-02-20")
+    state = load_state(spark, lay.state)
+    assert state.count() == 2 and watermark_of(state, "fx") == D("2025-02-28")
+    assert sorted(d for d in os.listdir(lay.state) if d.startswith("source")) == [
+        "source=fx", "source=weather"]
+
+
+def test_failed_rebuild_swap_puts_the_old_mart_back(spark, tmp_root, monkeypatch):
+    from tidemark.plans import build
+
+    lay = _loaded(spark, tmp_root)
+    build_mart(spark, lay)
+    before = rows(read_table(spark, lay.mart, specs.MART), "location", "date")
+    real = build.rename_path
+
+    def failing(spark_, src, dst):
+        if ".rebuild-" in src:
+            raise OSError("no rename")
+        real(spark_, src, dst)
+
+    monkeypatch.setattr(build, "rename_path", failing)
+    with pytest.raises(OSError):
+        build_mart(spark, lay, full_refresh=True)
+    assert rows(read_table(spark, lay.mart, specs.MART), "location", "date") == before

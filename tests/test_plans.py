@@ -27,14 +27,27 @@ def test_flagship_broadcasts_the_calendar_and_never_sorts_facts(spark):
     assert re.search(r"BroadcastHashJoin \[[^\]]*date[^\]]*\], \[[^\]]*\], LeftOuter", plan)
 
 
-def test_trace_scans_raw_without_shuffling_it(spark):
-    plan = final_plan(spark, "failing_row_trace")
-    assert "Exchange hashpartitioning" not in plan
-    assert "BroadcastHashJoin" in plan
+def test_keyed_fill_is_one_scan_and_the_grid_fill_one_window_of_it(spark):
+    plan = final_plan(spark, "locf_by_entity")
+    assert plan.count("FileScan parquet [l_") == 1
+    plan = final_plan(spark, "locf_minute")
+    final = plan.split("Initial Plan")[0]
+    assert len(re.findall(r"Window \[last\(value#", final)) == 1
+
+
+def test_no_broadcast_hint_outside_the_calendar_join():
+    hits = [p.name for p in (ROOT / "tidemark").rglob("*.py")
+            if "llm" not in p.parts and "F.broadcast(" in p.read_text()]
+    assert hits == ["joins.py"]
+
 
+def test_stored_target_is_read_back_not_rebuilt(spark):
+    assert final_plan(spark, "incremental_mart").count("FileScan parquet [l_") == 0
+    assert final_plan(spark, "window_replace").count("FileScan parquet [l_") == 1
 
-def test_incremental_mart_pushes_the_cutoff_into_the_scan(spark):
-    plan = final_plan(spark, "incremental_mart")
+
+def test_window_replace_pushes_the_cutoff_into_the_scan(spark):
+    plan = final_plan(spark, "window_replace")
     assert re.search(r"PushedFilters: \[[^\]]*GreaterThanOrEqual\(l_shipdate", plan)
 
 
@@ -66,9 +79,3 @@ def test_flagship_single_task_step_is_only_the_calendar_window(spark):
     # the single-partition exchange feeds the ordered calendar window (days, proven size)
     block = plan.split("Exchange SinglePartition")[0].rsplit("Window [", 1)
     assert len(block) == 2
-
-
-def test_counted_upsert_batch_is_broadcast(spark):
-    plan = final_plan(spark, "upsert_replace")
-    assert "SortMergeJoin" not in plan
-    assert re.search(r"BroadcastHashJoin [^\n]*LeftAnti", plan)

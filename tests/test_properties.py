@@ -108,15 +108,25 @@ def test_key_violations_match_counter(spark, data):
     assert months == sorted({(BASE + dt.timedelta(days=d)).replace(day=1) for _, d in data})
 
 
-@SETTINGS
-@given(t=cells, b=cells)
-def test_partial_upsert_split_equals_plain(spark, t, b):
-    from tidemark.operators.upsert import upsert_columns
-    target = _df(spark, t).withColumn("w", F.lit(1.0))
-    batch = _df(spark, b).withColumn("w", F.lit(2.0))
-    plain = upsert_columns(target, batch, ["k", "date"], ["v"])
-    split = upsert_columns(target, batch, ["k", "date"], ["v"], batch_rows=len(rows(batch)))
-    assert rows(split) == rows(plain)
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(batches=st.lists(st.dictionaries(st.sampled_from("abcd"), st.integers(0, 120), min_size=1),
+                        min_size=1, max_size=3))
+def test_stored_upsert_of_moving_dates_has_one_row_per_key(spark, batches):
+    import tempfile
+    from pyspark.sql import types as T
+    from tidemark.operators.upsert import upsert_path
+    from tidemark.sources.tables import read_table
+    from tidemark.specs import TableSpec
+
+    spec = TableSpec("p", T.StructType([T.StructField("k", T.StringType()),
+                                        T.StructField("date", T.DateType()),
+                                        T.StructField("v", T.DoubleType())]), keys=("k",))
+    path, want = tempfile.mkdtemp(prefix="tm-prop-") + "/t", {}
+    for i, batch in enumerate(batches):
+        data = [(k, BASE + dt.timedelta(days=d), float(i)) for k, d in batch.items()]
+        upsert_path(spark, path, spark.createDataFrame(data, S), spec)
+        want |= {k: (d, v) for k, d, v in data}
+    assert {k: (d, v) for k, d, v in rows(read_table(spark, path, spec))} == want
 
 
 @settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])

@@ -116,17 +116,29 @@ def test_gap_fill_since_equals_filtered(spark, since):
     assert rows(sized) == rows(full1) and n >= len(rows(full1))
 
 
-def test_sized_bounds_and_auto_bucket(spark, monkeypatch):
-    import tidemark.operators.enrich as E
-    df = _series(spark)
-    filled, n = gap_fill_sized(df, "date", "v", keys=["k"], flag_col="f")
-    assert n == filled.count() == 3 * 400
-    monkeypatch.setattr(E, "SINGLE_TASK_ROWS", 100)
-    bucketed, n2 = E.gap_fill_sized(df, "date", "v", keys=["k"], flag_col="f")
+def test_sized_rows_are_exact_and_buckets_are_the_callers_choice(spark):
+    one = _series(spark).filter("k = 'k0'").drop("k")
+    filled, n = gap_fill_sized(one, "date", "v", flag_col="f")
+    assert n == filled.count() == 400
+    bucketed, n2 = gap_fill_sized(one, "date", "v", flag_col="f", bucket=month_bucket("date"))
     assert n2 == n and "__tm_bucket" in plan_text(bucketed)
     assert rows(bucketed) == rows(filled)
 
 
+def test_single_scan_fill_keeps_nulls_gaps_and_repeats(spark):
+    S_ = "k string, date date, v double"
+    df = spark.createDataFrame([("a", D("2024-01-01"), None), ("a", D("2024-01-03"), 3.0),
+                                ("a", D("2024-01-06"), None), ("b", D("2024-01-02"), 1.0),
+                                ("b", None, 9.0)], S_)
+    got = rows(gap_fill(df, "date", "v", keys=["k"], flag_col="f"))
+    assert got == [("a", D("2024-01-01"), None, False), ("a", D("2024-01-02"), None, False),
+                   ("a", D("2024-01-03"), 3.0, True), ("a", D("2024-01-04"), 3.0, False),
+                   ("a", D("2024-01-05"), 3.0, False), ("a", D("2024-01-06"), 3.0, False),
+                   ("b", D("2024-01-02"), 1.0, True)]
+    assert gap_fill(df.limit(0), "date", "v", keys=["k"]).count() == 0
+    assert gap_fill(df.limit(0).drop("k"), "date", "v").count() == 0
+
+
 def test_model_views_for_sql_users(spark, rates):
     from tidemark.plans.models import register_views
     from tidemark.specs import FX_RAW, WEATHER_RAW

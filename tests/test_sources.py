@@ -119,3 +119,68 @@ def test_load_stamp_ignores_session_time_zone(spark):
         assert got == [dt.datetime(2025, 1, 5, 12, 0)] * 3
     finally:
         spark.conf.set("spark.sql.session.timeZone", prev)
+
+
+@pytest.mark.parametrize("line", [
+    '{"location": "cdmx", "daily": {"time": ["2024-01-01"',                      # truncated
+    '{"location": "cdmx", "daily": {"time": ["2024-01-01"], "temperature_2m_max": ["x"], '
+    '"temperature_2m_min": [1.0], "precipitation_sum": [0.0]}}',                 # wrong type
+])
+def test_bad_documents_fail_the_load(spark, tmp_root, line):
+    import datetime as dt
+    from tidemark.sources.landed import read_weather_landing
+    with open(f"{tmp_root}/w.json", "w") as f:
+        f.write(json.dumps({"location": "cdmx", "daily": FULL}) + "\n" + line + "\n")
+    with pytest.raises(Exception):
+        read_weather_landing(spark, f"{tmp_root}/w.json", dt.datetime(2025, 1, 5)).collect()
+
+
+@pytest.mark.parametrize("text", ["17.5d", "17.5f", "0x1p3", "1 2", "--1", "1e", ""])
+def test_only_decimal_numbers_parse(spark, text):
+    from tidemark.functions.values import parse_grouped_number
+    df = spark.createDataFrame([(text,)], "v string")
+    assert df.select(parse_grouped_number("v").alias("v")).first().v is None
+
+
+def test_decimal_numbers_parse(spark):
+    from tidemark.functions.values import parse_grouped_number
+    good = {"1,020.5": 1020.5, " -3 ": -3.0, "+.5": 0.5, "2.": 2.0, "1e3": 1000.0}
+    df = spark.createDataFrame([(k,) for k in good], "t string")
+    assert {r.t: r.v for r in df.select("t", parse_grouped_number("t").alias("v")).collect()} == good
+
+
+def test_a_day_in_two_files_is_read_from_the_newer(spark, tmp_root):
+    import datetime as dt
+    import os
+    import time
+    from tidemark.plans.build import Layout, load_source
+    from tidemark.sources.landed import read_weather_landing
+    from tidemark.sources.tables import read_table
+    from tidemark.specs import WEATHER, WEATHER_RAW
+
+    os.makedirs(f"{tmp_root}/land")
+
+    def doc(name, days, tmax):
+        with open(f"{tmp_root}/land/{name}.json", "w") as f:
+            f.write(json.dumps({"location": "cdmx", "daily": {
+                "time": days, "temperature_2m_max": [tmax] * len(days),
+                "temperature_2m_min": [1.0] * len(days),
+                "precipitation_sum": [0.0] * len(days)}}) + "\n")
+
+    def run(today):
+        landed = read_weather_landing(spark, f"{tmp_root}/land", dt.datetime(2024, 1, 9))
+        return load_source(spark, lay, WEATHER, landed, today, reread_days=3)
+
+    lay = Layout(f"{tmp_root}/wh")
+    doc("a", ["2024-01-01", "2024-01-02"], 20.0)
+    run(D("2024-01-07"))
+    time.sleep(1.1)
+    doc("b", ["2024-01-02", "2024-01-03"], 30.0)
+    run(D("2024-01-08"))
+    got = rows(read_table(spark, lay.raw_weather, WEATHER_RAW), "date", "temp_max_c")
+    assert got == [(D("2024-01-01"), 20.0), (D("2024-01-02"), 30.0), (D("2024-01-03"), 30.0)]
+    with open(f"{tmp_root}/land/c.json", "w") as f:    # one file names a day twice
+        f.write(json.dumps({"location": "cdmx", "daily": dict(
+            FULL, time=["2024-01-04", "2024-01-04", "2024-01-05"])}) + "\n")
+    with pytest.raises(Exception, match="duplicate key"):
+        run(D("2024-01-10"))

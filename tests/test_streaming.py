@@ -88,8 +88,8 @@ def test_stream_build_merges_the_mart_per_batch(spark, tmp_root):
 
     clock = lambda: dt.datetime(2024, 2, 1, 6)
     doc("a", 20.0)
-    reports = stream_build(spark, lay, land, specs.WEATHER, f"{tmp_root}/ckpt", clock)
-    assert len(reports) == 1 and all(r.status == "pass" for r in reports[0])
+    batches, report = stream_build(spark, lay, land, specs.WEATHER, f"{tmp_root}/ckpt", clock)
+    assert batches == 1 and report and all(r.status == "pass" for r in report)
     mart = read_table(spark, lay.mart, specs.MART)
     assert mart.count() == 20
     import time
@@ -102,3 +102,29 @@ def test_stream_build_merges_the_mart_per_batch(spark, tmp_root):
     older = m.filter(F.col("date") < D("2024-01-10")).select("temp_max_c").distinct().collect()
     assert [r[0] for r in recent] == [30.0]          # inside the 10-day lookback: updated
     assert [r[0] for r in older] == [20.0]           # before it: kept (delete+insert semantics)
+
+
+def test_equal_and_missing_order_values_raise(spark):
+    import pytest
+    from tidemark.sources.landed import newest_landing
+    t = dt.datetime(2024, 1, 1)
+    twice = spark.createDataFrame([("a", D("2024-01-01"), 1.0, t), ("a", D("2024-01-01"), 2.0, t)],
+                                  SCHEMA)
+    with pytest.raises(Exception, match="duplicate key"):
+        newest_landing(twice, SPEC.keys, "extracted_at").collect()
+    unordered = spark.createDataFrame([("b", D("2024-01-01"), 1.0, None)], SCHEMA)
+    with pytest.raises(Exception, match="row without extracted_at"):
+        newest_landing(unordered, SPEC.keys, "extracted_at").collect()
+
+
+def test_a_bad_document_fails_the_stream(spark, tmp_root):
+    import os
+    import pytest
+    from tidemark import specs
+    from tidemark.streaming.ingest import ingest_documents
+    os.makedirs(f"{tmp_root}/landing")
+    with open(f"{tmp_root}/landing/a.json", "w") as f:
+        f.write('{"location": "cdmx", "daily": {"time": ["2024-01-01"\n')
+    with pytest.raises(Exception):
+        ingest_documents(spark, f"{tmp_root}/landing", specs.WEATHER, f"{tmp_root}/raw",
+                         f"{tmp_root}/ckpt")

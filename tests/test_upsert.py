@@ -91,14 +91,13 @@ def test_touched_month_read_is_partition_pruned(spark, tmp_root):
     assert rows(df) == [("a", D("2024-03-01"), 2.0)]
 
 
-def test_small_batch_is_broadcast_and_history_bypasses_shuffle(spark, target):
+def test_history_bypasses_the_merge(spark, target):
     from conftest import plan_text
     from tidemark.operators.incremental import merge_incremental
 
     batch = spark.createDataFrame([("a", D("2024-01-02"), 9.0)], S)
-    p = plan_text(upsert(target, batch, ["k", "date"], batch_rows=1))
-    assert "BroadcastHashJoin" in p and "LeftAnti" in p
-    assert "SortMergeJoin" not in p
+    p = plan_text(upsert(target, batch, ["k", "date"]))
+    assert "LeftAnti" in p
     merged = merge_incremental(target.withColumnRenamed("k", "location"),
                                batch.withColumnRenamed("k", "location"), ["location", "date"],
                                since="2024-01-02")
@@ -106,16 +105,52 @@ def test_small_batch_is_broadcast_and_history_bypasses_shuffle(spark, target):
     assert "Union" in plan_text(merged)
 
 
-def test_partial_update_split_path_equals_full_outer(spark, target):
+def test_partial_update_applies_nulls_and_reads_the_target_once(spark, target):
     from conftest import plan_text
     t = target.withColumn("w", F.lit(5.0)).unionByName(
         spark.createDataFrame([(None, D("2024-01-01"), 3.0, 1.0)], "k string, date date, v double, w double"))
     b = spark.createDataFrame([("a", D("2024-01-02"), None, 7.0), ("c", D("2024-01-01"), 4.0, 8.0)],
                               "k string, date date, v double, w double")
-    plain = upsert_columns(t, b, ["k", "date"], ["v"])
-    split = upsert_columns(t, b, ["k", "date"], ["v"], batch_rows=2)
-    assert rows(split) == rows(plain)
-    assert "LeftAnti" in plan_text(split) and "LeftSemi" in plan_text(split)
+    merged = upsert_columns(t, b, ["k", "date"], ["v"])
+    got = {(k, d): (v, w) for k, d, v, w in rows(merged)}
+    assert got[("a", D("2024-01-02"))] == (None, 5.0)
+    assert got[("c", D("2024-01-01"))] == (4.0, 8.0)
+    assert got[(None, D("2024-01-01"))] == (3.0, 1.0)
+    assert "FullOuter" in plan_text(merged)
+
+
+def test_a_key_without_the_date_moves_between_partitions(spark, tmp_root):
+    import os
+    from tidemark.specs import TableSpec
+    spec = TableSpec("t", SPEC.schema, keys=("k",))
+    path = f"{tmp_root}/t"
+    upsert_path(spark, path, spark.createDataFrame(
+        [("a", D("2024-01-10"), 1.0), ("b", D("2024-01-11"), 1.0), ("c", D("2024-03-01"), 1.0)], S),
+        spec)
+    upsert_path(spark, path, spark.createDataFrame(
+        [("a", D("2024-02-01"), 2.0), ("c", D("2024-02-02"), 2.0)], S), spec)
+    assert rows(read_table(spark, path, spec)) == [
+        ("a", D("2024-02-01"), 2.0), ("b", D("2024-01-11"), 1.0), ("c", D("2024-02-02"), 2.0)]
+    assert not os.path.exists(f"{path}/month=2024-03-01")
+    assert not [f for f in os.listdir(path) if f.startswith("_")]
+
+
+def test_failed_swap_restores_the_old_partition(spark, tmp_root, monkeypatch):
+    from tidemark.sources import tables
+    path = f"{tmp_root}/t"
+    upsert_path(spark, path, spark.createDataFrame([("a", D("2024-01-10"), 1.0)], S), SPEC)
+    before = rows(read_table(spark, path, SPEC))
+    real = tables.rename_path
+
+    def failing(spark_, src, dst):
+        if "/_stage-" in src:
+            raise OSError("no rename")
+        real(spark_, src, dst)
+
+    monkeypatch.setattr(tables, "rename_path", failing)
+    with pytest.raises(OSError):
+        upsert_path(spark, path, spark.createDataFrame([("a", D("2024-01-10"), 2.0)], S), SPEC)
+    assert rows(read_table(spark, path, SPEC)) == before
 
 
 def test_hot_month_is_written_by_several_tasks(spark, tmp_root):

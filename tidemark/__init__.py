@@ -7,7 +7,7 @@ protocol (validate, rewrite touched partitions, then advance state).
 
 from tidemark.session import checkpoint_dir, get_session, scale_settings
 from tidemark.operators.enrich import enrich, gap_fill, gap_fill_sized, gap_fill_time
-from tidemark.operators.incremental import full_rebuild, merge_incremental, window_replace
+from tidemark.operators.incremental import merge_incremental, window_replace
 from tidemark.operators.profile import profile
 from tidemark.operators.quality import (accepted_range, check_report, contract_diff,
                                         enforce_contract, failing_rows, freshness, not_null,
@@ -22,7 +22,7 @@ __all__ = [
     "calendar_spine", "time_spine", "carry_forward", "carry_forward_increment",
     "gap_fill", "gap_fill_sized", "gap_fill_time", "enrich",
     "upsert", "upsert_columns", "upsert_path", "window_replace_path",
-    "merge_incremental", "window_replace", "full_rebuild",
+    "merge_incremental", "window_replace",
     "not_null", "accepted_range", "row_rule", "unique_combination", "check_report",
     "failing_rows", "trace", "freshness", "contract_diff", "enforce_contract", "profile",
     "plan_windows", "windowed_batch", "advance_watermarks",

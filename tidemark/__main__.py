@@ -39,6 +39,7 @@ def main(argv: list[str] | None = None) -> int:
     ex.add_argument("--start", type=_date)
     ex.add_argument("--end", type=_date)
     ex.add_argument("--today", type=_date, default=dt.date.today())
+    ex.add_argument("--modified-after", help="read only files landed after this time")
     ex.add_argument("--reread-days", type=int, default=0,
                     help="restart incremental windows this many days before the watermark")
     bd = sub.add_parser("build", help="build or incrementally merge the mart, then check it")
@@ -62,19 +63,26 @@ def main(argv: list[str] | None = None) -> int:
     fr.add_argument("--root", required=True)
     dg = sub.add_parser("diagnose", help="failing rows of every check, traced to their raw rows")
     dg.add_argument("--root", required=True)
+    dg.add_argument("--out", help="write the rows to this Parquet folder instead of printing them")
+    ck = sub.add_parser("check", help="run the mart's checks without building it")
+    ck.add_argument("--root", required=True)
+    for command in sub.choices.values():
+        command.add_argument("--grain", choices=["month", "day"], default="month",
+                             help="partition grain of the stored tables")
     args = ap.parse_args(argv)
 
-    from tidemark.plans.build import Layout, build_mart, diagnose, load_source, source_freshness
+    from tidemark.plans.build import (Layout, build_mart, check_mart, diagnose, load_source,
+                                      source_freshness)
     from tidemark.session import get_session
 
     spark = get_session(os.environ.get("TIDEMARK_MASTER"))
-    layout = Layout(args.root.rstrip("/"))
+    layout = Layout(args.root.rstrip("/"), args.grain)
     if args.cmd == "extract":
         from tidemark.sources.landed import read_fx_landing, read_weather_landing
 
         run_ts = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)
         read = read_weather_landing if args.source == "weather" else read_fx_landing
-        rows = read(spark, args.landing, run_ts)
+        rows = read(spark, args.landing, run_ts, args.modified_after)
         r = load_source(spark, layout, SOURCES[args.source], rows, args.today, args.mode,
                         args.start, args.end, reread_days=args.reread_days)
         if r.nothing_new:
@@ -84,10 +92,11 @@ def main(argv: list[str] | None = None) -> int:
                   f"loaded {r.rows_loaded} rows; watermark {r.watermark_before} -> "
                   f"{r.watermark_after}")
         return 0
-    if args.cmd == "build":
-        report = build_mart(spark, layout, full_refresh=args.full_refresh, since=args.since,
-                            lookback_days=args.lookback_days,
-                            strategy="window_replace" if args.window_replace else "delete_insert")
+    if args.cmd in ("build", "check"):
+        report = check_mart(spark, layout) if args.cmd == "check" else build_mart(
+            spark, layout, full_refresh=args.full_refresh, since=args.since,
+            lookback_days=args.lookback_days,
+            strategy="window_replace" if args.window_replace else "delete_insert")
         rows = report.collect()
         for r in rows:
             print(f"{r.status.upper():4s} {r.failures:>8d}  {r.check_name} ({r.column_name})")
@@ -96,7 +105,7 @@ def main(argv: list[str] | None = None) -> int:
         from tidemark.operators.profile import profile
         from tidemark.sources.tables import read_table
 
-        spec = TABLES[args.table]
+        spec = layout.spec(TABLES[args.table])
         df = read_table(spark, f"{layout.root}/{args.table}", spec)
         profile(df, args.table, distinct="approx" if args.approx else "exact").show(
             len(spec.columns) + 1, truncate=False)
@@ -105,16 +114,24 @@ def main(argv: list[str] | None = None) -> int:
         from tidemark.streaming.ingest import stream_build
 
         ckpt = args.checkpoint or f"{layout.root}/checkpoints/{args.source}"
-        reports = stream_build(spark, layout, args.landing, SOURCES[args.source], ckpt,
-                               strategy="window_replace" if args.window_replace
-                               else "delete_insert")
-        print(f"[{args.source}] {len(reports)} micro-batch(es)")
-        failed = [r for rep in reports[-1:] for r in rep if r.status != "pass"]
+        batches, report = stream_build(spark, layout, args.landing, SOURCES[args.source], ckpt,
+                                       strategy="window_replace" if args.window_replace
+                                       else "delete_insert")
+        print(f"[{args.source}] {batches} micro-batch(es)")
+        failed = [r for r in report if r.status != "pass"]
         for r in failed:
             print(f"FAIL {r.failures:>8d}  {r.check_name} ({r.column_name})")
         return 1 if failed else 0
     if args.cmd == "diagnose":
-        diagnose(spark, layout).show(truncate=False)
+        found = diagnose(spark, layout)
+        if args.out:
+            found.write.parquet(args.out)
+            found = spark.read.parquet(args.out)
+        found = found.cache()
+        n = found.count()
+        print(f"{n} failing row(s)")
+        if not args.out:
+            found.show(n, truncate=False)
         return 0
     source_freshness(spark, layout).show(truncate=False)
     return 0

@@ -1,7 +1,7 @@
 """Scalar column functions (all native Spark expressions)."""
 
 from tidemark.functions.dates import (
-    business_day, dow_sunday0, parse_day_first, days_before, days_after, to_day,
+    business_day, dow_sunday0, parse_day_first,
     month_bucket, as_date, trunc_ntz,
 )
 from tidemark.functions.values import (
@@ -9,7 +9,7 @@ from tidemark.functions.values import (
 )
 
 __all__ = [
-    "business_day", "dow_sunday0", "parse_day_first", "days_before", "days_after",
-    "to_day", "month_bucket", "as_date", "trunc_ntz", "parse_grouped_number", "not_sentinel",
+    "business_day", "dow_sunday0", "parse_day_first",
+    "month_bucket", "as_date", "trunc_ntz", "parse_grouped_number", "not_sentinel",
     "require_not_null",
 ]

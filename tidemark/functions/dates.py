@@ -17,11 +17,6 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def to_day(col) -> Column:
-    """Any date/timestamp/ISO string → DATE."""
-    return _c(col).cast("date")
-
-
 def business_day(col) -> Column:
     """Monday–Friday → true, Saturday/Sunday → false, NULL → NULL.
     Holidays are not known and count as business days."""
@@ -48,15 +43,6 @@ def as_date(value) -> _dt.date | None:
     return _dt.date.fromisoformat(str(value)[:10])
 
 
-def days_before(col, n: int) -> Column:
-    """``col - n days`` as DATE (a column name or Column)."""
-    return F.date_sub(_c(col).cast("date"), n)
-
-
-def days_after(col, n: int) -> Column:
-    return F.date_add(_c(col).cast("date"), n)
-
-
 def month_bucket(col) -> Column:
     """First day of the month — the partition / bucket unit of stored series."""
     return F.trunc(_c(col).cast("date"), "month")

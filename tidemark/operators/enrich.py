@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.operators.joins import BROADCAST_MAX_ROWS, join_dimension
+from tidemark.operators.joins import join_dimension
 from tidemark.functions.dates import as_date
 from tidemark.operators.series import (calendar_spine_between, carry_forward, date_bounds,
                                        last_non_null_before, span_days, time_spine)
@@ -15,10 +15,13 @@ from tidemark.operators.series import (calendar_spine_between, carry_forward, da
 def gap_fill(obs: DataFrame, date_col: str = "date", value_col: str = "fx_rate",
              keys: Sequence[str] = (), flag_col: str = "is_published_rate",
              bounds: tuple | None = None, bucket: Column | None = None,
-             since=None, seed: tuple | None = None,
-             rows_bound: int | None = None) -> DataFrame:
+             since=None, seed: tuple | None = None) -> DataFrame:
     """Calendar spine ⟕ observations, presence flag, then LOCF.
 
+    Without ``bucket`` and ``since`` neither spine nor join is needed: each observation
+    carries its value to the day before the next one (``carry_to_next``), one scan and one
+    exchange on the key.
+
     Output ``(*keys, date, value, flag)``: one row per calendar day from the
     first to the last observed date (per key).  ``flag`` is true on days with
     a non-null observation, false on filled days — computed before filling.
@@ -30,13 +33,14 @@ def gap_fill(obs: DataFrame, date_col: str = "date", value_col: str = "fx_rate",
     result — while windowing only those days: the carry is seeded with the
     last non-null value before ``since`` (one aggregate over the history,
     no sort and no window over it).  Keyless callers that already read it
-    pass ``seed=(value,)``.  ``rows_bound`` (a proven bound on the output
-    rows, e.g. from ``gap_fill_sized``) lets seeds and bucket carries, both
-    at most that many rows, be broadcast.
+    pass ``seed=(value,)``.
     """
     keys = list(keys)
     since = as_date(since)
     d = F.col(date_col).cast("date")
+    if bucket is None and since is None and bounds is None:
+        points = obs.select(*keys, d.alias(date_col), F.col(value_col))
+        return carry_to_next(points, date_col, value_col, keys, flag_col)
     if bounds is None and not keys:
         row = date_bounds(obs, date_col).first()
         bounds = (row["lo"], row["hi"])
@@ -55,15 +59,12 @@ def gap_fill(obs: DataFrame, date_col: str = "date", value_col: str = "fx_rate",
         points = points.filter(F.col(date_col) >= F.lit(since))
     joined = (spine.join(points, on=keys + [date_col], how="left")
               .withColumn(flag_col, F.col(value_col).isNotNull()))
-    filled = carry_forward(joined, date_col, [value_col], keys, bucket,
-                           carries_bound=rows_bound)
+    filled = carry_forward(joined, date_col, [value_col], keys, bucket, points, spine)
     if since is not None:
         seeds = last_non_null_before(obs.select(*keys, d.alias(date_col), F.col(value_col)),
                                      date_col, [value_col], since, keys)
         carry_in = F.col(f"{value_col}__seed")
         if keys:
-            if rows_bound is not None and rows_bound <= BROADCAST_MAX_ROWS:
-                seeds = F.broadcast(seeds)      # one row per key <= calendar rows
             filled = filled.join(seeds, keys, "left")
         else:
             value = seed[0] if seed is not None else seeds.first()[f"{value_col}__seed"]
@@ -72,6 +73,24 @@ def gap_fill(obs: DataFrame, date_col: str = "date", value_col: str = "fx_rate",
     return filled.select(*keys, date_col, value_col, flag_col)
 
 
+def carry_to_next(points: DataFrame, date_col: str, value_col: str, keys: Sequence[str] = (),
+                  flag_col: str = "is_published_rate") -> DataFrame:
+    """Daily calendar and carry from the observations alone: a row's value (the last
+    non-null one up to it) stands for its own day and all days before the next row's.
+    NULL dates are left out, as they lie on no calendar."""
+    keys = list(keys)
+    order = (Window.partitionBy(*keys) if keys else Window.partitionBy()).orderBy(date_col)
+    so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    own = points.filter(F.col(date_col).isNotNull()).select(
+        *keys, F.col(date_col).alias("__day"),
+        F.last(F.col(value_col), ignorenulls=True).over(so_far).alias(value_col),
+        F.col(value_col).isNotNull().alias("__own"), F.lead(date_col).over(order).alias("__next"))
+    until = F.greatest(F.col("__day"), F.date_sub(F.coalesce("__next", F.date_add("__day", 1)), 1))
+    days = own.select("*", F.explode(F.sequence(F.col("__day"), until)).alias(date_col))
+    return days.select(*keys, date_col, value_col,
+                       (F.col("__own") & (F.col(date_col) == F.col("__day"))).alias(flag_col))
+
+
 def gap_fill_time(obs: DataFrame, ts_col: str, value_col: str, step_seconds: int,
                   flag_col: str = "is_observed", bucket: Column | None = None) -> DataFrame:
     """``gap_fill`` for a sub-daily grid (``ts_col`` already truncated to the
@@ -83,43 +102,15 @@ def gap_fill_time(obs: DataFrame, ts_col: str, value_col: str, step_seconds: int
     points = obs.select(F.col(ts_col), F.col(value_col))
     joined = (spine.join(points, ts_col, "left")
               .withColumn(flag_col, F.col(value_col).isNotNull()))
-    days = (row["hi"] - row["lo"]).days + 1 if row["lo"] is not None else 0
-    if bucket is None:     # day buckets: the carries have one row per day of the span
-        bucket, carries_bound = F.to_date(F.col(ts_col)), days
-    else:
-        carries_bound = None
-    filled = carry_forward(joined, ts_col, [value_col], (), bucket, carries_bound=carries_bound)
+    bucket = F.to_date(F.col(ts_col)) if bucket is None else bucket
+    filled = carry_forward(joined, ts_col, [value_col], (), bucket, points, spine)
     return filled.select(ts_col, value_col, flag_col)
 
 
-def calendar_rows(obs: DataFrame, date_col: str = "date", keys: Sequence[str] = (),
-                  since=None) -> tuple[int, int]:
-    """(total rows, rows of the longest key) of ``gap_fill``'s output, from
-    one small aggregate — the proven bounds behind the broadcast and the
-    single-task-window decisions."""
-    b = date_bounds(obs, date_col, keys)
-    lo = F.col("lo") if since is None else F.greatest(F.col("lo"), F.lit(as_date(since)))
-    span = F.when(F.col("hi") >= lo, F.datediff(F.col("hi"), lo) + 1).otherwise(0)
-    row = b.agg(F.sum(span).alias("n"), F.max(span).alias("m")).first()
-    return int(row["n"] or 0), int(row["m"] or 0)
-
-
-# A keyless carry runs as one ordered window in one task; above this many
-# calendar rows the two-stage month-bucketed form is used instead.
-SINGLE_TASK_ROWS = 500_000
-
-
 def gap_fill_sized(obs: DataFrame, date_col: str = "date", value_col: str = "fx_rate",
-                   keys: Sequence[str] = (), flag_col: str = "is_published_rate",
-                   bucket: Column | None = None, since=None) -> tuple[DataFrame, int]:
-    """``gap_fill`` plus a proven bound on its row count (one bounds query on
-    ``obs``; exact for the unkeyed form)."""
-    if keys:
-        total, longest = calendar_rows(obs, date_col, keys, since)
-        if bucket is None and longest > SINGLE_TASK_ROWS:
-            bucket = F.trunc(F.col(date_col), "month")
-        return (gap_fill(obs, date_col, value_col, keys, flag_col, bucket=bucket, since=since,
-                         rows_bound=total), total)
+                   flag_col: str = "is_published_rate", bucket: Column | None = None,
+                   since=None) -> tuple[DataFrame, int]:
+    """Keyless ``gap_fill`` plus its exact row count, from one bounds query on ``obs``."""
     since = as_date(since)
     d, v = F.col(date_col).cast("date"), F.col(value_col)
     aggs = [F.min(d).alias("lo"), F.max(d).alias("hi")]
@@ -128,12 +119,9 @@ def gap_fill_sized(obs: DataFrame, date_col: str = "date", value_col: str = "fx_
     row = obs.agg(*aggs).first()
     lo, hi = row["lo"], row["hi"]
     first = max(lo, since) if lo is not None and since is not None else lo
-    n = span_days(first, hi)
-    if bucket is None and n > SINGLE_TASK_ROWS:
-        bucket = F.trunc(F.col(date_col), "month")
     return (gap_fill(obs, date_col, value_col, (), flag_col, bounds=(lo, hi), bucket=bucket,
-                     since=since, seed=(row["seed"],) if since is not None else None,
-                     rows_bound=n), n)
+                     since=since, seed=(row["seed"],) if since is not None else None),
+            span_days(first, hi))
 
 
 def enrich(facts: DataFrame, dim: DataFrame, on: Sequence[str] | str = "date",

@@ -6,7 +6,7 @@
   it.  Keys that vanished from the source stay in the target.
 * ``window_replace``: as above, but every target row at or after the cutoff
   is dropped, so vanished keys inside the window disappear.
-* ``full_rebuild``: the source, projected and contract-checked.
+A full rebuild is a write and a swap: ``plans.build.swap_in``.
 
 The cutoff is a literal computed from one scalar aggregate on the target, so
 the source filter reaches the Parquet scan and prunes partitions.
@@ -76,8 +76,3 @@ def window_replace(target: DataFrame | None, source: DataFrame, date_col: str =
                                                                       lookback_days)
     kept = target.filter(F.col(date_col) < F.lit(cutoff))
     return kept.unionByName(select_since(source, date_col, cutoff).select(*target.columns))
-
-
-def full_rebuild(source: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The source projected onto the declared column order."""
-    return source.select(*columns)

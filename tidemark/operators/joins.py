@@ -1,4 +1,4 @@
-"""Join helpers with an explicit, checked broadcast decision."""
+"""Join helpers; the one broadcast hint is on a day calendar of known size."""
 
 from __future__ import annotations
 
@@ -6,23 +6,18 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-# A broadcast side is built on the driver and shipped to every executor, so
-# its size must be bounded by something other than the fact table.  1M rows
-# of a (date, double, boolean) dimension is ~30 MB.
-BROADCAST_MAX_ROWS = 1_000_000
+# Rows of a day calendar that may be broadcast: (date, double, boolean) rows of 40 bytes,
+# 8 MB at most.  500 years of days.
+CALENDAR_ROWS = 200_000
 
 
 def join_dimension(facts: DataFrame, dim: DataFrame, on: Sequence[str] | str,
-                   how: str = "left", dim_rows: int | None = None,
-                   max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Join a fact table to a dimension whose row count is known up front.
-
-    ``dim_rows`` must be a proven bound (e.g. the day count of a calendar
-    spine).  Under ``max_rows`` the dimension is broadcast, so the facts are
-    never shuffled; otherwise (or when unknown) the plain join is left to the
-    planner and AQE, which switch to a broadcast only from measured sizes.
-    """
-    if dim_rows is not None and dim_rows <= max_rows:
+                   how: str = "left", dim_rows: int | None = None) -> DataFrame:
+    """Join a fact table to a day calendar whose exact row count is known up front.
+
+    Up to ``CALENDAR_ROWS`` the calendar is broadcast, so the facts are never shuffled.
+    Any other side is left to the planner and AQE, which broadcast by measured bytes."""
+    if dim_rows is not None and dim_rows <= CALENDAR_ROWS:
         dim = F.broadcast(dim)
     return facts.join(dim, on=list(on) if not isinstance(on, str) else on, how=how)
 

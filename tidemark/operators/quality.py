@@ -12,7 +12,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tidemark.operators.joins import BROADCAST_MAX_ROWS
 from tidemark.operators.upsert import upsert_columns
 
 
@@ -146,20 +145,18 @@ def enforce_contract(df: DataFrame, expected: T.StructType, what: str = "output"
 
 def trace(violations: DataFrame, raw: DataFrame, keys: Sequence[str],
           raw_cols: Sequence[str] | None = None, prefix: str = "raw_",
-          violation_rows: int | None = None) -> DataFrame:
-    """Offending rows joined to the raw rows they were built from.
-
-    With a known violation count under the broadcast bound (e.g. from the
-    check report, or ``materialize_count``), the violations are broadcast and
-    the raw table is only scanned, never shuffled; otherwise the join is left
-    to the planner and AQE."""
-    keys = list(keys)
-    cols = [c for c in (raw_cols or raw.columns) if c not in keys]
-    r = raw.select(*keys, *[F.col(c).alias(prefix + c) for c in cols])
-    if violation_rows is not None and violation_rows <= BROADCAST_MAX_ROWS:
-        return r.join(F.broadcast(violations), keys, "inner").select(
-            *violations.columns, *[prefix + c for c in cols])
-    return violations.join(r, keys, "inner")
+          raw_keys: Sequence[str] | None = None) -> DataFrame:
+    """Every offending row with the raw rows it was built from, and ``found``: false (and
+    the raw columns NULL) if there is none or a key part is NULL.  ``raw_keys`` names the
+    raw table's columns for ``keys`` where they differ."""
+    keys, raw_keys = list(keys), list(raw_keys or keys)
+    cols = [c for c in (raw_cols or raw.columns) if c not in raw_keys]
+    r = raw.select(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(raw_keys)],
+                   *[F.col(c).alias(prefix + c) for c in cols], F.lit(True).alias("__found"))
+    match = [F.col(k) == F.col(f"__k{i}") for i, k in enumerate(keys)]
+    return violations.join(r, match, "left").select(
+        *violations.columns, *[prefix + c for c in cols],
+        F.coalesce("__found", F.lit(False)).alias("found"))
 
 
 def materialize_count(df: DataFrame) -> tuple[DataFrame, int]:
@@ -188,14 +185,17 @@ def freshness(df: DataFrame, source_col: str | None, loaded_at_col: str,
 
 def inject_impossible_rows(raw: DataFrame, at_keys: DataFrame, keys: Sequence[str],
                            temp_max: float = 5.0, temp_min: float = 25.0,
-                           precipitation: float = 0.0) -> DataFrame:
+                           precipitation: float = 0.0, run_ts=None) -> DataFrame:
     """Upsert ``max < min`` rows at the given keys; on conflict only the two
-    temperatures change (the source fault the row rule must catch)."""
+    temperatures change (the source fault the row rule must catch).  An inserted row gets
+    ``run_ts`` as its load time."""
+    stamp = F.lit(None if run_ts is None else run_ts.isoformat(sep=" "))
     batch = at_keys.select(*keys).select(
         *[F.col(c) if c in keys else
           (F.lit(temp_max) if c == "temp_max_c" else
            F.lit(temp_min) if c == "temp_min_c" else
            F.lit(precipitation) if c == "precipitation_mm" else
+           stamp if c == "extracted_at" else
            F.lit(None)).cast(raw.schema[c].dataType).alias(c)
           for c in raw.columns])
     return upsert_columns(raw, batch, keys, ["temp_max_c", "temp_min_c"])

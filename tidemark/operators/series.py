@@ -7,7 +7,7 @@
   for a fact table.
 * ``keys=(...)`` — the window is partitioned by the entity key, so many series
   spread over the cluster.
-* ``bucket=<Column>`` (e.g. ``month_bucket("date")``) — two stages for
+* ``bucket=<Column>`` (e.g. ``month_bucket("date")``, the caller's choice) — two stages for
   fine-grained spines or a dominant key: LOCF inside each (key, bucket), then
   the last non-null value of each bucket is carried across buckets on a table
   that is #keys × #buckets small, and joined back on (key, bucket), which the
@@ -21,7 +21,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tidemark.functions.dates import as_date
-from tidemark.operators.joins import BROADCAST_MAX_ROWS
 
 _BUCKET = "__tm_bucket"
 
@@ -97,14 +96,16 @@ def _last_non_null_window(keys: Sequence[str], order_col: str):
 
 def carry_forward(df: DataFrame, order_col: str, cols: Sequence[str],
                   keys: Sequence[str] = (), bucket: Column | None = None,
-                  carries_bound: int | None = None) -> DataFrame:
+                  observations: DataFrame | None = None,
+                  spine: DataFrame | None = None) -> DataFrame:
     """Replace NULLs in ``cols`` with the last non-null value at or before the
     row, ordered by ``order_col`` within ``keys``.  Leading NULLs stay NULL;
     there is no maximum carry distance.  Column order is preserved.
 
-    ``carries_bound`` — a proven bound on the number of (key, bucket) pairs,
-    e.g. ``df``'s row count or the number of buckets — lets the carries be
-    broadcast back when small."""
+    ``observations`` (rows that hold every non-null value of ``df``) and ``spine`` (its
+    keys and order column): if ``df`` is their join, the two-stage form takes the last
+    value of each bucket from the first and the buckets from the second, so the join is
+    not run twice."""
     keys, cols = list(keys), list(cols)
     if bucket is None:
         w = _last_non_null_window(keys, order_col)
@@ -113,16 +114,19 @@ def carry_forward(df: DataFrame, order_col: str, cols: Sequence[str],
 
     staged = df.withColumn(_BUCKET, bucket)
     local = carry_forward(staged, order_col, cols, keys + [_BUCKET])
-    # Last non-null per (key, bucket) = the local value on the bucket's last row.
-    tails = local.groupBy(*keys, _BUCKET).agg(
-        *[F.max_by(F.col(c), F.col(order_col)).alias(f"{c}__tail") for c in cols])
+    # The last non-null value per (key, bucket) needs no order: one map-side aggregate.
+    seen = (df if observations is None else observations).withColumn(_BUCKET, bucket)
+    tails = seen.groupBy(*keys, _BUCKET).agg(
+        *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(order_col))).alias(f"{c}__tail")
+          for c in cols])
+    if observations is not None and spine is not None:   # buckets without observations too
+        buckets = spine.withColumn(_BUCKET, bucket).select(*keys, _BUCKET).distinct()
+        tails = buckets.join(tails, [*keys, _BUCKET], "left")
     cw = (Window.partitionBy(*keys) if keys else Window).orderBy(_BUCKET).rowsBetween(
         Window.unboundedPreceding, -1)
     carries = tails.select(*keys, _BUCKET, *[
         F.last(F.col(f"{c}__tail"), ignorenulls=True).over(cw).alias(f"{c}__carry")
         for c in cols])
-    if carries_bound is not None and carries_bound <= BROADCAST_MAX_ROWS:
-        carries = F.broadcast(carries)
     joined = local.join(carries, on=keys + [_BUCKET], how="left")
     return joined.select(*[F.coalesce(F.col(c), F.col(f"{c}__carry")).alias(c) if c in cols
                            else F.col(c) for c in df.columns])

@@ -7,9 +7,8 @@ fails before anything is written, rather than losing the deleted rows.
 
 Path form (``upsert_path``): tables are partitioned by month (or day, see
 ``TableSpec.grain``) of their date column; only the partitions the batch
-touches are read, merged, staged under the shared checkpoint folder and
-written back with dynamic partition overwrite.  Work follows the batch, not
-the table.
+touches are read, merged, written once beside the table and swapped in by
+rename.  Work follows the batch, not the table.
 """
 
 from __future__ import annotations
@@ -19,10 +18,11 @@ from collections.abc import Sequence
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.operators.joins import BROADCAST_MAX_ROWS, anti_join_keys
-from tidemark.session import checkpoint_dir, delete_path, path_exists, scratch_path
-from tidemark.functions.dates import month_bucket
-from tidemark.sources.tables import part_value, read_table, write_months
+from tidemark.operators.joins import anti_join_keys
+from tidemark.functions.dates import as_date, month_bucket
+from tidemark.session import path_exists
+from tidemark.sources.tables import (part_of, part_value, read_table, stored_parts, swap_parts,
+                                     write_months, write_stage)
 from tidemark.specs import TableSpec
 
 
@@ -76,38 +76,21 @@ def validate_keys(df: DataFrame, keys: Sequence[str], what: str = "batch",
     return rows, months
 
 
-def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str],
-           batch_rows: int | None = None) -> DataFrame:
-    """Target rows whose key is absent from the batch, plus the whole batch.
-
-    With a known batch size under the broadcast bound the batch keys are
-    broadcast and the target is filtered in place (no shuffle of the target);
-    otherwise one shuffle on the key, with the batch's distinct key set
-    computed on the same partitioning."""
-    bk = batch_keys(batch, keys)
-    if batch_rows is not None and batch_rows <= BROADCAST_MAX_ROWS:
-        bk = F.broadcast(bk)
-    survivors = anti_join_keys(target, bk, keys)
+def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Target rows whose key is absent from the batch, plus the whole batch.  How the batch
+    keys reach the target (broadcast or shuffle) is decided from their measured size."""
+    survivors = anti_join_keys(target, batch_keys(batch, keys), keys)
     return survivors.unionByName(batch.select(*target.columns))
 
 
 def upsert_columns(target: DataFrame, batch: DataFrame, keys: Sequence[str],
-                   update_cols: Sequence[str], batch_rows: int | None = None) -> DataFrame:
+                   update_cols: Sequence[str]) -> DataFrame:
     """On key conflict update only ``update_cols`` (a NULL in the batch wins),
     keep the target's other columns; batch-only keys are inserted whole.
 
-    Full outer join with side markers rather than ``coalesce``, so NULL
-    updates are applied.  With a known batch size under the broadcast bound,
-    the target is first split by broadcast semi / anti joins on the batch
-    keys: untouched rows pass through unshuffled and only the matching rows
-    meet the batch in the outer join."""
-    keys = list(keys)
-    if batch_rows is not None and batch_rows <= BROADCAST_MAX_ROWS:
-        bk = F.broadcast(batch_keys(batch, keys))
-        untouched = target.join(bk, keys, "left_anti")
-        touched = target.join(bk, keys, "left_semi")
-        return untouched.unionByName(_merge_columns(touched, batch, keys, update_cols))
-    return _merge_columns(target, batch, keys, update_cols)
+    One full outer join with side markers rather than ``coalesce``, so NULL
+    updates are applied and the target is read once."""
+    return _merge_columns(target, batch, list(keys), update_cols)
 
 
 def _merge_columns(target: DataFrame, batch: DataFrame, keys: list,
@@ -131,14 +114,23 @@ def _merge_columns(target: DataFrame, batch: DataFrame, keys: list,
 
 # --- stored tables -----------------------------------------------------------
 
+def _parts_holding(spark: SparkSession, path: str, batch: DataFrame, spec: TableSpec) -> set:
+    """Partitions that hold a key of the batch.  Only the key columns are read; what comes
+    back is bounded by the calendar."""
+    stored = read_table(spark, path, spec).select(
+        *spec.keys, part_value(spec.date_col, spec).alias("__part"))
+    held = stored.join(batch_keys(batch, spec.keys), list(spec.keys), "left_semi")
+    return {part_of(r[0], spec) for r in held.select("__part").distinct().collect()}
+
+
 def upsert_path(spark: SparkSession, path: str, batch: DataFrame, spec: TableSpec) -> int:
-    """Keyed upsert into a month-partitioned Parquet table.  Returns the
-    number of batch rows.  Empty batch ⇒ no-op.
+    """Keyed upsert into a partitioned Parquet table.  Returns the number of
+    batch rows.  Empty batch ⇒ no-op.
 
-    Protocol: validate keys → read only the touched months → anti-join +
-    union → stage the merged months under the shared checkpoint folder (so
-    the final write never reads the files it replaces) → dynamic overwrite.
-    A crash leaves old or new months; rerunning the same batch repairs it."""
+    Protocol: validate keys → read only the touched partitions (where the date is not part
+    of the key also those that hold a batch key, as a row may have moved) → anti-join +
+    union → write each touched partition once, beside the table → swap it in by rename.
+    A crash leaves old or new partitions; rerunning the same batch repairs it."""
     batch = batch.select(*spec.columns).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         rows, parts = validate_keys(batch, spec.keys, date_col=spec.date_col, spec=spec)
@@ -148,16 +140,14 @@ def upsert_path(spark: SparkSession, path: str, batch: DataFrame, spec: TableSpe
             # first load: nothing stored to protect, write the validated batch
             write_months(batch, path, spec)
             return rows
-        current = read_table(spark, path, spec, parts)
-        merged = upsert(current, batch, spec.keys, batch_rows=rows)
-        checkpoint_dir(spark)
-        stage = scratch_path(spark, f"upsert-{spec.name}")
-        merged.write.mode("errorifexists").parquet(stage)
+        parts = {part_of(p, spec) for p in parts}
+        if spec.date_col not in spec.keys:
+            parts |= _parts_holding(spark, path, batch, spec)
+        merged = upsert(read_table(spark, path, spec, sorted(parts)), batch, spec.keys)
+        stage = write_stage(merged, path, spec)
     finally:
         batch.unpersist()
-    staged = spark.read.schema(spec.schema).parquet(stage)
-    write_months(staged, path, spec)
-    delete_path(spark, stage)
+    swap_parts(spark, stage, path, spec, parts)
     return rows
 
 
@@ -166,29 +156,19 @@ def window_replace_path(spark: SparkSession, path: str, source: DataFrame, spec:
     """Stored window replace: every row with date on or after ``cutoff`` is
     replaced by the source's rows in that range, so keys that vanished from
     the source disappear.  Only the cutoff's own partition keeps older rows;
-    partitions at or after it that end up with no rows are removed (dynamic
-    overwrite alone would leave them).  Returns the rows written."""
-    from tidemark.functions.dates import as_date
-    from tidemark.sources.tables import drop_parts, part_of, stored_parts
-
+    partitions at or after it that end up with no rows are removed.  Returns
+    the rows written."""
     cutoff = as_date(cutoff)
     d = F.col(spec.date_col)
     fresh = source.filter(d >= F.lit(cutoff)).select(*spec.columns).persist(
         StorageLevel.MEMORY_AND_DISK)
     try:
-        rows, parts = validate_keys(fresh, spec.keys, date_col=spec.date_col, spec=spec)
+        rows, _ = validate_keys(fresh, spec.keys, date_col=spec.date_col, spec=spec)
         first = part_of(cutoff, spec)
         older = read_table(spark, path, spec, [first]).filter(d < F.lit(cutoff))
-        stage = scratch_path(spark, f"replace-{spec.name}")
-        older.unionByName(fresh).write.mode("errorifexists").parquet(stage)
+        stage = write_stage(older.unionByName(fresh), path, spec)
     finally:
         fresh.unpersist()
-    staged = spark.read.schema(spec.schema).parquet(stage)
-    written = {part_of(r[0], spec) for r in
-               staged.select(part_value(spec.date_col, spec)).distinct().collect()}
-    if written:
-        write_months(staged, path, spec)
-    drop_parts(spark, path, spec, [p for p in stored_parts(spark, path, spec)
-                                   if p >= first and p not in written])
-    delete_path(spark, stage)
+    swap_parts(spark, stage, path, spec,
+               [p for p in stored_parts(spark, path, spec) if p >= first])
     return rows

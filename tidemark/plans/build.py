@@ -4,8 +4,8 @@
 landed rows inside it (M7), validate and upsert them into the raw table (M1,
 touched months only), then advance the watermark (M8), data first.
 
-``build_mart`` — input schema checks (drift fails before any model runs),
-staging → gap-fill → enrichment → contract → incremental delete+insert merge
+``build_mart`` — input checks (an absent or empty input, or a partition whose
+schema drifted, fails before any model runs), staging → gap-fill → enrichment → contract → incremental delete+insert merge
 (or a full rebuild swapped in), then one check report.
 """
 
@@ -19,22 +19,29 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark import specs
 from tidemark.operators.incremental import EPOCH
-from tidemark.operators.quality import (ContractViolation, check_report, contract_diff,
-                                        enforce_contract)
-from tidemark.operators.upsert import upsert_path, window_replace_path
+from tidemark.operators.enrich import carry_to_next
+from tidemark.operators.quality import (ContractViolation, check_report, duplicate_groups,
+                                        enforce_contract, trace)
+from tidemark.operators.upsert import (KeyViolation, upsert_path, validate_keys,
+                                       window_replace_path)
 from tidemark.plans import models
+from tidemark.plans.drift import stored_drift
 from tidemark.plans.windows import advance_watermarks, plan_windows
-from tidemark.session import delete_path, path_exists
+from tidemark.session import delete_path, path_exists, rename_path
 from tidemark.sources.state import load_state, save_state
-from tidemark.sources.tables import (part_of, read_table, stored_high_water_mark, stored_parts,
-                                     write_table)
+from tidemark.sources.tables import part_of, read_table, stored_high_water_mark, write_table
 
 
 @dataclass(frozen=True)
 class Layout:
-    """Where the stored tables live (a shared filesystem / object store)."""
+    """Where the stored tables live (a shared filesystem / object store), and the grain
+    of their partitions: days for large tables, so that a daily increment rewrites days."""
 
     root: str
+    grain: str = "month"
+
+    def spec(self, table: specs.TableSpec) -> specs.TableSpec:
+        return table.with_grain(self.grain)
 
     @property
     def raw_weather(self) -> str:
@@ -76,7 +83,14 @@ def load_source(spark: SparkSession, layout: Layout, source: specs.SourceSpec,
     """One extraction run of one source over already flattened landed rows
     (typed to the raw table's columns, ``extracted_at`` stamped).
     ``reread_days`` re-reads that many days before the watermark (sources
-    that revise recent days); the keyed upsert absorbs the overlap."""
+    that revise recent days); the keyed upsert absorbs the overlap.  A landed
+    row without a key part fails the load, whatever the window: a row without
+    a date lies in none and would otherwise be lost."""
+    keyless = F.lit(False)
+    for k in source.table.keys:
+        keyless = keyless | F.col(k).isNull()
+    if not landed_rows.filter(keyless).isEmpty():
+        raise KeyViolation(f"{source.name}: landed row(s) with NULL in {list(source.table.keys)}")
     spec_df = spark.range(1).select(F.lit(source.name).alias("source"),
                                     F.lit(source.lag_days).alias("lag_days"),
                                     F.lit(source.default_days).alias("default_days"))
@@ -88,7 +102,7 @@ def load_source(spark: SparkSession, layout: Layout, source: specs.SourceSpec,
                           p["last_watermark"], p["last_watermark"])
     d = F.col(source.table.date_col)
     batch = landed_rows.filter((d >= F.lit(p["window_start"])) & (d <= F.lit(p["window_end"])))
-    n = upsert_path(spark, layout.raw_path(source), batch, source.table)
+    n = upsert_path(spark, layout.raw_path(source), batch, layout.spec(source.table))
     after = p["last_watermark"]
     if mode == "incremental" and n > 0:
         loaded = spark.range(1).select(F.lit(source.name).alias("source"),
@@ -100,21 +114,15 @@ def load_source(spark: SparkSession, layout: Layout, source: specs.SourceSpec,
                       p["last_watermark"], after)
 
 
-def stored_schema_diff(spark: SparkSession, path: str, spec: specs.TableSpec) -> list[tuple]:
-    """Compare the schema actually stored at ``path`` with the declared one
-    (partition column excluded) — how upstream drift is named early.  Reads
-    the footer schema of the newest partition only: that is where an upstream
-    change shows up first, and it avoids listing the whole table."""
-    parts = stored_parts(spark, path, spec)
-    if not parts:
-        return []
-    newest = f"{path}/{spec.part_col}={parts[-1].isoformat()}"
-    return contract_diff(spark.read.parquet(newest).schema, spec.schema)
-
-
-def check_inputs(spark: SparkSession, layout: Layout) -> None:
-    for path, spec in ((layout.raw_weather, specs.WEATHER_RAW), (layout.raw_fx, specs.FX_RAW)):
-        diff = stored_schema_diff(spark, path, spec)
+def check_inputs(spark: SparkSession, layout: Layout, since=None) -> None:
+    """Fail before anything is built or written: an input that is absent or empty, or one
+    of whose partitions (weather from ``since`` on, the whole rate history) drifted."""
+    for path, table, start in ((layout.raw_weather, specs.WEATHER_RAW, since),
+                               (layout.raw_fx, specs.FX_RAW, None)):
+        spec = layout.spec(table)
+        if not path_exists(spark, path) or read_table(spark, path, spec).isEmpty():
+            raise ContractViolation(f"input {spec.name} is absent or empty at {path}")
+        diff = stored_drift(spark, path, spec, part_of(start, spec) if start else None)
         if diff:
             raise ContractViolation(f"input {spec.name} drifted: {diff}")
 
@@ -122,28 +130,33 @@ def check_inputs(spark: SparkSession, layout: Layout) -> None:
 def conditions(spark: SparkSession, layout: Layout, since=None) -> DataFrame:
     """The mart's source rows (all, or only dates on or after ``since``:
     weather months before it are pruned, FX history is only aggregated)."""
-    raw_w = read_table(spark, layout.raw_weather, specs.WEATHER_RAW, since=since)
-    raw_fx = read_table(spark, layout.raw_fx, specs.FX_RAW)
+    raw_w = read_table(spark, layout.raw_weather, layout.spec(specs.WEATHER_RAW), since=since)
+    raw_fx = read_table(spark, layout.raw_fx, layout.spec(specs.FX_RAW))
     built = models.build_conditions(models.stage_weather(raw_w), models.stage_fx(raw_fx),
                                     since=since)
     return enforce_contract(models.mart_projection(built), specs.MART.schema, "mart")
 
 
-def _swap_in(spark: SparkSession, df: DataFrame, path: str, spec: specs.TableSpec) -> None:
-    """Full rebuild: write a fresh directory, then swap it in."""
-    jvm = spark.sparkContext._jvm
-    fs_path = jvm.org.apache.hadoop.fs.Path
-    fresh = f"{path}.rebuild-{uuid.uuid4().hex[:8]}"
-    write_table(df, fresh, spec)
-    fs = fs_path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    old = None
-    if fs.exists(fs_path(path)):
-        old = f"{path}.old-{uuid.uuid4().hex[:8]}"
-        fs.rename(fs_path(path), fs_path(old))
-    else:
-        fs.mkdirs(fs_path(path).getParent())
-    fs.rename(fs_path(fresh), fs_path(path))
-    if old:
+def swap_in(spark: SparkSession, df: DataFrame, path: str, spec: specs.TableSpec) -> None:
+    """Full rebuild: write a fresh directory, check its keys, then swap it in.  If the swap
+    fails, the old table is put back and the fresh one removed."""
+    fresh, old = f"{path}.rebuild-{uuid.uuid4().hex[:8]}", f"{path}.old-{uuid.uuid4().hex[:8]}"
+    try:
+        write_table(df, fresh, spec)
+        validate_keys(read_table(spark, fresh, spec), spec.keys, spec.name)
+        replaced = path_exists(spark, path)
+        if replaced:
+            rename_path(spark, path, old)
+        try:
+            rename_path(spark, fresh, path)
+        except Exception:
+            if replaced:
+                rename_path(spark, old, path)
+            raise
+    except Exception:
+        delete_path(spark, fresh)
+        raise
+    if replaced:
         delete_path(spark, old)
 
 
@@ -159,75 +172,91 @@ def build_mart(spark: SparkSession, layout: Layout, full_refresh: bool = False,
     Partitions before the window are untouched."""
     if strategy not in ("delete_insert", "window_replace"):
         raise ValueError("strategy must be 'delete_insert' or 'window_replace'")
-    check_inputs(spark, layout)
-    if full_refresh or not path_exists(spark, layout.mart):
-        _swap_in(spark, conditions(spark, layout), layout.mart, specs.MART)
-    else:
-        hwm = stored_high_water_mark(spark, layout.mart, specs.MART) or EPOCH
+    spec, cutoff = layout.spec(specs.MART), None
+    if not full_refresh and path_exists(spark, layout.mart):
+        hwm = stored_high_water_mark(spark, layout.mart, spec) or EPOCH
         cutoff = since or (hwm - dt.timedelta(days=lookback_days))
+    check_inputs(spark, layout, cutoff)
+    if cutoff is None:
+        swap_in(spark, conditions(spark, layout), layout.mart, spec)
+    else:
         recent = conditions(spark, layout, since=cutoff)
         if strategy == "window_replace":
-            window_replace_path(spark, layout.mart, recent, specs.MART, cutoff)
+            window_replace_path(spark, layout.mart, recent, spec, cutoff)
         else:
-            upsert_path(spark, layout.mart, recent, specs.MART)
-    return check_report(read_table(spark, layout.mart, specs.MART), mart_checks())
+            upsert_path(spark, layout.mart, recent, spec)
+    return check_mart(spark, layout)
+
+
+def check_mart(spark: SparkSession, layout: Layout) -> DataFrame:
+    """The check report of the stored mart, without building it."""
+    return check_report(read_table(spark, layout.mart, layout.spec(specs.MART)), mart_checks())
 
 
 def source_freshness(spark: SparkSession, layout: Layout) -> DataFrame:
     """Per raw table: last load time (``extracted_at``), last data date, rows."""
     from tidemark.operators.quality import freshness
 
-    parts = [freshness(read_table(spark, layout.raw_path(src), src.table), None,
+    parts = [freshness(read_table(spark, layout.raw_path(src), layout.spec(src.table)), None,
                        "extracted_at", src.table.date_col, src.name)
              for src in (specs.WEATHER, specs.FX)]
     return parts[0].unionByName(parts[1])
 
 
+def rate_origins(obs: DataFrame, date_col: str = "date", value_col: str = "fx_rate") -> DataFrame:
+    """(date, origin): the day whose published rate each calendar day carries."""
+    published = F.when(F.col(value_col).isNotNull(), F.col(date_col))
+    days = carry_to_next(obs.select(date_col, published.alias("origin")), date_col, "origin")
+    return days.select("date", "origin")
+
+
 def diagnose(spark: SparkSession, layout: Layout, checks: list | None = None) -> DataFrame:
     """Every mart row that fails a check, labelled with the check, traced to
-    the raw weather row it was built from (with its load time).
+    the raw weather row it was built from (``found``) and to the raw rate row
+    whose value it carries (``fx_found``), each with its load time.
 
     Row-level checks run in one scan (each row gets the array of checks it
-    fails, then is exploded); duplicate keys come from one group-by.  The
-    violations are checkpointed and counted, so they are broadcast to the raw
-    scan when few."""
-    from tidemark.operators.quality import duplicate_groups, materialize_count, trace
-
+    fails, then is exploded); duplicate keys come from one group-by."""
     checks = checks or mart_checks()
     keys = list(specs.MART.keys)
-    mart = read_table(spark, layout.mart, specs.MART)
+    shown = [*keys, "temp_max_c", "temp_min_c", "fx_usd_mxn"]
+    mart = read_table(spark, layout.mart, layout.spec(specs.MART))
     row_checks = [c for c in checks if c.fails is not None]
     failed = F.filter(F.array(*[F.when(F.coalesce(c.fails, F.lit(False)), F.lit(c.name))
                                 for c in row_checks]), lambda x: x.isNotNull())
-    flagged = (mart.select(*keys, "temp_max_c", "temp_min_c", "fx_usd_mxn",
-                           F.explode(failed).alias("check_name"))
-               if row_checks else None)
+    flagged = mart.select(*shown, F.explode(failed).alias("check_name")) if row_checks else None
     for c in (c for c in checks if c.keys):
         dups = (mart.join(duplicate_groups(mart, list(c.keys)), list(c.keys), "left_semi")
-                .select(*keys, "temp_max_c", "temp_min_c", "fx_usd_mxn",
-                        F.lit(c.name).alias("check_name")))
+                .select(*shown, F.lit(c.name).alias("check_name")))
         flagged = dups if flagged is None else flagged.unionByName(dups)
-    bad, n = materialize_count(flagged)
-    raw = read_table(spark, layout.raw_weather, specs.WEATHER_RAW)
-    return trace(bad, raw, keys, ["temp_max_c", "temp_min_c", "extracted_at"],
-                 violation_rows=n)
+    raw_w = read_table(spark, layout.raw_weather, layout.spec(specs.WEATHER_RAW))
+    raw_fx = read_table(spark, layout.raw_fx, layout.spec(specs.FX_RAW)).filter(
+        F.col("series") == specs.FX_SERIES)
+    traced = trace(flagged, raw_w, keys, ["temp_max_c", "temp_min_c", "extracted_at"])
+    origin = rate_origins(raw_fx, value_col="value").toDF("__day", "fx_origin")
+    dated = traced.withColumnRenamed("found", "weather_found").join(
+        origin, F.col("date") == F.col("__day"), "left").drop("__day")
+    return (trace(dated, raw_fx, ["fx_origin"], ["value", "extracted_at"], "raw_fx_", ["date"])
+            .withColumnRenamed("found", "fx_found").withColumnRenamed("weather_found", "found"))
 
 
 def inject_business_rule_fault(spark: SparkSession, layout: Layout, location: str,
-                               day) -> int:
+                               day, run_ts: dt.datetime | None = None) -> int:
     """Fault injection into the stored raw weather table (for drills): the
     (location, day) reading becomes max 5.0 < min 25.0 — inserted if absent,
-    otherwise only the two temperatures change.  Returns rows written."""
+    otherwise only the two temperatures change.  ``run_ts`` (default: now, UTC)
+    is the load time of an inserted row.  Returns rows written."""
     from tidemark.functions.dates import as_date
     from tidemark.operators.quality import inject_impossible_rows
 
     day = as_date(day)
-    current = read_table(spark, layout.raw_weather, specs.WEATHER_RAW,
-                         [part_of(day, specs.WEATHER_RAW)])
+    run_ts = run_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)
+    spec = layout.spec(specs.WEATHER_RAW)
+    current = read_table(spark, layout.raw_weather, spec, [part_of(day, spec)])
     at = spark.range(1).select(F.lit(location).alias("location"), F.lit(day).alias("date"))
     keys = list(specs.WEATHER_RAW.keys)
-    touched = inject_impossible_rows(current, at, keys).join(at, keys, "left_semi")
-    return upsert_path(spark, layout.raw_weather, touched, specs.WEATHER_RAW)
+    touched = inject_impossible_rows(current, at, keys, run_ts=run_ts).join(at, keys, "left_semi")
+    return upsert_path(spark, layout.raw_weather, touched, spec)
 
 
 def mart_checks() -> list:

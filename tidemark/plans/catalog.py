@@ -13,20 +13,20 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemark.functions.dates import business_day, dow_sunday0, month_bucket, trunc_ntz
 from tidemark.operators.enrich import gap_fill, gap_fill_time
 from tidemark.operators.series import calendar_spine, carry_forward_increment
-from tidemark.operators.incremental import (full_rebuild, lookback_cutoff, merge_incremental,
-                                            window_replace)
+from tidemark.operators.incremental import merge_incremental, window_replace
 from tidemark.operators.upsert import upsert, upsert_columns
 from tidemark.operators.profile import profile
 from tidemark.operators.quality import (accepted_range, check_report, duplicate_groups,
                                         failing_rows, freshness, inject_impossible_rows,
-                                        materialize_count, not_null, row_rule, trace,
-                                        unique_combination)
+                                        not_null, row_rule, trace, unique_combination)
 from tidemark.plans import models
 from tidemark.plans.roles import load, rate_bench, weather_bench, weather_small
 from tidemark.plans.windows import advance_watermarks, plan_windows, windowed_batch
 from tidemark.sources.landed import (explode_parallel, explode_points, parse_documents,
                                      stamp)
-from tidemark.specs import FX_PAYLOAD, MART, WEATHER_ARRAYS, WEATHER_PAYLOAD
+from tidemark.session import scratch_path
+from tidemark.sources.tables import read_table, stored_high_water_mark, write_table
+from tidemark.specs import FX_PAYLOAD, MART, TableSpec, WEATHER_ARRAYS, WEATHER_PAYLOAD
 
 # Fixed parameters of the checkable queries.
 LOCF_CUTOFF = dt.date(2001, 1, 1)
@@ -36,10 +36,9 @@ MART_TARGET_END = dt.date(2001, 6, 1)        # existing mart: rows before
 RANGE_CHECK = (450000.0, 495000.0)           # a band the rate-like values straddle
 RUN_TS = dt.datetime(2024, 2, 1, 0, 0, 0)    # load instant stamped on landed rows
 PLAN_TODAY = dt.date(2024, 1, 31)
-RUN2_TS = dt.datetime(2024, 2, 2, 6, 30, 0)
 RUN1_END = dt.date(1999, 12, 31)             # first load: history up to here
-RUN2_START = dt.date(1999, 12, 15)           # second load: overlaps the first
 PLAN_STATE_BEFORE = dt.datetime(2024, 1, 20)
+REVISED_FROM = dt.date(2024, 1, 15)          # days of the second landing
 WL_KEYS = ["location", "date"]
 
 
@@ -101,26 +100,24 @@ def locf_by_entity_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
                     bucket=month_bucket("date"))
 
 
-def _upsert_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, int]:
-    """Target, and a batch staged like a landed load: checkpointed to the
-    shared folder and counted, so its keys may be broadcast."""
+def _upsert_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Target, and a batch that overlaps it."""
     wl = weather_bench(spark, sf_dir)
     target = wl.filter(F.col("date") < F.lit(UPSERT_TARGET_END))
     batch = (wl.filter(F.col("date") >= F.lit(UPSERT_BATCH_START))
              .withColumn("temp_max_c", F.col("temp_max_c") + 1)
              .withColumn("precipitation_mm", F.col("precipitation_mm") + 100))
-    batch, n = materialize_count(batch)
-    return target, batch, n
+    return target, batch
 
 
 def upsert_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
-    target, batch, n = _upsert_inputs(spark, sf_dir)
-    return upsert(target, batch, WL_KEYS, batch_rows=n)
+    target, batch = _upsert_inputs(spark, sf_dir)
+    return upsert(target, batch, WL_KEYS)
 
 
 def upsert_partial(spark: SparkSession, sf_dir: str) -> DataFrame:
-    target, batch, n = _upsert_inputs(spark, sf_dir)
-    return upsert_columns(target, batch, WL_KEYS, ["temp_max_c", "temp_min_c"], batch_rows=n)
+    target, batch = _upsert_inputs(spark, sf_dir)
+    return upsert_columns(target, batch, WL_KEYS, ["temp_max_c", "temp_min_c"])
 
 
 def _mart_target(source: DataFrame) -> DataFrame:
@@ -129,26 +126,41 @@ def _mart_target(source: DataFrame) -> DataFrame:
             .withColumn("temp_max_c", F.col("temp_max_c") + 0.5))
 
 
+def _stored_target(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dt.date]:
+    """The existing mart, stored once, and the cutoff read from its newest partition."""
+    path = scratch_path(spark, "mart-target")
+    write_table(_mart_target(models.mart_projection(enrich_daily(spark, sf_dir))), path, MART)
+    cutoff = stored_high_water_mark(spark, path, MART) - dt.timedelta(days=10)
+    return read_table(spark, path, MART), cutoff
+
+
 def incremental_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Existing mart + source rows on or after max(mart.date) - 10 days; the
-    source is built only from the cutoff on (seeded carry, pruned facts)."""
-    full = models.mart_projection(enrich_daily(spark, sf_dir))
-    target = _mart_target(full)
-    cutoff = lookback_cutoff(target, "date", 10)
-    recent = models.mart_projection(models.build_conditions(
-        weather_bench(spark, sf_dir), rate_bench(spark, sf_dir), since=cutoff))
+    source is built once, from the cutoff on (seeded carry, pruned facts)."""
+    target, cutoff = _stored_target(spark, sf_dir)
+    path = scratch_path(spark, "mart-recent")
+    write_table(models.mart_projection(models.build_conditions(
+        weather_bench(spark, sf_dir), rate_bench(spark, sf_dir), since=cutoff)), path, MART)
+    recent = read_table(spark, path, MART)
     return merge_incremental(target, recent, MART.keys, "date", since=cutoff)
 
 
 def full_rebuild_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return full_rebuild(enrich_daily(spark, sf_dir), MART.columns)
+    """A lagging stored mart replaced by a fresh one: written beside it, its keys checked,
+    swapped in by rename, read back."""
+    from tidemark.plans.build import swap_in
+
+    path = scratch_path(spark, "rebuild")
+    source = models.mart_projection(enrich_daily(spark, sf_dir))
+    write_table(_mart_target(source), path, MART)
+    swap_in(spark, source, path, MART)
+    return read_table(spark, path, MART)
 
 
 def window_replace_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As ``incremental_mart`` with one key gone from the source inside the
     window: the first location's last date in the existing mart."""
-    target = _mart_target(models.mart_projection(enrich_daily(spark, sf_dir)))
-    cutoff = lookback_cutoff(target, "date", 10)
+    target, cutoff = _stored_target(spark, sf_dir)
     source = models.mart_projection(models.build_conditions(
         weather_bench(spark, sf_dir), rate_bench(spark, sf_dir), since=cutoff))
     first_loc = target.agg(F.min("location").alias("location"))
@@ -160,11 +172,14 @@ def window_replace_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- sources -----------------------------------------------------------------------
 
-def _weather_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _weather_documents(spark: SparkSession, sf_dir: str, shorter: int = 3, since=None,
+                       added: float = 0.0) -> DataFrame:
     """Weather-like rows packed as landed JSON: one document per (entity,
-    month) holding parallel daily arrays, the min-temperature array three
+    month) holding parallel daily arrays, the min-temperature array ``shorter``
     entries short.  Groups are bounded by the 31 days of a month."""
-    wl = weather_small(spark, sf_dir)
+    wl = weather_small(spark, sf_dir).withColumn("temp_max_c", F.col("temp_max_c") + added)
+    if since is not None:
+        wl = wl.filter(F.col("date") >= F.lit(since))
     pts = (wl.groupBy("location", month_bucket("date").alias("month"))
            .agg(F.sort_array(F.collect_list(F.struct("date", "temp_max_c", "temp_min_c",
                                                      "precipitation_mm"))).alias("p")))
@@ -173,7 +188,7 @@ def _weather_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.transform(p, lambda x: F.date_format(x["date"], "yyyy-MM-dd")).alias("time"),
         F.transform(p, lambda x: x["temp_max_c"]).alias("temperature_2m_max"),
         F.slice(F.transform(p, lambda x: x["temp_min_c"]), F.lit(1),
-                F.greatest(F.size(p) - 3, F.lit(0))).alias("temperature_2m_min"),
+                F.greatest(F.size(p) - shorter, F.lit(0))).alias("temperature_2m_min"),
         F.transform(p, lambda x: x["precipitation_mm"]).alias("precipitation_sum"))
     return pts.select(F.to_json(F.struct("location", daily.alias("daily"))).alias("body"))
 
@@ -306,9 +321,20 @@ def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def failing_row_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Row-rule violations traced to the line items they were built from."""
-    bad, n_bad = materialize_count(
-        dq_row_rule(spark, sf_dir).select(*WL_KEYS, "temp_max_c", "temp_min_c"))
+    """Row-rule and rate-range violations traced to the line items and to the order day
+    whose rate they carry.  The violations include one row per location on a day that no
+    raw row has: it is listed with ``found`` false."""
+    from tidemark.plans.build import rate_origins
+
+    mart = _injected_mart(spark, sf_dir).select(*WL_KEYS, "temp_max_c", "temp_min_c", "fx_usd_mxn")
+    lo, hi = RANGE_CHECK
+    rules = {"max_not_below_min": F.expr(MAX_LT_MIN),
+             "accepted_range": (~F.col("fx_usd_mxn").between(lo, hi)) & (F.dayofmonth("date") == 1)}
+    failed = F.array_compact(F.array(*[F.when(c, F.lit(n)) for n, c in rules.items()]))
+    bad = mart.select("*", F.explode(failed).alias("check_name"))
+    orphans = mart.groupBy("location").agg(F.date_add(F.max("date"), 400).alias("date")).select(
+        *WL_KEYS, *[F.lit(None).cast("double").alias(c) for c in
+                    ("temp_max_c", "temp_min_c", "fx_usd_mxn")], F.lit("not_null").alias("check_name"))
     li = load(spark, sf_dir, "lineitem")
     su = load(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     na = load(spark, sf_dir, "nation").select("n_nationkey", "n_name")
@@ -317,7 +343,12 @@ def failing_row_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
            .select(F.col("n_name").alias("location"),
                    F.col("l_shipdate").cast("date").alias("date"),
                    "l_orderkey", "l_linenumber", "l_extendedprice"))
-    return trace(bad, raw, WL_KEYS, violation_rows=n_bad)
+    rates = rate_bench(spark, sf_dir)
+    origin = rate_origins(rates).toDF("__day", "rate_day")
+    traced = trace(bad.unionByName(orphans), raw, WL_KEYS)
+    dated = traced.withColumnRenamed("found", "raw_found").join(
+        origin, F.col("date") == F.col("__day"), "left").drop("__day")
+    return trace(dated, rates, ["rate_day"], ["fx_rate"], "raw_", ["date"])
 
 
 def freshness_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -332,38 +363,98 @@ def profile_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- end-to-end runs -------------------------------------------------------------
 
 def two_run_build(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two extraction + build runs into stored tables under the shared
-    checkpoint folder: a history load, then an overlapping newer load and an
-    incremental mart merge.  The stored mart must equal a one-shot build."""
+    """Runs into stored tables under the shared checkpoint folder: a history backfill and a
+    full build, then an incremental load (its window from the default span), then another
+    from the stored watermark on and an incremental mart merge.  The checks of both builds
+    are evaluated; the stored mart must equal a one-shot build."""
     from tidemark import specs
     from tidemark.plans.build import Layout, build_mart, load_source
     from tidemark.plans.roles import rate_raw
-    from tidemark.session import scratch_path
-    from tidemark.sources.tables import read_table
 
     layout = Layout(scratch_path(spark, "build"))
-    for run_ts, start, end in ((RUN_TS, dt.date(1900, 1, 1), RUN1_END),
-                               (RUN2_TS, RUN2_START, dt.date(2100, 1, 1))):
-        weather = stamp(weather_bench(spark, sf_dir), run_ts)
-        fx = stamp(rate_raw(spark, sf_dir), run_ts)
-        load_source(spark, layout, specs.WEATHER, weather, PLAN_TODAY, "backfill", start, end)
-        load_source(spark, layout, specs.FX, fx, PLAN_TODAY, "backfill", start, end)
-        build_mart(spark, layout)
+    rows = {specs.WEATHER: (weather_bench, "weather"), specs.FX: (rate_raw, "rates")}
+    landed = {}
+    for source, (make, name) in rows.items():    # the landing zone: written once, read by window
+        path = scratch_path(spark, f"landing-{name}")
+        write_table(stamp(make(spark, sf_dir), RUN_TS), path, source.table)
+        landed[source] = read_table(spark, path, source.table)
+
+    def run(today, mode: str, start=None, end=None) -> None:
+        for source, df in landed.items():
+            load_source(spark, layout, source, df, today, mode, start, end)
+
+    def checked() -> None:
+        failed = {r.check_name for r in build_mart(spark, layout).collect()
+                  if r.failures and r.check_name != "accepted_range"}
+        if failed:
+            raise ValueError(f"mart checks failed: {sorted(failed)}")
+
+    run(PLAN_TODAY, "backfill", dt.date(1900, 1, 1), RUN1_END)
+    checked()
+    run(RUN1_END + dt.timedelta(days=20), "incremental")
+    run(PLAN_TODAY, "incremental")
+    checked()
     return read_table(spark, layout.mart, specs.MART)
 
 
+def contract_diff_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored orders and events with drifted older partitions: a renamed column in one
+    month of each, another type in a month of events; every partition's footers are
+    compared with the declared schema."""
+    from tidemark.plans.drift import drift_report
+
+    out = None
+    for name, date_source, renamed, retyped in (("orders", "o_orderdate", "o_totalprice", None),
+                                                ("events", "ts", "event_type", "value")):
+        df = load(spark, sf_dir, name).withColumn("date", F.col(date_source).cast("date"))
+        spec = TableSpec(name, df.schema, keys=("date",))
+        path = scratch_path(spark, f"drift-{name}")
+        month = month_bucket("date")
+        first = df.agg(F.min(month)).first()[0]
+        second = df.filter(month > F.lit(first)).agg(F.min(month)).first()[0]
+        write_table(df.filter(month > F.lit(first)), path, spec)
+        (df.filter(month == F.lit(first)).withColumnRenamed(renamed, renamed + "_old")
+         .write.parquet(f"{path}/month={first.isoformat()}"))
+        if retyped and second is not None:
+            (df.filter(month == F.lit(second)).withColumn(retyped, F.col(retyped).cast("string"))
+             .write.mode("overwrite").parquet(f"{path}/month={second.isoformat()}"))
+        report = drift_report(spark, path, spec).withColumn("table_name", F.lit(name))
+        out = report if out is None else out.unionByName(report)
+    return out
+
+
+def landing_revisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weather documents landed in two files, the second a week later with revised days:
+    a day in both comes from the newer file, and a load of the folder takes it as it is."""
+    import time
+
+    from tidemark import specs
+    from tidemark.plans.build import Layout, load_source
+    from tidemark.sources.landed import read_weather_landing
+
+    folder = scratch_path(spark, "landing-docs")
+    docs = _weather_documents(spark, sf_dir, shorter=0)
+    docs.write.text(f"{folder}/first")
+    time.sleep(1.1)    # file times have a resolution of a second on some stores
+    revised = _weather_documents(spark, sf_dir, shorter=0, since=REVISED_FROM, added=1000.0)
+    revised.write.text(f"{folder}/second")
+    layout = Layout(scratch_path(spark, "landing-load"))
+    rows = read_weather_landing(spark, f"{folder}/*", RUN_TS)
+    load_source(spark, layout, specs.WEATHER, rows, PLAN_TODAY, "backfill",
+                dt.date(1900, 1, 1), dt.date(2100, 1, 1))
+    return read_table(spark, layout.raw_weather, specs.WEATHER_RAW)
+
+
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events streamed from the landed table into a keyed, month-partitioned
-    raw table; the immediate second run is a no-op."""
+    """Events streamed from a landing folder into a keyed, month-partitioned raw table.
+    The first landing has every tenth event 45 days early; the second lands those again
+    where they belong, so rows move to another month; the third run is a no-op."""
     from pyspark.sql import types as T
 
-    from tidemark.session import scratch_path
-    from tidemark.sources.tables import read_table
-    from tidemark.specs import TableSpec
     from tidemark.streaming.ingest import ingest_landing
 
-    landing = f"{sf_dir.rstrip('/')}/events[.]parquet"
-    schema = load(spark, sf_dir, "events").schema
+    landing = scratch_path(spark, "landing-events")
+    events = load(spark, sf_dir, "events")
     spec = TableSpec("events_raw", T.StructType([
         T.StructField("event_id", T.LongType()), T.StructField("date", T.DateType()),
         T.StructField("ts", T.TimestampNTZType()), T.StructField("user_id", T.LongType()),
@@ -374,9 +465,15 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
         return df.select("event_id", F.col("ts").cast("date").alias("date"), "ts", "user_id",
                          "event_type", "value")
 
+    moved = F.col("event_id") % 10 == 0
+    early = events.withColumn("ts", F.when(
+        moved, F.col("ts") - F.expr("INTERVAL 45 DAYS")).otherwise(F.col("ts")))
     root = scratch_path(spark, "stream")
-    for _ in range(2):
-        ingest_landing(spark, landing, schema, typed, f"{root}/raw", spec, f"{root}/checkpoint")
+    for batch in (early, events.filter(moved), None):
+        if batch is not None:
+            batch.write.mode("append").parquet(landing)
+        ingest_landing(spark, landing, events.schema, typed, f"{root}/raw", spec,
+                       f"{root}/checkpoint")
     return read_table(spark, f"{root}/raw", spec)
 
 
@@ -412,6 +509,8 @@ QUERIES = {
     "watermark_after": watermark_after,             # D15: M8
     "two_run_build": two_run_build,                 # D25: M10 S4 S6-S9 F11
     "stream_ingest": stream_ingest,                 # D28: ST1
+    "contract_diff": contract_diff_q,               # D21: Q5 Q6 P9
+    "landing_revisions": landing_revisions,         # T4: S1 S8 M1
 }
 
 __all__ = ["QUERIES", "mart_checks"]

@@ -230,14 +230,41 @@ dups AS (SELECT 'unique_combination' AS check_name, 'location,date' AS column_na
         ("max_not_below_min", "temp_max_c,temp_min_c", "temp_max_c < temp_min_c"),
     ]) + " UNION ALL SELECT * FROM dups"),
     "failing_row_trace": f"""WITH {INJECTED_D8},
-bad AS (SELECT location, date, temp_max_c, temp_min_c FROM d8 WHERE temp_max_c < temp_min_c),
+bad AS (
+  SELECT location, date, temp_max_c, temp_min_c, fx_usd_mxn, 'max_not_below_min' AS check_name
+  FROM d8 WHERE temp_max_c < temp_min_c
+  UNION ALL
+  SELECT location, date, temp_max_c, temp_min_c, fx_usd_mxn, 'accepted_range'
+  FROM d8 WHERE fx_usd_mxn NOT BETWEEN 450000.0 AND 495000.0 AND day(date) = 1
+  UNION ALL
+  SELECT location, max(date) + 400, NULL, NULL, NULL, 'not_null' FROM d8 GROUP BY 1),
 raw AS (SELECT n.n_name AS location, CAST(l.l_shipdate AS DATE) AS date, l.l_orderkey,
                l.l_linenumber, l.l_extendedprice
         FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey
-        JOIN nation n ON s.s_nationkey = n.n_nationkey)
+        JOIN nation n ON s.s_nationkey = n.n_nationkey),
+last_day AS (SELECT max(date) AS d FROM rl)
 SELECT bad.*, raw.l_orderkey AS raw_l_orderkey, raw.l_linenumber AS raw_l_linenumber,
-       raw.l_extendedprice AS raw_l_extendedprice
-FROM bad JOIN raw ON bad.location = raw.location AND bad.date = raw.date""",
+       raw.l_extendedprice AS raw_l_extendedprice, raw.l_orderkey IS NOT NULL AS raw_found,
+       r.date AS rate_day, r.fx_rate AS raw_fx_rate, r.date IS NOT NULL AS found
+FROM bad LEFT JOIN raw ON bad.location = raw.location AND bad.date = raw.date
+LEFT JOIN rl r ON bad.date <= (SELECT d FROM last_day)
+     AND r.date = (SELECT max(x.date) FROM rl x WHERE x.date <= bad.date)""",
+    "contract_diff": """
+WITH o AS (SELECT min(date_trunc('month', o_orderdate)) AS m1 FROM orders),
+e AS (SELECT min(date_trunc('month', ts)) AS m1 FROM events),
+e2 AS (SELECT min(date_trunc('month', ts)) AS m2 FROM events
+       WHERE date_trunc('month', ts) > (SELECT m1 FROM e))
+SELECT 'orders' AS table_name, CAST(m1 AS DATE) AS partition, 'o_totalprice' AS column_name,
+       'missing' AS issue, 'double' AS expected_type, NULL AS actual_type FROM o
+UNION ALL SELECT 'orders', CAST(m1 AS DATE), 'o_totalprice_old', 'extra', NULL, 'double' FROM o
+UNION ALL SELECT 'events', CAST(m1 AS DATE), 'event_type', 'missing', 'string', NULL FROM e
+UNION ALL SELECT 'events', CAST(m1 AS DATE), 'event_type_old', 'extra', NULL, 'string' FROM e
+UNION ALL SELECT 'events', CAST(m2 AS DATE), 'value', 'type_mismatch', 'double', 'string' FROM e2
+WHERE m2 IS NOT NULL""",
+    "landing_revisions": f"""WITH wl AS ({WL_SMALL})
+SELECT location, date, temp_max_c + CASE WHEN date >= DATE '2024-01-15' THEN 1000 ELSE 0 END
+         AS temp_max_c, temp_min_c, precipitation_mm,
+       TIMESTAMP '2024-02-01 00:00:00' AS extracted_at FROM wl""",
     "freshness_report": """
 SELECT event_type AS source, max(ts) AS last_loaded_at, max(CAST(ts AS DATE)) AS last_date,
        CAST(count(*) AS BIGINT) AS row_count FROM events GROUP BY 1""",

@@ -55,10 +55,15 @@ def plan_windows(specs_df: DataFrame, state_df: DataFrame, today, mode: str = "i
 def windowed_batch(landed: DataFrame, plan: DataFrame, date_col: str = "date",
                    source_col: str = "source") -> DataFrame:
     """Landed rows inside their source's planned window.  The plan has one
-    row per source; the join is left to the planner and AQE."""
+    row per source; the join is left to the planner and AQE.  The earliest
+    start and latest end of all windows reach the scan of the landed rows, so
+    days that no source asks for are not read."""
     p = plan.filter("has_work").select(source_col, "window_start", "window_end")
+    lo, hi = p.agg(F.min("window_start"), F.max("window_end")).first()
     d = F.col(date_col).cast("date")
-    return (landed.join(p, source_col)
+    inside = landed.filter((F.col(date_col) >= F.lit(lo).cast("date"))
+                           & (F.col(date_col) < F.date_add(F.lit(hi).cast("date"), 1)))
+    return (inside.join(p, source_col)
             .filter((d >= F.col("window_start")) & (d <= F.col("window_end")))
             .drop("window_start", "window_end"))
 

@@ -116,3 +116,13 @@ def delete_path(spark: SparkSession, path: str) -> None:
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     p = jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(conf).delete(p, True)
+
+
+def rename_path(spark: SparkSession, src: str, dst: str) -> None:
+    """Rename a folder (parents are made); a file system that declines raises."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path
+    fs = path(src).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(path(dst).getParent())
+    if fs.exists(path(dst)) or not fs.rename(path(src), path(dst)):
+        raise OSError(f"cannot rename {src} to {dst}")

@@ -9,20 +9,37 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.functions.dates import parse_day_first
 from tidemark.functions.values import not_sentinel, parse_grouped_number, require_not_null
+from tidemark.specs import FX_SENTINELS
 
 
-def read_documents(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(schema).json(path)
+# A document that cannot be read as its schema fails the load: it must not vanish.
+STRICT_JSON = {"mode": "FAILFAST"}
+LANDED = "__landed"   # (file modification time, file path) of each landed row
+
+
+def landed_file() -> Column:
+    return F.struct(F.col("_metadata.file_modification_time"),
+                    F.col("_metadata.file_path")).alias(LANDED)
+
+
+def read_documents(spark: SparkSession, path: str, schema: T.StructType,
+                   modified_after: str | None = None) -> DataFrame:
+    """Documents with their landing file; ``modified_after`` (timestamp text) leaves older
+    files unread."""
+    reader = spark.read.schema(schema).options(**STRICT_JSON)
+    if modified_after:
+        reader = reader.option("modifiedAfter", modified_after)
+    return reader.json(path).select("*", landed_file())
 
 
 def parse_documents(df: DataFrame, text_col: str, schema: T.StructType,
                     carry: Sequence[str] = ()) -> DataFrame:
-    """JSON text column → typed struct fields (bad JSON → NULL struct)."""
-    return df.select(*carry, F.from_json(F.col(text_col), schema).alias("__doc")).select(
+    """JSON text column → typed struct fields (bad JSON raises)."""
+    return df.select(*carry, F.from_json(F.col(text_col), schema, STRICT_JSON).alias("__doc")).select(
         *carry, *[F.col(f"__doc.{f.name}").alias(f.name) for f in schema.fields
                   if f.name not in carry])
 
@@ -57,7 +74,7 @@ def explode_parallel(df: DataFrame, arrays: Mapping[str, str],
 
 def explode_points(df: DataFrame, series_path: str = "bmx.series", points_field: str = "datos",
                    date_field: str = "fecha", value_field: str = "dato",
-                   carry: Sequence[str] = (), sentinels: Sequence[str] = ("N/E", ""),
+                   carry: Sequence[str] = (), sentinels: Sequence[str] = FX_SENTINELS,
                    date_col: str = "date", value_col: str = "value") -> DataFrame:
     """Rows from the first element of a nested series array.
 
@@ -83,7 +100,6 @@ def explode_points(df: DataFrame, series_path: str = "bmx.series", points_field:
 
 
 
-
 def weather_rows(docs: DataFrame, run_ts, keep: Sequence[str] = ()) -> DataFrame:
     """Weather documents (``location`` + parallel ``daily`` arrays) → typed
     raw weather rows stamped with the load instant (``keep``: document
@@ -106,14 +122,37 @@ def fx_rows(docs: DataFrame, run_ts, series_col: str = "series_name",
     return stamp(rows, run_ts).select(*specs.FX_RAW.columns, *keep)
 
 
-def read_weather_landing(spark: SparkSession, path: str, run_ts) -> DataFrame:
-    """All weather JSON documents under ``path`` (one JSON object per line)."""
+def newest_landing(rows: DataFrame, keys: Sequence[str], order_col: str = LANDED) -> DataFrame:
+    """One row per key: that of the greatest ``order_col`` (the newest file that has the
+    key).  Two rows of a key with the same order value (one file naming a key twice) raise,
+    as does a missing order value: nothing says which reading is right."""
+    cols = [c for c in rows.columns if c not in keys]
+    order = F.when(F.col(order_col).isNull(), F.raise_error(F.lit(f"row without {order_col}"))
+                   ).otherwise(F.col(order_col))
+    per_file = rows.withColumn("__order", order).groupBy(*keys, "__order").agg(
+        F.count(F.lit(1)).alias("__n"), F.first(F.struct(*cols)).alias("__r"))
+    picked = per_file.groupBy(*keys).agg(F.max_by("__r", "__order").alias("__r"),
+                                         F.max("__n").alias("__n"))
+    once = F.when(F.col("__n") > 1, F.raise_error(F.concat_ws(
+        " ", F.lit("duplicate key in one landing:"), *[F.col(k).cast("string") for k in keys])))
+    return picked.withColumn("__r", once.otherwise(F.col("__r"))).select(
+        *[F.col(c) if c in keys else F.col(f"__r.{c}").alias(c) for c in rows.columns])
+
+
+def read_weather_landing(spark: SparkSession, path: str, run_ts,
+                         modified_after: str | None = None) -> DataFrame:
+    """All weather JSON documents under ``path`` (one JSON object per line); a day that
+    several files hold is read from the newest."""
     from tidemark import specs
 
-    return weather_rows(read_documents(spark, path, specs.WEATHER_PAYLOAD), run_ts)
+    docs = read_documents(spark, path, specs.WEATHER_PAYLOAD, modified_after)
+    return newest_landing(weather_rows(docs, run_ts, [LANDED]),
+                          specs.WEATHER_RAW.keys).drop(LANDED)
 
 
-def read_fx_landing(spark: SparkSession, path: str, run_ts) -> DataFrame:
+def read_fx_landing(spark: SparkSession, path: str, run_ts,
+                    modified_after: str | None = None) -> DataFrame:
     from tidemark import specs
 
-    return fx_rows(read_documents(spark, path, specs.FX_PAYLOAD), run_ts)
+    docs = read_documents(spark, path, specs.FX_PAYLOAD, modified_after)
+    return newest_landing(fx_rows(docs, run_ts, keep=[LANDED]), specs.FX_RAW.keys).drop(LANDED)

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.session import path_exists, scratch_path, delete_path
+from tidemark.session import path_exists
 from tidemark.specs import STATE
 
 
@@ -17,19 +17,14 @@ def load_state(spark: SparkSession, path: str) -> DataFrame:
     """The state table; absent ⇒ empty (every watermark unknown)."""
     if not path_exists(spark, path):
         return spark.createDataFrame([], STATE.schema)
-    return spark.read.schema(STATE.schema).parquet(path)
+    return spark.read.schema(STATE.schema).parquet(path).select(*STATE.columns)
 
 
 def save_state(spark: SparkSession, path: str, new_state: DataFrame) -> None:
-    """Replace the rows of the given sources, keep the others.  Staged first,
-    so the final write never reads the files it replaces."""
-    from tidemark.operators.upsert import upsert
-
-    merged = upsert(load_state(spark, path), new_state.select(*STATE.columns), STATE.keys)
-    stage = scratch_path(spark, "state")
-    merged.coalesce(1).write.mode("errorifexists").parquet(stage)
-    spark.read.schema(STATE.schema).parquet(stage).coalesce(1).write.mode("overwrite").parquet(path)
-    delete_path(spark, stage)
+    """Replace the rows of the given sources.  Each source is a partition of its own, so
+    other sources' watermarks are never rewritten and sources may save at the same time."""
+    (new_state.select(*STATE.columns).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("source").parquet(path))
 
 
 def watermark_of(state: DataFrame, source: str):

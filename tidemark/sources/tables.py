@@ -3,16 +3,16 @@ read with a declared schema."""
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.functions.dates import as_date, month_bucket
-from tidemark.session import path_exists
+from tidemark.session import delete_path, path_exists, rename_path
 from tidemark.specs import TableSpec
 
-PART_COL = "month"   # partition column of the default (monthly) grain
-
 
 def part_value(col, spec: TableSpec):
     """The partition value of a date column: first day of its month, or the day."""
@@ -76,8 +76,6 @@ def write_table(df: DataFrame, path: str, spec: TableSpec) -> None:
 
 def stored_parts(spark: SparkSession, path: str, spec: TableSpec) -> list:
     """Partition values present under ``path`` (one directory listing)."""
-    import datetime as dt
-
     if not path_exists(spark, path):
         return []
     jvm = spark.sparkContext._jvm
@@ -92,11 +90,39 @@ def stored_parts(spark: SparkSession, path: str, spec: TableSpec) -> list:
     return sorted(out)
 
 
-def drop_parts(spark: SparkSession, path: str, spec: TableSpec, parts) -> None:
-    from tidemark.session import delete_path
-
-    for part in parts:
-        delete_path(spark, f"{path}/{spec.part_col}={part.isoformat()}")
+def write_stage(df: DataFrame, path: str, spec: TableSpec) -> str:
+    """Write the new content of some partitions beside them, in a folder of the table that
+    readers skip; ``swap_parts`` puts it in place without writing it again."""
+    stage = f"{path}/_stage-{uuid.uuid4().hex[:12]}"
+    try:
+        write_table(df, stage, spec)
+    except Exception:
+        delete_path(df.sparkSession, stage)
+        raise
+    return stage
+
+
+def swap_parts(spark: SparkSession, stage: str, path: str, spec: TableSpec, parts) -> None:
+    """Replace ``parts`` by what ``stage`` holds of them (nothing: the partition goes).
+    Folders are renamed; if one rename fails, its old partition is put back."""
+    staged = set(stored_parts(spark, stage, spec))
+    stored = set(stored_parts(spark, path, spec))
+    aside = f"{path}/_old-{uuid.uuid4().hex[:12]}"
+    try:
+        for part in sorted(set(parts) | staged):
+            name = f"{spec.part_col}={part.isoformat()}"
+            if part in stored:
+                rename_path(spark, f"{path}/{name}", f"{aside}/{name}")
+            if part in staged:
+                try:
+                    rename_path(spark, f"{stage}/{name}", f"{path}/{name}")
+                except Exception:
+                    if part in stored:
+                        rename_path(spark, f"{aside}/{name}", f"{path}/{name}")
+                    raise
+    finally:
+        delete_path(spark, stage)
+        delete_path(spark, aside)
 
 
 def stored_high_water_mark(spark: SparkSession, path: str, spec: TableSpec):

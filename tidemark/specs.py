@@ -6,7 +6,7 @@ write (``operators.quality.contract_diff``).
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import types as T
 
@@ -53,8 +53,6 @@ class SourceSpec:
     table: TableSpec
     lag_days: int
     default_days: int = 30
-    entity_col: str | None = None
-    extra: dict = field(default_factory=dict)
 
 
 def _schema(*cols: tuple[str, T.DataType, bool]) -> T.StructType:
@@ -106,14 +104,12 @@ STATE = TableSpec(
     date_col="last_watermark",
 )
 
-WEATHER = SourceSpec("weather", WEATHER_RAW, lag_days=5, default_days=30,
-                     entity_col="location")
-FX = SourceSpec("fx", FX_RAW, lag_days=1, default_days=30, entity_col="series")
+WEATHER = SourceSpec("weather", WEATHER_RAW, lag_days=5, default_days=30)
+FX = SourceSpec("fx", FX_RAW, lag_days=1, default_days=30)
 
 FX_SERIES = "fx_usd_mxn"
 MART_LOOKBACK_DAYS = 10
 FX_RANGE = (5.0, 50.0)
-EPOCH_DATE = "1970-01-01"
 
 # Weather payload: one document per entity with parallel daily arrays.
 WEATHER_ARRAYS = {

@@ -10,26 +10,15 @@ replayed after a failure (at-least-once) leaves the same table.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 from tidemark.operators.upsert import upsert_path
+from tidemark.sources.landed import LANDED, STRICT_JSON, landed_file, newest_landing
 from tidemark.specs import TableSpec
 
 
-def latest_per_key(df: DataFrame, keys: Sequence[str], order_col: str) -> DataFrame:
-    """One row per key: the one with the greatest ``order_col`` (a file that
-    re-lands a key with a newer load time supersedes the older one)."""
-    cols = [c for c in df.columns if c not in keys]
-    picked = df.groupBy(*keys).agg(
-        F.max_by(F.struct(*[F.col(c) for c in cols]), F.col(order_col)).alias("__r"))
-    return picked.select(*keys, *[F.col(f"__r.{c}").alias(c) for c in cols]).select(*df.columns)
-
-
-LANDED = "__landed"   # (file modification time, file path) of each landed row
-
-
 def ingest_landing(spark: SparkSession, landing: str, schema: T.StructType,
                    transform: Callable[[DataFrame], DataFrame], target: str, spec: TableSpec,
                    checkpoint: str, fmt: str = "parquet", order_col: str | None = None,
@@ -38,23 +27,25 @@ def ingest_landing(spark: SparkSession, landing: str, schema: T.StructType,
     """Run the stream until the landing backlog is consumed; return the rows
     upserted per micro-batch.
 
-    ``order_col`` resolves a key landed more than once in one micro-batch;
+    ``order_col`` resolves a key landed more than once in one micro-batch
+    (``newest_landing``: equal or missing order values raise);
     ``order_col=LANDED`` orders by the landing file (newest modification
     time, then path), which ``transform`` must carry through.  ``after_batch``
     runs after each micro-batch is committed (e.g. a mart merge)."""
     reader = spark.readStream.schema(schema).format(fmt)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    if fmt == "json":
+        reader = reader.options(**STRICT_JSON)
     stream = reader.load(landing)
     if order_col == LANDED:
-        stream = stream.select("*", F.struct(F.col("_metadata.file_modification_time"),
-                                             F.col("_metadata.file_path")).alias(LANDED))
+        stream = stream.select("*", landed_file())
     loaded: list[int] = []
 
     def upsert_batch(batch: DataFrame, epoch_id: int) -> None:
         rows = transform(batch)
         if order_col:
-            rows = latest_per_key(rows, spec.keys, order_col)
+            rows = newest_landing(rows, spec.keys, order_col)
         loaded.append(upsert_path(batch.sparkSession, target, rows.select(*spec.columns), spec))
         if after_batch is not None:
             after_batch(batch.sparkSession)
@@ -69,7 +60,8 @@ def ingest_landing(spark: SparkSession, landing: str, schema: T.StructType,
 def ingest_documents(spark: SparkSession, landing: str, source, target: str, checkpoint: str,
                      clock: Callable[[], object] | None = None,
                      max_files_per_trigger: int | None = None,
-                     after_batch: Callable[[SparkSession], None] | None = None) -> list[int]:
+                     after_batch: Callable[[SparkSession], None] | None = None,
+                     grain: str = "month") -> list[int]:
     """Stream landed JSON documents of one source (weather or FX) into its
     raw table: flatten, stamp each micro-batch with its load time, keep the
     newest landing of a key, upsert.  Second immediate run: nothing."""
@@ -86,26 +78,23 @@ def ingest_documents(spark: SparkSession, landing: str, source, target: str, che
     def transform(batch: DataFrame) -> DataFrame:
         return rows_fn(batch, clock(), keep=[LANDED])
 
-    return ingest_landing(spark, landing, payload, transform, target, source.table, checkpoint,
+    return ingest_landing(spark, landing, payload, transform, target,
+                          source.table.with_grain(grain), checkpoint,
                           fmt="json", order_col=LANDED,
                           max_files_per_trigger=max_files_per_trigger, after_batch=after_batch)
 
 
 def stream_build(spark: SparkSession, layout, landing: str, source, checkpoint: str,
                  clock: Callable[[], object] | None = None, strategy: str = "delete_insert",
-                 max_files_per_trigger: int | None = None) -> list:
+                 max_files_per_trigger: int | None = None) -> tuple[int, list]:
     """The daily run as a stream: every micro-batch of landed documents of
     ``source`` is upserted into its raw table, then the mart is merged
-    incrementally (lookback window) and checked.  Returns one check report
-    (list of rows) per micro-batch.  Both steps are idempotent, so a replayed
-    micro-batch leaves the same tables."""
-    from tidemark.plans.build import build_mart
-
-    reports: list = []
-
-    def merge_mart(s: SparkSession) -> None:
-        reports.append(build_mart(s, layout, strategy=strategy).collect())
-
-    ingest_documents(spark, landing, source, layout.raw_path(source), checkpoint, clock,
-                     max_files_per_trigger, after_batch=merge_mart)
-    return reports
+    incrementally (lookback window).  The checks run once, after the last micro-batch;
+    returns (number of micro-batches, check report rows).  Both steps are idempotent, so a
+    replayed micro-batch leaves the same tables."""
+    from tidemark.plans.build import build_mart, check_mart
+
+    loaded = ingest_documents(
+        spark, landing, source, layout.raw_path(source), checkpoint, clock, max_files_per_trigger,
+        after_batch=lambda s: build_mart(s, layout, strategy=strategy), grain=layout.grain)
+    return len(loaded), check_mart(spark, layout).collect() if loaded else []
