@@ -37,7 +37,7 @@ from .labelled import id_remainder
 from .scratch import staged
 
 ORDER = 5
-BLOCK_TEXT = 128 << 20
+BLOCK_TEXT = 96 << 20
 PAD, END = 0xFE, 0xFF  # bytes that UTF-8 never uses
 SYMBOLS = 256
 
@@ -295,7 +295,7 @@ def score(docs: DataFrame, learn: Column, key: str = "doc_id", text: str = "text
                              F.lit(None).cast("string").alias("text"))
                 .unionByName(rows.select((place + _TEXT).alias("place"), "block", "doc_id", "text"),
                              allowMissingColumns=True)
-                .repartition(4 * n_blocks, "block").drop("block").sortWithinPartitions("place"))
+                .repartitionById(n_blocks, "block").drop("block").sortWithinPartitions("place"))
     scored = lined_up.mapInArrow(
         _scorer(n_words + n_learn, vocabulary + (n_learn > 0), n_learn,
                 pa.string() if id_type.simpleString() == "string" else pa.int64()),
