@@ -24,6 +24,7 @@ import hashlib
 import heapq
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +35,7 @@ from pyspark.sql import types as T
 from .textkit import small_batches
 
 #: Text of the documents whose distinct pieces are merged together.
-REPLAY_BYTES = 32 << 20
+REPLAY_BYTES = 12 << 20
 
 
 class Vocabulary:
@@ -223,7 +224,7 @@ def encoded_batches(batches: Iterable[pa.RecordBatch], vocab: Vocabulary, text:
     for held in _blocks(batches, text):
         ids = encode_texts([t for b in held for t in b.column(text).to_pylist()], vocab)
         for batch in held:
-            yield batch, [next(ids) for _ in range(batch.num_rows)]
+            yield batch, list(islice(ids, batch.num_rows))
 
 
 def _shared(docs: DataFrame, ranks_path: str):
@@ -233,23 +234,29 @@ def _shared(docs: DataFrame, ranks_path: str):
 
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text",
-           ids: str = "token_ids") -> DataFrame:
-    """Add ``ids`` (``array<int>``) to the rows; a column of that name is replaced."""
+           ids: str = "token_ids", decoded: str | None = None) -> DataFrame:
+    """Add ``ids`` (``array<int>``) to the rows, and with ``decoded`` a column (binary) of
+    what the ids decode to, in the same pass; columns of those names are replaced."""
     small_batches(docs.sparkSession)
     data = _shared(docs, ranks_path)
-    kept = [f for f in docs.schema.fields if f.name != ids]
-    schema = T.StructType([*kept, T.StructField(ids, T.ArrayType(T.IntegerType(), False))])
+    kept = [f for f in docs.schema.fields if f.name not in (ids, decoded)]
+    made = [T.StructField(ids, T.ArrayType(T.IntegerType(), False))]
+    if decoded:
+        made.append(T.StructField(decoded, T.BinaryType()))
 
     def run(batches):
-        for batch, found in encoded_batches(batches, vocabulary(data.value, pattern), text):
+        vocab = vocabulary(data.value, pattern)
+        for batch, found in encoded_batches(batches, vocab, text):
             bounds = np.r_[0, np.cumsum([len(x) for x in found])].astype(np.int32)
             values = np.concatenate([np.zeros(0, np.uint32), *found]).astype(np.int32)
-            column = pa.ListArray.from_arrays(pa.array(bounds), pa.array(values))
+            new = [pa.ListArray.from_arrays(pa.array(bounds), pa.array(values))]
+            if decoded:
+                new.append(pa.array([decode_ids(x, vocab) for x in found], pa.binary()))
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(f.name) for f in kept), column],
-                names=[*(f.name for f in kept), ids])
+                [*(batch.column(f.name) for f in kept), *new],
+                names=[*(f.name for f in kept), *(f.name for f in made)])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(run, T.StructType([*kept, *made]))
 
 
 def decode(encoded: DataFrame, ranks_path: str, pattern: str, ids: str = "token_ids",
