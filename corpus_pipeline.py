@@ -50,8 +50,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, and as ``text`` what they decode to (null reads as empty)."""
-    encoded = bpe.encode(docs, RANKS, public_tokenizers.PATTERN).drop("text")
-    decoded = bpe.decode(encoded, RANKS, public_tokenizers.PATTERN, out="text")
+    decoded = bpe.encode(docs, RANKS, public_tokenizers.PATTERN, decoded="_decoded").drop(
+        "text").withColumnRenamed("_decoded", "text")
     return decoded.select(*(F.col(c).cast("string") if c == "text" else c for c in docs.columns),
                           "token_ids", F.size("token_ids").cast("long").alias("n_tokens"))
 
