@@ -288,3 +288,15 @@ def test_failed_rebuild_swap_puts_the_old_mart_back(spark, tmp_root, monkeypatch
     with pytest.raises(OSError):
         build_mart(spark, lay, full_refresh=True)
     assert rows(read_table(spark, lay.mart, specs.MART), "location", "date") == before
+
+
+def test_incremental_build_reads_rates_from_the_last_one_before_the_window(spark, tmp_root):
+    from tidemark.plans.build import conditions, last_rate_day
+
+    lay = _loaded(spark, tmp_root)
+    assert last_rate_day(spark, lay, D("2025-02-24")) == D("2025-02-21")
+    assert last_rate_day(spark, lay, D("2025-01-01")) == D("2024-12-31")
+    assert last_rate_day(spark, lay, START) is None
+    for since in ("2025-02-22", "2025-01-01", "2024-12-02"):
+        full = conditions(spark, lay).filter(F.col("date") >= F.lit(D(since)))
+        assert rows(conditions(spark, lay, D(since))) == rows(full)

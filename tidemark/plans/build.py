@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark import specs
 from tidemark.operators.incremental import EPOCH
+from tidemark.functions.dates import as_date
 from tidemark.operators.enrich import carry_to_next
 from tidemark.operators.quality import (ContractViolation, check_report, duplicate_groups,
                                         enforce_contract, trace)
@@ -29,7 +30,8 @@ from tidemark.plans.drift import stored_drift
 from tidemark.plans.windows import advance_watermarks, plan_windows
 from tidemark.session import delete_path, path_exists, rename_path
 from tidemark.sources.state import load_state, save_state
-from tidemark.sources.tables import part_of, read_table, stored_high_water_mark, write_table
+from tidemark.sources.tables import (part_of, read_table, stored_high_water_mark, stored_parts,
+                                     write_table)
 
 
 @dataclass(frozen=True)
@@ -127,11 +129,28 @@ def check_inputs(spark: SparkSession, layout: Layout, since=None) -> None:
             raise ContractViolation(f"input {spec.name} drifted: {diff}")
 
 
+def last_rate_day(spark: SparkSession, layout: Layout, since) -> dt.date | None:
+    """The last day before ``since`` with a rate, from the newest partitions backwards:
+    the history before it has no part in what is carried past ``since``."""
+    spec = layout.spec(specs.FX_RAW)
+    d = F.col("date")
+    for part in reversed([p for p in stored_parts(spark, layout.raw_fx, spec)
+                          if p <= part_of(since, spec)]):
+        rates = read_table(spark, layout.raw_fx, spec, [part]).filter(
+            (F.col("series") == specs.FX_SERIES) & F.col("value").isNotNull()
+            & (d < F.lit(as_date(since))))
+        day = rates.agg(F.max(d)).first()[0]
+        if day is not None:
+            return day
+    return None
+
+
 def conditions(spark: SparkSession, layout: Layout, since=None) -> DataFrame:
-    """The mart's source rows (all, or only dates on or after ``since``:
-    weather months before it are pruned, FX history is only aggregated)."""
+    """The mart's source rows (all, or only dates on or after ``since``: weather partitions
+    before it are pruned, rates are read from the last one before it on)."""
     raw_w = read_table(spark, layout.raw_weather, layout.spec(specs.WEATHER_RAW), since=since)
-    raw_fx = read_table(spark, layout.raw_fx, layout.spec(specs.FX_RAW))
+    first = last_rate_day(spark, layout, since) if since is not None else None
+    raw_fx = read_table(spark, layout.raw_fx, layout.spec(specs.FX_RAW), since=first)
     built = models.build_conditions(models.stage_weather(raw_w), models.stage_fx(raw_fx),
                                     since=since)
     return enforce_contract(models.mart_projection(built), specs.MART.schema, "mart")
@@ -246,7 +265,6 @@ def inject_business_rule_fault(spark: SparkSession, layout: Layout, location: st
     (location, day) reading becomes max 5.0 < min 25.0 — inserted if absent,
     otherwise only the two temperatures change.  ``run_ts`` (default: now, UTC)
     is the load time of an inserted row.  Returns rows written."""
-    from tidemark.functions.dates import as_date
     from tidemark.operators.quality import inject_impossible_rows
 
     day = as_date(day)

@@ -78,6 +78,17 @@ def enrich_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.build_conditions(weather_bench(spark, sf_dir), rate_bench(spark, sf_dir))
 
 
+def model_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flagship's rows by SQL over the registered model views."""
+    from tidemark.plans.roles import rate_raw
+
+    weather = stamp(weather_bench(spark, sf_dir), RUN_TS)
+    fx = stamp(rate_raw(spark, sf_dir), RUN_TS)
+    models.register_views(weather, fx, prefix="tm_")
+    return spark.sql("SELECT c.* FROM tm_int_daily_conditions c LEFT SEMI JOIN tm_stg_weather_daily w "
+                     "ON c.location = w.location AND c.date = w.date")
+
+
 def locf_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fine-grained carry: per-minute max event value on a minute grid over
     the whole event range, carried forward with the day-bucketed two-stage
@@ -488,6 +499,7 @@ QUERIES = {
     "locf_global_bucketed": locf_global_bucketed,   # W1s (same result as D6)
     "locf_increment": locf_increment,               # D7: W1i
     "enrich_daily": enrich_daily,                   # D8 flagship: J2 P4-P7 F17
+    "model_views": model_views,                     # S6 S7 (same result as D8)
     "locf_minute": locf_minute,                     # W1s on a sub-daily grid
     "locf_by_entity": locf_by_entity,               # D26: W1k G1k
     "locf_by_entity_bucketed": locf_by_entity_bucketed,  # W1k + W1s (same result as D26)

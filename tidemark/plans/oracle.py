@@ -173,6 +173,7 @@ JOIN range(0, 200000) t(i) ON i <= n""",
     "locf_increment": f"""WITH {FX_FILLED}
 SELECT date, fx_rate, is_published_rate FROM fx WHERE date >= DATE '2001-01-01'""",
     "enrich_daily": D8,
+    "model_views": D8,
     "locf_minute": """
 WITH obs AS (SELECT date_trunc('minute', ts) AS ts, max(value) AS value FROM events GROUP BY 1),
 grid AS (SELECT lo + to_minutes(CAST(i AS BIGINT)) AS ts
