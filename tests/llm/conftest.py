@@ -34,7 +34,9 @@ def odd_docs(spark):
     ]
     cols = "doc_id bigint, text string, lang string, source string"
     clash = ["n", "n_words", "score", "digest", "kept", "size", "h", "key", "block", "label",
-             "token_ids", "keep_id"]
+             "token_ids", "keep_id", "_row", "_words", "_copy", "_row_key", "_dropped", "_size",
+             "component_id", "n_shingles", "leaf", "line", "block", "copies", "target"]
+    clash = list(dict.fromkeys(clash))
     return spark.createDataFrame([(*r, *(["x"] * len(clash))) for r in rows],
                                  cols + "".join(f", `{c}` string" for c in clash))
 

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import textkit as tk
-from .scratch import staged
+from .scratch import staged, unused
 from .skew import join_groups
 
 MIN_TOKENS, LONG_TOKENS = 4, 8
@@ -174,13 +174,13 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text",
     lines = staged(_lines(rows), "template-rows")
     again = staged(recurring(rows, lines, similarity), "template-recurring")
     n_lines = lines.count()
+    row, drop = unused(docs, "_row_key"), unused(docs, "_dropped")
     dropped = (join_groups(lines.select("line", "row_key", "numbers"), again, "line", "docs", n_lines)
-               .filter("row_key != keeper").groupBy("row_key")
-               .agg(F.array_distinct(F.flatten(F.collect_list("numbers"))).alias("_dropped")))
+               .filter("row_key != keeper").groupBy(F.col("row_key").alias(row))
+               .agg(F.array_distinct(F.flatten(F.collect_list("numbers"))).alias(drop)))
     names = [c for c in docs.columns if c not in (out, "dropped_lines")]
     kept = F.array_join(F.filter(
-        F.split(F.col(text), "\n"), lambda _, i: ~F.array_contains("_dropped", i)), "\n")
-    joined = docs.withColumn("_row_key", F.xxhash64(F.col(key), F.col(text))).join(
-        dropped.withColumnRenamed("row_key", "_row_key"), "_row_key", "left")
-    return joined.select(*names, F.when(F.col("_dropped").isNull(), F.col(text)).otherwise(kept)
-                         .alias(out), F.array_sort("_dropped").alias("dropped_lines"))
+        F.split(F.col(text), "\n"), lambda _, i: ~F.array_contains(drop, i)), "\n")
+    joined = docs.withColumn(row, F.xxhash64(F.col(key), F.col(text))).join(dropped, row, "left")
+    return joined.select(*names, F.when(F.col(drop).isNull(), F.col(text)).otherwise(kept)
+                         .alias(out), F.array_sort(drop).alias("dropped_lines"))

@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
+from .scratch import unused
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -180,12 +181,11 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
         cap: float = CAP, key: str = "doc_id", source: str = "source",
         text: str = "text") -> DataFrame:
     """The mixture itself: every row as often as it is taken."""
+    words, copy = unused(docs, "_words"), unused(docs, "_copy")
     taken = allocate(docs, weights, share, cap, key, source, text).filter("copies > 0").select(
-        F.col("doc_id").alias("_id"), F.col("source").alias("_source"),
-        F.col("size").alias("_size"), F.col("copies").alias("_copies"))
-    names = docs.columns
-    return (docs.withColumn("_words", word_count(text)).join(
-        taken, F.col(key).eqNullSafe(F.col("_id")) & F.col(source).eqNullSafe(F.col("_source"))
-        & (F.col("_words") == F.col("_size")))
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
-        .select(*names))
+        *(F.col(c).alias(unused(docs, f"_{c}")) for c in ("doc_id", "source", "size", "copies")))
+    same = [F.col(x).eqNullSafe(F.col(y)) for x, y in
+            zip((key, source, words), taken.columns, strict=False)]
+    return (docs.withColumn(words, word_count(text)).join(taken, same)
+            .withColumn(copy, F.explode(F.sequence(F.lit(1).cast("long"), F.col(taken.columns[3]))))
+            .select(*docs.columns))

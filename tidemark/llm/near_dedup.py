@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from . import textkit as tk
 from .components import components
-from .scratch import staged
+from .scratch import staged, unused
 from .skew import join_groups
 
 BANDS, BAND_ROWS = 32, 4
@@ -287,16 +287,17 @@ def keep_one(docs: DataFrame, width: int = 5, percent: int = 80, key: str = "doc
     """One row of each group, with all its columns: the one with the smallest id, and of
     rows that repeat that id the one whose columns come first.  Rows with an empty set are
     in no group and stay."""
-    names = docs.columns
-    rows = docs.select("*", F.xxhash64(F.col(key), F.col(text)).alias("_row"))
-    found = staged(find(rows, width, percent, "_row", text), "near-found")
-    owner = rows.select("_row", F.col(key).alias("_id")).distinct()
-    grouped = found.filter("n_shingles > 0").select(
-        F.col("doc_id").alias("_row"), F.col("component_id").alias("_group")).distinct()
-    best = (grouped.join(owner, "_row").groupBy("_group")
-            .agg(F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", "_row"))["_row"].alias("_row"))
-            .select("_row"))
-    alone = found.filter("n_shingles = 0").select(F.col("doc_id").alias("_row")).distinct()
-    empty = rows.join(alone, "_row", "left_semi").select(*names)
-    first = rows.join(best, "_row", "left_semi").dropDuplicates(["_row"]).select(*names)
+    names, row = docs.columns, unused(docs, "_row")
+    rows = docs.select("*", F.xxhash64(F.col(key), F.col(text)).alias(row))
+    found = staged(find(rows, width, percent, row, text), "near-found").withColumnRenamed(
+        "doc_id", row)
+    owner = rows.select(row, F.col(key).alias("id")).distinct()
+    best = (found.filter("n_shingles > 0").select(row, "component_id").distinct()
+            .join(owner.withColumnRenamed(row, "of"), F.col(row) == F.col("of"))
+            .groupBy("component_id").agg(F.min(F.struct(
+                F.col("id").isNull().alias("no_id"), "id", F.col("of").alias("row")))["row"].alias(row))
+            .select(row))
+    alone = found.filter("n_shingles = 0").select(row).distinct()
+    empty = rows.join(alone, row, "left_semi").select(*names)
+    first = rows.join(best, row, "left_semi").dropDuplicates([row]).select(*names)
     return first.unionByName(empty)
