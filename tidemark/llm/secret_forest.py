@@ -156,7 +156,10 @@ def scan(docs: DataFrame, findings: DataFrame | None = None, key: str = "doc_id"
     ``findings`` are labelled findings (finding, before, after, path, label), for example
     of a review; by default the corpus's own, from ids outside one fold of five."""
     words = staged(dictionary(docs, text), "secret-words")
-    found = staged(describe(candidates(docs, key, text, path), words), "secret-candidates")
+    # the scan of the texts is a job of its own: with the features' many expressions in the
+    # same generated code, compiling it takes more native memory than the scan itself
+    scanned = staged(candidates(docs, key, text, path), "secret-scan")
+    found = staged(describe(scanned, words), "secret-candidates")
     if findings is None:
         labelled = seed_findings(found.filter(id_remainder("doc_id", 5) != 0))
     else:
