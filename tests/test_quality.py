@@ -82,3 +82,16 @@ def test_freshness(spark):
                                "src string, t string").withColumn("t", F.col("t").cast("timestamp_ntz"))
     r = freshness(df, "src", "t", "t").collect()[0]
     assert r.last_date == D("2024-01-03") and r.row_count == 2
+
+
+def test_stacked_distincts_equal_the_expanded_ones(spark):
+    df = spark.range(500).select(
+        F.when(F.col("id") % 7 != 0, F.col("id") % 13).alias("a"),
+        F.when(F.col("id") % 2 == 0, F.lit(0.0)).when(F.col("id") % 3 == 0, F.lit(-0.0))
+        .otherwise(F.lit(float("nan"))).alias("b"),
+        F.lit(None).cast("double").alias("c"), F.lit("x").alias("d"),
+        F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 5).cast("int")).alias("e"))
+    plain = sorted(map(str, profile(df, "t").collect()))
+    assert sorted(map(str, profile(df, "t", distinct="stacked").collect())) == plain
+    none = df.limit(0)
+    assert profile(none, distinct="stacked").collect() == profile(none).collect()

@@ -53,6 +53,7 @@ def main(argv: list[str] | None = None) -> int:
     pr.add_argument("--root", required=True)
     pr.add_argument("--table", choices=sorted(TABLES), required=True)
     pr.add_argument("--approx", action="store_true", help="HyperLogLog distinct counts")
+    pr.add_argument("--stacked", action="store_true", help="distinct counts for wide tables")
     sm = sub.add_parser("stream", help="stream landed documents: raw upsert + mart merge per batch")
     sm.add_argument("--root", required=True)
     sm.add_argument("--source", choices=sorted(SOURCES), required=True)
@@ -107,7 +108,8 @@ def main(argv: list[str] | None = None) -> int:
 
         spec = layout.spec(TABLES[args.table])
         df = read_table(spark, f"{layout.root}/{args.table}", spec)
-        profile(df, args.table, distinct="approx" if args.approx else "exact").show(
+        profile(df, args.table, distinct="approx" if args.approx else
+                "stacked" if args.stacked else "exact").show(
             len(spec.columns) + 1, truncate=False)
         return 0
     if args.cmd == "stream":
