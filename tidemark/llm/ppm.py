@@ -37,7 +37,7 @@ from .labelled import id_remainder
 from .scratch import staged
 
 ORDER = 5
-BLOCK_TEXT = 96 << 20
+BLOCK_TEXT = 80 << 20
 PAD, END = 0xFE, 0xFF  # bytes that UTF-8 never uses
 SYMBOLS = 256
 
@@ -86,7 +86,7 @@ class _Tally:
     def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
         self._parts.append(_tally(keys, counts))
         self._held += len(self._parts[-1][0])
-        if self._held > 1.25 * self._settled + (1 << 20):
+        if self._held > 1.25 * self._settled + (1 << 19):
             self.result()
 
     def result(self) -> tuple[np.ndarray, np.ndarray]:
