@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .scratch import staged
+from .scratch import staged, workspace
 
 
 def _star(edges: DataFrame, larger: bool) -> DataFrame:
@@ -31,20 +31,21 @@ def components(links: DataFrame) -> DataFrame:
     (a, b).  Large-star and small-star steps alternate until every node points at its
     component's smallest; each step is written out, and only its size and checksum reach
     the driver."""
-    edges = staged(links.filter(F.col("a") != F.col("b")).select(
-        F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
-
-    def state(df: DataFrame) -> tuple:
-        return tuple(df.agg(F.count("*"), F.coalesce(F.bit_xor(F.xxhash64("u", "v")),
-                                                     F.lit(0))).first())
-
-    before = state(edges)
-    while before[0]:
-        edges = staged(_star(_star(edges, True), False), "links")
-        now = state(edges)
-        if now == before:
-            break
-        before = now
-    roots = edges.select(F.col("v").alias("u")).distinct()
-    return (edges.select("u", "v").unionByName(roots.select("u", F.col("u").alias("v")))
-            .toDF("node", "component"))
+    with workspace(links.sparkSession, "star") as stage:
+        edges = stage(links.filter(F.col("a") != F.col("b")).select(
+            F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
+
+        def state(df: DataFrame) -> tuple:
+            return tuple(df.agg(F.count("*"), F.coalesce(F.bit_xor(F.xxhash64("u", "v")),
+                                                         F.lit(0))).first())
+
+        before = state(edges)
+        while before[0]:
+            edges = stage(_star(_star(edges, True), False), "links")
+            now = state(edges)
+            if now == before:
+                break
+            before = now
+        roots = edges.select(F.col("v").alias("u")).distinct()
+        return staged(edges.select("u", "v").unionByName(roots.select("u", F.col("u").alias("v")))
+                      .toDF("node", "component"), "components")

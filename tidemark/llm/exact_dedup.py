@@ -19,10 +19,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
-
-#: The largest groups, at most this many, are joined by broadcast instead of by digest.
-HOT_GROUPS = 256
+from ..session import delete_path, scratch_path
+from .skew import join_groups
 
 
 def normalised(text: str | Column) -> Column:
@@ -60,6 +58,7 @@ class DigestIndex:
         (self.spark.read.parquet(staged).repartition(self.buckets, "digest")
          .write.bucketBy(self.buckets, "digest").sortBy("digest").format("parquet")
          .mode("append").saveAsTable(self.table_name))
+        delete_path(self.spark, staged)
 
     def add(self, docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
         """Deduplicate a batch within itself and against the index, and index it.
@@ -78,11 +77,5 @@ class DigestIndex:
         self.append_new(groups)
         known = (groups.drop("first_id").join(self.table().hint("merge"), "digest")
                  .withColumnRenamed("first_id", "keep_id"))
-        # a text that holds more than its share of the rows would fill one task
-        n_rows = rows.count()
-        hot = known.filter(F.col("group_size") * HOT_GROUPS > n_rows)  # fewer than HOT_GROUPS rows
-        cold = known.filter(F.col("group_size") * HOT_GROUPS <= n_rows)
-        in_hot = rows.join(F.broadcast(hot), "digest")
-        others = (rows.join(F.broadcast(hot.select("digest")), "digest", "left_anti")
-                  .join(cold.hint("merge"), "digest"))
-        return in_hot.unionByName(others).withColumn("kept", F.col(key).eqNullSafe(F.col("keep_id")))
+        found = join_groups(rows, known, "digest", "group_size", rows.count())
+        return found.withColumn("kept", F.col(key).eqNullSafe(F.col("keep_id")))

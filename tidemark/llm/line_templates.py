@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import textkit as tk
-from .scratch import staged, unused
+from .scratch import staged, unused, workspace
 from .skew import join_groups
 
 MIN_TOKENS, LONG_TOKENS = 4, 8
@@ -140,28 +140,29 @@ def recurring(rows: DataFrame, lines: DataFrame, similarity: float = SIMILARITY)
     """(line, keeper, docs): lines of recurring templates, the row that keeps them and in
     how many documents the line itself is."""
     holder = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_key")
-    distinct = staged(lines.groupBy("leaf", "line").agg(
-        F.min(holder).alias("first"), F.count("*").alias("docs"), F.first("tokens").alias("tokens")),
-        "template-lines")
-    shared = distinct.groupBy("leaf").count().filter("count > 1").select("leaf")
-    rest = staged(_with_tokens(rows, distinct.join(shared, "leaf").select(
-        F.col("first.row_key").alias("row_key"), "leaf", "line")), "template-tokens")
-    named = None
-    for i, depth in enumerate(DEPTHS):
-        if i:
-            rest = rest.withColumn("leaf", F.xxhash64(
-                F.lit(depth), F.size("sequence"), F.slice("sequence", 1, depth)))
-        fits = staged(_templates(rest, similarity), "template-fits")
-        rest = rest.join(fits.select("line"), "line", "left_anti")
-        named = fits if named is None else named.unionByName(fits)
-    group = distinct.join(named, "line", "left").withColumn(
-        "group", F.coalesce("template", "line"))
-    whole = group.groupBy("group").agg(F.min("first").alias("keeper"),
-                                       F.sum("docs").alias("group_docs"),
-                                       F.max("tokens").alias("width"))
-    enough = F.when(F.col("width") >= LONG_TOKENS, LONG_DOCS).otherwise(SHORT_DOCS)
-    return group.join(whole.filter(F.col("group_docs") >= enough), "group").select(
-        "line", F.col("keeper.row_key").alias("keeper"), "docs")
+    with workspace(rows.sparkSession, "templates") as stage:
+        distinct = stage(lines.groupBy("leaf", "line").agg(
+            F.min(holder).alias("first"), F.count("*").alias("docs"), F.first("tokens").alias("tokens")),
+            "lines")
+        shared = distinct.groupBy("leaf").count().filter("count > 1").select("leaf")
+        rest = stage(_with_tokens(rows, distinct.join(shared, "leaf").select(
+            F.col("first.row_key").alias("row_key"), "leaf", "line")), "tokens")
+        named = None
+        for i, depth in enumerate(DEPTHS):
+            if i:
+                rest = rest.withColumn("leaf", F.xxhash64(
+                    F.lit(depth), F.size("sequence"), F.slice("sequence", 1, depth)))
+            fits = stage(_templates(rest, similarity), "fits")
+            rest = rest.join(fits.select("line"), "line", "left_anti")
+            named = fits if named is None else named.unionByName(fits)
+        group = distinct.join(named, "line", "left").withColumn(
+            "group", F.coalesce("template", "line"))
+        whole = group.groupBy("group").agg(F.min("first").alias("keeper"),
+                                           F.sum("docs").alias("group_docs"),
+                                           F.max("tokens").alias("width"))
+        enough = F.when(F.col("width") >= LONG_TOKENS, LONG_DOCS).otherwise(SHORT_DOCS)
+        return staged(group.join(whole.filter(F.col("group_docs") >= enough), "group").select(
+            "line", F.col("keeper.row_key").alias("keeper"), "docs"), "template-recurring")
 
 
 def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text",
@@ -172,7 +173,7 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text",
     tk.small_batches(docs.sparkSession)
     rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
     lines = staged(_lines(rows), "template-rows")
-    again = staged(recurring(rows, lines, similarity), "template-recurring")
+    again = recurring(rows, lines, similarity)
     n_lines = lines.count()
     row, drop = unused(docs, "_row_key"), unused(docs, "_dropped")
     dropped = (join_groups(lines.select("line", "row_key", "numbers"), again, "line", "docs", n_lines)

@@ -24,7 +24,7 @@ null id is never a component's name unless it is alone.  Only id and text are re
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from . import textkit as tk
 from .components import components
-from .scratch import staged, unused
+from .scratch import staged, unused, workspace
 from .skew import join_groups
 
 BANDS, BAND_ROWS = 32, 4
@@ -159,13 +159,12 @@ def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     return made.join(wanted.select("node"), "node", "left_semi")
 
 
-def _confirm(pairs: DataFrame, docs: DataFrame, classes: DataFrame, width: int,
+def _confirm(stage: Callable, pairs: DataFrame, docs: DataFrame, classes: DataFrame, width: int,
              percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough."""
     ends = pairs.select(F.col("a").alias("node")).unionByName(
         pairs.select(F.col("b").alias("node"))).distinct()
-    sets = staged(_sets(docs, classes.select("node", "doc_id").join(ends, "node"), width),
-                  "near-sets")
+    sets = stage(_sets(docs, classes.select("node", "doc_id").join(ends, "node"), width), "sets")
     both = (pairs.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b"))
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -218,46 +217,47 @@ def _joining_links(percent: int):
 
 def link(docs: DataFrame, signed: DataFrame, width: int, percent: int) -> DataFrame:
     """(node, component) of the classes that are linked with another class."""
-    classes = staged(signed.filter("node IS NOT NULL").groupBy("node").agg(
-        F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"),
-        F.first("bands").alias("bands"), F.first("sketch").alias("sketch")), "near-classes")
-    sketches = classes.select("node", "sketch")
-    members = classes.select("node", "n_shingles", F.posexplode("bands").alias("band_no", "band"))
-    # the leader is the member that comes first in a hash order of all classes, so that
-    # the buckets of one group mostly share a leader
-    place = F.struct(F.xxhash64("node").alias("order"), F.col("node").alias("node"))
-    buckets = members.groupBy("band").agg(
-        F.count("*").alias("members"), F.sum("n_shingles").alias("shingles"),
-        F.min(place)["node"].alias("leader")).filter("members > 1")
-    placed = staged(members.drop("n_shingles").join(buckets, "band"), "near-buckets")
-    led = placed.filter(F.col("node") != F.col("leader")).select(
-        F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
-    close = (led.join(sketches.toDF("a", "sketch_a"), "a")
-             .join(sketches.toDF("b", "sketch_b"), "b")
-             .filter(_distance() <= SKETCH_DISTANCE).select("a", "b"))
-    links = staged(_confirm(staged(close, "near-pairs"), docs, classes, width, percent),
-                   "near-links")
-    found = staged(components(links), "near-components")
-
-    # members of buckets of three or more that are not all in one component
-    named = placed.filter("members > 2").join(found, "node", "left").select(
-        "band", "band_no", "node", "shingles", (F.col("node") == F.col("leader")).alias("leads"),
-        F.coalesce("component", "node").alias("component"))
-    split = named.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-    apart = staged(named.join(split.filter("lo != hi").select("band"), "band"), "near-apart")
-    sets = staged(_sets(docs, classes.select("node", "doc_id").join(
-        apart.select("node").distinct(), "node"), width).dropDuplicates(["node"]), "near-sets")
-    parts = F.ceil(F.col("of") / CHUNK_SHINGLES).cast("int")
-    more = staged(
-        apart.withColumnRenamed("shingles", "of")
-        .withColumn("side", F.pmod(F.xxhash64("node", F.lit(3)), parts).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
-        .join(classes.select("node", "bands", "sketch"), "node").join(sets, "node")
-        .select("band", F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high"),
-                "side", "band_no", "node", "component", "leads", "bands", "sketch", "shingles")
-        .groupBy("band", "low", "high")
-        .applyInArrow(_joining_links(percent), "a binary, b binary").distinct(), "near-links")
-    return staged(components(links.unionByName(more)), "near-components")
+    with workspace(docs.sparkSession, "near") as stage:
+        classes = stage(signed.filter("node IS NOT NULL").groupBy("node").agg(
+            F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"),
+            F.first("bands").alias("bands"), F.first("sketch").alias("sketch")), "classes")
+        sketches = classes.select("node", "sketch")
+        members = classes.select("node", "n_shingles", F.posexplode("bands").alias("band_no", "band"))
+        # the leader is the member that comes first in a hash order of all classes, so that
+        # the buckets of one group mostly share a leader
+        place = F.struct(F.xxhash64("node").alias("order"), F.col("node").alias("node"))
+        buckets = members.groupBy("band").agg(
+            F.count("*").alias("members"), F.sum("n_shingles").alias("shingles"),
+            F.min(place)["node"].alias("leader")).filter("members > 1")
+        placed = stage(members.drop("n_shingles").join(buckets, "band"), "buckets")
+        led = placed.filter(F.col("node") != F.col("leader")).select(
+            F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
+        close = (led.join(sketches.toDF("a", "sketch_a"), "a")
+                 .join(sketches.toDF("b", "sketch_b"), "b")
+                 .filter(_distance() <= SKETCH_DISTANCE).select("a", "b"))
+        links = stage(_confirm(stage, stage(close, "pairs"), docs, classes, width, percent),
+                       "links")
+        found = components(links)
+
+        # members of buckets of three or more that are not all in one component
+        named = placed.filter("members > 2").join(found, "node", "left").select(
+            "band", "band_no", "node", "shingles", (F.col("node") == F.col("leader")).alias("leads"),
+            F.coalesce("component", "node").alias("component"))
+        split = named.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+        apart = stage(named.join(split.filter("lo != hi").select("band"), "band"), "apart")
+        sets = stage(_sets(docs, classes.select("node", "doc_id").join(
+            apart.select("node").distinct(), "node"), width).dropDuplicates(["node"]), "sets")
+        parts = F.ceil(F.col("of") / CHUNK_SHINGLES).cast("int")
+        more = stage(
+            apart.withColumnRenamed("shingles", "of")
+            .withColumn("side", F.pmod(F.xxhash64("node", F.lit(3)), parts).cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
+            .join(classes.select("node", "bands", "sketch"), "node").join(sets, "node")
+            .select("band", F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high"),
+                    "side", "band_no", "node", "component", "leads", "bands", "sketch", "shingles")
+            .groupBy("band", "low", "high")
+            .applyInArrow(_joining_links(percent), "a binary, b binary").distinct(), "links")
+        return components(links.unionByName(more))
 
 
 def find(docs: DataFrame, width: int = 5, percent: int = 80, key: str = "doc_id",

@@ -25,7 +25,7 @@ text are read.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from . import textkit as tk
 from .labelled import id_remainder
-from .scratch import staged
+from .scratch import staged, workspace
 
 ORDER = 5
 BLOCK_TEXT = 80 << 20
@@ -126,7 +126,7 @@ def _block_keys(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Re
                 names=["block", "kind", "key", "n"])
 
 
-def _trie(seen: DataFrame) -> list[DataFrame]:
+def _trie(seen: DataFrame, stage: Callable) -> list[DataFrame]:
     """Tables of the contexts of order 0 to ORDER from the counts of full n-grams.
 
     A row is (ctx, total, kinds, below, below_kinds, next): how often the context occurs,
@@ -136,8 +136,8 @@ def _trie(seen: DataFrame) -> list[DataFrame]:
     pairs[ORDER] = seen.select(F.col("key").alias("pair"), "n")
     for k in range(ORDER - 1, -1, -1):
         mask = (1 << 8 * (k + 1)) - 1
-        pairs[k] = staged(pairs[k + 1].groupBy(F.col("pair").bitwiseAND(F.lit(mask)).alias("pair"))
-                          .agg(F.sum("n").alias("n")), f"ppm-pairs{k}")
+        pairs[k] = stage(pairs[k + 1].groupBy(F.col("pair").bitwiseAND(F.lit(mask)).alias("pair"))
+                          .agg(F.sum("n").alias("n")), f"pairs{k}")
     tables: list[DataFrame] = []
     for k in range(ORDER + 1):
         symbol = F.struct(F.col("pair").bitwiseAND(F.lit(255)).alias("symbol"), "n")
@@ -162,45 +162,46 @@ def _trie(seen: DataFrame) -> list[DataFrame]:
                 F.map_from_entries(F.collect_list(symbol)).alias("next")).select(
                 "ctx", "total", "kinds", F.lit(0).cast("long").alias("below"),
                 (F.lit(SYMBOLS) - F.col("kinds")).cast("long").alias("below_kinds"), "next")
-        tables.append(staged(nodes, f"ppm-order{k}"))
+        tables.append(stage(nodes, f"order{k}"))
     return tables
 
 
 def code_lengths(counted: DataFrame) -> DataFrame:
     """(key, value): log10 probability of the last symbol of every n-gram after the bytes
     before it, from (key, n) with the n-grams' counts in the training texts."""
-    seen = counted.filter("n > 0")
-    tables = _trie(seen)
-    # n-grams of the training texts: their context is known and holds the symbol
-    nodes = tables[ORDER].select("ctx", "total")
-    done = [seen.join(nodes, F.shiftright("key", 8) == F.col("ctx")).select(
-        "key", F.log10((F.col("n") - 0.5) / F.col("total")).alias("value"))]
-    open_ = counted.filter("n = 0").select(
-        "key", F.lit(0.0).alias("value"), F.lit(None).cast("long").alias("total"),
-        F.lit(None).cast("long").alias("kinds"))
-    for k in range(ORDER, -1, -1):
-        mask = (1 << 8 * (k + 1)) - 1
-        node = tables[k].select(F.col("ctx").alias("_ctx"), F.col("total").alias("_total"),
-                                F.col("kinds").alias("_kinds"), "below", "below_kinds", "next")
-        ctx = F.shiftright(F.col("key").bitwiseAND(F.lit(mask)), 8)
-        # counts left after what the longer context excluded, or all if that was unknown
-        total, kinds = F.coalesce("total", "_total"), F.coalesce("kinds", "_kinds")
-        n = F.try_element_at("next", F.col("key").bitwiseAND(F.lit(255)))
-        step = (F.when(F.col("_ctx").isNull() | (total == 0), 0.0)
-                .when(n.isNotNull(), F.log10((n - 0.5) / total))
-                .otherwise(F.log10(0.5 * kinds / total)))
-        walked = staged(open_.join(node, ctx == F.col("_ctx"), "left").select(
-            "key", (F.col("value") + step).alias("value"), n.isNotNull().alias("found"),
-            F.col("below").alias("total"), F.col("below_kinds").alias("kinds")), f"ppm-walk{k}")
-        done.append(walked.filter("found").select("key", "value"))
-        open_ = walked.filter("NOT found").drop("found")
-    # below the empty context: every symbol that no context holds
-    left = F.greatest(F.coalesce("kinds", F.lit(SYMBOLS)), F.lit(1))
-    done.append(open_.select("key", (F.col("value") - F.log10(left)).alias("value")))
-    out = done[0]
-    for part in done[1:]:
-        out = out.unionByName(part)
-    return out
+    with workspace(counted.sparkSession, "trie") as stage:
+        seen = counted.filter("n > 0")
+        tables = _trie(seen, stage)
+        # n-grams of the training texts: their context is known and holds the symbol
+        nodes = tables[ORDER].select("ctx", "total")
+        done = [seen.join(nodes, F.shiftright("key", 8) == F.col("ctx")).select(
+            "key", F.log10((F.col("n") - 0.5) / F.col("total")).alias("value"))]
+        open_ = counted.filter("n = 0").select(
+            "key", F.lit(0.0).alias("value"), F.lit(None).cast("long").alias("total"),
+            F.lit(None).cast("long").alias("kinds"))
+        for k in range(ORDER, -1, -1):
+            mask = (1 << 8 * (k + 1)) - 1
+            node = tables[k].select(F.col("ctx").alias("_ctx"), F.col("total").alias("_total"),
+                                    F.col("kinds").alias("_kinds"), "below", "below_kinds", "next")
+            ctx = F.shiftright(F.col("key").bitwiseAND(F.lit(mask)), 8)
+            # counts left after what the longer context excluded, or all if that was unknown
+            total, kinds = F.coalesce("total", "_total"), F.coalesce("kinds", "_kinds")
+            n = F.try_element_at("next", F.col("key").bitwiseAND(F.lit(255)))
+            step = (F.when(F.col("_ctx").isNull() | (total == 0), 0.0)
+                    .when(n.isNotNull(), F.log10((n - 0.5) / total))
+                    .otherwise(F.log10(0.5 * kinds / total)))
+            walked = stage(open_.join(node, ctx == F.col("_ctx"), "left").select(
+                "key", (F.col("value") + step).alias("value"), n.isNotNull().alias("found"),
+                F.col("below").alias("total"), F.col("below_kinds").alias("kinds")), f"walk{k}")
+            done.append(walked.filter("found").select("key", "value"))
+            open_ = walked.filter("NOT found").drop("found")
+        # below the empty context: every symbol that no context holds
+        left = F.greatest(F.coalesce("kinds", F.lit(SYMBOLS)), F.lit(1))
+        done.append(open_.select("key", (F.col("value") - F.log10(left)).alias("value")))
+        out = done[0]
+        for part in done[1:]:
+            out = out.unionByName(part)
+        return staged(out, "ppm-lengths")
 
 
 def _sorted(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:

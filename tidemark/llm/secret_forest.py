@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .labelled import id_remainder
-from .scratch import staged
+from .scratch import staged, workspace
 
 #: The candidate's shape and the words that announce a secret.
 CANDIDATE = r"(?<![A-Za-z0-9+/_\-])(?=[A-Za-z+/_\-]{0,200}[0-9])[A-Za-z0-9+/_\-]{12,}+={0,2}"
@@ -155,20 +155,21 @@ def scan(docs: DataFrame, findings: DataFrame | None = None, key: str = "doc_id"
 
     ``findings`` are labelled findings (finding, before, after, path, label), for example
     of a review; by default the corpus's own, from ids outside one fold of five."""
-    words = staged(dictionary(docs, text), "secret-words")
-    # the scan of the texts is a job of its own: with the features' many expressions in the
-    # same generated code, compiling it takes more native memory than the scan itself
-    scanned = staged(candidates(docs, key, text, path), "secret-scan")
-    found = staged(describe(scanned, words), "secret-candidates")
-    if findings is None:
-        labelled = seed_findings(found.filter(id_remainder("doc_id", 5) != 0))
-    else:
-        given = findings.select(F.lit(None).cast("long").alias("doc_id"), "path",
-                                F.lit(0).alias("at"), "finding", "before", "after", "label")
-        labelled = describe(given, words).filter("label IS NOT NULL")
-    columns = [c for c in found.columns] + ["label"]
-    labelled = staged(labelled.select(*columns), "secret-labelled")
-    n, positive = labelled.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
+    with workspace(docs.sparkSession, "secrets") as stage:
+        words = stage(dictionary(docs, text), "words")
+        # the scan of the texts is a job of its own: with the features' many expressions in the
+        # same generated code, compiling it takes more native memory than the scan itself
+        scanned = stage(candidates(docs, key, text, path), "scan")
+        found = staged(describe(scanned, words), "secret-candidates")
+        if findings is None:
+            labelled = seed_findings(found.filter(id_remainder("doc_id", 5) != 0))
+        else:
+            given = findings.select(F.lit(None).cast("long").alias("doc_id"), "path",
+                                    F.lit(0).alias("at"), "finding", "before", "after", "label")
+            labelled = describe(given, words).filter("label IS NOT NULL")
+        columns = [c for c in found.columns] + ["label"]
+        labelled = staged(labelled.select(*columns), "secret-labelled")
+        n, positive = labelled.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
     result = ["doc_id", "path", "at", "finding", "before", "after", "score", "secret"]
     if not 0 < positive < n:
         share = positive / n if n else 0.5
