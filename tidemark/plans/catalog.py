@@ -24,7 +24,7 @@ from tidemark.plans.roles import load, rate_bench, weather_bench, weather_small
 from tidemark.plans.windows import advance_watermarks, plan_windows, windowed_batch
 from tidemark.sources.landed import (explode_parallel, explode_points, parse_documents,
                                      stamp)
-from tidemark.session import scratch_path
+from tidemark.session import delete_path, scratch_path
 from tidemark.sources.tables import read_table, stored_high_water_mark, write_table
 from tidemark.specs import FX_PAYLOAD, MART, TableSpec, WEATHER_ARRAYS, WEATHER_PAYLOAD
 
@@ -384,9 +384,10 @@ def two_run_build(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     layout = Layout(scratch_path(spark, "build"))
     rows = {specs.WEATHER: (weather_bench, "weather"), specs.FX: (rate_raw, "rates")}
-    landed = {}
+    landed, landing = {}, []
     for source, (make, name) in rows.items():    # the landing zone: written once, read by window
         path = scratch_path(spark, f"landing-{name}")
+        landing.append(path)
         write_table(stamp(make(spark, sf_dir), RUN_TS), path, source.table)
         landed[source] = read_table(spark, path, source.table)
 
@@ -405,6 +406,8 @@ def two_run_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     run(RUN1_END + dt.timedelta(days=20), "incremental")
     run(PLAN_TODAY, "incremental")
     checked()
+    for done in (*landing, f"{layout.root}/raw"):    # only the mart is read from here on
+        delete_path(spark, done)
     return read_table(spark, layout.mart, specs.MART)
 
 
@@ -430,6 +433,7 @@ def contract_diff_q(spark: SparkSession, sf_dir: str) -> DataFrame:
             (df.filter(month == F.lit(second)).withColumn(retyped, F.col(retyped).cast("string"))
              .write.mode("overwrite").parquet(f"{path}/month={second.isoformat()}"))
         report = drift_report(spark, path, spec).withColumn("table_name", F.lit(name))
+        delete_path(spark, path)
         out = report if out is None else out.unionByName(report)
     return out
 
@@ -453,6 +457,7 @@ def landing_revisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read_weather_landing(spark, f"{folder}/*", RUN_TS)
     load_source(spark, layout, specs.WEATHER, rows, PLAN_TODAY, "backfill",
                 dt.date(1900, 1, 1), dt.date(2100, 1, 1))
+    delete_path(spark, folder)
     return read_table(spark, layout.raw_weather, specs.WEATHER_RAW)
 
 
@@ -485,6 +490,8 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
             batch.write.mode("append").parquet(landing)
         ingest_landing(spark, landing, events.schema, typed, f"{root}/raw", spec,
                        f"{root}/checkpoint")
+    for done in (landing, f"{root}/checkpoint"):
+        delete_path(spark, done)
     return read_table(spark, f"{root}/raw", spec)
 
 

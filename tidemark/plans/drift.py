@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -25,7 +26,7 @@ def _partition_drift(spark: SparkSession, path: str, spec: TableSpec, part) -> l
     try:
         found = contract_diff(spark.read.option("mergeSchema", "true").parquet(folder).schema,
                               spec.schema)
-    except PySparkException:
+    except (PySparkException, Py4JJavaError):    # types that do not merge
         files = spark.read.format("binaryFile").load(f"{folder}/*.parquet").select("path")
         found = sorted({d for f in files.toLocalIterator()
                         for d in contract_diff(spark.read.parquet(f["path"]).schema, spec.schema)},
@@ -33,21 +34,32 @@ def _partition_drift(spark: SparkSession, path: str, spec: TableSpec, part) -> l
     return [(part, *d) for d in found]
 
 
+def _any_drift(spark: SparkSession, folders: list[str], path: str, spec: TableSpec) -> bool:
+    """Whether any footer has a column more or of another type than declared."""
+    try:
+        merged = spark.read.option("mergeSchema", "true").option("basePath", path).parquet(*folders)
+    except (PySparkException, Py4JJavaError):    # types that do not merge
+        return True
+    return bool(contract_diff(merged.drop(spec.part_col).schema, spec.schema))
+
+
 def stored_drift(spark: SparkSession, path: str, spec: TableSpec, since=None,
                  threads: int = 16) -> list[tuple]:
     """``(partition, column, issue, expected, actual)`` of every partition a build reads
     (those from ``since``'s on).
 
-    Merged footers show extra and retyped columns of any file, and columns that all files
-    lack.  A column that only some files of a partition lack reads as NULL there: files
-    without a single value of a column are found by one distributed scan, and those files'
-    own footers decide."""
+    All footers are merged in one distributed job.  If they differ from the declared schema,
+    each partition's are merged on their own to name it.  A column that some files lack reads
+    as NULL there: files without a single value of a column are found by one distributed
+    scan, and those files' own footers decide."""
     parts = [p for p in stored_parts(spark, path, spec) if since is None or p >= since]
     if not parts:
         return []
-    with ThreadPoolExecutor(threads) as pool:
-        found = [d for ds in pool.map(lambda p: _partition_drift(spark, path, spec, p), parts)
-                 for d in ds]
+    found: list[tuple] = []
+    if _any_drift(spark, [f"{path}/{spec.part_col}={p.isoformat()}" for p in parts], path, spec):
+        with ThreadPoolExecutor(threads) as pool:
+            found = [d for ds in pool.map(lambda p: _partition_drift(spark, path, spec, p), parts)
+                     for d in ds]
     clean = sorted(set(parts) - {d[0] for d in found})
     if clean:
         rows = spark.read.schema(stored_schema(spec)).parquet(path).filter(
