@@ -63,7 +63,7 @@ def _lines(rows: DataFrame) -> DataFrame:
     """(row_key, doc_id, leaf, line, tokens, numbers): each distinct line of each row."""
     kind = rows.schema["doc_id"].dataType.simpleString()
     schema = pa.schema([
-        ("row_key", pa.int64()), ("doc_id", pa.string() if kind == "string" else pa.int64()),
+        ("row_key", pa.int64()), ("doc_id", tk.arrow_type(rows, "doc_id")),
         ("leaf", pa.int64()), ("line", pa.int64()), ("tokens", pa.int32()),
         ("numbers", pa.list_(pa.int32()))])
 

@@ -109,7 +109,7 @@ def signatures(docs: DataFrame, width: int, key: str = "doc_id", text: str = "te
     tk.small_batches(docs.sparkSession)
     rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    schema = pa.schema([("doc_id", pa.string() if kind == "string" else pa.int64()),
+    schema = pa.schema([("doc_id", tk.arrow_type(rows, "doc_id")),
                         ("n_shingles", pa.int64()), ("node", pa.binary()),
                         ("bands", pa.list_(pa.int64())), ("sketch", pa.list_(pa.int64()))])
 

@@ -299,7 +299,7 @@ def score(docs: DataFrame, learn: Column, key: str = "doc_id", text: str = "text
                 .repartitionById(n_blocks, "block").drop("block").sortWithinPartitions("place"))
     scored = lined_up.mapInArrow(
         _scorer(n_words + n_learn, vocabulary + (n_learn > 0), n_learn,
-                pa.string() if id_type.simpleString() == "string" else pa.int64()),
+                tk.arrow_type(rows, "doc_id")),
         f"doc_id {id_type.simpleString()}, n_tokens long, n_known long, base_score double, "
         "score double")
     return scored.withColumn("train_tokens", F.lit(n_words + n_learn).cast("long"))

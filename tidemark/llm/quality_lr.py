@@ -163,7 +163,7 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
     rows = docs.select(key, text)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kind = rows.schema[key].dataType.simpleString()
-    schema = pa.schema([(key, pa.string() if kind == "string" else pa.int64()),
+    schema = pa.schema([(key, tk.arrow_type(rows, key)),
                         ("score", pa.float64())])
     scored = rows.mapInArrow(tk.map_blocks(
         lambda batch, buf, off: [batch.column(key), shared.value.scores(buf, off)], schema, text),

@@ -14,7 +14,8 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_type
 
 U64 = np.uint64
 BLOCK_BYTES = 1 << 20
@@ -40,6 +41,11 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
         spark.conf.set(key, str(rows))
 
 
+def arrow_type(df: DataFrame, column: str) -> pa.DataType:
+    """Arrow type that a column has in Python functions."""
+    return to_arrow_type(df.schema[column].dataType)
+
+
 def text_blocks(col: pa.Array, max_bytes: int = BLOCK_BYTES
                 ) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Yield ``(first_row, end_row, bytes, offsets)``; a null text is empty."""

@@ -117,8 +117,7 @@ def measure(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     tk.small_batches(docs.sparkSession)
     rows = docs.select(key, text)
     fields = [pa.field(m, pa.int64()) for m in METRICS]
-    kind = pa.string() if rows.schema[key].dataType.simpleString() == "string" else pa.int64()
-    schema = pa.schema([pa.field(key, kind), *fields])
+    schema = pa.schema([pa.field(key, tk.arrow_type(rows, key)), *fields])
     ddl = ", ".join([f"`{key}` {rows.schema[key].dataType.simpleString()}",
                      *(f"{m} bigint" for m in METRICS)])
     return rows.mapInArrow(tk.map_blocks(
