@@ -32,11 +32,19 @@ def test_cli_extract_build_profile(spark, tmp_root, capsys):
     assert "PASS" in out and "FAIL" not in out
     assert main(["profile", "--root", root, "--table", "marts/daily_conditions"]) == 0
     assert "fx_usd_mxn" in capsys.readouterr().out
+    for what in (["--model", "int_fx_gap_filled", "--stacked"], ["--path", "marts/daily_conditions"]):
+        assert main(["profile", "--root", root, *what]) == 0
+        assert "DOUBLE" in capsys.readouterr().out
+    assert main(["check", "--root", root]) == 0
+    assert "PASS" in capsys.readouterr().out
     assert main(["freshness", "--root", root]) == 0
     out = capsys.readouterr().out
     assert "weather" in out and "fx" in out and "2025-01-28" in out
     assert main(["diagnose", "--root", root]) == 0
-    assert "raw_extracted_at" in capsys.readouterr().out
+    out = capsys.readouterr().out
+    assert "raw_extracted_at" in out and "0 failing row(s)" in out
+    assert main(["diagnose", "--root", root, "--out", f"{tmp_root}/failing"]) == 0
+    assert os.path.exists(f"{tmp_root}/failing/_SUCCESS")
     assert main(["build", "--root", root, "--window-replace"]) == 0
     assert main(["profile", "--root", root, "--table", "raw/weather_daily", "--approx"]) == 0
     capsys.readouterr()

@@ -2,7 +2,8 @@
 
     python -m tidemark extract --root R --source weather --landing PATH [--mode backfill --start D --end D]
     python -m tidemark build --root R [--full-refresh] [--since D]
-    python -m tidemark profile --root R --table raw/weather_daily
+    python -m tidemark profile --root R --table raw/weather_daily | --model M | --path P
+    python -m tidemark check --root R
     python -m tidemark freshness --root R
     python -m tidemark diagnose --root R
     python -m tidemark stream --root R --source weather --landing PATH
@@ -51,7 +52,11 @@ def main(argv: list[str] | None = None) -> int:
                     help="replace the whole lookback window (drops keys gone from the source)")
     pr = sub.add_parser("profile", help="one-pass profile of a stored table")
     pr.add_argument("--root", required=True)
-    pr.add_argument("--table", choices=sorted(TABLES), required=True)
+    what = pr.add_mutually_exclusive_group(required=True)
+    what.add_argument("--table", choices=sorted(TABLES))
+    what.add_argument("--model", choices=["stg_weather_daily", "stg_fx", "int_fx_gap_filled",
+                                          "int_daily_conditions"], help="a modelled table")
+    what.add_argument("--path", help="any Parquet table below --root")
     pr.add_argument("--approx", action="store_true", help="HyperLogLog distinct counts")
     pr.add_argument("--stacked", action="store_true", help="distinct counts for wide tables")
     sm = sub.add_parser("stream", help="stream landed documents: raw upsert + mart merge per batch")
@@ -106,11 +111,18 @@ def main(argv: list[str] | None = None) -> int:
         from tidemark.operators.profile import profile
         from tidemark.sources.tables import read_table
 
-        spec = layout.spec(TABLES[args.table])
-        df = read_table(spark, f"{layout.root}/{args.table}", spec)
-        profile(df, args.table, distinct="approx" if args.approx else
-                "stacked" if args.stacked else "exact").show(
-            len(spec.columns) + 1, truncate=False)
+        if args.table:
+            df = read_table(spark, f"{layout.root}/{args.table}", layout.spec(TABLES[args.table]))
+        elif args.path:
+            df = spark.read.parquet(f"{layout.root}/{args.path}")
+        else:
+            from tidemark.plans.models import register_views
+
+            df = register_views(*(read_table(spark, layout.raw_path(s), layout.spec(s.table))
+                                  for s in (specs.WEATHER, specs.FX)))[args.model]
+        profile(df, args.table or args.path or args.model,
+                distinct="approx" if args.approx else
+                "stacked" if args.stacked else "exact").show(len(df.columns) + 1, truncate=False)
         return 0
     if args.cmd == "stream":
         from tidemark.streaming.ingest import stream_build
