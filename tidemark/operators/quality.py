@@ -159,16 +159,6 @@ def trace(violations: DataFrame, raw: DataFrame, keys: Sequence[str],
         F.coalesce("__found", F.lit(False)).alias("found"))
 
 
-def materialize_count(df: DataFrame) -> tuple[DataFrame, int]:
-    """Checkpoint ``df`` into the shared checkpoint folder (lineage cut,
-    survives executor loss) and return it with its exact row count."""
-    from tidemark.session import checkpoint_dir
-
-    checkpoint_dir(df.sparkSession)
-    saved = df.checkpoint(eager=True)
-    return saved, saved.count()
-
-
 def freshness(df: DataFrame, source_col: str | None, loaded_at_col: str,
               date_col: str | None = None, source_name: str | None = None) -> DataFrame:
     """Per source: last load time, last data date and row count."""
