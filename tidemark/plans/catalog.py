@@ -332,9 +332,10 @@ def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def failing_row_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Row-rule and rate-range violations traced to the line items and to the order day
-    whose rate they carry.  The violations include one row per location on a day that no
-    raw row has: it is listed with ``found`` false."""
+    """Row-rule violations, and the rate-range violations of the first of each month only (as
+    in the oracle's SQL), traced to the line items and to the order day whose rate they
+    carry.  The violations include one row per location on a day that no raw row has: it is
+    listed with ``found`` false.  ``plans.build.diagnose`` traces every failing row."""
     from tidemark.plans.build import rate_origins
 
     mart = _injected_mart(spark, sf_dir).select(*WL_KEYS, "temp_max_c", "temp_min_c", "fx_usd_mxn")
