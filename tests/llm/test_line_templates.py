@@ -117,3 +117,21 @@ def test_odd_rows(odd_docs, no_docs):
     by_id = dict(rows)
     check(rows, [(r, by_id[r.doc_id]) for r in cleaned.collect()])
     assert LT.dedup_lines(no_docs).count() == 0
+
+
+def test_a_minority_in_a_leaf_is_a_template(spark):
+    """Lines of one leaf: 40 and 12 of two templates beside 60 unlike ones."""
+    r = random.Random(8)
+
+    def word():
+        return "".join(r.choice("abcdefghij") for _ in range(9))
+
+    kinds = {i: "notice" if i < 40 else "offer" if i < 52 else "other" for i in range(112)}
+    tail = {"notice": lambda: f"the shop in {word()} is closed on every sunday and",
+            "offer": lambda: f"all members get {word()} for half of what it cost",
+            "other": lambda: " ".join(word() for _ in range(10))}
+    rows = [(i, f"dear reader of this {tail[k]()}") for i, k in kinds.items()]
+    out = {x.doc_id: x.dropped_lines for x in LT.dedup_lines(
+        spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    first = {"notice": 0, "offer": 40}
+    assert out == {i: [0] if i != first.get(k, i) else None for i, k in kinds.items()}

@@ -5,8 +5,10 @@ a token with a digit standing for any other.  Equal lines (with such fields mask
 counted first, so the tree sees each distinct line once.  In a leaf, positions where most
 of its lines agree are constants and the others variable fields; lines that keep to enough
 of the constants are instances of that template.  What a leaf leaves over is parsed once
-more with more leading tokens.  Templates and lines that recur across documents are
-dropped from all documents but the first that has them.
+more with more leading tokens; what is left then is split by the most frequent (position,
+token) of its leaf, again and again until no two lines of a leaf share one, so a leaf gives
+several templates.  Templates and lines that recur across documents are dropped from all
+documents but the first that has them.
 
 Leaves are never gathered: a template comes from counts per (leaf, position, token), and
 its width is that of a line.
@@ -136,6 +138,24 @@ def _templates(lines: DataFrame, similarity: float) -> DataFrame:
     return fits.join(pairs, "template").select("line", "template")
 
 
+def _leaf(depth: int) -> Column:
+    return F.xxhash64(F.lit(depth), F.size("sequence"), F.slice("sequence", 1, depth))
+
+
+def _split(lines: DataFrame) -> DataFrame:
+    """The lines (leaf, line, sequence) in smaller leaves: each goes by the most frequent
+    (position, token) of its leaf that it has and other lines of the leaf have not.  Lines
+    that share no such token with another are left out: nothing of them recurs."""
+    at = lines.select("leaf", "line", F.posexplode("sequence").alias("at", "token"))
+    total = lines.groupBy("leaf").agg(F.count("*").alias("total")).filter("total > 2")
+    votes = (at.groupBy("leaf", "at", "token").agg(F.count("*").alias("n")).filter("n > 1")
+             .join(total, "leaf").filter("n < total"))
+    best = at.join(votes, ["leaf", "at", "token"]).groupBy("leaf", "line").agg(
+        F.max(F.struct("n", "at", "token")).alias("best"))
+    return lines.join(best, ["leaf", "line"]).select(
+        F.xxhash64("leaf", "best.at", "best.token").alias("leaf"), "line", "sequence")
+
+
 def recurring(rows: DataFrame, lines: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(line, keeper, docs): lines of recurring templates, the row that keeps them and in
     how many documents the line itself is."""
@@ -149,12 +169,15 @@ def recurring(rows: DataFrame, lines: DataFrame, similarity: float = SIMILARITY)
             F.col("first.row_key").alias("row_key"), "leaf", "line")), "tokens")
         named = None
         for i, depth in enumerate(DEPTHS):
-            if i:
-                rest = rest.withColumn("leaf", F.xxhash64(
-                    F.lit(depth), F.size("sequence"), F.slice("sequence", 1, depth)))
-            fits = stage(_templates(rest, similarity), "fits")
+            leaves = rest.withColumn("leaf", _leaf(depth)) if i else rest
+            fits = stage(_templates(leaves, similarity), "fits")
             rest = rest.join(fits.select("line"), "line", "left_anti")
             named = fits if named is None else named.unionByName(fits)
+        # each split adds a token that all lines of a leaf have, so this ends
+        while not (rest := stage(_split(rest), "split")).isEmpty():
+            fits = stage(_templates(rest, similarity), "fits")
+            rest = rest.join(fits.select("line"), "line", "left_anti")
+            named = named.unionByName(fits)
         group = distinct.join(named, "line", "left").withColumn(
             "group", F.coalesce("template", "line"))
         whole = group.groupBy("group").agg(F.min("first").alias("keeper"),
