@@ -135,3 +135,28 @@ def test_a_minority_in_a_leaf_is_a_template(spark):
         spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
     first = {"notice": 0, "offer": 40}
     assert out == {i: [0] if i != first.get(k, i) else None for i, k in kinds.items()}
+
+
+def test_number_rows_are_compared_as_they_are(spark):
+    """Table rows of unrelated documents are not equal; a row that recurs as it is goes."""
+    r = random.Random(9)
+    rows = [(i, " ".join(str(r.randint(100, 999)) for _ in range(9))) for i in range(30)]
+    rows += [(30 + i, "total " + rows[i][1]) for i in range(20)] + [(99, rows[4][1])]
+    out = {x.doc_id: x.dropped_lines for x in LT.dedup_lines(
+        spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert out == {k: [0] if k == 99 else None for k, _ in rows}
+
+
+def test_an_instance_keeps_to_the_whole_width(spark):
+    """20 tokens with 14 constants: a line with 10 of them is half of another text."""
+    r = random.Random(10)
+
+    def line(n):
+        words = "to all who read this page we say that it was made by hand".split()[:n]
+        return " ".join(words + ["".join(r.choice("abcdefghij") for _ in range(9))
+                                 for _ in range(20 - n)])
+
+    rows = [(i, line(14)) for i in range(8)] + [(8, line(10))]
+    out = {x.doc_id: x.dropped_lines for x in LT.dedup_lines(
+        spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert out == {i: [0] if 0 < i < 8 else None for i in range(9)}

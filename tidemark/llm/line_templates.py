@@ -1,10 +1,11 @@
 """Line deduplication with a log-template tree.
 
 Lines are parsed into a tree of fixed depth: the number of tokens, then the leading tokens,
-a token with a digit standing for any other.  Equal lines (with such fields masked) are
+a token with a digit standing for any other; a line of mostly such tokens (numbers, table
+rows) is compared as it is and fits no template.  Equal lines (with such fields masked) are
 counted first, so the tree sees each distinct line once.  In a leaf, positions where most
-of its lines agree are constants and the others variable fields; lines that keep to enough
-of the constants are instances of that template.  What a leaf leaves over is parsed once
+of its lines agree on a word are constants and the others variable fields; lines that keep
+to enough of the constants, and of the whole width, are instances of that template.  What a leaf leaves over is parsed once
 more with more leading tokens; what is left then is split by the most frequent (position,
 token) of its leaf, again and again until no two lines of a leaf share one, so a leaf gives
 several templates.  Templates and lines that recur across documents are dropped from all
@@ -37,24 +38,31 @@ LONG_DOCS, SHORT_DOCS = 2, 5
 DEPTHS = (4, 8)
 #: Share of tokens that must be constant, and share of the constants a line must have.
 SIMILARITY = 0.7
+#: Tokens without a digit, in number and as a share of the line, for digits to be masked.
+MIN_WORDS, WORD_SHARE = 3, 0.5
 
 _ANY = tk.U64(0x2A)
 _DIGIT = np.isin(np.arange(256), np.arange(48, 58))
 
 
 def parse(buf: np.ndarray, off: np.ndarray):
-    """Lines with enough tokens: (row, line number, first token, end token) and all tokens."""
+    """Lines with enough tokens: (row, line number, first token, end token, whether it has
+    the words for a template) and all tokens."""
     starts, ends = tk.words(buf, off)
     token = tk.hash_spans(buf, starts, ends)
-    digits = np.r_[0, np.cumsum(_DIGIT[buf], dtype=np.int64)]
-    token[digits[ends] > digits[starts]] = _ANY
     l_start, l_end = tk.runs(buf != 10, off)
     row = tk.rows_of(l_start, off)
     breaks = np.r_[0, np.cumsum(buf == 10, dtype=np.int64)]
     number = breaks[l_start] - breaks[off[:-1]][row]
     first, last = np.searchsorted(starts, l_start), np.searchsorted(starts, l_end)
+    digits = np.r_[0, np.cumsum(_DIGIT[buf], dtype=np.int64)]
+    field = digits[ends] > digits[starts]
+    fields = np.r_[0, np.cumsum(field, dtype=np.int64)]
+    n_words = last - first - (fields[last] - fields[first])
+    worded = n_words >= np.maximum(MIN_WORDS, WORD_SHARE * (last - first))
+    token[field & np.repeat(worded, last - first)] = _ANY
     keep = last - first >= MIN_TOKENS
-    return row[keep], number[keep], first[keep], last[keep], token
+    return row[keep], number[keep], first[keep], last[keep], worded[keep], token
 
 
 def _row_key() -> Column:
@@ -70,10 +78,11 @@ def _lines(rows: DataFrame) -> DataFrame:
         ("numbers", pa.list_(pa.int32()))])
 
     def run(batch, buf, off):
-        row, number, first, last, token = parse(buf, off)
+        row, number, first, last, worded, token = parse(buf, off)
         line = tk.hash_sequences(token, first, last)
-        leaf = tk.mix(tk.hash_sequences(token, first, first + DEPTHS[0])
-                      + (last - first).astype(tk.U64))
+        # a line of mostly numbers is alone in its leaf
+        leaf = np.where(worded, tk.mix(tk.hash_sequences(token, first, first + DEPTHS[0])
+                                       + (last - first).astype(tk.U64)), line)
         order = np.lexsort((number, line, row))
         row, number, line, leaf, width = (x[order] for x in (row, number, line, leaf, last - first))
         lead = np.flatnonzero(np.r_[True, (line[1:] != line[:-1]) | (row[1:] != row[:-1])]) \
@@ -96,7 +105,7 @@ def _with_tokens(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     schema = pa.schema([("line", pa.int64()), ("sequence", pa.list_(pa.int64()))])
 
     def run(batch, buf, off):
-        row, _, first, last, token = parse(buf, off)
+        row, _, first, last, _, token = parse(buf, off)
         line = tk.hash_sequences(token, first, last).view(np.int64)
         lists = batch.column("asked")
         owner = np.repeat(np.arange(len(lists)), np.diff(np.asarray(lists.offsets)))
@@ -118,21 +127,30 @@ def _with_tokens(rows: DataFrame, wanted: DataFrame) -> DataFrame:
 
 def _templates(lines: DataFrame, similarity: float) -> DataFrame:
     """(line, template) of the lines (leaf, line, sequence) that fit their leaf's template,
-    for templates with two lines or more."""
+    for templates with two lines or more.  A masked field is no constant: it only counts
+    where a line is compared over its whole width."""
     votes = (lines.select("leaf", F.posexplode("sequence").alias("at", "token"))
              .groupBy("leaf", "at", "token").agg(F.count("*").alias("n")))
     positions = votes.groupBy("leaf", "at").agg(
         F.max_by("token", F.struct("n", "token")).alias("token"),
         (2 * F.max("n") > F.sum("n")).alias("fixed"), F.sum("n").alias("lines"))
+    positions = positions.withColumn("word", F.col("fixed") & (F.col("token") != int(_ANY)))
     shape = (positions.groupBy("leaf").agg(
-        F.sort_array(F.collect_list(F.struct("at", "token", "fixed"))).alias("shape"),
-        F.count_if("fixed").alias("n_fixed"), F.count("*").alias("width"),
-        F.max("lines").alias("lines"))
-        .filter((F.col("lines") > 1) & (F.col("n_fixed") >= similarity * F.col("width"))))
-    agreed = F.size(F.filter(
-        F.zip_with("sequence", "shape", lambda t, s: s["fixed"] & (t == s["token"])),
-        lambda hit: hit))
-    fits = lines.join(shape, "leaf").filter(agreed >= similarity * F.col("n_fixed")).select(
+        F.sort_array(F.collect_list(F.struct("at", "token", "fixed", "word"))).alias("shape"),
+        F.count_if("word").alias("n_words"), F.count_if("fixed").alias("n_fixed"),
+        F.count("*").alias("width"), F.max("lines").alias("lines"))
+        .filter((F.col("lines") > 1) & (F.col("n_words") >= F.greatest(
+            F.lit(MIN_WORDS), WORD_SHARE * F.col("width"),
+            similarity * (F.col("width") - F.col("n_fixed") + F.col("n_words"))))))
+
+    def agreed(kind: str) -> Column:
+        return F.size(F.filter(
+            F.zip_with("sequence", "shape", lambda t, s: s[kind] & (t == s["token"])),
+            lambda hit: hit))
+
+    fits = lines.join(shape, "leaf").filter(
+        (agreed("word") >= similarity * F.col("n_words"))
+        & (agreed("fixed") >= similarity * F.col("width"))).select(
         "line", F.col("leaf").alias("template"))
     pairs = fits.groupBy("template").count().filter("count > 1").select("template")
     return fits.join(pairs, "template").select("line", "template")
