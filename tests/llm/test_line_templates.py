@@ -160,3 +160,15 @@ def test_an_instance_keeps_to_the_whole_width(spark):
     out = {x.doc_id: x.dropped_lines for x in LT.dedup_lines(
         spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
     assert out == {i: [0] if 0 < i < 8 else None for i in range(9)}
+
+
+def test_lines_of_few_tokens_but_many_characters(spark):
+    """A Chinese line is one token; a Latin line of three needs five documents."""
+    chinese, short = "版权所有未经书面许可不得转载本网站的任何内容", "版权"
+    latin = "Nutzungsbedingungen Datenschutzerklärung Impressum"
+    rows = [(i, "\n".join([f"eigener Text {i}", short, *[chinese] * (i < 2), *[latin] * (1 < i < 8)]))
+            for i in range(10)] + [(10, "Haftungsausschluss Barrierefreiheit"),
+                                   (11, "Haftungsausschluss Barrierefreiheit")]
+    out = {x.doc_id: x.dropped_lines for x in LT.dedup_lines(
+        spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert out == {i: [2] if i == 1 or 2 < i < 8 else None for i in range(12)}

@@ -14,8 +14,12 @@ documents but the first that has them.
 Leaves are never gathered: a template comes from counts per (leaf, position, token), and
 its width is that of a line.
 
-Defined cases: a line ends at \\n; blank lines and lines of under MIN_TOKENS tokens stay;
-lines of under LONG_TOKENS tokens recur by chance and must be in SHORT_DOCS documents;
+Scripts without spaces have long tokens: two of their characters count as a token more.
+Lines of fewer tokens than a leaf needs are compared as they are.
+
+Defined cases: a line ends at \\n; blank lines and lines of under MIN_TOKENS tokens stay,
+unless they have MIN_BYTES bytes of letters (they count as MIN_TOKENS tokens then); lines of under
+LONG_TOKENS tokens recur by chance and must be in SHORT_DOCS documents;
 repeats within one document stay; the first document is the one with the smallest id
 (rows without an id come last); rows that agree in id and text are one document; a null
 text stays null; an empty table gives no rows.
@@ -34,6 +38,7 @@ from .skew import join_groups
 
 MIN_TOKENS, LONG_TOKENS = 4, 8
 LONG_DOCS, SHORT_DOCS = 2, 5
+MIN_BYTES = 24
 #: Leading tokens that make a leaf, one number per pass.
 DEPTHS = (4, 8)
 #: Share of tokens that must be constant, and share of the constants a line must have.
@@ -43,11 +48,15 @@ MIN_WORDS, WORD_SHARE = 3, 0.5
 
 _ANY = tk.U64(0x2A)
 _DIGIT = np.isin(np.arange(256), np.arange(48, 58))
+_LETTER = np.isin(np.arange(256), [*range(65, 91), *range(97, 123), *range(128, 256)])
+#: First bytes of characters of three bytes and more (Thai, Chinese, Japanese, Korean and
+#: others), without those of general punctuation and symbols.
+_WIDE = np.isin(np.arange(256), [0xE0, 0xE1, *range(0xE3, 0xF5)])
 
 
 def parse(buf: np.ndarray, off: np.ndarray):
-    """Lines with enough tokens: (row, line number, first token, end token, whether it has
-    the words for a template) and all tokens."""
+    """Lines that are long enough: (row, line number, first token, end token, size, whether
+    it has the words for a template) and all tokens."""
     starts, ends = tk.words(buf, off)
     token = tk.hash_spans(buf, starts, ends)
     l_start, l_end = tk.runs(buf != 10, off)
@@ -59,10 +68,15 @@ def parse(buf: np.ndarray, off: np.ndarray):
     field = digits[ends] > digits[starts]
     fields = np.r_[0, np.cumsum(field, dtype=np.int64)]
     n_words = last - first - (fields[last] - fields[first])
-    worded = n_words >= np.maximum(MIN_WORDS, WORD_SHARE * (last - first))
+    worded = (last - first >= MIN_TOKENS) & (
+        n_words >= np.maximum(MIN_WORDS, WORD_SHARE * (last - first)))
     token[field & np.repeat(worded, last - first)] = _ANY
-    keep = last - first >= MIN_TOKENS
-    return row[keep], number[keep], first[keep], last[keep], worded[keep], token
+    wide = np.r_[0, np.cumsum(_WIDE[buf], dtype=np.int64)]
+    size = last - first + (wide[l_end] - wide[l_start]) // 2
+    letters = np.r_[0, np.cumsum(_LETTER[buf], dtype=np.int64)]
+    size = np.where(letters[l_end] - letters[l_start] >= MIN_BYTES, np.maximum(size, MIN_TOKENS), size)
+    keep = size >= MIN_TOKENS
+    return row[keep], number[keep], first[keep], last[keep], size[keep], worded[keep], token
 
 
 def _row_key() -> Column:
@@ -78,13 +92,13 @@ def _lines(rows: DataFrame) -> DataFrame:
         ("numbers", pa.list_(pa.int32()))])
 
     def run(batch, buf, off):
-        row, number, first, last, worded, token = parse(buf, off)
+        row, number, first, last, size, worded, token = parse(buf, off)
         line = tk.hash_sequences(token, first, last)
-        # a line of mostly numbers is alone in its leaf
-        leaf = np.where(worded, tk.mix(tk.hash_sequences(token, first, first + DEPTHS[0])
-                                       + (last - first).astype(tk.U64)), line)
+        # a line of mostly numbers or of few tokens is alone in its leaf
+        lead = tk.hash_sequences(token, first, np.minimum(first + DEPTHS[0], last))
+        leaf = np.where(worded, tk.mix(lead + (last - first).astype(tk.U64)), line)
         order = np.lexsort((number, line, row))
-        row, number, line, leaf, width = (x[order] for x in (row, number, line, leaf, last - first))
+        row, number, line, leaf, size = (x[order] for x in (row, number, line, leaf, size))
         lead = np.flatnonzero(np.r_[True, (line[1:] != line[:-1]) | (row[1:] != row[:-1])]) \
             if len(line) else np.zeros(0, np.int64)
         numbers = pa.ListArray.from_arrays(pa.array(np.r_[lead, len(line)].astype(np.int32)),
@@ -92,7 +106,7 @@ def _lines(rows: DataFrame) -> DataFrame:
         at = pa.array(row[lead])
         return [batch.column("row_key").take(at), batch.column("doc_id").take(at),
                 leaf[lead].view(np.int64), line[lead].view(np.int64),
-                width[lead].astype(np.int32), numbers]
+                size[lead].astype(np.int32), numbers]
 
     return rows.select(_row_key().alias("row_key"), "doc_id", "text").mapInArrow(
         tk.map_blocks(run, schema), f"row_key long, doc_id {kind}, leaf long, line long, "
@@ -105,7 +119,7 @@ def _with_tokens(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     schema = pa.schema([("line", pa.int64()), ("sequence", pa.list_(pa.int64()))])
 
     def run(batch, buf, off):
-        row, _, first, last, _, token = parse(buf, off)
+        row, _, first, last, _, _, token = parse(buf, off)
         line = tk.hash_sequences(token, first, last).view(np.int64)
         lists = batch.column("asked")
         owner = np.repeat(np.arange(len(lists)), np.diff(np.asarray(lists.offsets)))
