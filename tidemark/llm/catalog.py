@@ -11,6 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 from . import (
     bpe,
     exact_dedup,
@@ -20,11 +21,15 @@ from . import (
     ppm,
     quality_lr,
     secret_forest,
+    token_planes,
     toxicity_fm,
     weak_rules,
 )
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+BYTE_LEVEL = public_tokenizers.path("byte_bpe_50k.json")
+#: Id appended to every document in token files.
+END_ID = 2
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,6 +87,13 @@ def op10_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("dropped_lines"), F.lit(0)).cast("long").alias("n_dropped"))
 
 
+def op11_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    path = scratch_path(spark, "token-planes")
+    token_planes.write(docs, path, BYTE_LEVEL, END_ID)
+    return token_planes.read_digests(spark, path, docs.schema["doc_id"].dataType)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ppm_score": op1_ppm_score,
     "op2_quality_lr": op2_quality_lr,
@@ -93,6 +105,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_weak_rules": op8_weak_rules,
     "op9_source_mix": op9_source_mix,
     "op10_line_templates": op10_line_templates,
+    "op11_token_planes": op11_token_planes,
 }
 
 #: DuckDB SQL for the queries that SQL can express.
