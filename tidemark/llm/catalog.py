@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from . import (
+    alignment,
     bpe,
     exact_dedup,
     line_templates,
@@ -28,6 +29,7 @@ from . import (
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 BYTE_LEVEL = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 #: Id appended to every document in token files.
 END_ID = 2
 
@@ -94,6 +96,10 @@ def op11_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_planes.read_digests(spark, path, docs.schema["doc_id"].dataType)
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(documents(spark, sf_dir), BYTE_LEVEL, PIECES)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ppm_score": op1_ppm_score,
     "op2_quality_lr": op2_quality_lr,
@@ -106,6 +112,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_source_mix": op9_source_mix,
     "op10_line_templates": op10_line_templates,
     "op11_token_planes": op11_token_planes,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 #: DuckDB SQL for the queries that SQL can express.

@@ -15,7 +15,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema, to_arrow_type
 
 U64 = np.uint64
 BLOCK_BYTES = 1 << 20
@@ -46,6 +47,11 @@ def arrow_type(df: DataFrame, column: str) -> pa.DataType:
     return to_arrow_type(df.schema[column].dataType)
 
 
+def arrow_schema(ddl: str) -> pa.Schema:
+    """Arrow schema of a schema in DDL, as Python functions must return it."""
+    return to_arrow_schema(T.StructType.fromDDL(ddl))
+
+
 def text_blocks(col: pa.Array, max_bytes: int = BLOCK_BYTES
                 ) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Yield ``(first_row, end_row, bytes, offsets)``; a null text is empty."""
