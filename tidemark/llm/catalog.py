@@ -15,6 +15,7 @@ from ..session import scratch_path
 from . import (
     alignment,
     bpe,
+    collocations,
     exact_dedup,
     line_templates,
     mixing,
@@ -96,6 +97,10 @@ def op11_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_planes.read_digests(spark, path, docs.schema["doc_id"].dataType)
 
 
+def op12_phrase_transducers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.find(documents(spark, sf_dir))
+
+
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align(documents(spark, sf_dir), BYTE_LEVEL, PIECES)
 
@@ -112,6 +117,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_source_mix": op9_source_mix,
     "op10_line_templates": op10_line_templates,
     "op11_token_planes": op11_token_planes,
+    "op12_phrase_transducers": op12_phrase_transducers,
     "op13_token_alignment": op13_token_alignment,
 }
 
