@@ -36,6 +36,8 @@ from .textkit import small_batches
 
 #: Text of the documents whose distinct pieces are merged together.
 REPLAY_BYTES = 12 << 20
+#: Pairs that are looked up at once when a replay begins.
+LOOKUPS = 1 << 17
 
 
 class Vocabulary:
@@ -47,7 +49,7 @@ class Vocabulary:
         self.tokens: list[bytes | None] = [None] * self.size
         for token, i in ranks.items():
             self.tokens[i] = token
-        self.byte_id = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
+        self.byte_id = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
         pairs: dict[int, int] = {}
         #: ids after whose merge a pair with a lower id may stand beside them
         self.rewinds = np.zeros(self.size, bool)
@@ -61,11 +63,11 @@ class Vocabulary:
                     if i < right:
                         self.rewinds[right] = True
         self._keys = np.array(sorted(pairs), np.int64)
-        self._ids = np.array([pairs[k] for k in self._keys.tolist()], np.int64)
+        self._ids = np.array([pairs[k] for k in self._keys.tolist()], np.int32)
 
     def joined(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Id that each pair merges to, or -1."""
-        key = left * self.size + right
+        key = left.astype(np.int64) * self.size + right
         at = np.minimum(np.searchsorted(self._keys, key), len(self._keys) - 1)
         return np.where(self._keys[at] == key, self._ids[at], -1)
 
@@ -111,15 +113,15 @@ def replay(pieces: list[bytes], vocab: Vocabulary) -> tuple[np.ndarray, np.ndarr
     lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
     data = np.frombuffer(b"".join(pieces), np.uint8)
     symbol = vocab.byte_id[data]
-    n = len(symbol)
-    piece = np.repeat(np.arange(len(pieces)), lengths)
-    after = np.arange(1, n + 1)
-    before = np.arange(-1, n - 1)
+    n = len(symbol)    # under 2^31: a block's distinct pieces
+    piece = np.repeat(np.arange(len(pieces), dtype=np.int32), lengths)
+    after = np.arange(1, n + 1, dtype=np.int32)
+    before = np.arange(-1, n - 1, dtype=np.int32)
     starts = np.cumsum(lengths) - lengths
     filled = lengths > 0
     after[(starts + lengths - 1)[filled]] = -1
     before[starts[filled]] = -1
-    pending = np.full(n, -1, np.int64)
+    pending = np.full(n, -1, np.int32)
     alive = np.ones(n, bool)
     index = _PairIndex()
 
@@ -130,8 +132,8 @@ def replay(pieces: list[bytes], vocab: Vocabulary) -> tuple[np.ndarray, np.ndarr
         pending[at] = ids
         index.add(ids, at)
 
-    if n:
-        renew(np.arange(n))
+    for lo in range(0, n, LOOKUPS):
+        renew(np.arange(lo, min(n, lo + LOOKUPS), dtype=np.int32))
     while (entry := index.pop()) is not None:
         i, at = entry
         at = at[alive[at] & (pending[at] == i)]
@@ -139,7 +141,7 @@ def replay(pieces: list[bytes], vocab: Vocabulary) -> tuple[np.ndarray, np.ndarr
             continue
         if vocab.rewinds[i]:  # a lower pair may arise: one merge per piece, then look again
             lead = np.r_[True, piece[at[1:]] != piece[at[:-1]]]
-            index.add(np.full(int((~lead).sum()), i), at[~lead])
+            index.add(np.full(int((~lead).sum()), i, np.int32), at[~lead])
             at = at[lead]
         elif len(at) > 1:  # of overlapping pairs in a run, every other one from the left
             chained = np.r_[False, after[at[:-1]] == at[1:]]
@@ -167,8 +169,9 @@ class _Numbers(dict):
         return n
 
 
-def encode_texts(texts: list[str | None], vocab: Vocabulary) -> Iterator[np.ndarray]:
-    """Ids (``uint32``) of each text; the distinct pieces are merged together."""
+def encode_texts(texts: Iterable[str | None], vocab: Vocabulary) -> Iterator[np.ndarray]:
+    """Ids (``uint32``) of each text; the distinct pieces are merged together.  The texts are
+    taken one by one and not kept."""
     number = _Numbers()
     cut = vocab.pattern.findall
     docs = [np.fromiter(map(number.__getitem__, cut(t)), np.int32) if t else
@@ -182,11 +185,13 @@ def encode_texts(texts: list[str | None], vocab: Vocabulary) -> Iterator[np.ndar
             rest.append(word)
         else:
             whole[k] = i
+    number.clear()
     flat, bounds = replay(rest, vocab)
+    del rest
     # one pool: the merged pieces' ids, then every piece that is a token itself
     known = whole >= 0
-    starts = np.empty(len(number), np.int64)
-    lengths = np.ones(len(number), np.int64)
+    starts = np.empty(len(whole), np.int64)
+    lengths = np.ones(len(whole), np.int64)
     starts[~known], lengths[~known] = bounds[:-1], np.diff(bounds)
     starts[known] = len(flat) + np.arange(int(known.sum()))
     pool = np.concatenate([flat, whole[known].astype(np.uint32)])
@@ -222,7 +227,7 @@ def encoded_batches(batches: Iterable[pa.RecordBatch], vocab: Vocabulary, text:
                     ) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
     """Each batch with the ids of its rows."""
     for held in _blocks(batches, text):
-        ids = encode_texts([t for b in held for t in b.column(text).to_pylist()], vocab)
+        ids = encode_texts((t for b in held for t in b.column(text).to_pylist()), vocab)
         for batch in held:
             yield batch, list(islice(ids, batch.num_rows))
 
