@@ -20,9 +20,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.operators.joins import anti_join_keys
 from tidemark.functions.dates import as_date, month_bucket
-from tidemark.session import path_exists
-from tidemark.sources.tables import (part_of, part_value, read_table, stored_parts, swap_parts,
-                                     write_months, write_stage)
+from tidemark.sources.tables import (clear_stages, part_of, part_value, read_table, stored_parts,
+                                     swap_parts, write_stage)
 from tidemark.specs import TableSpec
 
 
@@ -129,17 +128,15 @@ def upsert_path(spark: SparkSession, path: str, batch: DataFrame, spec: TableSpe
 
     Protocol: validate keys → read only the touched partitions (where the date is not part
     of the key also those that hold a batch key, as a row may have moved) → anti-join +
-    union → write each touched partition once, beside the table → swap it in by rename.
-    A crash leaves old or new partitions; rerunning the same batch repairs it."""
+    union → write each touched partition once, beside the table → swap it in by renames
+    under a journal.  A crash before the swap leaves the old table; one within it is finished
+    by the next reader or writer."""
+    clear_stages(spark, path)
     batch = batch.select(*spec.columns).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         rows, parts = validate_keys(batch, spec.keys, date_col=spec.date_col, spec=spec)
         if rows == 0:
             return 0
-        if not path_exists(spark, path):
-            # first load: nothing stored to protect, write the validated batch
-            write_months(batch, path, spec)
-            return rows
         parts = {part_of(p, spec) for p in parts}
         if spec.date_col not in spec.keys:
             parts |= _parts_holding(spark, path, batch, spec)
@@ -158,6 +155,7 @@ def window_replace_path(spark: SparkSession, path: str, source: DataFrame, spec:
     the source disappear.  Only the cutoff's own partition keeps older rows;
     partitions at or after it that end up with no rows are removed.  Returns
     the rows written."""
+    clear_stages(spark, path)
     cutoff = as_date(cutoff)
     d = F.col(spec.date_col)
     fresh = source.filter(d >= F.lit(cutoff)).select(*spec.columns).persist(

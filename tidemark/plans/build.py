@@ -28,8 +28,9 @@ from tidemark.operators.upsert import (KeyViolation, upsert_path, validate_keys,
 from tidemark.plans import models
 from tidemark.plans.drift import stored_drift
 from tidemark.plans.windows import advance_watermarks, plan_windows
-from tidemark.session import delete_path, path_exists, rename_path
+from tidemark.session import delete_path, list_names, path_exists, rename_path
 from tidemark.sources.state import load_state, save_state
+from tidemark.sources.swap import IN, OUT, recover, swap
 from tidemark.sources.tables import (part_of, read_table, stored_high_water_mark, stored_parts,
                                      write_table)
 
@@ -88,11 +89,6 @@ def load_source(spark: SparkSession, layout: Layout, source: specs.SourceSpec,
     that revise recent days); the keyed upsert absorbs the overlap.  A landed
     row without a key part fails the load, whatever the window: a row without
     a date lies in none and would otherwise be lost."""
-    keyless = F.lit(False)
-    for k in source.table.keys:
-        keyless = keyless | F.col(k).isNull()
-    if not landed_rows.filter(keyless).isEmpty():
-        raise KeyViolation(f"{source.name}: landed row(s) with NULL in {list(source.table.keys)}")
     spec_df = spark.range(1).select(F.lit(source.name).alias("source"),
                                     F.lit(source.lag_days).alias("lag_days"),
                                     F.lit(source.default_days).alias("default_days"))
@@ -103,7 +99,10 @@ def load_source(spark: SparkSession, layout: Layout, source: specs.SourceSpec,
         return LoadResult(source.name, p["window_start"], p["window_end"], 0,
                           p["last_watermark"], p["last_watermark"])
     d = F.col(source.table.date_col)
-    batch = landed_rows.filter((d >= F.lit(p["window_start"])) & (d <= F.lit(p["window_end"])))
+    wanted = (d >= F.lit(p["window_start"])) & (d <= F.lit(p["window_end"]))
+    for k in source.table.keys:    # the upsert counts and rejects them, in its one aggregate
+        wanted = wanted | F.col(k).isNull()
+    batch = landed_rows.filter(wanted)
     n = upsert_path(spark, layout.raw_path(source), batch, layout.spec(source.table))
     after = p["last_watermark"]
     if mode == "incremental" and n > 0:
@@ -157,26 +156,25 @@ def conditions(spark: SparkSession, layout: Layout, since=None) -> DataFrame:
 
 
 def swap_in(spark: SparkSession, df: DataFrame, path: str, spec: specs.TableSpec) -> None:
-    """Full rebuild: write a fresh directory, check its keys, then swap it in.  If the swap
-    fails, the old table is put back and the fresh one removed."""
+    """Full rebuild: write a fresh directory, check its keys, then swap it in under a journal
+    (see ``sources.swap``).  If the swap fails, the old table is put back and the fresh one
+    removed; after an interruption the next reader or writer finishes it."""
+    recover(spark, path)
+    parent, _, name = path.rpartition("/")
+    for left in list_names(spark, parent):    # of writers that came to no swap, or closed none
+        if left.startswith((f"{name}.rebuild-", f"{name}.old-")):
+            delete_path(spark, f"{parent}/{left}")
     fresh, old = f"{path}.rebuild-{uuid.uuid4().hex[:8]}", f"{path}.old-{uuid.uuid4().hex[:8]}"
     try:
         write_table(df, fresh, spec)
         validate_keys(read_table(spark, fresh, spec), spec.keys, spec.name)
-        replaced = path_exists(spark, path)
-        if replaced:
-            rename_path(spark, path, old)
-        try:
-            rename_path(spark, fresh, path)
-        except Exception:
-            if replaced:
-                rename_path(spark, old, path)
-            raise
-    except Exception:
+    except BaseException:
         delete_path(spark, fresh)
         raise
-    if replaced:
-        delete_path(spark, old)
+    moves = [(IN, fresh, path)]
+    if path_exists(spark, path):
+        moves.insert(0, (OUT, path, old))
+    swap(spark, path, moves, [fresh, old], rename=rename_path)
 
 
 def build_mart(spark: SparkSession, layout: Layout, full_refresh: bool = False,
@@ -192,6 +190,7 @@ def build_mart(spark: SparkSession, layout: Layout, full_refresh: bool = False,
     if strategy not in ("delete_insert", "window_replace"):
         raise ValueError("strategy must be 'delete_insert' or 'window_replace'")
     spec, cutoff = layout.spec(specs.MART), None
+    recover(spark, layout.mart)
     if not full_refresh and path_exists(spark, layout.mart):
         hwm = stored_high_water_mark(spark, layout.mart, spec) or EPOCH
         cutoff = since or (hwm - dt.timedelta(days=lookback_days))

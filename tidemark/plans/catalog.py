@@ -314,17 +314,17 @@ def dq_unique_combination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicate_groups(load(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
-def _injected_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _injected_mart(wl: DataFrame, rates: DataFrame) -> DataFrame:
     """The mart rebuilt after an impossible reading (max 5 < min 25) was
     upserted into each location's last date of the raw weather-like table."""
-    wl = weather_bench(spark, sf_dir)
     last = wl.groupBy("location").agg(F.max("date").alias("date"))
     raw = inject_impossible_rows(wl, last, WL_KEYS)
-    return models.build_conditions(raw, rate_bench(spark, sf_dir))
+    return models.build_conditions(raw, rates)
 
 
 def dq_row_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return failing_rows(_injected_mart(spark, sf_dir), row_rule("rule", MAX_LT_MIN))
+    mart = _injected_mart(weather_bench(spark, sf_dir), rate_bench(spark, sf_dir))
+    return failing_rows(mart, row_rule("rule", MAX_LT_MIN))
 
 
 def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -332,16 +332,23 @@ def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def failing_row_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Row-rule violations, and the rate-range violations of the first of each month only (as
-    in the oracle's SQL), traced to the line items and to the order day whose rate they
-    carry.  The violations include one row per location on a day that no raw row has: it is
-    listed with ``found`` false.  ``plans.build.diagnose`` traces every failing row."""
+    """Every violation of the row rule and of the rate range, traced to the line items and to
+    the order day whose rate it carries.  The violations include one row per location on a
+    day that no raw row has: it is listed with ``found`` false.  Raw readings, rates and the
+    mart are written once; the line items are scanned for the readings and for the trace."""
     from tidemark.plans.build import rate_origins
 
-    mart = _injected_mart(spark, sf_dir).select(*WL_KEYS, "temp_max_c", "temp_min_c", "fx_usd_mxn")
+    def stored(df: DataFrame, name: str) -> DataFrame:
+        path = scratch_path(spark, f"trace-{name}")
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    rates = stored(rate_bench(spark, sf_dir), "rates")
+    mart = stored(_injected_mart(stored(weather_bench(spark, sf_dir), "readings"), rates)
+                  .select(*WL_KEYS, "temp_max_c", "temp_min_c", "fx_usd_mxn"), "mart")
     lo, hi = RANGE_CHECK
     rules = {"max_not_below_min": F.expr(MAX_LT_MIN),
-             "accepted_range": (~F.col("fx_usd_mxn").between(lo, hi)) & (F.dayofmonth("date") == 1)}
+             "accepted_range": ~F.col("fx_usd_mxn").between(lo, hi)}
     failed = F.array_compact(F.array(*[F.when(c, F.lit(n)) for n, c in rules.items()]))
     bad = mart.select("*", F.explode(failed).alias("check_name"))
     orphans = mart.groupBy("location").agg(F.date_add(F.max("date"), 400).alias("date")).select(
@@ -355,7 +362,6 @@ def failing_row_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
            .select(F.col("n_name").alias("location"),
                    F.col("l_shipdate").cast("date").alias("date"),
                    "l_orderkey", "l_linenumber", "l_extendedprice"))
-    rates = rate_bench(spark, sf_dir)
     origin = rate_origins(rates).toDF("__day", "rate_day")
     traced = trace(bad.unionByName(orphans), raw, WL_KEYS)
     dated = traced.withColumnRenamed("found", "raw_found").join(

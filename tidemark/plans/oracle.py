@@ -236,7 +236,7 @@ bad AS (
   FROM d8 WHERE temp_max_c < temp_min_c
   UNION ALL
   SELECT location, date, temp_max_c, temp_min_c, fx_usd_mxn, 'accepted_range'
-  FROM d8 WHERE fx_usd_mxn NOT BETWEEN 450000.0 AND 495000.0 AND day(date) = 1
+  FROM d8 WHERE fx_usd_mxn NOT BETWEEN 450000.0 AND 495000.0
   UNION ALL
   SELECT location, max(date) + 400, NULL, NULL, NULL, 'not_null' FROM d8 GROUP BY 1),
 raw AS (SELECT n.n_name AS location, CAST(l.l_shipdate AS DATE) AS date, l.l_orderkey,

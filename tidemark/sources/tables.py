@@ -10,7 +10,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.functions.dates import as_date, month_bucket
-from tidemark.session import delete_path, path_exists, rename_path
+from tidemark.session import delete_path, list_names, path_exists, rename_path
+from tidemark.sources.swap import IN, OUT, recover, swap
 from tidemark.specs import TableSpec
 
 
@@ -39,7 +40,8 @@ def read_table(spark: SparkSession, path: str, spec: TableSpec,
     """Read with the declared schema (no inference).  An absent path reads
     as an empty table (create-if-absent).  ``parts`` (partition values) and
     ``since`` (rows with date on or after it) prune partitions at planning
-    time."""
+    time.  An interrupted swap of the table is finished first."""
+    recover(spark, path)
     if not path_exists(spark, path):
         return empty_table(spark, spec)
     df = spark.read.schema(stored_schema(spec)).parquet(path)
@@ -76,6 +78,7 @@ def write_table(df: DataFrame, path: str, spec: TableSpec) -> None:
 
 def stored_parts(spark: SparkSession, path: str, spec: TableSpec) -> list:
     """Partition values present under ``path`` (one directory listing)."""
+    recover(spark, path)
     if not path_exists(spark, path):
         return []
     jvm = spark.sparkContext._jvm
@@ -96,33 +99,36 @@ def write_stage(df: DataFrame, path: str, spec: TableSpec) -> str:
     stage = f"{path}/_stage-{uuid.uuid4().hex[:12]}"
     try:
         write_table(df, stage, spec)
-    except Exception:
+    except BaseException:
         delete_path(df.sparkSession, stage)
         raise
     return stage
 
 
+def clear_stages(spark: SparkSession, path: str) -> None:
+    """Finish an interrupted swap, then remove what writers that never came to swapping left
+    behind.  For the writer of the table, before it stages anything."""
+    recover(spark, path)
+    for name in list_names(spark, path):
+        if name.startswith(("_stage-", "_old-")):
+            delete_path(spark, f"{path}/{name}")
+
+
 def swap_parts(spark: SparkSession, stage: str, path: str, spec: TableSpec, parts) -> None:
     """Replace ``parts`` by what ``stage`` holds of them (nothing: the partition goes).
-    Folders are renamed; if one rename fails, its old partition is put back."""
+    Folders are renamed under a journal (see ``swap``): if a rename fails, the old
+    partitions are put back; after an interruption the next reader or writer finishes."""
     staged = set(stored_parts(spark, stage, spec))
     stored = set(stored_parts(spark, path, spec))
     aside = f"{path}/_old-{uuid.uuid4().hex[:12]}"
-    try:
-        for part in sorted(set(parts) | staged):
-            name = f"{spec.part_col}={part.isoformat()}"
-            if part in stored:
-                rename_path(spark, f"{path}/{name}", f"{aside}/{name}")
-            if part in staged:
-                try:
-                    rename_path(spark, f"{stage}/{name}", f"{path}/{name}")
-                except Exception:
-                    if part in stored:
-                        rename_path(spark, f"{aside}/{name}", f"{path}/{name}")
-                    raise
-    finally:
-        delete_path(spark, stage)
-        delete_path(spark, aside)
+    moves = []
+    for part in sorted(set(parts) | staged):
+        name = f"{spec.part_col}={part.isoformat()}"
+        if part in stored:
+            moves.append((OUT, f"{path}/{name}", f"{aside}/{name}"))
+        if part in staged:
+            moves.append((IN, f"{stage}/{name}", f"{path}/{name}"))
+    swap(spark, path, moves, [stage, aside], rename=rename_path)
 
 
 def stored_high_water_mark(spark: SparkSession, path: str, spec: TableSpec):
