@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.operators.joins import anti_join_keys
 from tidemark.functions.dates import as_date, month_bucket
+from tidemark.sources.keyfilter import may_hold
 from tidemark.sources.tables import (clear_stages, part_of, part_value, read_table, stored_parts,
                                      swap_parts, write_stage)
 from tidemark.specs import TableSpec
@@ -113,13 +114,18 @@ def _merge_columns(target: DataFrame, batch: DataFrame, keys: list,
 
 # --- stored tables -----------------------------------------------------------
 
-def _parts_holding(spark: SparkSession, path: str, batch: DataFrame, spec: TableSpec) -> set:
-    """Partitions that hold a key of the batch.  Only the key columns are read; what comes
-    back is bounded by the calendar."""
-    stored = read_table(spark, path, spec).select(
+def parts_holding(spark: SparkSession, path: str, batch: DataFrame, spec: TableSpec, parts
+                  ) -> tuple[set, list]:
+    """Those of the partitions ``parts`` that hold a key of the batch, and those that had to
+    be read to find them: the key filters name the partitions that may, only the key columns
+    of these are read.  What comes back is bounded by the calendar."""
+    named = may_hold(spark, path, batch, spec, parts)
+    if not named:
+        return set(), []
+    stored = read_table(spark, path, spec, named).select(
         *spec.keys, part_value(spec.date_col, spec).alias("__part"))
     held = stored.join(batch_keys(batch, spec.keys), list(spec.keys), "left_semi")
-    return {part_of(r[0], spec) for r in held.select("__part").distinct().collect()}
+    return {part_of(r[0], spec) for r in held.select("__part").distinct().collect()}, named
 
 
 def upsert_path(spark: SparkSession, path: str, batch: DataFrame, spec: TableSpec) -> int:
@@ -127,7 +133,8 @@ def upsert_path(spark: SparkSession, path: str, batch: DataFrame, spec: TableSpe
     batch rows.  Empty batch ⇒ no-op.
 
     Protocol: validate keys → read only the touched partitions (where the date is not part
-    of the key also those that hold a batch key, as a row may have moved) → anti-join +
+    of the key also those that hold a batch key, as a row may have moved; Bloom filters stored
+    with the partitions say which may) → anti-join +
     union → write each touched partition once, beside the table → swap it in by renames
     under a journal.  A crash before the swap leaves the old table; one within it is finished
     by the next reader or writer."""
@@ -139,7 +146,8 @@ def upsert_path(spark: SparkSession, path: str, batch: DataFrame, spec: TableSpe
             return 0
         parts = {part_of(p, spec) for p in parts}
         if spec.date_col not in spec.keys:
-            parts |= _parts_holding(spark, path, batch, spec)
+            others = [p for p in stored_parts(spark, path, spec) if p not in parts]
+            parts |= parts_holding(spark, path, batch, spec, others)[0]
         merged = upsert(read_table(spark, path, spec, sorted(parts)), batch, spec.keys)
         stage = write_stage(merged, path, spec)
     finally:

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.functions.dates import as_date, month_bucket
 from tidemark.session import delete_path, list_names, path_exists, rename_path
+from tidemark.sources.keyfilter import write_filters
 from tidemark.sources.swap import IN, OUT, recover, swap
 from tidemark.specs import TableSpec
 
@@ -95,12 +96,16 @@ def stored_parts(spark: SparkSession, path: str, spec: TableSpec) -> list:
 
 def write_stage(df: DataFrame, path: str, spec: TableSpec) -> str:
     """Write the new content of some partitions beside them, in a folder of the table that
-    readers skip; ``swap_parts`` puts it in place without writing it again."""
+    readers skip; ``swap_parts`` puts it in place without writing it again.  Where the date is
+    no part of the key, the partitions get filters of their keys."""
+    spark = df.sparkSession
     stage = f"{path}/_stage-{uuid.uuid4().hex[:12]}"
     try:
         write_table(df, stage, spec)
+        if spec.date_col not in spec.keys:
+            write_filters(spark, stage, spec, stored_parts(spark, stage, spec))
     except BaseException:
-        delete_path(df.sparkSession, stage)
+        delete_path(spark, stage)
         raise
     return stage
 
