@@ -21,8 +21,9 @@ from tidemark import specs
 from tidemark.operators.incremental import EPOCH
 from tidemark.functions.dates import as_date
 from tidemark.operators.enrich import carry_to_next
-from tidemark.operators.quality import (ContractViolation, check_report, duplicate_groups,
-                                        enforce_contract, trace)
+from tidemark.operators.ledger import ledger_report
+from tidemark.operators.quality import (ContractViolation, duplicate_groups, enforce_contract,
+                                        trace)
 from tidemark.operators.upsert import (KeyViolation, upsert_path, validate_keys,
                                        window_replace_path)
 from tidemark.plans import models
@@ -206,9 +207,10 @@ def build_mart(spark: SparkSession, layout: Layout, full_refresh: bool = False,
     return check_mart(spark, layout)
 
 
-def check_mart(spark: SparkSession, layout: Layout) -> DataFrame:
-    """The check report of the stored mart, without building it."""
-    return check_report(read_table(spark, layout.mart, layout.spec(specs.MART)), mart_checks())
+def check_mart(spark: SparkSession, layout: Layout, recount: bool = False) -> DataFrame:
+    """The check report of the stored mart, without building it.  Counts are kept with the
+    partitions, so only those written since the last report are read (``recount``: all)."""
+    return ledger_report(spark, layout.mart, layout.spec(specs.MART), mart_checks(), recount)
 
 
 def source_freshness(spark: SparkSession, layout: Layout) -> DataFrame:

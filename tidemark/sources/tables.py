@@ -115,7 +115,7 @@ def clear_stages(spark: SparkSession, path: str) -> None:
     behind.  For the writer of the table, before it stages anything."""
     recover(spark, path)
     for name in list_names(spark, path):
-        if name.startswith(("_stage-", "_old-")):
+        if name.startswith(("_stage-", "_old-", "_ledger-")):
             delete_path(spark, f"{path}/{name}")
 
 
