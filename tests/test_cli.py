@@ -43,6 +43,7 @@ def test_cli_extract_build_profile(spark, tmp_root, capsys):
     assert main(["diagnose", "--root", root]) == 0
     out = capsys.readouterr().out
     assert "raw_extracted_at" in out and "0 failing row(s)" in out
+    assert main(["diagnose", "--root", root, "--rows", "1"]) == 0
     assert main(["diagnose", "--root", root, "--out", f"{tmp_root}/failing"]) == 0
     assert os.path.exists(f"{tmp_root}/failing/_SUCCESS")
     assert main(["build", "--root", root, "--window-replace"]) == 0

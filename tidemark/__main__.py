@@ -70,6 +70,7 @@ def main(argv: list[str] | None = None) -> int:
     dg = sub.add_parser("diagnose", help="failing rows of every check, traced to their raw rows")
     dg.add_argument("--root", required=True)
     dg.add_argument("--out", help="write the rows to this Parquet folder instead of printing them")
+    dg.add_argument("--rows", type=int, default=100, help="rows printed at most (default 100)")
     ck = sub.add_parser("check", help="run the mart's checks without building it")
     ck.add_argument("--root", required=True)
     for command in sub.choices.values():
@@ -79,7 +80,7 @@ def main(argv: list[str] | None = None) -> int:
 
     from tidemark.plans.build import (Layout, build_mart, check_mart, diagnose, load_source,
                                       source_freshness)
-    from tidemark.session import get_session
+    from tidemark.session import delete_path, get_session, scratch_path
 
     spark = get_session(os.environ.get("TIDEMARK_MASTER"))
     layout = Layout(args.root.rstrip("/"), args.grain)
@@ -137,15 +138,16 @@ def main(argv: list[str] | None = None) -> int:
             print(f"FAIL {r.failures:>8d}  {r.check_name} ({r.column_name})")
         return 1 if failed else 0
     if args.cmd == "diagnose":
-        found = diagnose(spark, layout)
-        if args.out:
-            found.write.parquet(args.out)
-            found = spark.read.parquet(args.out)
-        found = found.cache()
+        path = args.out or scratch_path(spark, "diagnose")
+        diagnose(spark, layout).write.parquet(path)    # traced once, then counted and shown
+        found = spark.read.parquet(path)
         n = found.count()
         print(f"{n} failing row(s)")
         if not args.out:
-            found.show(n, truncate=False)
+            found.show(args.rows, truncate=False)
+            if n > args.rows:
+                print(f"{args.rows} of {n} shown; --out writes them all")
+            delete_path(spark, path)
         return 0
     source_freshness(spark, layout).show(truncate=False)
     return 0
