@@ -1,7 +1,7 @@
 """Command line over the library (stored tables under one root folder).
 
     python -m tidemark extract --root R --source weather --landing PATH [--mode backfill --start D --end D]
-    python -m tidemark build --root R [--full-refresh] [--since D]
+    python -m tidemark build --root R [--full-refresh] [--since D] [--propagate]
     python -m tidemark profile --root R --table raw/weather_daily | --model M | --path P
     python -m tidemark check --root R
     python -m tidemark freshness --root R
@@ -47,6 +47,8 @@ def main(argv: list[str] | None = None) -> int:
     bd.add_argument("--root", required=True)
     bd.add_argument("--full-refresh", action="store_true")
     bd.add_argument("--since", type=_date)
+    bd.add_argument("--propagate", action="store_true",
+                    help="also carry corrections of days before the lookback window")
     bd.add_argument("--lookback-days", type=int, default=specs.MART_LOOKBACK_DAYS)
     bd.add_argument("--window-replace", action="store_true",
                     help="replace the whole lookback window (drops keys gone from the source)")
@@ -102,7 +104,7 @@ def main(argv: list[str] | None = None) -> int:
     if args.cmd in ("build", "check"):
         report = check_mart(spark, layout) if args.cmd == "check" else build_mart(
             spark, layout, full_refresh=args.full_refresh, since=args.since,
-            lookback_days=args.lookback_days,
+            lookback_days=args.lookback_days, propagate=args.propagate,
             strategy="window_replace" if args.window_replace else "delete_insert")
         rows = report.collect()
         for r in rows:

@@ -24,12 +24,15 @@ from tidemark.operators.enrich import carry_to_next
 from tidemark.operators.ledger import ledger_report
 from tidemark.operators.quality import (ContractViolation, duplicate_groups, enforce_contract,
                                         trace)
+from tidemark.operators.reach import differing_rows, merge_spans, reach_spans
 from tidemark.operators.upsert import (KeyViolation, upsert_path, validate_keys,
                                        window_replace_path)
 from tidemark.plans import models
 from tidemark.plans.drift import stored_drift
 from tidemark.plans.windows import advance_watermarks, plan_windows
 from tidemark.session import delete_path, list_names, path_exists, rename_path
+from tidemark.sources.marks import (changed_parts, load_marks, part_end, partition_marks,
+                                    save_marks)
 from tidemark.sources.state import load_state, save_state
 from tidemark.sources.swap import IN, OUT, recover, swap
 from tidemark.sources.tables import (part_of, read_table, stored_high_water_mark, stored_parts,
@@ -63,6 +66,11 @@ class Layout:
     def state(self) -> str:
         return f"{self.root}/state/watermarks"
 
+    @property
+    def mart_inputs(self) -> str:
+        """Marks of the raw partitions that the mart has taken in."""
+        return f"{self.root}/state/mart_inputs.json"
+
     def raw_path(self, source: specs.SourceSpec) -> str:
         return f"{self.root}/raw/{source.table.name}"
 
@@ -145,10 +153,15 @@ def last_rate_day(spark: SparkSession, layout: Layout, since) -> dt.date | None:
     return None
 
 
-def conditions(spark: SparkSession, layout: Layout, since=None) -> DataFrame:
+def conditions(spark: SparkSession, layout: Layout, since=None, spans=None) -> DataFrame:
     """The mart's source rows (all, or only dates on or after ``since``: weather partitions
-    before it are pruned, rates are read from the last one before it on)."""
-    raw_w = read_table(spark, layout.raw_weather, layout.spec(specs.WEATHER_RAW), since=since)
+    before it are pruned, rates are read from the last one before it on).  ``spans``: of
+    these, only the dates in one of the (first, last) spans, whose partitions alone are read."""
+    raw_w = read_table(spark, layout.raw_weather, layout.spec(specs.WEATHER_RAW), since=since,
+                       parts=None if spans is None else parts_in(
+                           spark, layout.raw_weather, layout.spec(specs.WEATHER_RAW), spans))
+    if spans is not None:
+        raw_w = raw_w.filter(in_spans("date", spans))
     first = last_rate_day(spark, layout, since) if since is not None else None
     raw_fx = read_table(spark, layout.raw_fx, layout.spec(specs.FX_RAW), since=first)
     built = models.build_conditions(models.stage_weather(raw_w), models.stage_fx(raw_fx),
@@ -156,6 +169,78 @@ def conditions(spark: SparkSession, layout: Layout, since=None) -> DataFrame:
     return enforce_contract(models.mart_projection(built), specs.MART.schema, "mart")
 
 
+def in_spans(date_col: str, spans: list):
+    """The date lies in one of the (first, last) spans."""
+    inside = F.lit(False)
+    for lo, hi in spans:
+        inside = inside | F.col(date_col).between(F.lit(lo), F.lit(hi))
+    return inside
+
+
+def parts_in(spark: SparkSession, path: str, spec: specs.TableSpec, spans: list) -> list:
+    """Stored partitions that overlap one of the spans."""
+    return [p for p in stored_parts(spark, path, spec)
+            if any(p <= hi and part_end(p, spec) >= lo for lo, hi in spans)]
+
+
+def input_marks(spark: SparkSession, layout: Layout) -> dict:
+    return {src.table.name: partition_marks(spark, layout.raw_path(src), layout.spec(src.table))
+            for src in (specs.WEATHER, specs.FX)}
+
+
+@dataclass
+class Propagation:
+    """``spans``: mart dates derived again; ``rows``: mart rows that differed and were
+    replaced or inserted."""
+
+    spans: list
+    rows: int
+
+
+def affected_spans(spark: SparkSession, layout: Layout, now: dict, kept: dict) -> list:
+    """(first, last) spans of mart dates that changed raw partitions may bear on, merged.  A
+    weather partition bears on its own dates; a rate partition also on the days that carry a
+    rate of it, up to the next published one, however far that lies."""
+    found = []
+    for src in (specs.WEATHER, specs.FX):
+        spec, name = layout.spec(src.table), src.table.name
+        changed = [(p, part_end(p, spec)) for p in changed_parts(now[name], kept.get(name, {}))]
+        if not changed:
+            continue
+        spans = spark.createDataFrame(changed, "lo date, hi date")
+        if src is specs.FX:
+            rates = read_table(spark, layout.raw_fx, spec).filter(
+                F.col("series") == specs.FX_SERIES).select("date", "value")
+            spans = reach_spans(merge_spans(spans), rates, "value")
+        found.append(spans)
+    if not found:
+        return []
+    every = found[0] if len(found) == 1 else found[0].unionByName(found[1])
+    return sorted((r.lo, r.hi) for r in merge_spans(every).collect())  # bounded by the calendar
+
+
+def propagate_changes(spark: SparkSession, layout: Layout) -> Propagation:
+    """Carry corrections of the raw tables into the mart, however old the corrected days are.
+
+    Raw partitions written since the mart last took them in (see ``sources.marks``) give
+    spans of mart dates; these are derived again from their own partitions and compared
+    with the mart, and the rows that differ are upserted, so that only mart partitions with a
+    difference are written.  As in the incremental merge, mart rows whose raw row is gone
+    stay.  Marks are taken before reading and kept after the write: a crash repeats the work,
+    a load in between is found the next time.  Nothing changed ⇒ nothing is read."""
+    now = input_marks(spark, layout)
+    spans = affected_spans(spark, layout, now, load_marks(spark, layout.mart_inputs))
+    if not spans:
+        return Propagation([], 0)
+    spec = layout.spec(specs.MART)
+    check_inputs(spark, layout, spans[0][0])
+    fresh = conditions(spark, layout, spans[0][0], spans)
+    held = read_table(spark, layout.mart, spec, parts_in(spark, layout.mart, spec, spans))
+    rows = upsert_path(spark, layout.mart, differing_rows(fresh, held, spec.keys), spec)
+    save_marks(spark, layout.mart_inputs, now)
+    return Propagation(spans, rows)
+
+
 def swap_in(spark: SparkSession, df: DataFrame, path: str, spec: specs.TableSpec) -> None:
     """Full rebuild: write a fresh directory, check its keys, then swap it in under a journal
     (see ``sources.swap``).  If the swap fails, the old table is put back and the fresh one
@@ -180,8 +265,9 @@ def swap_in(spark: SparkSession, df: DataFrame, path: str, spec: specs.TableSpec
 
 def build_mart(spark: SparkSession, layout: Layout, full_refresh: bool = False,
                lookback_days: int = specs.MART_LOOKBACK_DAYS, since=None,
-               strategy: str = "delete_insert") -> DataFrame:
-    """Build or incrementally merge the mart; returns its check report.
+               strategy: str = "delete_insert", propagate: bool = False) -> DataFrame:
+    """Build or incrementally merge the mart; returns its check report.  ``propagate``
+    afterwards carries corrections of days before the lookback window into it.
 
     Absent mart or ``full_refresh`` ⇒ full rebuild; otherwise the source rows
     with ``date >= max(mart.date) - lookback`` (or ``>= since``) replace
@@ -197,13 +283,17 @@ def build_mart(spark: SparkSession, layout: Layout, full_refresh: bool = False,
         cutoff = since or (hwm - dt.timedelta(days=lookback_days))
     check_inputs(spark, layout, cutoff)
     if cutoff is None:
+        now = input_marks(spark, layout)
         swap_in(spark, conditions(spark, layout), layout.mart, spec)
+        save_marks(spark, layout.mart_inputs, now)
     else:
         recent = conditions(spark, layout, since=cutoff)
         if strategy == "window_replace":
             window_replace_path(spark, layout.mart, recent, spec, cutoff)
         else:
             upsert_path(spark, layout.mart, recent, spec)
+        if propagate:
+            propagate_changes(spark, layout)
     return check_mart(spark, layout)
 
 

@@ -11,6 +11,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions.dates import business_day, dow_sunday0, month_bucket, trunc_ntz
+from tidemark.operators.asof import asof_join
 from tidemark.operators.enrich import gap_fill, gap_fill_time
 from tidemark.operators.series import calendar_spine, carry_forward_increment
 from tidemark.operators.incremental import merge_incremental, window_replace
@@ -39,6 +40,9 @@ PLAN_TODAY = dt.date(2024, 1, 31)
 RUN1_END = dt.date(1999, 12, 31)             # first load: history up to here
 PLAN_STATE_BEFORE = dt.datetime(2024, 1, 20)
 REVISED_FROM = dt.date(2024, 1, 15)          # days of the second landing
+LATE_LOW = dt.date(1996, 1, 1), dt.date(1996, 12, 31)       # corrected years later
+LATE_RATES = dt.date(1998, 3, 2), dt.date(1998, 3, 15)
+LATE_WEATHER = dt.date(1997, 3, 10), dt.date(1997, 5, 20)
 WL_KEYS = ["location", "date"]
 
 
@@ -418,6 +422,56 @@ def two_run_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, layout.mart, specs.MART)
 
 
+def late_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A mart built on wrong history: the rates of 1996 too low, a fortnight of 1998 without
+    rates, weather of spring 1997 too cold.  Corrections arrive years past the lookback window;
+    propagation must give the mart of a one-shot build."""
+    from tidemark import specs
+    from tidemark.plans.build import Layout, build_mart, load_source, propagate_changes
+    from tidemark.plans.roles import rate_raw
+
+    layout, d = Layout(scratch_path(spark, "late")), F.col("date")
+    right = {}
+    for source, make in ((specs.WEATHER, weather_bench), (specs.FX, rate_raw)):
+        path = scratch_path(spark, f"late-{source.name}")
+        write_table(stamp(make(spark, sf_dir), RUN_TS), path, source.table)
+        right[source] = path, read_table(spark, path, source.table)
+    rates, weather = right[specs.FX][1], right[specs.WEATHER][1]
+    low = F.when(F.year(d) == 1996, F.col("value") - 1000).otherwise(F.col("value"))
+    write_table(rates.filter(~d.between(*[F.lit(x) for x in LATE_RATES]))
+                .withColumn("value", low), layout.raw_fx, specs.FX_RAW)
+    cold = F.when(d.between(*[F.lit(x) for x in LATE_WEATHER]), F.col("temp_max_c") - 1)
+    write_table(weather.withColumn("temp_max_c", F.coalesce(cold, "temp_max_c")),
+                layout.raw_weather, specs.WEATHER_RAW)
+    build_mart(spark, layout)
+    for source, first, last in ((specs.FX, *LATE_LOW), (specs.FX, *LATE_RATES),
+                                (specs.WEATHER, *LATE_WEATHER)):
+        load_source(spark, layout, source, right[source][1], PLAN_TODAY, "backfill", first, last)
+    propagate_changes(spark, layout)
+    for done in (*[path for path, _ in right.values()], f"{layout.root}/raw"):
+        delete_path(spark, done)
+    return read_table(spark, layout.mart, specs.MART)
+
+
+def asof_last_click(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event with its user's last click before it."""
+    events = load(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "ts")
+    clicks = load(spark, sf_dir, "events").filter("event_type = 'click'").select(
+        "user_id", "ts", "event_id", "value")
+    return asof_join(events, clicks, "ts", "ts", ["user_id"], ["event_id", "value"], "click_",
+                     exact=False)
+
+
+def asof_recent_purchase(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every error with the last purchase of anyone in the ten minutes up to it: one series
+    without keys, joined by daily slices."""
+    events = load(spark, sf_dir, "events")
+    errors = events.filter("event_type = 'error'").select("event_id", "ts", "value")
+    bought = events.filter("event_type = 'purchase'").select("ts", "event_id", "user_id")
+    return asof_join(errors, bought, "ts", "ts", (), ["event_id", "user_id"], "purchase_",
+                     tolerance="INTERVAL 10 MINUTES", slice=lambda t: t.cast("date"))
+
+
 def contract_diff_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored orders and events with drifted older partitions: a renamed column in one
     month of each, another type in a month of events; every partition's footers are
@@ -534,6 +588,9 @@ QUERIES = {
     "windowed_batch": windowed_batch_q,             # D14: M7
     "watermark_after": watermark_after,             # D15: M8
     "two_run_build": two_run_build,                 # D25: M10 S4 S6-S9 F11
+    "late_corrections": late_corrections,           # M3, beyond the lookback
+    "asof_last_click": asof_last_click,
+    "asof_recent_purchase": asof_recent_purchase,
     "stream_ingest": stream_ingest,                 # D28: ST1
     "contract_diff": contract_diff_q,               # D21: Q5 Q6 P9
     "landing_revisions": landing_revisions,         # T4: S1 S8 M1

@@ -149,6 +149,22 @@ SELECT event_type AS series, CAST(CAST(CAST(ts AS DATE) AS VARCHAR) AS DATE) AS
 FROM events WHERE event_type = 'click'""",
     "plan_windows": f"WITH {PLAN} SELECT * FROM planned",
     "two_run_build": D8,
+    "late_corrections": D8,
+    "asof_last_click": """
+WITH click AS (SELECT user_id, ts, max(event_id) AS event_id, arg_max(value, event_id) AS value
+               FROM events WHERE event_type = 'click' GROUP BY 1, 2)
+SELECT e.event_id, e.user_id, e.event_type, e.ts, click.ts AS click_ts,
+       click.event_id AS click_event_id, click.value AS click_value
+FROM events e ASOF LEFT JOIN click ON e.user_id = click.user_id AND e.ts > click.ts""",
+    "asof_recent_purchase": """
+WITH bought AS (SELECT ts, max(event_id) AS event_id, arg_max(user_id, event_id) AS user_id
+                FROM events WHERE event_type = 'purchase' GROUP BY 1),
+found AS (SELECT e.event_id, e.ts, e.value, bought.ts AS p_ts, bought.event_id AS p_event,
+                 bought.user_id AS p_user, bought.ts >= e.ts - INTERVAL 10 MINUTE AS near
+          FROM events e ASOF LEFT JOIN bought ON e.ts >= bought.ts WHERE e.event_type = 'error')
+SELECT event_id, ts, value, CASE WHEN near THEN p_ts END AS purchase_ts,
+       CASE WHEN near THEN p_event END AS purchase_event_id,
+       CASE WHEN near THEN p_user END AS purchase_user_id FROM found""",
     "stream_ingest": """
 SELECT event_id, CAST(ts AS DATE) AS date, ts, user_id, event_type, value FROM events""",
     "windowed_batch": f"WITH {BATCH} SELECT * FROM batch",
