@@ -1,6 +1,9 @@
 import hashlib
 import re
 
+import pytest
+from pyspark.sql import functions as F
+
 from tests.llm.conftest import SMALL
 from tidemark.llm import catalog, exact_dedup
 
@@ -61,3 +64,38 @@ def test_index_scan_needs_no_shuffle(spark):
     plan = (index.table().groupBy("digest").count()
             ._jdf.queryExecution().executedPlan().toString())
     assert "Exchange hashpartitioning" not in plan
+
+
+@pytest.mark.parametrize("kind", ["string", "int", "date"])
+def test_ids_of_other_types(spark, kind):
+    texts = ["a b", "c", "a  b", None, "", "c"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "n int, text string")
+    made = {"string": F.concat(F.lit("d"), F.col("n").cast("string")), "int": F.col("n"),
+            "date": F.date_from_unix_date("n")}[kind]
+    docs = docs.withColumn("doc_id", made)
+    index = exact_dedup.DigestIndex(spark, buckets=2)
+    out = index.add(docs)
+    assert out.schema["doc_id"].dataType == docs.schema["doc_id"].dataType
+    ids = [r[0] for r in docs.orderBy("n").select("doc_id").collect()]
+    keep = {r.doc_id: (r.keep_id, r.group_size, r.kept) for r in out.collect()}
+    assert [keep[i] for i in ids] == [
+        (ids[f], 2, f == i) for i, f in enumerate([0, 1, 0, 3, 3, 1])]
+    index.close()
+    later = exact_dedup.DigestIndex(spark, index.path, 2).add(docs.filter("n >= 2"))
+    assert {r.doc_id: r.keep_id for r in later.collect()} == {
+        ids[i]: ids[f] for i, f in ((2, 0), (3, 3), (4, 3), (5, 1))}
+
+
+def test_other_id_types_do_not_mix(spark):
+    docs = spark.createDataFrame([(1, "a")], "doc_id bigint, text string")
+    index = exact_dedup.DigestIndex(spark, buckets=2)
+    index.add(docs)
+    with pytest.raises(TypeError):
+        index.add(docs.withColumn("doc_id", F.col("doc_id").cast("string")))
+    assert index.add(docs.withColumn("doc_id", F.col("doc_id").cast("int"))).count() == 1
+
+
+def test_the_query_leaves_no_catalog_table(spark):
+    before = {t.name for t in spark.catalog.listTables()}
+    catalog.op3_exact_dedup(spark, SMALL).count()
+    assert {t.name for t in spark.catalog.listTables()} <= before

@@ -52,7 +52,9 @@ def op2_quality_lr(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = exact_dedup.DigestIndex(spark).add(documents(spark, sf_dir))
+    index = exact_dedup.DigestIndex(spark)
+    found = index.add(documents(spark, sf_dir))
+    index.close()
     return found.select("doc_id", "keep_id", "group_size", "kept",
                         F.lower(F.hex("digest")).alias("text_sha256"))
 

@@ -9,7 +9,8 @@ Defined cases: a null text equals the empty one; texts are compared after replac
 run of space and 0x09-0x0D by one space; the kept row of a group is the smallest id (rows
 that repeat that id all say kept); rows with a null id are kept only in a group without
 any id; an empty batch leaves the index as it is and gives no rows; columns other than id
-and text are not read, so their names cannot clash.
+and text are not read, so their names cannot clash; ids are of any orderable type: an index
+takes that of its first batch, and a batch of another type raises (integers are widened).
 """
 
 from __future__ import annotations
@@ -18,8 +19,10 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..session import delete_path, scratch_path
+from ..session import delete_path, list_names, scratch_path
+from .scratch import staged
 from .skew import join_groups
 
 
@@ -43,22 +46,44 @@ class DigestIndex:
         self.path = path or scratch_path(spark, "digest-index")
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.table_name = f"digest_index_{uuid.uuid4().hex[:12]}"
-        spark.sql(f"CREATE TABLE {self.table_name} (digest BINARY, first_id BIGINT) USING parquet "
-                  f"CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS "
-                  f"LOCATION '{self.path}'")
+        self.id_type: T.DataType | None = None
+        if any(name.endswith(".parquet") for name in list_names(spark, self.path)):
+            self._open(spark.read.parquet(self.path).schema["first_id"].dataType)
+
+    def _open(self, id_type: T.DataType) -> None:
+        """Name the index in the catalog, with ids of this type."""
+        self.id_type = id_type
+        self.spark.sql(
+            f"CREATE TABLE {self.table_name} (digest BINARY, first_id {id_type.simpleString()}) "
+            f"USING parquet CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS "
+            f"LOCATION '{self.path}'")
+
+    def _accept(self, id_type: T.DataType) -> None:
+        if self.id_type is None:
+            self._open(T.LongType() if isinstance(id_type, T.IntegralType) else id_type)
+        elif self.id_type != id_type and not (isinstance(self.id_type, T.LongType)
+                                              and isinstance(id_type, T.IntegralType)):
+            raise TypeError(f"ids of the index are {self.id_type.simpleString()}, "
+                            f"of the batch {id_type.simpleString()}")
 
     def table(self) -> DataFrame:
+        self._accept(self.id_type or T.LongType())
         return self.spark.table(self.table_name)
 
+    def close(self) -> None:
+        """Take the index out of the catalog; its files stay, to be opened again."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.table_name}")
+        self.id_type = None
+
     def append_new(self, groups: DataFrame) -> None:
         """Append the groups (digest, first_id) whose digest the index lacks."""
         fresh = groups.join(self.table().select("digest").hint("merge"), "digest", "left_anti")
-        staged = scratch_path(self.spark, "digest-new")  # a failed write never touches the index
-        fresh.select("digest", "first_id").write.parquet(staged)
-        (self.spark.read.parquet(staged).repartition(self.buckets, "digest")
+        path = scratch_path(self.spark, "digest-new")  # a failed write never touches the index
+        new = staged(fresh.select("digest", F.col("first_id").cast(self.id_type)), "", path)
+        (new.repartition(self.buckets, "digest")
          .write.bucketBy(self.buckets, "digest").sortBy("digest").format("parquet")
          .mode("append").saveAsTable(self.table_name))
-        delete_path(self.spark, staged)
+        delete_path(self.spark, path)
 
     def add(self, docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
         """Deduplicate a batch within itself and against the index, and index it.
@@ -67,15 +92,15 @@ class DigestIndex:
         first for its text), ``group_size`` (rows of this batch with its text), ``kept``.
         """
         spark = self.spark
-        path = scratch_path(spark, "digests")
-        docs.select(F.col(key), digest(text).alias("digest")).write.parquet(path)
-        rows = spark.read.parquet(path)
+        id_type = docs.schema[key].dataType
+        self._accept(id_type)
+        rows = staged(docs.select(F.col(key), digest(text).alias("digest")), "digests")
         grouped = scratch_path(spark, "digest-groups")
-        (rows.groupBy("digest").agg(F.min(key).alias("first_id"), F.count("*").alias("group_size"))
-         .write.parquet(grouped))
-        groups = spark.read.parquet(grouped)
+        groups = staged(rows.groupBy("digest").agg(F.min(key).alias("first_id"),
+                                                   F.count("*").alias("group_size")), "", grouped)
         self.append_new(groups)
-        known = (groups.drop("first_id").join(self.table().hint("merge"), "digest")
-                 .withColumnRenamed("first_id", "keep_id"))
+        known = staged(groups.drop("first_id").join(self.table().hint("merge"), "digest")
+                       .withColumnRenamed("first_id", "keep_id"), "digest-known")
+        delete_path(spark, grouped)
         found = join_groups(rows, known, "digest", "group_size", rows.count())
         return found.withColumn("kept", F.col(key).eqNullSafe(F.col("keep_id")))
