@@ -46,7 +46,7 @@ def test_cli_extract_build_profile(spark, tmp_root, capsys):
     assert main(["diagnose", "--root", root, "--rows", "1"]) == 0
     assert main(["diagnose", "--root", root, "--out", f"{tmp_root}/failing"]) == 0
     assert os.path.exists(f"{tmp_root}/failing/_SUCCESS")
-    assert main(["build", "--root", root, "--window-replace"]) == 0
+    assert main(["build", "--root", root, "--window-replace", "--propagate"]) == 0
     assert main(["profile", "--root", root, "--table", "raw/weather_daily", "--approx"]) == 0
     capsys.readouterr()
     assert main(["stream", "--root", root, "--source", "weather", "--landing", f"{land}/w"]) == 0
