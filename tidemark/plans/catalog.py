@@ -15,7 +15,7 @@ from tidemark.operators.asof import asof_join
 from tidemark.operators.enrich import gap_fill, gap_fill_time
 from tidemark.operators.series import calendar_spine, carry_forward_increment
 from tidemark.operators.incremental import merge_incremental, window_replace
-from tidemark.operators.upsert import upsert, upsert_columns
+from tidemark.operators.upsert import upsert, upsert_columns, window_replace_path
 from tidemark.operators.profile import profile
 from tidemark.operators.quality import (accepted_range, check_report, duplicate_groups,
                                         failing_rows, freshness, inject_impossible_rows,
@@ -42,6 +42,7 @@ PLAN_STATE_BEFORE = dt.datetime(2024, 1, 20)
 REVISED_FROM = dt.date(2024, 1, 15)          # days of the second landing
 LATE_LOW = dt.date(1996, 1, 1), dt.date(1996, 12, 31)       # corrected years later
 LATE_RATES = dt.date(1998, 3, 2), dt.date(1998, 3, 15)
+CARRY_LOADS = dt.date(1994, 6, 10), dt.date(1996, 2, 20)    # where the second and third load begin
 LATE_WEATHER = dt.date(1997, 3, 10), dt.date(1997, 5, 20)
 WL_KEYS = ["location", "date"]
 
@@ -453,6 +454,52 @@ def late_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, layout.mart, specs.MART)
 
 
+def carry_by_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The per-location carry of ``locf_by_entity`` from three loads into a stored table, each
+    filled from the kept state.  The third also has rows of every 17th that the first two
+    lacked; their locations are carried anew from the history."""
+    from pyspark.sql import types as T
+
+    from tidemark.operators.carry_state import carry_increment, state_path
+
+    d, landing = F.col("date"), scratch_path(spark, "carry-landing")
+    columns = [*WL_KEYS, "temp_max_c"]
+    (weather_bench(spark, sf_dir).filter(business_day("date")).select(*columns)
+     .write.parquet(landing))
+    obs = spark.read.parquet(landing)
+    spec = TableSpec("filled", T.StructType([*obs.schema.fields, T.StructField(
+        "is_observed", T.BooleanType())]), tuple(WL_KEYS))
+    first, second = (F.lit(x) for x in CARRY_LOADS)
+    late, path = F.dayofmonth(d) == 17, scratch_path(spark, "carry")
+    early = obs.filter((d < second) & ~late)
+    carry_increment(spark, path, spec, early.filter(d < first), "temp_max_c", "is_observed")
+    carry_increment(spark, path, spec, early.filter(d >= first), "temp_max_c", "is_observed")
+    carry_increment(spark, path, spec, obs.filter((d >= second) | late), "temp_max_c",
+                    "is_observed", early)
+    for done in (landing, state_path(path)):
+        delete_path(spark, done)
+    return read_table(spark, path, spec)
+
+
+def profile_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored orders profiled from kept partition rows, after a load that changed some of
+    them; ``distinct_close``: the sketch's estimate is within 5 % of the exact count."""
+    from tidemark.operators.profile_ledger import kept_profile, refresh_profiles
+
+    orders = load(spark, sf_dir, "orders")
+    spec = TableSpec("orders", orders.schema, ("o_orderkey",), "o_orderdate")
+    path = scratch_path(spark, "profile-orders")
+    recent = F.col("o_orderdate") >= F.lit(CARRY_LOADS[1])
+    write_table(orders.withColumn("o_totalprice", F.when(~recent, F.col("o_totalprice"))), path,
+                spec)
+    refresh_profiles(spark, path, spec)
+    window_replace_path(spark, path, orders, spec, CARRY_LOADS[1])
+    exact = profile(orders).select("column_name", F.col("distinct_count").alias("__exact"))
+    near = F.abs(F.col("distinct_count") - F.col("__exact")) <= 0.05 * F.col("__exact")
+    return (kept_profile(spark, path, spec, "orders").join(exact, "column_name")
+            .withColumn("distinct_close", near).drop("distinct_count", "__exact"))
+
+
 def asof_last_click(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event with its user's last click before it."""
     events = load(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "ts")
@@ -589,6 +636,8 @@ QUERIES = {
     "watermark_after": watermark_after,             # D15: M8
     "two_run_build": two_run_build,                 # D25: M10 S4 S6-S9 F11
     "late_corrections": late_corrections,           # M3, beyond the lookback
+    "carry_by_load": carry_by_load,                 # W1k W1i from a kept state
+    "profile_kept": profile_kept,                   # A5 Q7, merged
     "asof_last_click": asof_last_click,
     "asof_recent_purchase": asof_recent_purchase,
     "stream_ingest": stream_ingest,                 # D28: ST1

@@ -150,6 +150,10 @@ FROM events WHERE event_type = 'click'""",
     "plan_windows": f"WITH {PLAN} SELECT * FROM planned",
     "two_run_build": D8,
     "late_corrections": D8,
+    "carry_by_load": LOCF_BY_ENTITY,
+    "profile_kept": f"""SELECT * EXCLUDE (distinct_count),
+       CASE WHEN distinct_count IS NOT NULL THEN TRUE END AS distinct_close
+FROM ({_profile("orders")})""",
     "asof_last_click": """
 WITH click AS (SELECT user_id, ts, max(event_id) AS event_id, arg_max(value, event_id) AS value
                FROM events WHERE event_type = 'click' GROUP BY 1, 2)
