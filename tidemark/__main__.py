@@ -41,6 +41,8 @@ def main(argv: list[str] | None = None) -> int:
     ex.add_argument("--end", type=_date)
     ex.add_argument("--today", type=_date, default=dt.date.today())
     ex.add_argument("--modified-after", help="read only files landed after this time")
+    ex.add_argument("--new-files", action="store_true",
+                    help="load the files that no earlier run loaded, whatever days they hold")
     ex.add_argument("--reread-days", type=int, default=0,
                     help="restart incremental windows this many days before the watermark")
     bd = sub.add_parser("build", help="build or incrementally merge the mart, then check it")
@@ -59,6 +61,8 @@ def main(argv: list[str] | None = None) -> int:
     what.add_argument("--model", choices=["stg_weather_daily", "stg_fx", "int_fx_gap_filled",
                                           "int_daily_conditions"], help="a modelled table")
     what.add_argument("--path", help="any Parquet table below --root")
+    pr.add_argument("--kept", action="store_true",
+                    help="with --table: merge the profiles kept with the partitions")
     pr.add_argument("--approx", action="store_true", help="HyperLogLog distinct counts")
     pr.add_argument("--stacked", action="store_true", help="distinct counts for wide tables")
     sm = sub.add_parser("stream", help="stream landed documents: raw upsert + mart merge per batch")
@@ -80,8 +84,8 @@ def main(argv: list[str] | None = None) -> int:
                              help="partition grain of the stored tables")
     args = ap.parse_args(argv)
 
-    from tidemark.plans.build import (Layout, build_mart, check_mart, diagnose, load_source,
-                                      source_freshness)
+    from tidemark.plans.build import (Layout, build_mart, check_mart, diagnose, load_landing,
+                                      load_source, source_freshness)
     from tidemark.session import delete_path, get_session, scratch_path
 
     spark = get_session(os.environ.get("TIDEMARK_MASTER"))
@@ -91,6 +95,11 @@ def main(argv: list[str] | None = None) -> int:
 
         run_ts = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)
         read = read_weather_landing if args.source == "weather" else read_fx_landing
+        if args.new_files:
+            done = load_landing(spark, layout, SOURCES[args.source], args.landing, run_ts)
+            print(f"[{args.source}] {done.files} new file(s), loaded {done.rows} rows; watermark "
+                  f"{done.watermark_before} -> {done.watermark_after}")
+            return 0
         rows = read(spark, args.landing, run_ts, args.modified_after)
         r = load_source(spark, layout, SOURCES[args.source], rows, args.today, args.mode,
                         args.start, args.end, reread_days=args.reread_days)
@@ -114,6 +123,15 @@ def main(argv: list[str] | None = None) -> int:
         from tidemark.operators.profile import profile
         from tidemark.sources.tables import read_table
 
+        if args.kept and not args.table:
+            ap.error("--kept needs --table")
+        if args.kept:
+            from tidemark.operators.profile_ledger import kept_profile
+
+            spec = layout.spec(TABLES[args.table])
+            kept_profile(spark, f"{layout.root}/{args.table}", spec, args.table).show(
+                len(spec.columns) + 1, truncate=False)
+            return 0
         if args.table:
             df = read_table(spark, f"{layout.root}/{args.table}", layout.spec(TABLES[args.table]))
         elif args.path:

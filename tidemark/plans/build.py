@@ -15,6 +15,7 @@ import datetime as dt
 import uuid
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark import specs
@@ -33,7 +34,9 @@ from tidemark.plans.windows import advance_watermarks, plan_windows
 from tidemark.session import delete_path, list_names, path_exists, rename_path
 from tidemark.sources.marks import (changed_parts, load_marks, part_end, partition_marks,
                                     save_marks)
-from tidemark.sources.state import load_state, save_state
+from tidemark.sources.landed import read_fx_landing, read_weather_landing
+from tidemark.sources.landing_ledger import pending_files, record_files, reader_path
+from tidemark.sources.state import load_state, save_state, state_version, watermark_of
 from tidemark.sources.swap import IN, OUT, recover, swap
 from tidemark.sources.tables import (part_of, read_table, stored_high_water_mark, stored_parts,
                                      write_table)
@@ -71,6 +74,10 @@ class Layout:
         """Marks of the raw partitions that the mart has taken in."""
         return f"{self.root}/state/mart_inputs.json"
 
+    def landed(self, source: specs.SourceSpec) -> str:
+        """The files of the source's landing that were loaded."""
+        return f"{self.root}/state/landed/{source.name}"
+
     def raw_path(self, source: specs.SourceSpec) -> str:
         return f"{self.root}/raw/{source.table.name}"
 
@@ -101,6 +108,7 @@ def load_source(spark: SparkSession, layout: Layout, source: specs.SourceSpec,
     spec_df = spark.range(1).select(F.lit(source.name).alias("source"),
                                     F.lit(source.lag_days).alias("lag_days"),
                                     F.lit(source.default_days).alias("default_days"))
+    seen = {source.name: state_version(spark, layout.state, source.name)}
     state = load_state(spark, layout.state)
     plan = plan_windows(spec_df, state, today, mode, start, end, reread_days=reread_days)
     p = plan.first()
@@ -118,12 +126,51 @@ def load_source(spark: SparkSession, layout: Layout, source: specs.SourceSpec,
         loaded = spark.range(1).select(F.lit(source.name).alias("source"),
                                        F.lit(n).cast("bigint").alias("rows_loaded"))
         save_state(spark, layout.state,
-                   advance_watermarks(plan, loaded, mode).select("source", "last_watermark"))
+                   advance_watermarks(plan, loaded, mode).select("source", "last_watermark"), seen)
         after = p["window_end"]
     return LoadResult(source.name, p["window_start"], p["window_end"], n,
                       p["last_watermark"], after)
 
 
+@dataclass
+class LandingResult:
+    files: int
+    rows: int
+    watermark_before: dt.date | None
+    watermark_after: dt.date | None
+
+
+def load_landing(spark: SparkSession, layout: Layout, source: specs.SourceSpec, landing: str,
+                 run_ts) -> LandingResult:
+    """Load the landed documents that no earlier run loaded, whatever days they hold: files
+    of the ledger are not opened again, and a late file with old days is loaded like any
+    other.  The days of the pending files are upserted whole (within one run the newest file
+    of a day wins; between runs the later run does), and the watermark moves on to their last
+    day, never back.
+
+    Data first, then ledger, then watermark: a crash in between reads the same files again
+    into the keyed upsert.  A file counts as another one when its size or time changes."""
+    seen = {source.name: state_version(spark, layout.state, source.name)}
+    before = watermark_of(load_state(spark, layout.state), source.name)
+    files = pending_files(spark, landing, layout.landed(source))
+    if not files:
+        return LandingResult(0, 0, before, before)
+    read = read_weather_landing if source.table.name == specs.WEATHER_RAW.name else read_fx_landing
+    rows = read(spark, [reader_path(f.path) for f in files], run_ts).persist(
+        StorageLevel.MEMORY_AND_DISK)
+    try:
+        n = upsert_path(spark, layout.raw_path(source), rows, layout.spec(source.table))
+        last = rows.agg(F.max(source.table.date_col)).first()[0]
+    finally:
+        rows.unpersist()
+    record_files(spark, layout.landed(source), files, run_ts)
+    after = max((d for d in (before, last) if d is not None), default=None)
+    if after != before:
+        save_state(spark, layout.state, spark.createDataFrame([(source.name, after)],
+                                                              specs.STATE.schema), seen)
+    return LandingResult(len(files), n, before, after)
+
+
 def check_inputs(spark: SparkSession, layout: Layout, since=None) -> None:
     """Fail before anything is built or written: an input that is absent or empty, or one
     of whose partitions (weather from ``since`` on, the whole rate history) drifted."""

@@ -569,6 +569,22 @@ def landing_revisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, layout.raw_weather, specs.WEATHER_RAW)
 
 
+def landing_late_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weather documents loaded by the ledger of landed files: the recent days first, then a
+    late file that goes back to the first day; the run between them finds nothing to load."""
+    from tidemark import specs
+    from tidemark.plans.build import Layout, load_landing
+
+    folder, layout = scratch_path(spark, "late-docs"), Layout(scratch_path(spark, "late-load"))
+    for name, since in (("recent", REVISED_FROM), ("late", None)):
+        _weather_documents(spark, sf_dir, shorter=0, since=since).write.text(f"{folder}/{name}")
+        load_landing(spark, layout, specs.WEATHER, f"{folder}/*", RUN_TS)
+        if load_landing(spark, layout, specs.WEATHER, f"{folder}/*", RUN_TS).files:
+            raise ValueError("loaded files were read again")
+    delete_path(spark, folder)
+    return read_table(spark, layout.raw_weather, specs.WEATHER_RAW)
+
+
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events streamed from a landing folder into a keyed, month-partitioned raw table.
     The first landing has every tenth event 45 days early; the second lands those again
@@ -642,6 +658,7 @@ QUERIES = {
     "asof_recent_purchase": asof_recent_purchase,
     "stream_ingest": stream_ingest,                 # D28: ST1
     "contract_diff": contract_diff_q,               # D21: Q5 Q6 P9
+    "landing_late_files": landing_late_files,       # M7: S1 S8 by ledger
     "landing_revisions": landing_revisions,         # T4: S1 S8 M1
 }
 

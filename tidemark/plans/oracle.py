@@ -282,6 +282,8 @@ UNION ALL SELECT 'events', CAST(m1 AS DATE), 'event_type', 'missing', 'string',
 UNION ALL SELECT 'events', CAST(m1 AS DATE), 'event_type_old', 'extra', NULL, 'string' FROM e
 UNION ALL SELECT 'events', CAST(m2 AS DATE), 'value', 'type_mismatch', 'double', 'string' FROM e2
 WHERE m2 IS NOT NULL""",
+    "landing_late_files": f"""SELECT *, TIMESTAMP '2024-02-01 00:00:00' AS extracted_at
+FROM ({WL_SMALL})""",
     "landing_revisions": f"""WITH wl AS ({WL_SMALL})
 SELECT location, date, temp_max_c + CASE WHEN date >= DATE '2024-01-15' THEN 1000 ELSE 0 END
          AS temp_max_c, temp_min_c, precipitation_mm,

@@ -7,7 +7,9 @@ DataFrames.  ``get_session`` is for tests, the bench and scripts.
 from __future__ import annotations
 
 import tempfile
+import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 # Settings tidemark sessions start with.  ANSI makes bad casts fail loudly
@@ -96,8 +98,6 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared checkpoint dir (for staged writes)."""
-    import uuid
-
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/tidemark-{name}-{uuid.uuid4().hex[:12]}"
 
@@ -139,6 +139,32 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         out.close()
 
 
+def create_once(spark: SparkSession, path: str, text: str) -> bool:
+    """Publish a small file whole unless there is one: of several writers one succeeds.
+    A draft is renamed to it, which distributed file systems decline if the name is taken;
+    a local rename would replace the file, so there the draft is linked instead."""
+    jvm = spark.sparkContext._jvm
+    as_path = jvm.org.apache.hadoop.fs.Path
+    draft = f"{path.rpartition('/')[0]}/_draft-{uuid.uuid4().hex}"
+    write_text(spark, draft, text)
+    fs = as_path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    try:
+        if fs.exists(as_path(path)):
+            return False
+        if fs.getUri().getScheme() != "file":
+            return bool(fs.rename(as_path(draft), as_path(path)))
+        local = [jvm.java.io.File(as_path(p).toUri().getPath()).toPath() for p in (path, draft)]
+        try:
+            jvm.java.nio.file.Files.createLink(*local)
+        except Py4JJavaError as e:
+            if "FileAlreadyExistsException" in str(e.java_exception):
+                return False
+            raise
+        return True
+    finally:
+        delete_path(spark, draft)
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     """The content of a small file."""
     jvm = spark.sparkContext._jvm
