@@ -70,3 +70,64 @@ def test_em_recovers_rule_accuracies():
 
 def test_no_patterns_gives_the_prior():
     assert weak_rules.fit(np.zeros((0, 7), int), np.zeros(0, int)).good == 0.8
+
+
+def exclusive_faults(n=40_000, noise=0.12, share=(0.8, 0.06, 0.05, 0.05, 0.04)):
+    """Documents with one fault each, caught nine times in ten by their own rule, and a fifth
+    rule that votes bad at random; (classes, votes)."""
+    rng = np.random.default_rng(5)
+    kind = rng.choice(len(share), n, p=share)
+    votes = np.ones((n, 5), int)
+    for r in range(4):
+        mine = kind == r + 1
+        votes[mine, r] = rng.random(mine.sum()) >= 0.9
+    votes[:, 4] = rng.random(n) >= noise
+    votes[rng.random((n, 5)) < 0.2] = -1
+    return kind, votes
+
+
+def test_noise_is_outvoted_and_lone_faults_are_not():
+    kind, votes = exclusive_faults()
+    model = weak_rules.fit_faults(*np.unique(votes, axis=0, return_counts=True))
+    assert np.abs(model.bad[0] - [0, 0, 0, 0, 0.12]).max() < 0.03    # far from the prior's 0.01
+    good = weak_rules.fault_posterior(model, votes)[:, 0]
+    lone_noise = (votes[:, 4] == 0) & ~(votes[:, :4] == 0).any(axis=1)
+    assert lone_noise.sum() > 3000 and (good[lone_noise] > 0.5).all()
+    caught = (votes[:, :4] == 0).any(axis=1)
+    assert (good[caught] < 0.1).all() and (kind[caught] > 0).all()
+
+
+def test_accuracies_move_with_the_data():
+    """Not with their number: the prior is a fixed number of votes."""
+    for noise in (0.02, 0.05, 0.2):
+        _, votes = exclusive_faults(noise=noise)
+        patterns, counts = np.unique(votes, axis=0, return_counts=True)
+        model = weak_rules.fit_faults(patterns, counts)
+        assert abs(model.bad[0, 4] - noise) < 0.25 * noise + 0.01
+        many = weak_rules.fit_faults(patterns, counts * 1000)
+        assert np.abs(many.bad[0] - model.bad[0]).max() < 0.03
+
+
+def test_faults_may_go_together():
+    rng = np.random.default_rng(6)
+    votes = np.ones((20_000, 3), int)
+    both = rng.random(20_000) < 0.1
+    votes[both, :2] = rng.random((both.sum(), 2)) >= 0.9
+    alone = ~both & (rng.random(20_000) < 0.05)
+    votes[alone, 2] = 0
+    model = weak_rules.fit_faults(*np.unique(votes, axis=0, return_counts=True))
+    good = weak_rules.fault_posterior(model, np.array([[0, 0, 1], [0, 1, 1], [1, 1, 0], [1, 1, 1]]))
+    assert (good[:3, 0] < 0.5).all() and good[3, 0] > 0.9
+
+
+def test_the_column_is_the_models_posterior(spark, small_texts):
+    out = catalog.op8_weak_rules(spark, SMALL).collect()
+    names = [f"vote_{r.name}" for r in weak_rules.RULES]
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    judged = weak_rules.judge(docs).select("doc_id", *names, "posterior").collect()
+    votes = np.array([[r[c] for c in names] for r in judged])
+    model = weak_rules.fit_faults(*np.unique(votes, axis=0, return_counts=True))
+    want = weak_rules.fault_posterior(model, votes)[:, 0]
+    assert np.abs(want - [r.posterior for r in judged]).max() < 1e-9
+    assert {r.doc_id: r.posterior for r in out} == {r.doc_id: r.posterior for r in judged}
+    assert len(weak_rules.fit_faults(np.zeros((0, 7), int), np.zeros(0, int)).share) == 8

@@ -2,9 +2,10 @@
 
 Every rule votes good or bad or abstains on a document's whole-text statistics.
 Expectation-maximisation over the table of vote patterns (at most 3 ^ rules rows,
-counted over all documents) estimates the share of good documents and, per class, how
-often each rule is right when it votes.  The posterior probability of good, not
-all-must-pass, decides.
+counted over all documents) estimates the share of good documents, the share of each
+rule's fault and, per class, how often every rule votes bad.  The posterior probability of
+good, not all-must-pass, decides: the lone vote of a rule that also votes at random on
+documents with other faults is outvoted.  ``fit`` is the plainer form with one bad class.
 
 Defined cases: null and empty texts have no words and all counts 0; a text without
 words gets only the length rule's vote and fails the base checks; an empty table gives
@@ -181,6 +182,89 @@ def posterior(model: VoteModel, patterns: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-odds))
 
 
+#: Prior mean of a rule's bad votes outside its own fault, and how many votes it weighs.
+NOISE, NOISE_VOTES = 0.01, 20.0
+
+
+@dataclass(frozen=True)
+class FaultModel:
+    """``share[k]``: of class 0, the good documents, and of class r + 1, those with the fault
+    that rule r is written for.  ``bad[k, r]``: how often rule r votes bad when it votes on a
+    document of class k."""
+    share: np.ndarray
+    bad: np.ndarray
+
+
+def _class_odds(model: FaultModel, patterns: np.ndarray) -> np.ndarray:
+    """Log of share times likelihood of the votes, by pattern and class."""
+    said_bad, said_good = (patterns == 0).astype(float), (patterns == 1).astype(float)
+    return (np.log(model.share) + said_bad @ np.log(model.bad).T
+            + said_good @ np.log(1 - model.bad).T)
+
+
+def fault_posterior(model: FaultModel, patterns: np.ndarray) -> np.ndarray:
+    """P(class | votes), by pattern and class; column 0 is the probability of good."""
+    odds = _class_odds(model, patterns)
+    p = np.exp(odds - odds.max(axis=1, keepdims=True))
+    return p / p.sum(axis=1, keepdims=True)
+
+
+def fit_faults(patterns: np.ndarray, counts: np.ndarray, rounds: int = 500) -> FaultModel:
+    """EM over distinct vote patterns (``-1`` abstains) and how many documents have each.
+
+    Bad documents are mostly bad in one way, so there is a class per rule besides the good
+    one, and within a fault the other rules' rates are free: faults may go together.  All
+    priors are a fixed number of votes, however many documents there are.
+
+    From documents on which one rule alone votes bad the data cannot tell a fault from the
+    rule's noise.  What tells them apart are documents with *other* faults: noise strikes
+    these as often as good ones, a fault that excludes them does not.  A rule's false alarms
+    on good documents are therefore its rate in that other fault's class which bounds it
+    lowest (least rate plus two standard errors; classes with few votes bound nothing)."""
+    n_rules = patterns.shape[1]
+    own = np.arange(n_rules), np.arange(n_rules)
+    share = np.r_[0.8, np.full(n_rules, 0.2 / n_rules)]
+    bad = np.full((n_rules + 1, n_rules), NOISE)
+    bad[1:][own] = 0.7
+    model = FaultModel(share, bad)
+    if not len(patterns):
+        return model
+    counts = counts.astype(float)
+    said_bad, voted = (patterns == 0).astype(float), (patterns >= 0).astype(float)
+    for _ in range(rounds):
+        weight = fault_posterior(model, patterns) * counts[:, None]
+        hits, votes_cast = weight.T @ said_bad, weight.T @ voted
+        rate = (hits + NOISE * NOISE_VOTES) / (votes_cast + NOISE_VOTES)
+        error = np.sqrt((rate * (1 - rate) + 1 / (votes_cast + 1)) / (votes_cast + 1))
+        bound = (rate + 2 * error)[1:]
+        bound[own] = np.inf
+        bad = rate.copy()
+        bad[1:][own] = np.clip((hits[1:][own] + 1.4) / (votes_cast[1:][own] + 2), 0.5, None)
+        if n_rules > 1:
+            bad[0] = rate[1:][bound.argmin(axis=0), np.arange(n_rules)]
+        new = FaultModel((weight.sum(axis=0) + np.r_[8.0, np.full(n_rules, 2.0 / n_rules)])
+                         / (counts.sum() + 10), np.clip(bad, 1e-4, 1 - 1e-4))
+        moved = np.abs(new.share - model.share).max() + np.abs(new.bad - model.bad).max()
+        model = new
+        if moved < 1e-9:
+            break
+    return model
+
+
+def good_probability(model: FaultModel, names: list[str]) -> Column:
+    """``fault_posterior`` of good as a column over the vote columns ``names``."""
+    prior, on_bad, on_good = np.log(model.share), np.log(model.bad), np.log(1 - model.bad)
+    others = F.lit(0.0)
+    for k in range(1, len(prior)):
+        odds = F.lit(float(prior[k] - prior[0]))    # of the class against good
+        for r, c in enumerate(names):
+            odds = odds + (F.when(F.col(c) == 0, float(on_bad[k, r] - on_bad[0, r]))
+                           .when(F.col(c) == 1, float(on_good[k, r] - on_good[0, r]))
+                           .otherwise(0.0))
+        others = others + F.exp(odds)
+    return 1 / (1 + others)
+
+
 def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES, key: str = "doc_id",
           text: str = "text") -> DataFrame:
     """``key``, METRICS, votes, ``posterior``, ``base_failed`` and ``kept`` of every row.
@@ -193,14 +277,9 @@ def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES, key: str = "doc_id",
     measured = spark.read.parquet(path)
     names = [f"vote_{r.name}" for r in rules]
     table = measured.groupBy(*names).agg(F.count("*").alias("n")).collect()
-    model = fit(np.array([[r[c] for c in names] for r in table]).reshape(len(table), len(names)),
-                np.array([r["n"] for r in table]))
-    prior, weight = log_odds(model)
-    odds = F.lit(prior)
-    for j, c in enumerate(names):
-        odds = odds + (F.when(F.col(c) == 0, float(weight[0, j]))
-                       .when(F.col(c) == 1, float(weight[1, j])).otherwise(0.0))
+    model = fit_faults(np.array([[r[c] for c in names] for r in table]).reshape(
+        len(table), len(names)), np.array([r["n"] for r in table]))
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    return (measured.withColumn("posterior", 1 / (1 + F.exp(-odds)))
+    return (measured.withColumn("posterior", good_probability(model, names))
             .withColumn("base_failed", failed)
             .withColumn("kept", ~F.col("base_failed") & (F.col("posterior") >= 0.5)))
