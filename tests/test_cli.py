@@ -49,6 +49,12 @@ def test_cli_extract_build_profile(spark, tmp_root, capsys):
     assert main(["build", "--root", root, "--window-replace", "--propagate"]) == 0
     assert main(["profile", "--root", root, "--table", "raw/weather_daily", "--approx"]) == 0
     capsys.readouterr()
+    assert main(["profile", "--root", root, "--table", "raw/weather_daily", "--kept"]) == 0
+    assert "precipitation_mm" in capsys.readouterr().out
+    for said in ("1 new file(s), loaded 56 rows", "0 new file(s), loaded 0 rows"):
+        assert main(["extract", "--root", root, "--source", "weather", "--landing", f"{land}/w",
+                     "--new-files"]) == 0
+        assert said in capsys.readouterr().out
     assert main(["stream", "--root", root, "--source", "weather", "--landing", f"{land}/w"]) == 0
     assert "1 micro-batch(es)" in capsys.readouterr().out
     assert main(["stream", "--root", root, "--source", "weather", "--landing", f"{land}/w"]) == 0

@@ -1,8 +1,8 @@
 """Command line over the library (stored tables under one root folder).
 
-    python -m tidemark extract --root R --source weather --landing PATH [--mode backfill --start D --end D]
+    python -m tidemark extract --root R --source weather --landing PATH [--mode backfill --start D --end D | --new-files]
     python -m tidemark build --root R [--full-refresh] [--since D] [--propagate]
-    python -m tidemark profile --root R --table raw/weather_daily | --model M | --path P
+    python -m tidemark profile --root R --table raw/weather_daily [--kept] | --model M | --path P
     python -m tidemark check --root R
     python -m tidemark freshness --root R
     python -m tidemark diagnose --root R
